@@ -24,5 +24,18 @@ FROM doc LEFT JOIN cover USING (rid) LEFT JOIN items USING (rid)
 """
 
 
+OP10 = f"""
+WITH RECURSIVE doc AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_AZ}, '{BLACK_WORD}') AS w FROM documents),
+pieces AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS s FROM doc, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS r(i) WHERE len(w) > 0),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM pieces GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM pieces a JOIN pieces b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS MATERIALIZED (SELECT a, b FROM pair p JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * p.n >= 90 * (x.n + y.n - p.n)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM doc UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN (SELECT a, b FROM link UNION ALL SELECT b, a FROM link) l ON r.other = l.a),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_benchmark_decontamination": OP9}
+    return {"op9_benchmark_decontamination": OP9, "op10_ngram_jaccard_join": OP10}
