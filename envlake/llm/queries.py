@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 from . import decontaminate as op9
 from . import jaccard as op10
+from . import mixing as op4
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = op4.mix_sources(_read(spark, sf_dir, "documents"), op4.black_words())
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op9.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.concat_ws(",", "items"), 256)

@@ -7,6 +7,22 @@ from .text import ALNUM_WORD, BLACK_WORD
 _ALNUM = ALNUM_WORD.replace("\\x00", "\\x{00}")
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP4 = f"""
+WITH doc AS MATERIALIZED (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{BLACK_WORD}')) AS BIGINT) AS size,
+        md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS key FROM documents),
+src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM doc GROUP BY source),
+turn AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS weight, source_size * 2.0::DOUBLE AS cap FROM src),
+level AS (SELECT *, coalesce(sum(cap) OVER p, 0) AS capped, sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest,
+        (SELECT 1.5::DOUBLE * sum(source_size) FROM src) AS budget
+        FROM turn WINDOW p AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+flat AS (SELECT coalesce(max((budget - capped) / rest) FILTER ((budget - capped) / rest < cap / weight), max(cap / weight)) AS l FROM level),
+target AS (SELECT source, source_size, least(cap, weight * l) AS target, CAST(floor(least(cap, weight * l)) AS BIGINT) AS words FROM turn, flat),
+placed AS (SELECT doc_id, size, source_size, target, words, CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS whole,
+        coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM doc d JOIN target t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, CAST(whole * size + least(greatest(words - whole * source_size - before, 0), size) AS BIGINT) AS taken FROM placed
+"""
+
 OP9 = f"""
 WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_AZ}, '{ALNUM_WORD}') AS w FROM benchmark),
 win AS (SELECT DISTINCT item, list_slice(w, i, least(i + 9, len(w))) AS g
@@ -38,4 +54,4 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM d
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_benchmark_decontamination": OP9, "op10_ngram_jaccard_join": OP10}
+    return {"op4_mix_sources": OP4, "op9_benchmark_decontamination": OP9, "op10_ngram_jaccard_join": OP10}
