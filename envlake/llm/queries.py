@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate as op9
 from . import jaccard as op10
+from . import langid as op6
 from . import mixing as op4
 
 
@@ -21,6 +22,13 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = op6.train(docs, ~op6.held_out())
+    found = op6.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", op6.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op9.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.concat_ws(",", "items"), 256)
