@@ -7,6 +7,19 @@ from .text import ALNUM_WORD, BLACK_WORD
 _ALNUM = ALNUM_WORD.replace("\\x00", "\\x{00}")
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP2 = r"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL
+    SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+shown AS (SELECT *, contains(text, '###') OR contains(text, '</turn>') OR contains(text, '\\') OR ends_with(text, '\') AS clash,
+    len(regexp_replace(text, '\\|###|</turn>', '\\\0', 'g')) AS escaped FROM turns)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(len(role) + CASE WHEN clash THEN escaped ELSE len(text) END + 14) AS BIGINT) AS formatted_chars
+FROM shown GROUP BY conv_id
+"""
+
 OP4 = f"""
 WITH doc AS MATERIALIZED (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{BLACK_WORD}')) AS BIGINT) AS size,
         md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS key FROM documents),
@@ -54,4 +67,4 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM d
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mix_sources": OP4, "op9_benchmark_decontamination": OP9, "op10_ngram_jaccard_join": OP10}
+    return {"op2_chat_formatting": OP2, "op4_mix_sources": OP4, "op9_benchmark_decontamination": OP9, "op10_ngram_jaccard_join": OP10}
