@@ -11,6 +11,7 @@ from . import chat as op2
 from . import decontaminate as op9
 from . import jaccard as op10
 from . import langid as op6
+from . import licenses as op3
 from . import mixing as op4
 
 
@@ -25,6 +26,10 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2.digests(op2.format_turns(rows))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3.scan(_read(spark, sf_dir, "documents")).drop("spans")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = op4.mix_sources(_read(spark, sf_dir, "documents"), op4.black_words())
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
