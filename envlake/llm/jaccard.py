@@ -38,7 +38,7 @@ from .store import small_batches, written
 from .text import BLACK, grams, hash_words, mix, pieces, split_words
 
 #: Sets, and shingles, in a block of a group that is compared in one task with another block.
-BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 20
+BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 18
 
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:

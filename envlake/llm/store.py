@@ -45,7 +45,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand texts to Python in smaller Arrow batches than Spark's 10,000 rows, unless the session says otherwise."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":

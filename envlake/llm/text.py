@@ -134,7 +134,7 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def pieces(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def pieces(texts: pa.Array, limit: int = 1 << 17) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about limit bytes of text each; a longer text stands alone."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
