@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import chat as op2
 from . import decontaminate as op9
+from . import html_text as op1
 from . import jaccard as op10
 from . import langid as op6
 from . import licenses as op3
@@ -19,6 +20,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1.extract(_read(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = r"\### Assistant: </turn> ok"
     planted = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id bigint, turn bigint, role string, text string")
