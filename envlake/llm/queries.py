@@ -14,6 +14,7 @@ from . import jaccard as op10
 from . import langid as op6
 from . import licenses as op3
 from . import mixing as op4
+from . import topk as op7
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -47,6 +48,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", op6.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7.search(op7.quantised(_read(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op9.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.concat_ws(",", "items"), 256)
