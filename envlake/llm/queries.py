@@ -13,6 +13,7 @@ from . import html_text as op1
 from . import jaccard as op10
 from . import langid as op6
 from . import licenses as op3
+from . import lm as op8
 from . import mixing as op4
 from . import topk as op7
 
@@ -52,6 +53,11 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7.search(op7.quantised(_read(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = _read(spark, sf_dir, "labels").where("quality = 1 and toxic = 0")
+    return op8.cross_entropy_difference(_read(spark, sf_dir, "documents"), good)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op9.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.concat_ws(",", "items"), 256)
