@@ -15,6 +15,7 @@ from . import langid as op6
 from . import licenses as op3
 from . import lm as op8
 from . import mixing as op4
+from . import secrets as op5
 from . import topk as op7
 
 
@@ -42,6 +43,12 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = op5.Scanner(spark, op5.dictionary_words(docs)).scan(docs)
+    return found.select("doc_id", "start", "n_chars", F.sha2("candidate", 256).alias("candidate_sha256"), "score", "secret")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     model = op6.train(docs, ~op6.held_out())
