@@ -18,9 +18,8 @@ def connected(edges: DataFrame) -> DataFrame:
     above their exchange, so that Spark can split a node with very many edges.
     Edges with a null end are ignored.
     """
-    pairs = edges.where("a is not null and b is not null")
-    loops = pairs.where("a = b").select(F.col("a").alias("node")).distinct()
-    now = written(pairs.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    pairs = written(edges.where("a is not null and b is not null").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    loops, now = pairs.where("u = v").select(F.col("u").alias("node")), pairs.where("u <> v")
     state = _state(now)
     while state[0]:
         both = now.union(now.select("v", "u"))
