@@ -10,7 +10,8 @@ whole, and Spark keeps the k best of all blocks.
 
 Defined results: vectors that are null, hold null or a component that is not
 finite, or have no id take no part; vectors of different lengths don't meet; a
-repeated row is one vector; a query that has fewer than k others gets them all.
+repeated row is one vector; a query that has fewer than k others gets them all;
+a score beyond 64 bits is shown as the nearest one within.
 """
 
 from __future__ import annotations
@@ -103,12 +104,12 @@ class Tree:
 
 def dual_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query id, id, score) of each query's k best other points, ties to the smaller id."""
-    top = max(np.abs(queries).max(initial=0), 1) * max(np.abs(points).max(initial=0), 1) * max(queries.shape[1], 1)
+    top = max(int(abs(x)) for a in (queries, points) for x in (a.max(initial=1), a.min(initial=-1))) ** 2 * max(queries.shape[1], 1)
     kind = np.float64 if top < 2**52 else object
     qt, pt = Tree(queries.astype(float)), Tree(points.astype(float))
     query_ids, ids = query_ids[qt.order], ids[pt.order]
     q, p = queries[qt.order].astype(kind), points[pt.order].astype(kind)
-    best = np.full((len(q), k), -np.inf)
+    best = np.full((len(q), k), -np.inf, kind)
     kept: list[list[tuple]] = [[] for _ in range(len(q))]
     slack = 1e-9 * float(top) + 1e-6
     below = [np.array(c, np.int64) for c in pt.children]
@@ -150,7 +151,7 @@ def dual_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, poi
             rest, _ = unpruned(a, nodes[near:])
             if len(rest):
                 compare(a, rest)
-    found = [(query_ids[i], j, int(-s)) for i, own in enumerate(kept) for s, j in own]
+    found = [(query_ids[i], j, min(max(int(-s), -(2**63)), 2**63 - 1)) for i, own in enumerate(kept) for s, j in own]
     return tuple(np.array(x, np.int64) for x in (zip(*found, strict=True) if found else ((), (), ())))
 
 
