@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .store import written
 
+EDGES_IN_A_FILE = 250_000
+
 
 def connected(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each node of edges (a, b) reaches.
@@ -27,7 +29,8 @@ def connected(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = written(small.union(least).distinct(), "edges")
+        # no round has more edges than the one before: a few files do for a few edges
+        now = written(small.union(least).distinct().coalesce(1 + state[0] // EDGES_IN_A_FILE), "edges")
         before, state = state, _state(now)
         if state == before:
             break
