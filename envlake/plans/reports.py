@@ -33,13 +33,15 @@ def read_measures(spark: SparkSession, folder: str, first: str | None = None, la
     folder, and natural keys, none of which may repeat. A dataset without a table
     is left out; it is an error if none has one.
     """
-    start, end = inclusive_days(first or "0001-01-01", last or "9998-12-30")
+    if first and last:
+        inclusive_days(first, last)
+    start, end = (inclusive_days(d, d)[i].date() if d else None for i, d in enumerate((first, last)))
     parts = []
     for contract in CONTRACTS.values():
         path = f"{folder.rstrip('/')}/{contract.name}"
         if not exists(spark, path):
             continue
-        rows = read_days(spark, path, start.date(), end.date())
+        rows = read_days(spark, path, start, end)
         require_columns(rows, ("id_estacao", contract.instant), contract.name)
         if dict(rows.dtypes)[contract.instant] not in ("timestamp", "timestamp_ntz"):
             raise ValueError(f"{contract.name}: {contract.instant} holds no instants")
