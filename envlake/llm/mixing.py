@@ -22,7 +22,7 @@ from .store import written
 from .text import BLACK_WORD
 
 #: Documents in a range, about.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 5_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, epochs: int = 2) -> DataFrame:
