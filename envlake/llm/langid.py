@@ -149,12 +149,8 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
 
     sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     # The turns are uniform, so a threshold a little above the wanted share leaves few rows to sort.
-    sample = None
-    for name, n in sorted(sizes.items()):
-        share = min(1.0, 1.3 * MOST_TEXTS / n + 30 / n)
-        own = known.where((F.col("lang") == name) & (F.conv(F.substring("turn", 1, 8), 16, 10).cast("double") < share * 2**32))
-        sample = own if sample is None else sample.unionByName(own)
-    if sample is None:
+    shares = {name: min(1.0, 1.3 * MOST_TEXTS / n + 30 / n) * 2**32 for name, n in sizes.items()}
+    if not shares:
         return Model([], idf, np.zeros((1 << BITS, 0)))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,6 +160,8 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
             held = pa.array([None if x is None else np.minimum(x[1], 2**31 - 1).astype(np.int32) for x in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), at, held], names=["lang", "turn", "at", "n"])
 
+    least = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
+    sample = known.where(F.conv(F.substring("turn", 1, 8), 16, 10).cast("double") < least)
     made = sample.mapInArrow(vectors, "lang string, turn string, at array<int>, n array<int>").where("at is not null")
     rows, taken = [], dict.fromkeys(sizes, 0)
     for r in sorted(made.toArrow().to_pylist(), key=lambda r: (r["turn"], r["lang"], r["at"])):
