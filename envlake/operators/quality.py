@@ -57,16 +57,20 @@ def typed(df: DataFrame, contract: Contract) -> DataFrame:
     return df.withColumns(columns)
 
 
-def masks(contract: Contract) -> dict[str, Column]:
-    """For each dimension but uniqueness, whether a typed row fails it; a row can fail several."""
+def masks(contract: Contract, kinds: dict[str, str]) -> dict[str, Column]:
+    """For each dimension but uniqueness, whether a typed row fails it; a row can fail several.
+
+    kinds has the type of each column: only texts can be blank.
+    """
+    empty = lambda names: any_of([blank(F.col(c)) if kinds[c] == "string" else F.col(c).isNull() for c in names])
     beyond = {c: outside(F.col(c), *contract.limit(c)) for c in contract.numeric}
     wrong = [beyond[c] for c in contract.numeric if c not in contract.accuracy] + [infinite(F.col(c)) for c in contract.numeric]
     return {
-        "completeness": blank(*[F.col(c) for c in contract.required]),
+        "completeness": empty(contract.required),
         "accuracy": any_of([beyond[c] for c in contract.accuracy]),
         "validity": any_of(wrong),
         "timeliness": F.col(contract.instant).isNull(),
-        "consistency": blank(*[F.col(c) for c in contract.references]),
+        "consistency": empty(contract.references),
     }
 
 
@@ -76,7 +80,7 @@ def assess(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     Counts are over all received rows, in one aggregate.
     """
     rows = typed(df, contract)
-    fails = masks(contract)
+    fails = masks(contract, dict(rows.dtypes))
     counts = rows.agg(F.count("*").alias("received"), *[F.count_if(m).alias(name) for name, m in fails.items()])
     return rows.where(~any_of(list(fails.values()))), counts
 

@@ -30,14 +30,13 @@ def describe(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor") ->
     """One row for each group with a valid measure: counts, mean, exact median and quartiles, sample deviation and variance.
 
     Quartiles are interpolated; a group of one has null deviation and variance. A
-    null in a group column is an error.
+    null in a group column is an error when the result is computed.
     """
-    broken = df.where(" or ".join(f"`{c}` is null" for c in by)).limit(1).count()
-    if broken:
-        raise ValueError(f"a null among {', '.join(by)}")
     v = finite(F.col(value).cast("double"))
     q = F.percentile("_v", F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)]))
-    found = df.withColumn("_v", v).groupBy(*by).agg(
+    # checked in the same pass, by the rows themselves
+    keys = {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"a null in the group column {c}")).cast(kind)) for c, kind in df.dtypes if c in by}
+    found = df.select(v.alias("_v"), *[k.alias(c) for c, k in keys.items()]).groupBy(*by).agg(
         F.count("_v").alias("n_validos"),
         (F.count("*") - F.count("_v")).alias("n_invalidos"),
         F.avg("_v").alias("media"),
