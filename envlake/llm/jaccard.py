@@ -192,6 +192,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: s
     links = held.groupBy("cluster", "i", "j").applyInPandas(compare, "a bigint, b bigint")
     component = connected(links)
     least = filled.groupBy(*copies).agg(F.min("doc_id").alias("rep")).join(component, F.col("rep") == F.col("node"), "left")
-    least = least.select(*copies, F.coalesce("component", "rep").alias("found"))
+    # written, so that the join below has a shuffle on either side and Spark can split a set with very many copies
+    least = written(least.select(*copies, F.coalesce("component", "rep").alias("found")), "components")
     joined = table.select("doc_id", *copies).join(least, copies, "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"))
