@@ -15,7 +15,7 @@ from envlake.llm import decontaminate, jaccard, langid, mixing, secrets
 from envlake.llm.store import written
 
 #: A document whose best language has less than this probability is rejected, as is one without letters.
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
