@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numbers, personal, raw_json, text, times
-from ..operators import joins, keys, quality, reshape, star, statistics, upsert
+from ..operators import constraints, joins, keys, quality, reshape, star, statistics, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOGUE: dict[str, tuple[Query, str | None]] = {}
@@ -572,6 +572,29 @@ def stream_dedup_available_now(spark, d):
     return spark.read.parquet(f"{root}/table")
 
 
+@query("""SELECT 'unique: l_orderkey, l_linenumber' AS "constraint", count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS broken FROM lineitem
+UNION ALL SELECT 'references: l_suppkey', count(*) FILTER (l_suppkey % 3 = 0 OR l_suppkey NOT IN (SELECT s_suppkey FROM supplier)) FROM lineitem
+UNION ALL SELECT 'not null: l_partkey', count(*) FILTER (l_partkey IS NULL) FROM lineitem UNION ALL SELECT 'check: quantity', count(*) FILTER (NOT l_quantity <= 40) FROM lineitem""")
+def constraint_report(spark, d):
+    rules = [constraints.Unique(("l_orderkey", "l_linenumber")), constraints.References({"l_suppkey": "s_suppkey"}, some_suppliers(spark, d)), constraints.NotNull(("l_partkey",)), constraints.Check("quantity", F.col("l_quantity") <= 40)]
+    return constraints.report(table(spark, d, "lineitem"), rules)
+
+
+@query("""SELECT verdict, count(*) AS n FROM (SELECT CASE o_orderkey % 4 WHEN 0 THEN 'insert' WHEN 1 THEN 'replay' WHEN 2 THEN 'reject' ELSE 'enrich' END AS verdict FROM orders) GROUP BY verdict""")
+def event_load(spark, d):
+    """Orders as water events against stored ones: new, the same, with another value, or with an operator that the stored lack."""
+    from . import relational
+    from ..domain import WATER
+
+    n = F.col("o_orderkey") % 4
+    rows = table(spark, d, "orders").select(F.col("o_orderkey"), F.col("o_orderkey").cast("string").alias("id_leitura_origem"), F.col("o_custkey").alias("id_estacao"), F.when(n == 3, 1).cast("bigint").alias("id_operador"), F.col("o_orderdate").cast("timestamp").alias("data_leitura"), F.lit("20.5").alias("temperatura_agua"), F.lit("7").alias("ph"), *[F.lit(None).cast("string").alias(c) for c in ("oxigenio", "condutividade", "turbidez")])
+    old = rows.where(n != 0).withColumn("id_operador", F.lit(None).cast("bigint")).withColumn("ph", F.when(n == 2, "8").otherwise(F.col("ph")))
+    old_headers, old_items = relational.prepare(old, WATER)
+    stored = old_items.withColumn("valor_numerico", numbers.exact_decimal(F.col("numero"))).drop("numero")
+    load = relational.load_events(*relational.prepare(rows, WATER), old_headers, stored)
+    return load.verdicts.groupBy("verdict").agg(F.count("*").alias("n"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, (f, _) in CATALOGUE.items()}
 
