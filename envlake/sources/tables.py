@@ -152,7 +152,7 @@ def merge(df: DataFrame, contract: Contract, folder: str, order: Sequence[str |
             if days:
                 rows = added
                 if exists(spark, path):
-                    touched = read_table(spark, path).join(F.broadcast(added.select(DAY).distinct()), DAY, "left_semi")
+                    touched = read_table(spark, path).where(F.col(DAY).isin([date.fromisoformat(day) for day in days]))
                     touched.unionByName(added, allowMissingColumns=True).write.parquet(f"{stage}/days")
                     rows = spark.read.parquet(f"{stage}/days")
                 _write_days(rows, path, contract.instant)
