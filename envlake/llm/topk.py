@@ -1,12 +1,14 @@
 """Exact top-k search by inner product with a dual tree of cover trees.
 
-Vectors are dealt into blocks of bounded size, queries too, and every pair of a
-query block and a data block is one task's work: a stated query set against all
-rows, in blocks. A task indexes both blocks in cover trees. With centres q and p
-and covering radii s and r, no pair of two nodes scores more than
-q.p + |q| r + |p| s + r s, so a pair of nodes is left out when that is less than
-the worst kth score of the queries in its query node. What is left is compared
-whole, and Spark keeps the k best of all blocks.
+With centres q and p and covering radii s and r, no pair of two nodes scores more
+than q.p + |q| r + |p| s + r s, so a pair of nodes is left out when that is less
+than the worst kth score of the queries in its query node.
+
+The first level of the trees is made by Spark: cells around pivots, dealt into
+blocks of bounded size, queries and data by the same pivots. Pairs of a query block
+and a data block that the bound leaves are one task's work each: a stated query set
+against all rows, in blocks. A task indexes both blocks further, in cover trees,
+and prunes alike. What is left is compared whole, and Spark keeps the k best.
 
 Defined results: vectors that are null, hold null or a component that is not
 finite, or have no id take no part; vectors of different lengths don't meet; a
@@ -24,6 +26,8 @@ from .store import written
 
 #: Vectors in a data block and queries in a query block, at most about.
 DATA_BLOCK, QUERY_BLOCK = 4096, 1024
+#: Pivots of the first level, at most, and the rows they are chosen from, about.
+MOST_CELLS, SAMPLE = 64, 2048
 #: Points in a leaf, and a child's covering radius as a share of its parent's.
 LEAF, SHRINK = 96, 0.7
 #: Points of the most promising leaves that a query leaf is compared with before the others are pruned.
@@ -155,27 +159,100 @@ def dual_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, poi
     return tuple(np.array(x, np.int64) for x in (zip(*found, strict=True) if found else ((), (), ())))
 
 
+def pivots(sample: list[list[int]], most: int) -> dict[int, np.ndarray]:
+    """By length, up to most vectors far apart from one another, each the farthest from those before it."""
+    found: dict[int, np.ndarray] = {}
+    for dim in sorted({len(v) for v in sample}):
+        own = sorted(v for v in sample if len(v) == dim)
+        points = np.array(own, np.float64).reshape(len(own), dim)
+        chosen, near = [points.mean(axis=0)], None
+        while len(chosen) < most:
+            d = ((points - chosen[-1]) ** 2).sum(axis=1)
+            near = d if near is None else np.minimum(near, d)
+            if not near.max() > 0:
+                break
+            chosen.append(points[near.argmax()])
+        found[dim] = np.array(chosen)
+    return found
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
-    """(query_id, rank, vec_id, score) from quantised (vec_id, q) rows: the k best others of each query row."""
-    table = written(vectors.withColumn("dim", F.size("q")).withColumn("query", is_query), "vectors")
-    sizes = table.groupBy("dim").agg(F.ceil(F.count("*") / DATA_BLOCK).alias("data_blocks"), F.greatest(F.ceil(F.count_if("query") / QUERY_BLOCK), F.lit(1)).alias("query_blocks"))
-    table = table.join(sizes, "dim")
-    own = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n))
-    all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    data = table.select("dim", "vec_id", "q", own("data_blocks").alias("d"), all_of("query_blocks").alias("b")).toDF("dim", "vec_id", "q", "d", "b")
-    queries = table.where("query").select("dim", "vec_id", "q", own("query_blocks").alias("b"), all_of("data_blocks").alias("d")).toDF("dim", "vec_id", "q", "b", "d")
+    """(query_id, rank, vec_id, score) from quantised (vec_id, q) rows: the k best others of each query row.
+
+    The roots of the trees are pivots chosen from a sample of at most about SAMPLE
+    rows; every vector goes to its nearest and large cells are dealt into blocks.
+    Each query block is first compared with the data block whose centre scores
+    best, then with all blocks that its worst kth score does not rule out.
+    """
+    spark = vectors.sparkSession
+    table = written(vectors.withColumn("dim", F.size("q")).withColumn("query", F.coalesce(is_query, F.lit(False))), "vectors")
+    n, asked = table.agg(F.count("*"), F.count_if("query")).first()
+    share = min(1.0, SAMPLE / max(n, 1)) * 2**32
+    sample = [r.q for r in table.where(F.pmod(F.xxhash64("vec_id", F.lit("pivot")), F.lit(2**32)) < share).select("q").collect()]
+    roots = pivots(sample, MOST_CELLS)
+    shared = spark.sparkContext.broadcast(roots)
+    cells = {True: max(1, min(MOST_CELLS, asked // QUERY_BLOCK)), False: max(1, min(MOST_CELLS, n // DATA_BLOCK))}
+
+    def placed(rows: DataFrame, most: int, size: int, name: str) -> tuple[DataFrame, DataFrame]:
+        """(rows with their block, blocks with their radius around their cell's pivot)."""
+
+        @F.pandas_udf("cell int, far double")
+        def nearest(qs):
+            import pandas as pd
+
+            out = []
+            for q in qs:
+                x = np.asarray(q, np.float64)
+                centres = shared.value.get(len(x), np.zeros((1, len(x))))[:most]
+                d = ((centres - x) ** 2).sum(axis=1)
+                out.append((int(d.argmin()), float(np.sqrt(d.min()))))
+            return pd.DataFrame(out, columns=["cell", "far"])
+
+        at = written(rows.withColumn("at", nearest("q")).select("dim", "vec_id", "q", "at.cell", "at.far"), name)
+        parts = at.groupBy("dim", "cell").agg(F.ceil(F.count("*") / size).alias("parts"))
+        block = F.concat_ws("/", "dim", "cell", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
+        at = at.join(parts, ["dim", "cell"]).withColumn("block", block)
+        return at.select("block", "vec_id", "q"), at.groupBy("dim", "cell", "block").agg(F.max("far").alias("radius"), F.count("*").alias("rows"))
+
+    queries, asking = placed(table.where("query"), cells[True], QUERY_BLOCK, "queries")
+    data, held = placed(table, cells[False], DATA_BLOCK, "data")
+
+    @F.pandas_udf("middle double, most double")
+    def bounds(dims, a, b, r, s):
+        import pandas as pd
+
+        out = []
+        for dim, i, j, x, y in zip(dims, a, b, r, s, strict=True):
+            centres = shared.value.get(dim, np.zeros((1, dim)))
+            q, p = centres[i], centres[j]
+            middle = float(q @ p)
+            slack = 1e-9 * (np.linalg.norm(q) + x) * (np.linalg.norm(p) + y) + 1e-3
+            out.append((middle, middle + float(np.linalg.norm(q)) * y + float(np.linalg.norm(p)) * x + x * y + slack))
+        return pd.DataFrame(out, columns=["middle", "most"])
+
+    pairs = asking.toDF("dim", "a", "b", "r", "n_b").join(held.toDF("dim", "c", "d", "s", "n_d"), "dim")
+    pairs = written(pairs.withColumn("x", bounds("dim", "a", "c", "r", "s")).select("b", "d", "n_d", "x.middle", "x.most"), "pairs")
 
     def meet(left, right):
         import pandas as pd
 
         if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+            return pd.DataFrame({"b": [], "query_id": [], "vec_id": [], "score": []}).astype({"b": str, "query_id": "int64", "vec_id": "int64", "score": "int64"})
         a, b = (np.array(x["q"].tolist(), np.int64).reshape(len(x), -1) for x in (left, right))
         found = dual_search(left["vec_id"].to_numpy(), a, right["vec_id"].to_numpy(), b, k)
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found, strict=True)))
+        return pd.DataFrame({"b": left["b"].iloc[0], **dict(zip(("query_id", "vec_id", "score"), found, strict=True))})
+
+    def compared(chosen: DataFrame) -> DataFrame:
+        left = queries.toDF("b", "vec_id", "q").join(chosen.select("b", "d"), "b").toDF("b", "vec_id", "q", "d")
+        right = data.toDF("d", "vec_id", "q").join(chosen.select("b", "d"), "d").toDF("d", "vec_id", "q", "b")
+        return left.groupBy("b", "d").cogroup(right.groupBy("b", "d")).applyInPandas(meet, "b string, query_id bigint, vec_id bigint, score bigint")
 
-    keys = ["dim", "b", "d"]
-    near = queries.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(meet, "query_id bigint, vec_id bigint, score bigint")
-    near = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    home = pairs.withColumn("turn", F.row_number().over(Window.partitionBy("b").orderBy((F.col("n_d") <= k).cast("int"), F.desc("middle"), "d"))).where("turn = 1")
+    first = written(compared(home), "first")
+    worst = first.groupBy("b", "query_id").agg(F.count_distinct("vec_id").alias("n"), F.min("score").alias("kth")).groupBy("b").agg(F.min("n").alias("n"), F.min("kth").alias("kth"), F.count("*").alias("found"))
+    known = asking.select(F.col("block").alias("b"), "rows").join(worst, "b", "left")
+    limit = F.when((F.col("n") >= k) & (F.col("found") >= F.col("rows")), F.col("kth").cast("double")).otherwise(F.lit(float("-inf")))
+    rest = pairs.join(home.select("b", "d"), ["b", "d"], "left_anti").join(known.select("b", limit.alias("least")), "b").where("most >= least")
+    near = first.unionByName(compared(rest)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return near.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)

@@ -38,6 +38,19 @@ def test_top_five_are_those_of_brute_force(spark, seed, monkeypatch):
     assert sorted(tuple(r) for r in found.collect()) == brute(rows)
 
 
+def test_blocks_far_away_are_not_compared(spark, monkeypatch):
+    from envlake.llm import topk
+
+    monkeypatch.setattr(topk, "DATA_BLOCK", 40)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(8, 16)) * 4
+    rows = [(i, [float(v) for v in centres[i % 8] + rng.normal(size=16) / 50]) for i in range(800)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = search(quantised(df), F.col("vec_id") % 50 == 0)
+    assert sorted(tuple(r) for r in found.collect()) == brute([(i, np.float64(v).tolist()) for i, v in rows])
+
+
 def test_fewer_vectors_than_k_and_none(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [-1.0])], "vec_id bigint, embedding array<float>")
     assert sorted(tuple(r) for r in search(quantised(df), F.col("vec_id") % 50 == 0).collect()) == [(0, 1, 1, 131072), (0, 2, 2, -65536)]
