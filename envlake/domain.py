@@ -10,16 +10,16 @@ from dataclasses import dataclass, field
 
 # Code, name and unit of each parameter.
 PARAMETERS = [
-    ("TEMP_AGUA", "Temperatura da Água", "°C"),
-    ("PH", "Potencial Hidrogeniônico", "pH"),
-    ("OD", "Oxigênio Dissolvido", "mg/L"),
-    ("CONDUTIVIDADE", "Condutividade", "µS/cm"),
-    ("TURBIDEZ", "Turbidez", "NTU"),
-    ("TEMP_AR", "Temperatura do Ar", "°C"),
-    ("UMIDADE", "Umidade Relativa", "%"),
-    ("CHUVA", "Chuva", "mm"),
-    ("VENTO", "Velocidade do Vento", "m/s"),
-    ("CONDICAO_METEO", "Condição Meteorológica", "texto"),
+    ("TEMP_AGUA", "Temperatura da agua", "Celsius"),
+    ("TEMP_AR", "Temperatura do ar", "Celsius"),
+    ("PH", "Potencial hidrogenionico", "pH"),
+    ("OD", "Oxigenio dissolvido", "mg/L"),
+    ("COND_ELETRICA", "Condutividade eletrica", "uS/cm"),
+    ("TURBIDEZ", "Turbidez da agua", "NTU"),
+    ("UMIDADE", "Umidade relativa do ar", "%"),
+    ("CHUVA", "Precipitacao", "mm"),
+    ("VENTO", "Velocidade do vento", "km/h"),
+    ("CONDICAO_METEO", "Condicao meteorologica", "descricao"),
 ]
 UNKNOWN_UNIT = "desconhecida"
 
@@ -28,7 +28,7 @@ LIMITS = {
     "TEMP_AGUA": (0.0, 50.0),
     "PH": (0.0, 14.0),
     "OD": (0.0, None),
-    "CONDUTIVIDADE": (0.0, None),
+    "COND_ELETRICA": (0.0, None),
     "TURBIDEZ": (0.0, None),
     "TEMP_AR": (-50.0, 60.0),
     "UMIDADE": (0.0, 100.0),
@@ -37,11 +37,22 @@ LIMITS = {
 }
 
 # Personal data that the tables hold, for the catalogue of the data protection law.
+_PURPOSE = "Cadastro e identificacao de operadores de campo"
 PERSONAL_DATA = [
-    ("dbo", "operadores", "cpf", "cpf_hash", "personal identifier", "identify the operator", "HMAC-SHA-256", "loader only"),
-    ("dbo", "operadores", "nome_completo", "nome_completo_cifrado", "personal data", "name the operator", "authenticated encryption", "authorised principals"),
+    ("dbo", "operadores", "cpf", "cpf_hash", "Dado pessoal", _PURPOSE, "HMAC-SHA-256", "Chave HMAC restrita ao processo autorizado; digest nao reversivel"),
+    ("dbo", "operadores", "nome_completo", "nome_completo_cifrado", "Dado pessoal", _PURPOSE, "Fernet", "Descriptografia autorizada por principal; tentativas auditadas sem PII"),
 ]
 
+# Names of cities, as keys, that the registers of stations write in another way than that of cities.
+CITY_ALIASES = {
+    ("RJ", "altodaboavista"): "riodejaneiro",
+    ("RJ", "campos"): "camposdosgoytacazes",
+    ("PI", "luzilandialagdopiaui"): "luzilandia",
+    ("PB", "saogoncalo"): "sousa",
+    ("SP", "saopaulomirdesantana"): "saopaulo",
+    ("RN", "seridocaico"): "caico",
+}
+
 
 @dataclass(frozen=True)
 class Contract:
@@ -71,7 +82,7 @@ WATER = Contract(
     instant="data_leitura",
     required=("id_leitura_origem", "id_estacao", "data_leitura", "temperatura_agua", "ph", "oxigenio", "condutividade", "turbidez"),
     references=("id_estacao",),
-    codes={"temperatura_agua": "TEMP_AGUA", "ph": "PH", "oxigenio": "OD", "condutividade": "CONDUTIVIDADE", "turbidez": "TURBIDEZ"},
+    codes={"temperatura_agua": "TEMP_AGUA", "ph": "PH", "oxigenio": "OD", "condutividade": "COND_ELETRICA", "turbidez": "TURBIDEZ"},
     accuracy=("temperatura_agua",),
 )
 WEATHER = Contract(
@@ -100,7 +111,8 @@ RAW_WEATHER = [("id", "text"), ("estacao_id", "text"), ("timestamp", "instant"),
 RAW_FIELDS = {"qualidade_agua": RAW_WATER, "leitura_meteorologica": RAW_WEATHER}
 
 # Words that operators' registers use for an active or inactive operator.
-ACTIVE, INACTIVE = ("ativo", "ativa", "1", "true", "sim"), ("inativo", "inativa", "0", "false", "nao", "não")
+ACTIVE = ("1", "ativo", "ativa", "active", "true")
+INACTIVE = ("0", "inativo", "inativa", "inactive", "false", "desativado")
 
 
 def contract(name: str) -> Contract:

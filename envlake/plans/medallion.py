@@ -9,10 +9,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..domain import CONTRACTS, Contract, contract
+from ..domain import CITY_ALIASES, CONTRACTS, Contract, contract
 from ..functions.text import blank, trimmed
 from ..functions.times import exclusive_days, half_open
-from ..operators.joins import lookup
+from ..operators.joins import lookup, match_places
 from ..operators.keys import dimension_keys, keep_first
 from ..sources.raw import flatten, read_lines
 from ..sources.tables import Written, merge, rebuild
@@ -32,10 +32,8 @@ def registers(spark: SparkSession, states: DataFrame, cities: DataFrame, station
     """(stations, cities, states) with ids from 1 on in the order of their codes."""
     state = dimension_keys(states.drop("id_estado"), "id_estado", ["codigo_ibge_estado"])
     city = dimension_keys(cities.join(state.select("id_estado", "sigla_estado"), "sigla_estado"), "id_cidade", ["codigo_ibge_cidade", "id_estado"])
-    from ..functions.text import match_key
-
-    place = city.select("id_cidade", "sigla_estado", match_key(F.col("nome_cidade")).alias("_place"))
-    found = stations.withColumn("_place", match_key(F.col("cidade"))).join(place, ["sigla_estado", "_place"], "left")
+    places = city.select("id_cidade", F.col("nome_cidade").alias("place"), F.col("sigla_estado").alias("state"))
+    found = match_places(stations, places, "cidade", "sigla_estado", CITY_ALIASES)
     missing = found.where("id_cidade is null").count()
     if missing:
         raise ValueError(f"{missing} stations lie in no registered city")

@@ -41,7 +41,7 @@ def test_text(spark):
     assert one(spark, text.match_key(F.col("x")), " São João-d'Oeste ") == "saojoaodoeste"
     assert one(spark, text.safe_source(F.col("x")), "https://me:pw@h.example/a/b?token=1#f") == "h.example/a/b"
     assert one(spark, text.station_label(F.lit("N"), F.col("x"), F.lit("Ativa")), None) == "[Desativado] N -"
-    assert [one(spark, text.active_flag(F.col("x"), ("ativo",), ("inativo",)), v) for v in (" Ativo", "inativo", "?", None)] == [1, 0, 0, None]
+    assert [one(spark, text.active_flag(F.col("x"), ("ativo",), ("desativado",)), v) for v in (" Ativo", "desativado", "?", None)] == [1, 0, 0, None]
 
 
 @pytest.mark.parametrize(

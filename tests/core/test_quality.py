@@ -85,7 +85,7 @@ def test_star_schema(spark):
     tables = star.star_schema(long.where("valor is not null"))
     assert [(r.sk_estacao, r.id_estacao) for r in tables["Dim_Estacao"].orderBy("sk_estacao").collect()] == [(1, 4), (2, 9)]
     assert [(r.dia_semana, r.dia_util) for r in tables["Dim_Tempo"].orderBy("sk_tempo").collect()] == [(4, True), (5, False)]
-    assert {r.codigo_parametro: r.unidade_medida for r in tables["Dim_Parametro"].collect()} == {"PH": "pH", "TEMP_AGUA": "°C"}
+    assert {r.codigo_parametro: r.unidade_medida for r in tables["Dim_Parametro"].collect()} == {"PH": "pH", "TEMP_AGUA": "Celsius"}
     fact = tables["Fato_Medicoes"]
     assert fact.count() == 4 and fact.where("sk_estacao is null or sk_tempo is null or sk_parametro is null").count() == 0
     with pytest.raises(ValueError):
