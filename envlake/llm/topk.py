@@ -209,7 +209,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
             return pd.DataFrame(out, columns=["cell", "far"])
 
         at = written(rows.withColumn("at", nearest("q")).select("dim", "vec_id", "q", "at.cell", "at.far"), name)
-        parts = at.groupBy("dim", "cell").agg(F.ceil(F.count("*") / size).alias("parts"))
+        # a row for each cell, so Spark sends it to the rows; cells may be large
+        parts = written(at.groupBy("dim", "cell").agg(F.ceil(F.count("*") / size).alias("parts")), "cells")
         block = F.concat_ws("/", "dim", "cell", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
         at = at.join(parts, ["dim", "cell"]).withColumn("block", block)
         return at.select("block", "vec_id", "q"), at.groupBy("dim", "cell", "block").agg(F.max("far").alias("radius"), F.count("*").alias("rows"))
