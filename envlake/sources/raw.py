@@ -195,8 +195,8 @@ def cities(spark: SparkSession, path: str) -> DataFrame:
 
 def stations(spark: SparkSession, path: str) -> DataFrame:
     """The register of stations, with their displayed names and status 1 or 0."""
-    place = "localizacao struct<estado: string, city_name: string>"
-    rows = spark.read.option("multiLine", "true").schema(f"estacoes_ambientais array<struct<id: string, tipo: string, nome: string, descricao: string, status: string, {place.replace(' ', ': ', 1)}>>").json(path)
+    station = "struct<id: string, tipo: string, nome: string, descricao: string, status: string, localizacao: struct<estado: string, city_name: string>>"
+    rows = spark.read.option("multiLine", "true").schema(f"estacoes_ambientais array<{station}>").json(path)
     rows = rows.select(F.explode("estacoes_ambientais").alias("s")).select("s.*")
     return rows.select(
         F.trim("id").alias("codigo_origem"),
