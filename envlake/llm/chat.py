@@ -26,7 +26,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, AFTER_ROLE, CLOSE = "### ", ": ", "</turn>"
@@ -34,6 +34,7 @@ _CONTROL = re.compile(r"\\|###|</turn>")
 _TOKEN = re.compile(r"\\(\\|###|</turn>)|###|</turn>")
 _ROLE = re.compile(r"\\|###|</turn>|: ")
 _ROLE_TOKEN = re.compile(r"\\(\\|###|</turn>|: )|###|</turn>|: ")
+_HEAD = r"(?s)^### (?:\\(?:\\|###|</turn>|: )|(?!: ).)*: "
 LEARNT = "assistant"
 
 
@@ -103,11 +104,9 @@ def format_conversations(conversations: DataFrame, **columns: str) -> DataFrame:
     """(conv_id, formatted, loss_spans): whole conversations as one text, with [from, to) code points under the loss mask."""
     turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text", "formatted")))
     made = format_turns(conversations, **columns).groupBy("conv_id").agg(turns.alias("turns"))
-    # escaped text ends before CLOSE and the line feed; it begins after the role
-    n, head = F.length("x.formatted"), F.length("x.formatted") - F.length(F.regexp_replace("x.formatted", r"(?s)^### (?:\\\\(?:\\\\|###|</turn>|: )|(?!: ).)*: ", ""))
+    # a text begins after the first unescaped end of the role, and ends before CLOSE and the line feed
+    n, head = F.length("x.formatted"), F.length("x.formatted") - F.length(F.regexp_replace("x.formatted", _HEAD, ""))
     parts = made.select("conv_id", F.posexplode("turns").alias("i", "x"))
-    from pyspark.sql import Window
-
     before = F.coalesce(F.sum(n).over(Window.partitionBy("conv_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     span = F.when(F.col("x.role") == LEARNT, F.struct((before + head).alias("from"), (before + n - len(CLOSE) - 1).alias("to")))
     parts = parts.select("conv_id", "i", F.col("x.formatted").alias("f"), span.alias("span"))

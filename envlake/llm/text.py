@@ -92,7 +92,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> np.ndarray:
     global _POWERS
     while len(_POWERS) < n:
-        _POWERS = np.concatenate([_POWERS, _POWERS * np.multiply.accumulate(np.full(len(_POWERS), _BASE, np.uint64))[-1]])
+        _POWERS = np.concatenate([_POWERS, _POWERS * np.uint64(pow(int(_BASE), len(_POWERS), 2**64))])
     return _POWERS[:n]
 
 

@@ -50,10 +50,11 @@ class Tree:
     """
 
     def __init__(self, points: np.ndarray):
+        """points: one at least."""
         self.order = np.arange(len(points))
         self.first, self.last, self.radius, self.centre, self.children = [], [], [], [], []
         self._points = points
-        todo = [(self._node(self.order, points[0] if len(points) else None, 0), self.order)]
+        todo = [(self._node(self.order, points[0]), self.order)]
         placed = []
         while todo:
             node, members = todo.pop()
@@ -69,7 +70,7 @@ class Tree:
                 parts.append((centre, rest[d <= limit]))
                 rest, near = rest[d > limit], near[d > limit]
             for centre, own in parts:
-                child = self._node(own, centre, None)
+                child = self._node(own, centre)
                 self.children[node].append(child)
                 todo.append((child, own))
         # lay the leaves out one after the other, then let parents span their children
@@ -97,7 +98,7 @@ class Tree:
     def _distances(self, members: np.ndarray, centre: np.ndarray) -> np.ndarray:
         return np.sqrt(((self._points[members] - centre) ** 2).sum(axis=1))
 
-    def _node(self, members: np.ndarray, centre: np.ndarray, _: int | None) -> int:
+    def _node(self, members: np.ndarray, centre: np.ndarray) -> int:
         self.first.append(0)
         self.last.append(0)
         self.centre.append(centre)
