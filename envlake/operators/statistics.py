@@ -1,7 +1,8 @@
 """Descriptive statistics, anomalies, alerts and rolling means of long measurement tables.
 
-A measure is valid if it is a finite number. Groups are shuffled once; row-level
-results use windows over the groups, so measures are not joined back to them.
+A measure is valid if it is a finite number. Groups are aggregated before they are
+shuffled and joined back to the rows, so that no task gets all rows of a large
+series; where the groups are few, Spark sends them to the rows, which stay in place.
 """
 
 from __future__ import annotations
@@ -12,9 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import finite
+from .quantiles import exact_quantiles, join_groups
 
 #: The series of the environmental measurements.
 SERIES = ("dataset", "id_estacao", "codigo_parametro", "unidade_medida")
+QUARTILES = (0.25, 0.5, 0.75)
 # The published states of a row's Z-score.
 INVALID, FEW, CONSTANT, DONE = "medida_invalida", "amostra_insuficiente", "desvio_zero", "avaliado"
 
@@ -33,19 +36,18 @@ def describe(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor") ->
     null in a group column is an error when the result is computed.
     """
     v = finite(F.col(value).cast("double"))
-    q = F.percentile("_v", F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)]))
     # checked in the same pass, by the rows themselves
     keys = {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"a null in the group column {c}")).cast(kind)) for c, kind in df.dtypes if c in by}
-    found = df.select(v.alias("_v"), *[k.alias(c) for c, k in keys.items()]).groupBy(*by).agg(
+    rows = df.select(v.alias("_v"), *[k.alias(c) for c, k in keys.items()])
+    found = rows.groupBy(*by).agg(
         F.count("_v").alias("n_validos"),
         (F.count("*") - F.count("_v")).alias("n_invalidos"),
         F.avg("_v").alias("media"),
         F.stddev_samp("_v").alias("desvio_padrao"),
         F.var_samp("_v").alias("variancia"),
-        q.alias("_q"),
     )
-    found = found.where("n_validos > 0")
-    return found.select(*by, "n_validos", "n_invalidos", "media", F.col("_q")[1].alias("mediana"), "desvio_padrao", "variancia", F.col("_q")[0].alias("q1"), F.col("_q")[2].alias("q3"), (F.col("_q")[2] - F.col("_q")[0]).alias("iqr"), F.lit(1).alias("ddof"))
+    found = found.where("n_validos > 0").join(exact_quantiles(rows, by, "_v", QUARTILES, ("q1", "mediana", "q3")), list(by))
+    return found.select(*by, "n_validos", "n_invalidos", "media", "mediana", "desvio_padrao", "variancia", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"), F.lit(1).alias("ddof"))
 
 
 def z_scores(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor", limit: float = 3.0) -> DataFrame:
@@ -54,14 +56,9 @@ def z_scores(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor", li
     Score and flag are null unless the row was evaluated. Invalid measures become null.
     """
     limit = check_limit(limit, "the limit")
-    group = Window.partitionBy(*by)
     rows = df.withColumn(value, finite(F.col(value).cast("double")))
-    rows = rows.withColumns({
-        "n_validos": F.count(value).over(group),
-        "n_invalidos": F.count(F.when(F.col(value).isNull(), 1)).over(group),
-        "media": F.avg(value).over(group),
-        "desvio_padrao": F.stddev_samp(value).over(group),
-    })
+    groups = rows.groupBy(*by).agg(F.count(value).alias("n_validos"), F.count_if(F.col(value).isNull()).alias("n_invalidos"), F.avg(value).alias("media"), F.stddev_samp(value).alias("desvio_padrao"))
+    rows = join_groups(rows, groups, by)
     state = F.when(F.col(value).isNull(), INVALID).when(F.col("n_validos") < 2, FEW).when(F.col("desvio_padrao") == 0, CONSTANT).otherwise(DONE)
     rows = rows.withColumn("status_zscore", state)
     score = F.when(F.col("status_zscore") == DONE, (F.col(value) - F.col("media")) / F.col("desvio_padrao"))
@@ -71,10 +68,8 @@ def z_scores(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor", li
 def iqr_flags(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor", factor: float = 1.5) -> DataFrame:
     """df with the group's quartiles and Tukey limits, and whether the measure is outside them; null for invalid measures."""
     factor = check_limit(factor, "the factor")
-    group = Window.partitionBy(*by)
     rows = df.withColumn(value, finite(F.col(value).cast("double")))
-    rows = rows.withColumn("_q", F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).over(group))
-    rows = rows.withColumns({"q1": F.col("_q")[0], "q3": F.col("_q")[1], "iqr": F.col("_q")[1] - F.col("_q")[0]}).drop("_q")
+    rows = join_groups(rows, exact_quantiles(rows, by, value, (0.25, 0.75), ("q1", "q3")), by).withColumn("iqr", F.col("q3") - F.col("q1"))
     rows = rows.withColumns({"limite_inferior_iqr": F.col("q1") - factor * F.col("iqr"), "limite_superior_iqr": F.col("q3") + factor * F.col("iqr"), "fator_iqr": F.lit(factor)})
     flag = (F.col(value) < F.col("limite_inferior_iqr")) | (F.col(value) > F.col("limite_superior_iqr"))
     return rows.withColumns({"anomalia_iqr": flag, "status_iqr": F.when(F.col(value).isNull(), INVALID).otherwise(DONE)})
@@ -86,17 +81,16 @@ def either(a: Column, b: Column) -> Column:
 
 
 def alerts(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor", factor: float = 1.5, limit: float = 3.0) -> DataFrame:
-    """Both flags in one pass over the groups, and their combination alerta_qualidade."""
+    """Both flags and their combination alerta_qualidade."""
     rows = z_scores(iqr_flags(df, by, value, factor), by, value, limit)
     return rows.withColumn("alerta_qualidade", either(F.col("anomalia_iqr"), F.col("anomalia_zscore")))
 
 
 def sql_anomalies(df: DataFrame, by: Sequence[str] = ("id_estacao", "codigo_parametro"), value: str = "valor", limit: float = 3.0, factor: float = 1.5) -> DataFrame:
     """The relational report's dialect: flags are never null, and a Z-score at the limit is an anomaly."""
-    group = Window.partitionBy(*by)
     rows = df.where(F.col(value).isNotNull())
-    rows = rows.withColumns({"n": F.count("*").over(group), "media": F.avg(value).over(group), "desvio": F.stddev_samp(value).over(group), "variancia": F.var_samp(value).over(group), "_q": F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).over(group)})
-    rows = rows.withColumns({"q1": F.col("_q")[0], "mediana": F.col("_q")[1], "q3": F.col("_q")[2]}).drop("_q")
+    groups = rows.groupBy(*by).agg(F.count("*").alias("n"), F.avg(value).alias("media"), F.stddev_samp(value).alias("desvio"), F.var_samp(value).alias("variancia"))
+    rows = join_groups(join_groups(rows, groups, by), exact_quantiles(rows, by, value, QUARTILES, ("q1", "mediana", "q3")), by)
     score = F.when(F.col("desvio") > 0, (F.col(value) - F.col("media")) / F.col("desvio"))
     low, high = (F.col("q1") - factor * (F.col("q3") - F.col("q1")), F.col("q3") + factor * (F.col("q3") - F.col("q1")))
     rows = rows.withColumns({"z_score": score, "limite_inferior": low, "limite_superior": high})
