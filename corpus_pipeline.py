@@ -18,6 +18,11 @@ from envlake.llm.store import written
 LEAST_LANGUAGE_SCORE = 0.4
 
 
+def _no_more_files(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """kept with the columns of docs and no more partitions, so that a shuffle doesn't leave later stages many small files."""
+    return kept.select(*docs.columns).coalesce(max(1, docs.rdd.getNumPartitions()))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the classifier, learnt from these documents, recognises."""
     model = langid.train(docs, ~langid.held_out())
@@ -29,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near copies: the one with the smallest id. Rows without an id stay, but for exact copies."""
     found = jaccard.jaccard_components(docs.select("doc_id", "text"))
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    return _no_more_files(docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]), docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +42,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.decontaminate(docs.select("doc_id", "text"), benchmark)
     hit = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    return _no_more_files(docs.join(hit, "doc_id", "left_anti"), docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -213,7 +213,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, slop: int
     windows = test_windows(benchmark, n)
     terms = windows.select(F.explode("window").alias("t")).distinct().limit(MOST_TERMS + 1)
     vocabulary = [r.t.encode() for r in terms.collect()]
-    index = written(build_index(docs, vocabulary if len(vocabulary) <= MOST_TERMS else None), "postings")
+    index = written(build_index(docs, vocabulary if len(vocabulary) <= MOST_TERMS else None), "postings", narrow=True)
     ordered = written(ordered_windows(windows, term_counts(index)), "windows")
     blocks = max(1, -(-ordered.count() // BLOCK))
     found = None

@@ -50,7 +50,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
 def mix_sources(docs: DataFrame, size: Column, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, epochs: int = 2, seed: str = "mix", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
     """(doc_id, size, source, source_size, target, taken): the words the mix takes of each document."""
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
-    sized = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.cast("bigint").alias("size"), key.alias("key")), "sized")
+    sized = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.cast("bigint").alias("size"), key.alias("key")), "sized", narrow=True)
     ranges = max(1, -(-sized.count() // RANGE_ROWS))
     sized = sized.withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint") * ranges / F.lit(2**32)))
     sums = written(sized.groupBy("source", "range").agg(F.sum("size").alias("words")), "ranges")

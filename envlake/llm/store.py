@@ -37,9 +37,14 @@ def _remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, computed once: written as Parquet in the shared folder and read again."""
+def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """df, computed once: written as Parquet in the shared folder and read again.
+
+    narrow: its rows are much less than what they are made from, so they are
+    gathered into files of Spark's advisory size instead of one for each task.
+    """
     spark = df.sparkSession
+    df = df.hint("rebalance") if narrow else df
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
