@@ -57,6 +57,19 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"{path} was not written")
 
 
+def _created(spark: SparkSession, fs, p) -> bool:
+    """Whether this call made the file: one of several at once does. On a local disk Hadoop's create is no such call, Java's is."""
+    if fs.getUri().getScheme() == "file":
+        return spark.sparkContext._jvm.java.io.File(p.toUri().getPath()).createNewFile()
+    try:
+        fs.create(p, False).close()
+        return True
+    except Exception as e:
+        if "AlreadyExists" in str(e) or "already exists" in str(e):
+            return False
+        raise
+
+
 @contextlib.contextmanager
 def locked(spark: SparkSession, table: str, timeout: float = 60.0, poll: float = 0.05) -> Iterator[None]:
     """One writer of a table at a time, by a file that only one can create."""
@@ -64,16 +77,10 @@ def locked(spark: SparkSession, table: str, timeout: float = 60.0, poll: float =
     if p.getParent() is not None:
         fs.mkdirs(p.getParent())
     end = time.monotonic() + timeout
-    while True:
-        try:
-            fs.create(p, False).close()
-            break
-        except Exception as e:
-            if "AlreadyExists" not in str(e) and "already exists" not in str(e):
-                raise
-            if time.monotonic() >= end:
-                raise TimeoutError(f"{table} is locked") from None
-            time.sleep(poll)
+    while not _created(spark, fs, p):
+        if time.monotonic() >= end:
+            raise TimeoutError(f"{table} is locked")
+        time.sleep(poll)
     try:
         yield
     finally:
