@@ -16,6 +16,8 @@ from envlake.llm.store import written
 
 #: A document whose best language has less than this probability is rejected, as is one without letters.
 LEAST_LANGUAGE_SCORE = 0.4
+#: Near copies share at least so many percent of their shingles of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def _no_more_files(kept: DataFrame, docs: DataFrame) -> DataFrame:
@@ -30,13 +32,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, k: int = 3, percent: int = 90) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id. Rows without an id stay, but for exact copies."""
-    found = jaccard.jaccard_components(docs.select("doc_id", "text"))
+    found = jaccard.jaccard_components(docs.select("doc_id", "text"), k, percent)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     return _no_more_files(docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]), docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """near_duplicates as the pipeline takes them; the defaults there are op10's."""
+    return near_duplicates(spark, docs, sf_dir, NEAR_WORDS, NEAR_PERCENT)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -59,7 +66,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language_id),
-    ("near_duplicates", near_duplicates),
+    ("near_duplicates", near_copies),
     ("benchmark_decontamination", benchmark_decontamination),
     ("secret_scan", secret_scan),
     ("mix_sources", mix_sources),

@@ -37,6 +37,17 @@ def test_run_and_registration(spark, data):
     assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
 
 
+def test_near_copies_share_five_words_and_80_percent(spark, data):
+    words = [f"w{i}" for i in range(100)]
+    texts = {1: words, 2: [*words[:50], "x", *words[51:]], 3: [*words[:30], "x", *words[31:60], "y", *words[61:]], 4: [*words[:20], "x", *words[21:40], "y", *words[41:60], "z", *words[61:80], "v", *words[81:]], 5: ["other"] * 4, 6: [f"v{i}" for i in range(40)]}
+    texts[7] = [*texts[6][:20], "x", *texts[6][21:]]
+    sets = {i: {tuple(t[j : j + 5]) for j in range(max(len(t) - 4, 1))} for i, t in texts.items()}
+    links = {i: [j for j in sets if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])] for i in sets}
+    assert links == {1: [1, 2, 3], 2: [1, 2], 3: [1, 3], 4: [4], 5: [5], 6: [6], 7: [7]}
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "a", 1) for i, t in texts.items()], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, data).collect()) == [1, 4, 5, 6, 7]
+
+
 def test_stages_take_nulls_and_no_rows(spark, data):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     rows = [(1, None, None, None, None), (None, "the and of that", "en", "a", 15), (None, "the and of that", "en", "a", 15), (2, "", "en", None, 0), (3, "the and of that is here", "en", "b", 23)]
