@@ -12,7 +12,8 @@ and prunes alike. What is left is compared whole, and Spark keeps the k best.
 
 Defined results: vectors that are null, hold null or a component that is not
 finite, or have no id take no part; vectors of different lengths don't meet; a
-repeated row is one vector; a query that has fewer than k others gets them all;
+repeated row is one vector; different vectors with one id are one answer, with
+the best score of any of them (for a query id too); a query that has fewer than k others gets them all;
 a score beyond 64 bits is shown as the nearest one within.
 """
 
@@ -108,7 +109,7 @@ class Tree:
 
 
 def dual_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, id, score) of each query's k best other points, ties to the smaller id."""
+    """(query id, id, score) of each query's k best other ids, ties to the smaller id."""
     top = max(int(abs(x)) for a in (queries, points) for x in (a.max(initial=1), a.min(initial=-1))) ** 2 * max(queries.shape[1], 1)
     kind = np.float64 if top < 2**52 else object
     qt, pt = Tree(queries.astype(float)), Tree(points.astype(float))
@@ -136,8 +137,12 @@ def dual_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, poi
         for row in np.flatnonzero(able.any(axis=1)):
             i, at = x.start + row, np.flatnonzero(able[row])
             if len(at) > k:
-                at = at[np.lexsort((ids[rows[at]], -score[row, at]))[:k]]
-            kept[i] = sorted(kept[i] + [(-score[row, j], ids[rows[j]]) for j in at])[:k]
+                at = at[np.lexsort((ids[rows[at]], -score[row, at]))]
+                at = at[np.sort(np.unique(ids[rows[at]], return_index=True)[1])[:k]]
+            once: dict = {}  # an id takes one place, with its best score
+            for s, j in sorted(kept[i] + [(-score[row, j], ids[rows[j]]) for j in at]):
+                once.setdefault(j, s)
+            kept[i] = [(s, j) for j, s in once.items()][:k]
             best[i, : len(kept[i])] = [-s for s, _ in kept[i]]
 
     todo = [(0, np.array([0]))]
@@ -186,10 +191,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     best, then with all blocks that its worst kth score does not rule out.
     """
     spark = vectors.sparkSession
-    table = written(vectors.withColumn("dim", F.size("q")).withColumn("query", F.coalesce(is_query, F.lit(False))), "vectors")
+    table = written(vectors.withColumn("dim", F.size("q")).withColumn("query", F.coalesce(is_query, F.lit(False))).dropDuplicates(["vec_id", "q"]), "vectors")
     n, asked = table.agg(F.count("*"), F.count_if("query")).first()
     share = min(1.0, SAMPLE / max(n, 1)) * 2**32
-    sample = [r.q for r in table.where(F.pmod(F.xxhash64("vec_id", F.lit("pivot")), F.lit(2**32)) < share).select("q").collect()]
+    sample = [r.q for r in table.where(F.pmod(F.xxhash64("vec_id", "q", F.lit("pivot")), F.lit(2**32)) < share).select("q").collect()]
     roots = pivots(sample, MOST_CELLS)
     shared = spark.sparkContext.broadcast(roots)
     cells = {True: max(1, min(MOST_CELLS, asked // QUERY_BLOCK)), False: max(1, min(MOST_CELLS, n // DATA_BLOCK))}
@@ -212,7 +217,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         at = written(rows.withColumn("at", nearest("q")).select("dim", "vec_id", "q", "at.cell", "at.far"), name)
         # a row for each cell, so Spark sends it to the rows; cells may be large
         parts = written(at.groupBy("dim", "cell").agg(F.ceil(F.count("*") / size).alias("parts")), "cells")
-        block = F.concat_ws("/", "dim", "cell", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
+        block = F.concat_ws("/", "dim", "cell", F.pmod(F.xxhash64("vec_id", "q"), F.col("parts")))
         at = at.join(parts, ["dim", "cell"]).withColumn("block", block)
         return at.select("block", "vec_id", "q"), at.groupBy("dim", "cell", "block").agg(F.max("far").alias("radius"), F.count("*").alias("rows"))
 

@@ -76,3 +76,27 @@ def test_large_components_stay_exact():
     for n, most in ((2**30, 2**60 + 3), (2**40, 2**63 - 1)):
         x = np.array([[n, 1], [n, 2], [n, 3]], np.int64)
         assert [v.tolist() for v in dual_search(ids[:1], x[:1], ids, x, 1)] == [[1], [3], [most]]
+
+
+def test_copies_of_a_best_match_take_one_place(spark):
+    rows = [(0, [1.0, 0.0]), *[(1, [4.0, 0.0])] * 5, *[(i, [4.0 - i / 4, 1.0]) for i in range(2, 8)]]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert sorted(tuple(r) for r in search(quantised(df), F.col("vec_id") % 50 == 0).collect()) == brute(rows)
+
+
+def test_an_id_with_several_vectors_has_its_best_score(spark, monkeypatch):
+    from envlake.llm import topk
+
+    monkeypatch.setattr(topk, "DATA_BLOCK", 20)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    rng = np.random.default_rng(8)
+    rows = [(i % 70, [float(x) for x in rng.normal(size=4) * (3 if i % 70 < 4 else 1)]) for i in range(420)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    own: dict = {}
+    for i, v in rows:
+        own.setdefault(i, []).append(np.floor(256 * np.array(v)).astype(np.int64))
+    want = []
+    for i in (0, 50):
+        best = sorted((-max(int(x @ y) for x in own[i] for y in own[j]), j) for j in own if j != i)[:5]
+        want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    assert sorted(tuple(r) for r in search(quantised(df), F.col("vec_id") % 50 == 0).collect()) == want
