@@ -1,14 +1,20 @@
 """Language-model scoring by cross-entropy difference.
 
 Two bigram models, one of target texts and one of all texts, share everything but
-their counts: the vocabulary (the most frequent words of all texts, and one token
-for the others), the smoothing, and the hash that gives each bigram a counter. A
-document's score is the mean over its tokens of the loss under the target model
-minus that under the background model: below 0 is more like the target.
-
-Counts cover all documents. Counters are a table of a fixed size, so the models
-can be broadcast whatever the input; bigrams that share a counter share it in both
-models, and the smoothed probability is cut off at 1.
+their counts: the vocabulary (all words of all texts and one token for any other,
+unless a caller limits it) and the smoothing. A document's score is the mean over
+its tokens of the loss under the target model minus that under the background
+model: below 0 is more like the target.
+
+Every word and every bigram of all documents has a count of its own; words and
+bigrams are told apart by 64 bits of hash. What is counted grows with the input,
+so no task holds a model: a piece of texts sends each of its bigrams, with the
+documents that hold it, to a bucket chosen by the bigram's second word. A bucket
+has all bigrams that end in its words, therefore their counts and those of the
+words, and returns to each piece the part of its documents' losses. The number of
+buckets follows the number of tokens. The bigrams of a word that is frequent
+enough to fill much of a bucket are spread over all of them; the counts of these
+words, a few for each bucket, are broadcast.
 
 Defined results: a text without words has 0 tokens and null losses and score;
 repeated rows count and are scored each; without any target text the target model
@@ -18,111 +24,200 @@ is its smoothing alone; unlabelled documents are not targets.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import small_batches
-from .text import ALNUM, mix, pieces, split_words
+from .store import small_batches, written
+from .text import ALNUM, hash_words, mix, pieces, split_words
 from .vocabulary import frequent_words
 
-#: Words of the vocabulary; bits of the number of bigram counters; weight of the unigram model in a bigram's probability.
-WORDS, BITS, WEIGHT = 1 << 15, 18, 50.0
-
-
-@dataclass
-class Counts:
-    """Counts of target and of all texts: pairs[i] and words[i] of model i (0 target, 1 background)."""
+#: Weight of the unigram model in a bigram's probability; tokens in a bucket, about; bytes of text in a piece, about.
+WEIGHT, BUCKET, PIECE = 50.0, 1 << 22, 4 << 20
+#: The hashes that stand for a word outside a limited vocabulary and for the start of a text.
+OTHER, START = np.uint64(0), np.uint64(1)
 
-    vocabulary: list[str]
-    pairs: np.ndarray  # 2 x 2**BITS
-    words: np.ndarray  # 2 x (words + 2): 0 is any other word, the last is the start of a text
+_ASKED = "piece bigint, bucket bigint, keys binary, words binary, target binary, docs binary, doc binary, n binary, last binary, ids array<bigint>, tokens array<bigint>"
 
 
-def tokens(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(previous token, token, first token of each text) of all texts."""
+def tokens(texts: pa.Array, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(previous token, token, first token of each text) of all texts, tokens as hashes; known: a limited vocabulary's, sorted."""
     words = split_words(texts, ALNUM)
-    now = pc.fill_null(pc.index_in(words.strings(), value_set=vocabulary), -1).to_numpy().astype(np.int64) + 1
-    before = np.concatenate([[0], now[:-1]])
-    starts = words.first[:-1][np.diff(words.first) > 0]
-    before[starts] = len(vocabulary) + 1
+    now = hash_words(words)
+    if known is not None:
+        now = np.where(np.isin(now, known), now, OTHER)
+    before = np.concatenate([[START], now[:-1]])[: len(now)]
+    before[words.first[:-1][np.diff(words.first) > 0]] = START
     return before, now, words.first
 
 
 def counter(before: np.ndarray, now: np.ndarray) -> np.ndarray:
-    return (mix((before.astype(np.uint64) << np.uint64(32)) | now.astype(np.uint64)) >> np.uint64(64 - BITS)).astype(np.int64)
+    """The key of each bigram."""
+    return mix(before.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + now.astype(np.uint64))
 
 
-def count(docs: DataFrame, vocabulary: list[str]) -> Counts:
-    """Counts of (text, target) rows: summed in each task, then by a shuffle of counters."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    width = len(vocabulary) + 2
+def word_totals(marked: DataFrame, known: np.ndarray | None) -> DataFrame:
+    """(word, target, background): the counts of each token, and of starts, in target texts and in all."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pa.array(shared.value, pa.string())
-        size = (1 << BITS) + len(known) + 2
-        total = np.zeros((2, size), np.int64)
         for batch in batches:
             target = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for a, b in pieces(batch.column(0)):
-                before, now, first = tokens(batch.column(0).slice(a, b - a), known)
-                own = np.repeat(target[a:b], np.diff(first))
-                for ids in (counter(before, now), now + (1 << BITS)):
-                    total[0] += np.bincount(ids[own], minlength=size)
-                    total[1] += np.bincount(ids, minlength=size)
-                starts = int((np.diff(first) > 0).sum())
-                total[1, -1] += starts
-                total[0, -1] += int((np.diff(first)[target[a:b]] > 0).sum())
-        held = np.flatnonzero(total[1])
-        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[0, held]), pa.array(total[1, held])], names=["id", "target", "background"])
-
-    summed = docs.select("text", "target").mapInArrow(add, "id int, target bigint, background bigint").groupBy("id").agg(F.sum("target").alias("t"), F.sum("background").alias("b"))
-    table = summed.toArrow()
-    total = np.zeros((2, (1 << BITS) + width), np.int64)
-    total[:, table["id"].to_numpy()] = table["t"].to_numpy(), table["b"].to_numpy()
-    return Counts(vocabulary, total[:, : 1 << BITS], total[:, 1 << BITS :])
-
-
-def losses(counts: Counts, before: np.ndarray, now: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The loss of each token, in nats, under the target and the background model."""
-    at, out = counter(before, now), []
-    for pairs, words in zip(counts.pairs, counts.words, strict=True):
-        alone = (words[now] + 1) / (words[:-1].sum() + len(words) - 1)
-        p = (pairs[at] + WEIGHT * alone) / (words[before] + WEIGHT)
-        out.append(-np.log(np.minimum(p, 1.0)))
-    return out[0], out[1]
-
-
-def score(docs: DataFrame, counts: Counts) -> DataFrame:
-    """(doc_id, n_tokens, loss_target, loss_background, score) of (doc_id, text) rows."""
-    shared = docs.sparkSession.sparkContext.broadcast((counts.vocabulary, counts.pairs, counts.words))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("loss_target", pa.float64()), ("loss_background", pa.float64()), ("score", pa.float64())])
-
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Counts(*shared.value)
-        known = pa.array(own.vocabulary, pa.string())
-        for batch in batches:
-            for a, b in pieces(batch.column(1)):
-                before, now, first = tokens(batch.column(1).slice(a, b - a), known)
+            for a, b in pieces(batch.column(0), PIECE):
+                _, now, first = tokens(batch.column(0).slice(a, b - a), known)
                 n = np.diff(first)
-                sums = [np.add.reduceat(np.append(x, 0.0), first[:-1]) * (n > 0) for x in losses(own, before, now)]
-                target, background = (x / np.maximum(n, 1) for x in sums)
-                none = n == 0
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), *(pa.array(x, pa.float64(), mask=none) for x in (target, background, target - background))], schema=schema)
+                word, code = np.unique(now, return_inverse=True)
+                t = np.bincount(code[np.repeat(target[a:b], n)], minlength=len(word))
+                every = np.bincount(code, minlength=len(word))
+                word, t, every = np.append(word, START), np.append(t, (n[target[a:b]] > 0).sum()), np.append(every, (n > 0).sum())
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (word, t, every)], names=["word", "target", "background"])
 
-    return docs.mapInArrow(rate, "doc_id bigint, n_tokens bigint, loss_target double, loss_background double, score double")
+    found = marked.select("text", "target").mapInArrow(add, "word bigint, target bigint, background bigint")
+    return found.groupBy("word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
-def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """Scores of all documents; targets has the doc_id of each document that the target model learns from."""
+def bigrams(marked: DataFrame, known: np.ndarray | None, frequent: np.ndarray, buckets: int) -> DataFrame:
+    """For each piece of texts a row with its documents, and one for each bucket with the bigrams that go there.
+
+    keys, words and target: each bigram, its second word, its count in target texts. docs: how many documents of the
+    piece hold it; for each of these doc, n and last: which, how often, and whether it ends the document.
+    """
+    schema = pa.schema([("piece", pa.int64()), ("bucket", pa.int64()), *((x, pa.binary()) for x in ("keys", "words", "target", "docs", "doc", "n", "last")), ("ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            target = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            for a, b in pieces(batch.column(1), PIECE):
+                piece += 1
+                before, now, first = tokens(batch.column(1).slice(a, b - a), known)
+                size = np.diff(first)
+                doc = np.repeat(np.arange(b - a), size)
+                key = counter(before, now)
+                ends = np.zeros(len(now), np.int64)
+                ends[first[1:][size > 0] - 1] = 1
+                chosen = (np.where(np.isin(now, frequent), key, mix(now)) % np.uint64(buckets)).astype(np.int64)
+                # occurrences in order of bucket, word, bigram and document
+                order = np.lexsort((key, now, chosen))  # stable: documents stay in order
+                key, now, doc, ends, chosen = key[order], now[order], doc[order], ends[order], chosen[order]
+                new = np.concatenate([[True], (key[1:] != key[:-1]) | (now[1:] != now[:-1])])[: len(key)]
+                other = new | np.concatenate([[True], doc[1:] != doc[:-1]])[: len(key)]
+                at, held = np.flatnonzero(new), np.flatnonzero(other)
+                where = np.concatenate([np.searchsorted(held, at), [len(held)]])
+                n = np.diff(np.append(held, len(key))).astype(np.int32)
+                last = (np.add.reduceat(ends, held) if len(held) else ends).astype(np.uint8)
+                of_target = (np.add.reduceat(target[a:b][doc].astype(np.int64), at) if len(at) else ends).astype(np.int32)
+                kind = np.uint16 if b - a <= 1 << 16 else np.uint32
+                keys, words, docs, doc = key[at], now[at], np.diff(where).astype(np.int32), doc[held].astype(kind)
+                cuts = np.searchsorted(chosen[at], np.arange(buckets + 1))
+                rows: dict[str, list] = {x.name: [] for x in schema}
+                for bucket in np.flatnonzero(np.diff(cuts)):
+                    x, y = slice(cuts[bucket], cuts[bucket + 1]), slice(where[cuts[bucket]], where[cuts[bucket + 1]])
+                    for name, value in (("keys", keys[x]), ("words", words[x]), ("target", of_target[x]), ("docs", docs[x]), ("doc", doc[y]), ("n", n[y]), ("last", last[y])):
+                        rows[name].append(value.tobytes())
+                    rows["bucket"].append(int(bucket))
+                    rows["ids"].append(None)
+                    rows["tokens"].append(None)
+                for name in ("keys", "words", "target", "docs", "doc", "n", "last"):
+                    rows[name].append(None)
+                rows["bucket"].append(piece % buckets)
+                rows["ids"].append(batch.column(0).slice(a, b - a).to_pylist())
+                rows["tokens"].append(size.tolist())
+                rows["piece"] = [piece] * len(rows["bucket"])
+                yield pa.RecordBatch.from_pydict(rows, schema=schema)
+
+    return marked.select("doc_id", "text", "target").mapInArrow(ask, _ASKED)
+
+
+def score(marked: DataFrame, known: np.ndarray | None) -> DataFrame:
+    """(doc_id, n_tokens, loss_target, loss_background, score) of written (doc_id, text, target) rows."""
+    shared_of = marked.sparkSession.sparkContext.broadcast
+    totals = written(word_totals(marked, known), "totals")
+    start = int(START)
+    starts = totals.where(F.col("word") == start).agg(F.sum("target"), F.sum("background")).first()
+    own = totals.where(F.col("word") != start)
+    size = own.agg(F.sum("target"), F.sum("background"), F.count("*")).first()
+    distinct = size[2] if known is None else len(known)
+    buckets = max(1, ceil((size[1] or 0) / BUCKET))
+    many = own.where(F.col("background") > BUCKET // 16).toArrow() if buckets > 1 else own.limit(0).toArrow()
+    many = [many[x].to_numpy().astype(kind) for x, kind in (("word", np.uint64), ("target", np.int64), ("background", np.int64))]
+    by_word = np.argsort(many[0])
+    frequent = shared_of([x[by_word] for x in many])
+    alone = [WEIGHT / ((n or 0) + distinct + 1) for n in size[:2]]
+    first_loss = [log((n or 0) + WEIGHT) for n in starts]
+
+    def weigh(pdf):
+        import pandas as pd
+
+        out: dict[str, list] = {x: [] for x in ("piece", "bucket", "doc", "target", "background", "ids", "tokens")}
+        sent = pdf[pdf["keys"].notna()]
+        parts = [[np.frombuffer(x, kind) for x in sent[name]] for name, kind in (("keys", np.uint64), ("words", np.uint64), ("target", np.int32), ("docs", np.int32), ("n", np.int32), ("last", np.uint8))]
+        if len(sent):
+            keys, words, of_target, docs, n, _ = (np.concatenate(x) for x in parts)
+            every = np.add.reduceat(n.astype(np.int64), np.cumsum(docs) - docs)
+            del n, docs
+            _, pair = np.unique(keys, return_inverse=True)
+            del keys
+            word, code = np.unique(words, return_inverse=True)
+            del words
+            hot, *counts = frequent.value
+            at = np.minimum(np.searchsorted(hot, word), max(len(hot) - 1, 0))
+            is_hot = hot[at] == word if len(hot) else np.zeros(len(word), bool)
+            pair_loss, word_loss = [], []
+            for i, got in enumerate((of_target, every)):
+                ones = np.bincount(code, got, len(word))
+                if is_hot.any():
+                    ones[is_hot] = counts[i][at[is_hot]]
+                pairs = np.bincount(pair, got)[pair]
+                pair_loss.append(-np.log(pairs + alone[i] * (ones + 1)[code]))
+                word_loss.append(np.log(ones + WEIGHT)[code])
+            upto = 0
+            for piece, bucket, held, docs, n, last in zip(sent["piece"], sent["bucket"], sent["doc"], parts[3], parts[4], parts[5], strict=True):
+                doc = np.frombuffer(held, np.uint16 if len(held) == 2 * len(n) else np.uint32)
+                x = slice(upto, upto + len(docs))
+                upto += len(docs)
+                touched, of = np.unique(doc, return_inverse=True)
+                # a token's own count is the divisor of the bigram after it, which the last one has not
+                sums = [np.bincount(of, n * np.repeat(p[x], docs) + (n - last.astype(np.int32)) * np.repeat(w[x], docs)) for p, w in zip(pair_loss, word_loss, strict=True)]
+                for name, value in (("piece", piece), ("bucket", bucket), ("doc", touched.astype(np.int32).tobytes()), ("target", sums[0].tobytes()), ("background", sums[1].tobytes()), ("ids", None), ("tokens", None)):
+                    out[name].append(value)
+        for _, r in pdf[pdf["keys"].isna()].iterrows():
+            for name, value in (("piece", r["piece"]), ("bucket", -1), ("doc", None), ("target", None), ("background", None), ("ids", r["ids"]), ("tokens", r["tokens"])):
+                out[name].append(value)
+        return pd.DataFrame(out)
+
+    def gather(table: pa.Table) -> pa.Table:
+        table = table.sort_by("bucket")  # sums in one order
+        record = table.slice(0, 1)
+        ids, n = (record[x].combine_chunks().flatten() for x in ("ids", "tokens"))
+        n = n.to_numpy()
+        sums = np.zeros((2, len(n)))
+        for doc, *found in zip(*(table[x].to_pylist()[1:] for x in ("doc", "target", "background")), strict=True):
+            for i, x in enumerate(found):
+                sums[i, np.frombuffer(doc, np.int32)] += np.frombuffer(x)
+        target, background = ((x + f) / np.maximum(n, 1) for x, f in zip(sums, first_loss, strict=True))
+        none = n == 0
+        return pa.table([ids, pa.array(n, pa.int64()), *(pa.array(x, pa.float64(), mask=none) for x in (target, background, target - background))], names=["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
+
+    sums = bigrams(marked, known, frequent.value[0], buckets).groupBy("bucket").applyInPandas(weigh, "piece bigint, bucket bigint, doc binary, target binary, background binary, ids array<bigint>, tokens array<bigint>")
+    return sums.groupBy("piece").applyInArrow(gather, "doc_id bigint, n_tokens bigint, loss_target double, loss_background double, score double")
+
+
+def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int | None = None) -> DataFrame:
+    """Scores of all documents; targets has the doc_id of each document that the target model learns from.
+
+    words: the vocabulary is at most so many of the most frequent words; None takes all.
+    """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    vocabulary = frequent_words(rows.select("text"), words)
+    known = None
+    if words is not None:
+        held = pa.array(frequent_words(rows.select("text"), words), pa.string())
+        known = np.array([hash_words(split_words(held.slice(i, 1), ALNUM))[0] for i in range(len(held))], np.uint64)
     chosen = targets.select(F.col(doc_id).cast("bigint").alias("doc_id")).distinct().withColumn("target", F.lit(True))
     # One plan at every size: the number of targets has no bound, so their ids are never broadcast.
     marked = rows.join(chosen.hint("merge"), "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
-    return score(rows, count(marked, vocabulary))
+    return score(written(marked, "marked"), known)

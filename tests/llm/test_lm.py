@@ -77,3 +77,30 @@ def test_frequent_words_are_bounded(spark):
         found = lm.frequent_words(df, most)
         assert len(found) <= most and found == sorted(found)
     assert len(lm.frequent_words(df, 100)) == 32
+
+
+def test_every_word_and_bigram_has_its_own_count(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BUCKET", 20000)
+    monkeypatch.setattr(lm, "PIECE", 1 << 14)
+    rng = np.random.default_rng(3)
+    seqs = [[f"v{x}" for x in np.where(rng.random(400) < 0.2, 0, rng.integers(0, 40000, 400))] for _ in range(1000)]
+    seqs += [["a", "b"], ["a", "b"], ["b"], []]
+    good = set(range(0, 1000, 7)) | {1000}
+    n = [[Counter(), Counter()] for _ in range(2)]
+    for i, s in enumerate(seqs):
+        for m in (0, 1) if i in good else (1,):
+            n[m][0].update(s)
+            n[m][0].update([""] if s else [])
+            n[m][1].update(zip(["", *s], s, strict=False))
+    assert len(n[1][1]) > 1 << 18 and len(n[1][0]) > 1 << 15  # more than a table of 2^18 counters and 2^15 words
+    df = spark.createDataFrame([(i, " ".join(s)) for i, s in enumerate(seqs)], "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: r for r in lm.cross_entropy_difference(df, spark.createDataFrame([(i,) for i in good], "doc_id bigint")).collect()}
+    assert len(got) == len(seqs) and got[1003].n_tokens == 0 and got[1003].score is None
+    distinct = len(n[1][0]) - 1
+    for i, s in enumerate(seqs[:-1]):
+        want = []
+        for ones, pairs in n:
+            total = sum(ones.values()) - ones[""]
+            want.append(-sum(log((pairs[a, b] + lm.WEIGHT * (ones[b] + 1) / (total + distinct + 1)) / (ones[a] + lm.WEIGHT)) for a, b in zip(["", *s], s, strict=False)) / len(s))
+        assert got[i].n_tokens == len(s)
+        assert (got[i].loss_target, got[i].loss_background) == pytest.approx(tuple(want))
