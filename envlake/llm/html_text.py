@@ -10,7 +10,10 @@ taken whole.
 
 Parts that are no text of an article whatever their density (scripts, forms,
 menus, and what a class, id or role calls an advert, notice, comment and so on)
-are cut first, unless they hold half of the page's text or its first heading.
+are cut first, whatever their length. A part that is named for the page's layout
+(a "sidebar-page") is kept if it wraps the page's first h1, its article or main,
+or if nothing would be left without it; comments, adverts, notices and forms are
+not, but where they wrap main.
 
 Defined results: a null or empty page, or one without text, gives "". Broken
 markup is read as browsers do in the cases that matter here: paragraphs and list
@@ -51,6 +54,14 @@ CUT_ROLES = frozenset("navigation banner contentinfo complementary search alert
 CUT_WORDS = frozenset(
     "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar comment comments commentlist discussion disqus replies cookie cookies consent gdpr notice notices alert warning popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended widget toolbar pagination pager skip".split()
 )
+#: Those of them that no heading or article inside brings back, and those that are like a header.
+NEVER_TAGS = frozenset("head nav footer aside form button select fieldset".split())
+NEVER_ROLES = frozenset("search alert alertdialog dialog form status".split())
+NEVER_WORDS = frozenset(
+    "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion comment comments commentlist discussion disqus replies cookie cookies consent gdpr notice notices alert warning newsletter subscribe subscription signup login".split()
+)
+HEADER_WORDS = frozenset("banner breadcrumb breadcrumbs header masthead topbar menu nav navbar navigation toolbar".split())
+LAYOUT, HEADER, NEVER = 1, 2, 3
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _HINT = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -60,7 +71,7 @@ _WORD = re.compile(r"[a-z]+")
 class Node:
     __slots__ = ("tag", "parent", "parts", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "heading")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool):
+    def __init__(self, tag: str, parent: Node | None, cut: int):
         self.tag, self.parent, self.cut = tag, parent, cut
         self.parts: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -68,25 +79,29 @@ class Node:
         self.heading = tag == "h1"
 
 
-def _cut(tag: str, attributes: str) -> bool:
-    if tag in CUT_TAGS:
-        return True
+def _cut(tag: str, attributes: str) -> int:
+    """0: no cut part; LAYOUT, HEADER or NEVER: one that may be kept for what it wraps, or not."""
+    if tag in NEVER_TAGS:
+        return NEVER
+    found = HEADER if tag == "header" else LAYOUT if tag in CUT_TAGS else 0
     for m in _HINT.finditer(attributes) if attributes else ():
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            found = max(found, LAYOUT)
         if name == "role" and value in CUT_ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and not CUT_WORDS.isdisjoint(_WORD.findall(value)):
-            return True
+            found = max(found, NEVER if value in NEVER_ROLES else HEADER)
+        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
+            words = CUT_WORDS.intersection(_WORD.findall(value))
+            if words:
+                found = max(found, NEVER if words & NEVER_WORDS else HEADER if words & HEADER_WORDS else LAYOUT)
         if name in ("class", "id") and tag == "article" and not frozenset(["comment", "comments", "ad", "advert", "promo", "sponsored", "related"]).isdisjoint(_WORD.findall(value)):
-            return True
-    return tag == "header"
+            return NEVER
+    return found
 
 
 def tree(page: str) -> Node:
     """The page's elements, with raw text and whatever is no text left out."""
-    root = now = Node("html", None, False)
+    root = now = Node("html", None, 0)
     at, last = 0, page.rfind(">") + 1  # no tag ends after it
     while True:
         m = _TAG.search(page, at, last)
@@ -137,7 +152,7 @@ def tree(page: str) -> Node:
                 now = root
             continue
         if tag == "br" or tag == "hr":
-            now.parts.append(" ") if tag == "br" else now.parts.append(Node("hr", now, False))
+            now.parts.append(" ") if tag == "br" else now.parts.append(Node("hr", now, 0))
             continue
         if tag in VOID:
             continue
@@ -182,13 +197,52 @@ def _densities(order: list[Node]) -> None:
         node.total = sum(x.density for x in node.parts if x.__class__ is Node)
 
 
+def _keep_wrappers(root: Node, order: list[Node]) -> None:
+    """Takes the cut from parts that wrap the page's article."""
+    above = {id(root): 0}  # the gravest cut among a node and those around it
+    for node in order:
+        if node is not root:
+            above[id(node)] = max(above[id(node.parent)], node.cut)
+    if not any(node.cut and node.chars for node in order):
+        return
+    marks = [n for n in _in_page_order(root) if n.tag in ("h1", "article", "main")]
+    bare = {n.tag for n in marks if not above[id(n)]}
+    kept: set[int] = set()
+
+    def keep(node: Node, most: int, more: int = 0) -> None:
+        while node.parent is not None:
+            node = node.parent
+            if 0 < node.cut <= most and node.tag not in NEVER_TAGS and node.chars >= more:
+                kept.add(id(node))
+
+    for tag in ("main", "article", "h1"):
+        own = [n for n in marks if n.tag == tag and (tag == "main" or above[id(n)] < NEVER)]
+        if own and bare.isdisjoint(("main", "article") if tag != "h1" else ("main", "article", "h1")):
+            # beside a heading, an article inside a cut part may be a teaser: the part has to outweigh the rest
+            keep(own[0], {"main": NEVER, "article": HEADER, "h1": LAYOUT}[tag], root.chars // 2 + 1 if tag == "article" and "h1" in bare else 0)
+            break
+    for node in order:
+        if id(node) in kept or node.cut == HEADER and node.heading and any(_inside(node, x) for x in ("article", "main")):
+            node.cut = 0
+    left = root.chars - sum(n.chars for n in order if n.cut and not _inside_cut(n))
+    if left <= 0:
+        for node in order:
+            if node.cut < NEVER:
+                node.cut = 0
+
+
+def _inside_cut(node: Node) -> bool:
+    while node.parent is not None:
+        node = node.parent
+        if node.cut:
+            return True
+    return False
+
+
 def main_nodes(root: Node) -> list[Node]:
     """The nodes whose text is the article's, in page order."""
     order = _measure(root)
-    whole = root.chars
-    for node in order:
-        if node.cut and (2 * node.chars > whole or node.heading and node.tag == "header" and any(_inside(node, x) for x in ("article", "main"))) and node.tag not in ("head", "form", "nav", "footer", "aside"):
-            node.cut = False
+    _keep_wrappers(root, order)
     for node in order:
         if not node.cut:
             node.parts = [x for x in node.parts if x.__class__ is not Node or not x.cut]

@@ -44,3 +44,28 @@ def test_columns_and_driver_rows(spark, data):
     odd = spark.createDataFrame([(1, None, "u"), (2, "", "u"), (3, "<p>😀", "u")], "page_id bigint, html string, text string")
     assert [(r.text, r.n_chars) for r in extract(odd).orderBy("page_id").collect()] == [("", 0), ("", 0), ("😀", 1)]
     assert extract(odd.limit(0)).count() == 0
+
+
+LONG = "".join(f"<p>Reader {i}: I liked this very much and have a lot of words to say about it, more than the article has.</p>" for i in range(30))
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<article>{}<section id=comments>" + LONG + "</section></article>",
+        "<div class=content>{}</div><div class=comments>" + LONG + "</div>",
+        "<div class=content>{}</div><section id=comments><h1>Comments</h1><article>" + LONG + "</article></section>",
+        "<div class=content>{}</div><div class=sidebar>" + LONG + "</div>",
+        "<div class='cookie-notice'>" + LONG + "</div><article>{}</article>",
+        "<div class='page sidebar-right'><article>{}</article><div class=comments>" + LONG + "</div></div>",
+        "<div class='page sidebar-right'>{}<div class=comments>" + LONG + "</div></div>",
+        "<div class='comments-open'><main>{}</main></div>",
+    ],
+)
+def test_parts_are_cut_for_what_they_are_not_for_their_length(around):
+    assert main_text(f"<html><body>{around.format(BODY)}</body></html>") == TEXT
+
+
+def test_a_page_inside_one_layout_part_is_not_lost():
+    assert main_text("<div class=sidebar-page><p>First words of it.</p><p>More words.</p></div>") == "First words of it.\nMore words."
+    assert main_text("<div class=comments><p>First words of it.</p></div>") == ""
