@@ -18,7 +18,9 @@ words, a few for each bucket, are broadcast.
 
 Defined results: a text without words has 0 tokens and null losses and score;
 repeated rows count and are scored each; without any target text the target model
-is its smoothing alone; unlabelled documents are not targets.
+is its smoothing alone; unlabelled documents are not targets; a null id is no
+target's; other columns, whatever their names, play no part. A very long text is a
+piece of its own, and a task holds about 60 bytes for each of its words.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ WEIGHT, BUCKET, PIECE = 50.0, 1 << 22, 4 << 20
 #: The hashes that stand for a word outside a limited vocabulary and for the start of a text.
 OTHER, START = np.uint64(0), np.uint64(1)
 
-_ASKED = "piece bigint, bucket bigint, keys binary, words binary, target binary, docs binary, doc binary, n binary, last binary, ids array<bigint>, tokens array<bigint>"
+_ASKED = "piece bigint, bucket bigint, keys binary, words binary, docs binary, doc binary, n binary, last binary, ids array<bigint>, tokens array<bigint>"
 
 
 def tokens(texts: pa.Array, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,37 +62,59 @@ def counter(before: np.ndarray, now: np.ndarray) -> np.ndarray:
     return mix(before.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + now.astype(np.uint64))
 
 
-def word_totals(marked: DataFrame, known: np.ndarray | None) -> DataFrame:
-    """(word, target, background): the counts of each token, and of starts, in target texts and in all."""
+def word_totals(texts: DataFrame, known: np.ndarray | None) -> DataFrame:
+    """(word, n): the counts of each token, and of starts, in the texts."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            target = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for a, b in pieces(batch.column(0), PIECE):
                 _, now, first = tokens(batch.column(0).slice(a, b - a), known)
-                n = np.diff(first)
-                word, code = np.unique(now, return_inverse=True)
-                t = np.bincount(code[np.repeat(target[a:b], n)], minlength=len(word))
-                every = np.bincount(code, minlength=len(word))
-                word, t, every = np.append(word, START), np.append(t, (n[target[a:b]] > 0).sum()), np.append(every, (n > 0).sum())
-                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (word, t, every)], names=["word", "target", "background"])
+                word, n = np.unique(now, return_counts=True)
+                word, n = np.append(word, START), np.append(n, (np.diff(first) > 0).sum())
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (word, n)], names=["word", "n"])
 
-    found = marked.select("text", "target").mapInArrow(add, "word bigint, target bigint, background bigint")
-    return found.groupBy("word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    return texts.select("text").mapInArrow(add, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def bigrams(marked: DataFrame, known: np.ndarray | None, frequent: np.ndarray, buckets: int) -> DataFrame:
+def _bucket(key: np.ndarray, now: np.ndarray, frequent: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bigram goes: by its second word, or by itself if that word is frequent."""
+    return (np.where(np.isin(now, frequent), key, mix(now)) % np.uint64(buckets)).astype(np.int64)
+
+
+def target_bigrams(targets: DataFrame, known: np.ndarray | None, frequent: np.ndarray, buckets: int) -> DataFrame:
+    """For some target texts and each bucket a row with their bigrams that go there: keys, words, and n, their counts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in pieces(batch.column(0), PIECE):
+                before, now, _ = tokens(batch.column(0).slice(a, b - a), known)
+                key, at, n = np.unique(counter(before, now), return_index=True, return_counts=True)
+                now = now[at]
+                chosen = _bucket(key, now, frequent, buckets)
+                order = np.argsort(chosen, kind="stable")
+                key, now, n = key[order], now[order], n[order].astype(np.int32)
+                cuts = np.searchsorted(chosen[order], np.arange(buckets + 1))
+                held = np.flatnonzero(np.diff(cuts))
+                spans = [slice(cuts[i], cuts[i + 1]) for i in held]
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), *(pa.array([x[s].tobytes() for s in spans], pa.binary()) for x in (key, now, n))], names=["bucket", "keys", "words", "n"])
+
+    found = targets.select("text").mapInArrow(count, "bucket bigint, keys binary, words binary, n binary")
+    none = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    return found.select(none("piece", "bigint"), "bucket", "keys", "words", none("docs", "binary"), none("doc", "binary"), "n", none("last", "binary"), none("ids", "array<bigint>"), none("tokens", "array<bigint>"))
+
+
+def bigrams(rows: DataFrame, known: np.ndarray | None, frequent: np.ndarray, buckets: int) -> DataFrame:
     """For each piece of texts a row with its documents, and one for each bucket with the bigrams that go there.
 
-    keys, words and target: each bigram, its second word, its count in target texts. docs: how many documents of the
-    piece hold it; for each of these doc, n and last: which, how often, and whether it ends the document.
+    keys and words: each bigram and its second word. docs: how many documents of the piece hold it; for each of
+    these doc, n and last: which, how often, and whether it ends the document.
     """
-    schema = pa.schema([("piece", pa.int64()), ("bucket", pa.int64()), *((x, pa.binary()) for x in ("keys", "words", "target", "docs", "doc", "n", "last")), ("ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
+    blobs = ("keys", "words", "docs", "doc", "n", "last")
+    schema = pa.schema([("piece", pa.int64()), ("bucket", pa.int64()), *((x, pa.binary()) for x in blobs), ("ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = TaskContext.get().partitionId() << 32
         for batch in batches:
-            target = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             for a, b in pieces(batch.column(1), PIECE):
                 piece += 1
                 before, now, first = tokens(batch.column(1).slice(a, b - a), known)
@@ -99,7 +123,7 @@ def bigrams(marked: DataFrame, known: np.ndarray | None, frequent: np.ndarray, b
                 key = counter(before, now)
                 ends = np.zeros(len(now), np.int64)
                 ends[first[1:][size > 0] - 1] = 1
-                chosen = (np.where(np.isin(now, frequent), key, mix(now)) % np.uint64(buckets)).astype(np.int64)
+                chosen = _bucket(key, now, frequent, buckets)
                 # occurrences in order of bucket, word, bigram and document
                 order = np.lexsort((key, now, chosen))  # stable: documents stay in order
                 key, now, doc, ends, chosen = key[order], now[order], doc[order], ends[order], chosen[order]
@@ -109,19 +133,18 @@ def bigrams(marked: DataFrame, known: np.ndarray | None, frequent: np.ndarray, b
                 where = np.concatenate([np.searchsorted(held, at), [len(held)]])
                 n = np.diff(np.append(held, len(key))).astype(np.int32)
                 last = (np.add.reduceat(ends, held) if len(held) else ends).astype(np.uint8)
-                of_target = (np.add.reduceat(target[a:b][doc].astype(np.int64), at) if len(at) else ends).astype(np.int32)
                 kind = np.uint16 if b - a <= 1 << 16 else np.uint32
                 keys, words, docs, doc = key[at], now[at], np.diff(where).astype(np.int32), doc[held].astype(kind)
                 cuts = np.searchsorted(chosen[at], np.arange(buckets + 1))
                 rows: dict[str, list] = {x.name: [] for x in schema}
                 for bucket in np.flatnonzero(np.diff(cuts)):
                     x, y = slice(cuts[bucket], cuts[bucket + 1]), slice(where[cuts[bucket]], where[cuts[bucket + 1]])
-                    for name, value in (("keys", keys[x]), ("words", words[x]), ("target", of_target[x]), ("docs", docs[x]), ("doc", doc[y]), ("n", n[y]), ("last", last[y])):
+                    for name, value in zip(blobs, (keys[x], words[x], docs[x], doc[y], n[y], last[y]), strict=True):
                         rows[name].append(value.tobytes())
                     rows["bucket"].append(int(bucket))
                     rows["ids"].append(None)
                     rows["tokens"].append(None)
-                for name in ("keys", "words", "target", "docs", "doc", "n", "last"):
+                for name in blobs:
                     rows[name].append(None)
                 rows["bucket"].append(piece % buckets)
                 rows["ids"].append(batch.column(0).slice(a, b - a).to_pylist())
@@ -129,13 +152,15 @@ def bigrams(marked: DataFrame, known: np.ndarray | None, frequent: np.ndarray, b
                 rows["piece"] = [piece] * len(rows["bucket"])
                 yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
-    return marked.select("doc_id", "text", "target").mapInArrow(ask, _ASKED)
+    return rows.select("doc_id", "text").mapInArrow(ask, _ASKED)
 
 
-def score(marked: DataFrame, known: np.ndarray | None) -> DataFrame:
-    """(doc_id, n_tokens, loss_target, loss_background, score) of written (doc_id, text, target) rows."""
-    shared_of = marked.sparkSession.sparkContext.broadcast
-    totals = written(word_totals(marked, known), "totals")
+def score(rows: DataFrame, targets: DataFrame, known: np.ndarray | None) -> DataFrame:
+    """(doc_id, n_tokens, loss_target, loss_background, score) of (doc_id, text) rows; targets: (text), those that the target model learns from."""
+    shared_of = rows.sparkSession.sparkContext.broadcast
+    own, every = word_totals(targets, known), word_totals(rows, known)
+    totals = own.withColumnRenamed("n", "target").join(every.withColumnRenamed("n", "background"), "word", "full").na.fill(0, ["target", "background"])
+    totals = written(totals, "totals")
     start = int(START)
     starts = totals.where(F.col("word") == start).agg(F.sum("target"), F.sum("background")).first()
     own = totals.where(F.col("word") != start)
@@ -153,29 +178,33 @@ def score(marked: DataFrame, known: np.ndarray | None) -> DataFrame:
         import pandas as pd
 
         out: dict[str, list] = {x: [] for x in ("piece", "bucket", "doc", "target", "background", "ids", "tokens")}
-        sent = pdf[pdf["keys"].notna()]
-        parts = [[np.frombuffer(x, kind) for x in sent[name]] for name, kind in (("keys", np.uint64), ("words", np.uint64), ("target", np.int32), ("docs", np.int32), ("n", np.int32), ("last", np.uint8))]
+        sent = pdf[pdf["docs"].notna()]
+        learnt = pdf[pdf["keys"].notna() & pdf["docs"].isna()]
+        parts = [[np.frombuffer(x, kind) for x in sent[name]] for name, kind in (("keys", np.uint64), ("words", np.uint64), ("docs", np.int32), ("n", np.int32), ("last", np.uint8))]
         if len(sent):
-            keys, words, of_target, docs, n, _ = (np.concatenate(x) for x in parts)
+            keys, words, docs, n, _ = (np.concatenate(x) for x in parts)
             every = np.add.reduceat(n.astype(np.int64), np.cumsum(docs) - docs)
             del n, docs
-            _, pair = np.unique(keys, return_inverse=True)
-            del keys
+            keys, pair = np.unique(keys, return_inverse=True)
             word, code = np.unique(words, return_inverse=True)
             del words
+            # target texts are among all texts, so their bigrams and words are among these
+            got = [np.concatenate([np.frombuffer(x, kind) for x in learnt[name]]) if len(learnt) else np.zeros(0, kind) for name, kind in (("keys", np.uint64), ("words", np.uint64), ("n", np.int32))]
+            pairs = [np.bincount(np.searchsorted(keys, got[0]), got[2], len(keys)), np.bincount(pair, every, len(keys))]
+            singles = [np.bincount(np.searchsorted(word, got[1]), got[2], len(word)), np.bincount(code, every, len(word))]
+            del keys, got
             hot, *counts = frequent.value
             at = np.minimum(np.searchsorted(hot, word), max(len(hot) - 1, 0))
             is_hot = hot[at] == word if len(hot) else np.zeros(len(word), bool)
             pair_loss, word_loss = [], []
-            for i, got in enumerate((of_target, every)):
-                ones = np.bincount(code, got, len(word))
+            for i in range(2):
+                ones = singles[i]
                 if is_hot.any():
                     ones[is_hot] = counts[i][at[is_hot]]
-                pairs = np.bincount(pair, got)[pair]
-                pair_loss.append(-np.log(pairs + alone[i] * (ones + 1)[code]))
+                pair_loss.append(-np.log(pairs[i][pair] + alone[i] * (ones + 1)[code]))
                 word_loss.append(np.log(ones + WEIGHT)[code])
             upto = 0
-            for piece, bucket, held, docs, n, last in zip(sent["piece"], sent["bucket"], sent["doc"], parts[3], parts[4], parts[5], strict=True):
+            for piece, bucket, held, docs, n, last in zip(sent["piece"], sent["bucket"], sent["doc"], *parts[2:], strict=True):
                 doc = np.frombuffer(held, np.uint16 if len(held) == 2 * len(n) else np.uint32)
                 x = slice(upto, upto + len(docs))
                 upto += len(docs)
@@ -202,7 +231,8 @@ def score(marked: DataFrame, known: np.ndarray | None) -> DataFrame:
         none = n == 0
         return pa.table([ids, pa.array(n, pa.int64()), *(pa.array(x, pa.float64(), mask=none) for x in (target, background, target - background))], names=["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
 
-    sums = bigrams(marked, known, frequent.value[0], buckets).groupBy("bucket").applyInPandas(weigh, "piece bigint, bucket bigint, doc binary, target binary, background binary, ids array<bigint>, tokens array<bigint>")
+    sent = bigrams(rows, known, frequent.value[0], buckets).unionByName(target_bigrams(targets, known, frequent.value[0], buckets))
+    sums = sent.groupBy("bucket").applyInPandas(weigh, "piece bigint, bucket bigint, doc binary, target binary, background binary, ids array<bigint>, tokens array<bigint>")
     return sums.groupBy("piece").applyInArrow(gather, "doc_id bigint, n_tokens bigint, loss_target double, loss_background double, score double")
 
 
@@ -210,6 +240,8 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str =
     """Scores of all documents; targets has the doc_id of each document that the target model learns from.
 
     words: the vocabulary is at most so many of the most frequent words; None takes all.
+    docs is read several times, so it should be a table (files, or a written one), whose
+    parts hold the same rows each time.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
@@ -217,7 +249,6 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str =
     if words is not None:
         held = pa.array(frequent_words(rows.select("text"), words), pa.string())
         known = np.array([hash_words(split_words(held.slice(i, 1), ALNUM))[0] for i in range(len(held))], np.uint64)
-    chosen = targets.select(F.col(doc_id).cast("bigint").alias("doc_id")).distinct().withColumn("target", F.lit(True))
-    # One plan at every size: the number of targets has no bound, so their ids are never broadcast.
-    marked = rows.join(chosen.hint("merge"), "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
-    return score(written(marked, "marked"), known)
+    chosen = targets.select(F.col(doc_id).cast("bigint").alias("doc_id")).distinct()
+    # only the target texts are looked up; Spark sends the ids to the texts if their size allows it, else both are shuffled
+    return score(rows, rows.join(chosen, "doc_id", "left_semi").select("text"), known)

@@ -62,7 +62,8 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = _read(spark, sf_dir, "labels").where("quality = 1 and toxic = 0")
-    return op8.cross_entropy_difference(_read(spark, sf_dir, "documents"), good)
+    found = op8.cross_entropy_difference(_read(spark, sf_dir, "documents"), good)
+    return found.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("loss_target", "loss_background", "score")])
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

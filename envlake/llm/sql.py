@@ -44,6 +44,21 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
 
+OP8 = f"""
+WITH good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND toxic = 0),
+doc AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, doc_id IN (SELECT doc_id FROM good WHERE doc_id IS NOT NULL) AS own, regexp_extract_all({_AZ}, '{ALNUM_WORD}') AS w FROM documents),
+pair AS MATERIALIZED (SELECT rid, own, z[1] AS a, z[2] AS b FROM (SELECT rid, own, unnest(list_zip(list_concat([''], w[1:len(w) - 1]), w)) AS z FROM doc WHERE len(w) > 0)),
+two AS (SELECT a, b, count(*) AS n, count(*) FILTER (own) AS m FROM pair GROUP BY a, b),
+one AS MATERIALIZED (SELECT b AS w, count(*) AS n, count(*) FILTER (own) AS m FROM pair GROUP BY b
+    UNION ALL SELECT '', count(*), count(*) FILTER (own) FROM doc WHERE len(w) > 0),
+size AS (SELECT sum(n) AS n, sum(m) AS m, count(*) AS words FROM one WHERE w <> ''),
+loss AS (SELECT rid, avg(-ln((two.m + 50.0::DOUBLE * (y.m + 1) / (size.m + words + 1)) / (x.m + 50.0::DOUBLE))) AS t,
+        avg(-ln((two.n + 50.0::DOUBLE * (y.n + 1) / (size.n + words + 1)) / (x.n + 50.0::DOUBLE))) AS b
+        FROM pair JOIN two USING (a, b) JOIN one x ON x.w = a JOIN one y ON y.w = b, size GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, round(t, 6) AS loss_target, round(b, 6) AS loss_background, round(t - b, 6) AS score
+FROM doc LEFT JOIN loss USING (rid)
+"""
+
 OP9 = f"""
 WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_AZ}, '{ALNUM_WORD}') AS w FROM benchmark),
 win AS (SELECT DISTINCT item, list_slice(w, i, least(i + 9, len(w))) AS g
@@ -75,4 +90,4 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM d
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2, "op4_mix_sources": OP4, "op7_exact_top_k": OP7, "op9_benchmark_decontamination": OP9, "op10_ngram_jaccard_join": OP10}
+    return {"op2_chat_formatting": OP2, "op4_mix_sources": OP4, "op7_exact_top_k": OP7, "op8_lm_scoring": OP8, "op9_benchmark_decontamination": OP9, "op10_ngram_jaccard_join": OP10}

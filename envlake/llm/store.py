@@ -2,7 +2,8 @@
 
 A written table cuts lineage: a lost executor costs the tasks that read it, not
 the stages that made it. The folder is spark.checkpoint.dir; only where a
-session has none (tests on one machine) is a temporary one set.
+session on one machine (tests) has none is a temporary one set. On a cluster a
+missing folder is an error: a machine's own folder is not the other machines'.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ def shared_folder(spark: SparkSession) -> str:
     if app not in _folders:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
             root = "file://" + tempfile.mkdtemp(prefix="envlake-")
             spark.conf.set("spark.checkpoint.dir", root)
         _folders[app] = f"{root.rstrip('/')}/tables-{uuid.uuid4().hex}"

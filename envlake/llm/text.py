@@ -78,6 +78,8 @@ def split_words(texts: pa.Array, kind: np.ndarray = ALNUM) -> Words:
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd: it has an inverse modulo 2**64
 _POWERS = np.ones(1, np.uint64)
+#: Bytes of a word that is hashed column by column, at most; bytes of longer words that are hashed together.
+SHORT_WORD, STRETCH = 24, 1 << 17
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -104,25 +106,43 @@ def hash_words(words: Words) -> np.ndarray:
     starts, ends = words.offsets[:-1].astype(np.int64), words.offsets[1:].astype(np.int64)
     if not len(starts):
         return np.zeros(0, np.uint64)
-    out, longest = np.zeros(len(starts), np.uint64), int((ends - starts).max())
-    if longest <= 24:  # column by column: the sum over i of spread(byte i) * base**i
-        length = ends - starts
+    # the sum over i of spread(byte i) * base**i: column by column where words are short
+    out, length = np.zeros(len(starts), np.uint64), ends - starts
+    order = np.argsort(-length, kind="stable")
+    long = int(np.searchsorted(-length[order], -SHORT_WORD, side="left"))
+    if long:
+        out[order[:long]] = _long_sums(words.data, starts[order[:long]], length[order[:long]])
+    order = order[long:]
+    by_length, total = starts[order], np.zeros(len(order), np.uint64)
+    if len(order):
+        longest = int(length[order[0]])
         powers = _powers(longest)
-        order = np.argsort(-length, kind="stable")
-        by_length = starts[order]
         counts = np.searchsorted(-length[order], -np.arange(longest), side="left")
-        total = np.zeros(len(starts), np.uint64)
         for i in range(longest):
             n = counts[i]
             total[:n] += _SPREAD[words.data[by_length[:n] + i]] * powers[i]
         out[order] = total
-    else:  # running sums over all bytes, carried back to each word's start
-        within = np.arange(len(words.data), dtype=np.int64) - np.repeat(starts, ends - starts)
-        terms = _SPREAD[words.data] * _powers(longest)[within]
-        out = np.add.reduceat(terms, starts)
     return mix(out ^ (ends - starts).astype(np.uint64))
 
 
+def _long_sums(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The same sums of words of any length, some bytes at a time."""
+    out, base = np.zeros(len(starts), np.uint64), int(_BASE)
+    group = np.cumsum(lengths) // STRETCH
+    for g in np.unique(group):
+        own = np.flatnonzero(group == g)
+        if lengths[own].max() <= STRETCH:
+            n = lengths[own]
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            out[own] = np.add.reduceat(_SPREAD[data[np.repeat(starts[own], n) + within]] * _powers(int(n.max()))[within], np.cumsum(n) - n)
+            continue
+        for i in own:
+            for at in range(0, int(lengths[i]), STRETCH):
+                part = data[starts[i] + at : starts[i] + min(at + STRETCH, int(lengths[i]))]
+                out[i] = (int(out[i]) + int((_SPREAD[part] * _powers(len(part))).sum()) * pow(base, at, 2**64)) % 2**64
+    return out
+
+
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of k consecutive words."""
     n = len(hashes) - k + 1

@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import small_batches, written
+from .store import small_batches
 from .text import ALNUM, pieces, split_words
 
 
@@ -28,16 +28,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def frequent_words(texts: DataFrame, most: int, where: str = "true") -> list[str]:
-    """The frequent words, in order: those in the topmost classes of counts that together have at most so many words.
+    """The most frequent words, at most so many and in order of the alphabet; of equally frequent ones the first by code point.
 
-    A class is an eighth of a doubling, so small counts are classes of their own.
-    The driver sees the size of each class and the chosen words.
+    Each task keeps its own first ones, so the driver and a task see no more than most words at a time.
     """
-    table = written(word_counts(texts).where(where).withColumn("class", F.floor(F.log2("n") * 8).cast("int")), "words")
-    total, least = 0, None
-    for r in table.groupBy("class").agg(F.count("*").alias("words")).orderBy(F.desc("class")).collect():
-        total += r.words
-        if total > most:
-            break
-        least = r["class"]
-    return sorted(r.word for r in table.where(F.col("class") >= least).select("word").collect()) if least is not None else []
+    found = word_counts(texts).where(where).orderBy(F.desc("n"), "word").limit(most)
+    return sorted(r.word for r in found.select("word").collect())

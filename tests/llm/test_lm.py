@@ -104,3 +104,8 @@ def test_every_word_and_bigram_has_its_own_count(spark, monkeypatch):
             want.append(-sum(log((pairs[a, b] + lm.WEIGHT * (ones[b] + 1) / (total + distinct + 1)) / (ones[a] + lm.WEIGHT)) for a, b in zip(["", *s], s, strict=False)) / len(s))
         assert got[i].n_tokens == len(s)
         assert (got[i].loss_target, got[i].loss_background) == pytest.approx(tuple(want))
+
+
+def test_equally_frequent_words_fill_the_vocabulary(spark):
+    df = spark.createDataFrame([(" ".join(f"w{i:02}" for i in range(50)),)] * 3 + [("w49",)], "text string").repartition(4)
+    assert lm.frequent_words(df, 40) == [f"w{i:02}" for i in range(39)] + ["w49"]

@@ -39,3 +39,17 @@ def test_grams_and_pieces():
     assert found[0][0] == 0 and found[-1][1] == 5
     assert all(a < b for a, b in found) and [b for _, b in found[:-1]] == [a for a, _ in found[1:]]
     assert list(pieces(pa.array([], pa.string()))) == []
+
+
+def test_words_of_any_length_have_the_sum_of_their_bytes(monkeypatch):
+    from envlake.llm import text
+
+    rng = np.random.default_rng(2)
+    values = [" ".join("".join(rng.choice(list("abcé09"), n)) for n in (1, 3, 24, 25, 26, 100, 3000)) for _ in range(5)]
+    words = text.split_words(pa.array(values))
+    whole = text.hash_words(words)
+    monkeypatch.setattr(text, "STRETCH", 37)
+    assert (text.hash_words(words) == whole).all()
+    sums = [sum(int(text._SPREAD[x]) * pow(int(text._BASE), i, 2**64) for i, x in enumerate(w.encode())) % 2**64 for w in words.strings().to_pylist()]
+    want = text.mix(np.array(sums, np.uint64) ^ np.array([len(w.encode()) for w in words.strings().to_pylist()], np.uint64))
+    assert (whole == want).all()
