@@ -5,17 +5,21 @@ characters and tags inside links; its composite density is C / T, turned down by
 the logarithm of how much of it is links. A node's density sum adds those of its
 children. The node with the largest sum is the core of the article; the least
 density on the path from it to the body is the threshold above which a sibling of
-the path belongs to the article too. An <article> or <main> around the core is
-taken whole.
+the path belongs to the article too. Of an <article> or <main> around the core all
+is taken but siblings of the path below that threshold that are mostly links.
 
 Parts that are no text of an article whatever their density (scripts, forms,
 menus, and what a class, id or role calls an advert, notice, comment and so on)
 are cut first, whatever their length. A part that is named for the page's layout
 (a "sidebar-page") is kept if it wraps the page's first h1, its article or main,
 or if nothing would be left without it; comments, adverts, notices and forms are
-not, but where they wrap main.
+not, but where they wrap main. An article whose h1 was cut for a class of its own or
+of what holds it (an "entry-header") gets it back.
 
-Defined results: a null or empty page, or one without text, gives "". Broken
+Defined results: a null or empty page, or one without text, gives ""; of nodes with
+equal sums the first by level, then place, is the core; repeated pages give equal rows;
+extract() keeps all columns and takes the place of those named text and n_chars. A
+page is held whole by a task, some hundred bytes for each tag. Broken
 markup is read as browsers do in the cases that matter here: paragraphs and list
 items end where the next begins, end tags without a start are ignored.
 """
@@ -69,11 +73,12 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "heading")
+    __slots__ = ("tag", "parent", "parts", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "heading", "whole")
 
     def __init__(self, tag: str, parent: Node | None, cut: int):
         self.tag, self.parent, self.cut = tag, parent, cut
         self.parts: list[Node | str] = []
+        self.whole = self.parts  # with the parts that are cut
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.heading = tag == "h1"
@@ -172,6 +177,7 @@ def _measure(root: Node) -> list[Node]:
     for node in reversed(order):
         node.tags = 1
         node.chars = node.link_chars = node.link_tags = 0
+        node.heading = node.tag == "h1"
         for x in node.parts:
             if x.__class__ is Node:
                 node.chars += x.chars
@@ -243,25 +249,53 @@ def main_nodes(root: Node) -> list[Node]:
     """The nodes whose text is the article's, in page order."""
     order = _measure(root)
     _keep_wrappers(root, order)
+    kept, core, top = _densest(root, order)
+    if not any(n.heading for n in kept):
+        lost = _lost_title(root, core, top)
+        if lost:
+            for node in lost:
+                node.cut = 0
+            kept, _, _ = _densest(root, order)
+    return kept
+
+
+def _densest(root: Node, order: list[Node]) -> tuple[list[Node], Node, Node | None]:
+    """(the article's nodes, the one with the largest density sum, the article or main around it if there is one)."""
     for node in order:
-        if not node.cut:
-            node.parts = [x for x in node.parts if x.__class__ is not Node or not x.cut]
+        node.parts = [x for x in node.whole if x.__class__ is not Node or not x.cut] if not node.cut else node.whole
     order = _measure(root)
     _densities(order)
     core = max(order, key=lambda n: n.total)
     path = [core]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    threshold = min(n.density for n in path)
-    around = [n for n in path if n.tag in ("article", "main")]
+    around = [i for i, n in enumerate(path) if n.tag in ("article", "main")]
     if around:
-        core = around[-1]
+        # all of it but siblings of the path that are less dense than the path because of their links
+        inside = path[: around[-1] + 1]
+        threshold = min(n.density for n in inside)
+        for node, parent in zip(inside, inside[1:], strict=False):
+            parent.parts = [x for x in parent.parts if x.__class__ is not Node or x is node or x.density >= threshold or 2 * x.link_chars <= x.chars]
+        return [inside[-1]], core, inside[-1]
+    threshold = min(n.density for n in path)
     kept = {id(core)}
-    node = core
-    while node.parent is not None:
-        kept |= {id(x) for x in node.parent.parts if x.__class__ is Node and x is not node and x.chars and x.density >= threshold and x.density > 0 and not around}
-        node = node.parent
-    return [n for n in order if id(n) in kept] if len(kept) == 1 else [n for n in _in_page_order(root) if id(n) in kept]
+    for node, parent in zip(path, path[1:], strict=False):
+        kept |= {id(x) for x in parent.parts if x.__class__ is Node and x is not node and x.chars and (x.density >= threshold and x.density > 0 or node is core and x.heading and not core.heading)}
+    return [n for n in _in_page_order(root) if id(n) in kept], core, None
+
+
+def _lost_title(root: Node, core: Node, top: Node | None) -> list[Node]:
+    """The cut nodes around the first h1 that stands in the article but for its own class or that of what holds it."""
+    near = {id(core), id(top or (core.parent if core.parent is not root else None) or core)}
+    for title in (n for n in _in_page_order(root, whole=True) if n.tag == "h1" and n.chars):
+        lost, node = [], title
+        while node is not None and id(node) not in near:
+            if node.cut:
+                lost.append(node)
+            node = node.parent
+        if node is not None and lost and all(n.tag not in NEVER_TAGS and n.tag != "header" and (n.cut < NEVER or n is title) for n in lost):
+            return lost
+    return []
 
 
 def _inside(node: Node, tag: str) -> bool:
@@ -272,12 +306,12 @@ def _inside(node: Node, tag: str) -> bool:
     return False
 
 
-def _in_page_order(root: Node) -> list[Node]:
+def _in_page_order(root: Node, whole: bool = False) -> list[Node]:
     out, todo = [], [root]
     while todo:
         node = todo.pop()
         out.append(node)
-        todo += [x for x in reversed(node.parts) if x.__class__ is Node]
+        todo += [x for x in reversed(node.whole if whole else node.parts) if x.__class__ is Node]
     return out
 
 

@@ -46,6 +46,80 @@ def test_columns_and_driver_rows(spark, data):
     assert extract(odd.limit(0)).count() == 0
 
 
+LINKS = "<ul>" + "".join(f"<li><a href=/{i}>Some other page of this site {i}</a></li>" for i in range(9)) + "</ul>"
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<main><div class=rail>" + LINKS + "</div><div class=post>{}</div></main>",
+        "<div><div class=rail>" + LINKS + "</div><div class=post>{}</div></div>",
+        "<article><div>" + LINKS + "</div><div class=post>{}</div></article>",
+    ],
+)
+def test_density_decides_inside_main_too(around):
+    assert main_text(f"<html><body>{around.format(BODY)}</body></html>") == TEXT
+
+
+@pytest.mark.parametrize(
+    "head, body",
+    [
+        ("<div class='post'><div class='entry-header'>{}</div>{}</div>", 1),
+        ("<div id=page><div class='post'><div class='entry-header'>{}</div><div class='entry-content'>{}</div></div></div>", 1),
+        ("<main><div class='share-box'>{}</div><div class=x>{}</div></main>", 1),
+        ("<article><div class='page-header'>{}</div><div class=x>{}</div></article><div class=sidebar>no</div>", 1),
+        ("<header>{}</header><div class=x>{}</div>", 0),
+        ("<div class=header>{}</div><div class=x>{}</div>", 0),
+    ],
+)
+def test_headings_of_the_article_survive_their_class(head, body):
+    title, rest = BODY.split("</h1>")
+    got = main_text(f"<html><body>{head.format(title + '</h1>', rest)}</body></html>")
+    assert got == (TEXT if body else TEXT.partition("\n")[2])
+
+
+def test_the_core_is_that_of_the_formula():
+    """Composite text density, written again for pages of divs, paragraphs and links without classes."""
+    import random
+    from math import e, log
+    from xml.etree import ElementTree
+
+    from envlake.llm import html_text
+
+    rng = random.Random(6)
+
+    def part(depth):
+        if depth == 0 or rng.random() < 0.3:
+            words = " ".join(rng.choice(["word", "a", "longerword"]) for _ in range(rng.randint(1, 30)))
+            return f"<p>{words}<a>{'link ' * rng.randint(0, 5)}x</a></p>" if rng.random() < 0.4 else f"<p>{words}</p>"
+        return "<div>" + "".join(part(depth - 1) for _ in range(rng.randint(1, 4))) + "</div>"
+
+    for _ in range(60):
+        page = "<html>" + "".join(part(3) for _ in range(3)) + "</html>"
+        nodes = list(ElementTree.fromstring(page).iter())
+        chars = {n: len("".join(n.itertext()).replace("\n", "")) for n in nodes}
+        strip = {n: sum(len((x.text or "").strip()) for x in n.iter()) + sum(len((x.tail or "").strip()) for x in n.iter() if x is not n) for n in nodes}
+        tags = {n: len(list(n.iter())) for n in nodes}
+        links = {n: [x for x in n.iter("a")] for n in nodes}
+        lc = {n: sum(strip[x] for x in links[n]) for n in nodes}
+        lt = {n: sum(tags[x] for x in links[n]) for n in nodes}
+        body = nodes[0]
+
+        def density(n):
+            c, t = strip[n], tags[n]
+            if not c:
+                return 0.0
+            base = log(c / max(c - lc[n], 1) * lc[n] + lc[body] / max(strip[body], 1) * c + e)
+            up = log(max(c / max(lc[n], 1) * t / max(lt[n], 1), 1.0))
+            return c / t * max(up / log(base) if base > 1.0001 else up, 0.0)
+
+        sums = {n: sum(density(x) for x in n) for n in nodes}
+        root = html_text.tree(page)
+        _, core, _ = html_text._densest(root, html_text._measure(root))
+        assert core.total == pytest.approx(max(sums.values())) and chars
+        assert core.chars in {strip[n] for n in nodes if sums[n] == pytest.approx(max(sums.values()))}
+
+
 LONG = "".join(f"<p>Reader {i}: I liked this very much and have a lot of words to say about it, more than the article has.</p>" for i in range(30))
 
 
