@@ -1,10 +1,12 @@
 """Secret scan with a random forest that removes false positives.
 
-Candidates are runs of the characters that keys and tokens are made of, found in
-whole texts with a few passes over their bytes. A random forest decides which are
-secrets by their length and composition, the transitions between their
-characters, the share of their letters that dictionary words cover, the words
-beside them and the path of their file. The dictionary is the most frequent words
+Candidates are found in whole texts with a few passes over their bytes: runs of the
+characters that keys and tokens are made of (16 or more of them, or 8 with both
+digits and letters), whatever follows a secret's name and = or :, however short,
+the passwords of addresses, and blocks of private keys. Those that touch are one.
+A random forest decides which are secrets by their length and composition, the
+transitions between their characters, the share of their letters that dictionary
+words cover, the words beside them and the path of their file. The dictionary is the most frequent words
 of all texts. The forest is trained by Spark from labelled findings; its nodes, a
 table of a few thousand rows, are sent to the tasks, so that a text is scanned
 and rated (or redacted) where it is read, without a shuffle.
@@ -15,7 +17,9 @@ passwords of common kinds among the words that introduce them, and look-alikes
 
 Defined results: a null or empty text has no candidates; a null path has no
 words; copies of a row give equal findings; a candidate is rated by all its
-characters, however many.
+characters, however many; time is linear in a text's length. scan() returns its own
+columns alone; redact() changes the text and keeps all others, whatever their names.
+Without dictionary words all letters count as uncovered.
 """
 
 from __future__ import annotations
@@ -24,9 +28,11 @@ import random
 import re
 import string
 from collections.abc import Iterator
+from itertools import islice
 from math import log, log2
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +47,9 @@ LONG, SHORT = 16, 8
 BESIDE = 48
 #: Words in the dictionary.
 DICTIONARY = 20_000
-TREES, DEPTH, FINDINGS = 30, 9, 4000
+TREES, DEPTH, FINDINGS = 30, 10, 6000
+#: Candidates rated together.
+TOGETHER = 4096
 
 #: Words that introduce secrets, words that introduce look-alikes, and words of paths of either kind.
 SECRET_WORDS = frozenset("key keys apikey token tokens secret secrets password passwd pwd passphrase auth authorization bearer credential credentials access private login signature aws".split())
@@ -51,13 +59,19 @@ OTHER_PATHS = frozenset("test tests example examples doc docs sample samples fix
 #: How keys of some issuers begin.
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk-", "sk_live_", "rk_live_", "AIza", "ya29", "SG", "eyJ")
 
-FEATURES = ["length", "digits", "upper", "lower", "other", "switches", "entropy", "surprise", "hex", "covered", "prefix", "assigned", "quoted", "secret_words", "other_words", "secret_path", "other_path", "longest_letters"]
+FEATURES = ["length", "digits", "upper", "lower", "other", "switches", "entropy", "surprise", "hex", "covered", "prefix", "assigned", "quoted", "secret_words", "other_words", "secret_path", "other_path", "longest_letters", "named", "address", "block", "different"]
 _KEY = np.zeros(256, bool)
 _KEY[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_-"]] = True
 _DIGIT, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
 _DIGIT[48:58] = _LETTER[65:91] = _LETTER[97:123] = True
 _WORDS = re.compile(r"[a-z0-9]+")
 _LETTERS = re.compile(r"[A-Za-z]+")
+#: A name before = or :, the value after it, a password in an address, and a block of a private key.
+_NAME = re.compile(rb"([A-Za-z0-9_.-]+)[\"'`\])]*[ \t]{0,3}$")
+_VALUE = re.compile(rb"[=:>]*[ \t]{0,3}[\"'`]?([^\s\"'`]+)")
+_ADDRESS = re.compile(rb"://[^\s/:@]*:([^\s/@]+)@")
+_BLOCK = re.compile(rb"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----([A-Za-z0-9+/=:,\s\\]+)")
+_NAMES = tuple(sorted(SECRET_WORDS - {"private", "access", "signature", "aws", "keys"}))
 
 
 class Dictionary:
@@ -119,9 +133,18 @@ def features(before: str, candidate: str, after: str, path: str, dictionary: Dic
         float(not place.isdisjoint(SECRET_PATHS)),
         float(not place.isdisjoint(OTHER_PATHS)),
         float(max(map(len, runs), default=0)) / n,
+        float(lead.rstrip("\"'`").rstrip().endswith(("=", ":")) and named((_WORDS.findall(before.lower()) or [""])[-1])),
+        float(after.startswith("@") and "://" in before),
+        float(before.endswith("KEY-----")),
+        len(counts) / n,
     ]
 
 
+def named(word: str) -> bool:
+    """Whether a name is that of a secret: password, db_password, dbPassword, API-KEY."""
+    return word.lower().endswith(_NAMES)
+
+
 def labelled_findings(words: list[str], n: int = FINDINGS, seed: int = 5) -> list[tuple[str, str, str, str, float]]:
     """n findings (before, candidate, after, path, label), half of them secrets."""
     rng = random.Random(seed)
@@ -133,7 +156,7 @@ def labelled_findings(words: list[str], n: int = FINDINGS, seed: int = 5) -> lis
     for i in range(n):
         end = rng.choice([f" {text(2)}", f", {text(2)}", ".", f"\n{text(2)}", ""])
         if i % 2:
-            kind = rng.randrange(6)
+            kind = rng.randrange(9)
             if kind == 0:
                 candidate, before = "AKIA" + pick(string.ascii_uppercase + string.digits, 16), rng.choice([f"{text(3)} ", "aws_access_key_id = ", "AWS key: "])
             elif kind == 1:
@@ -148,12 +171,22 @@ def labelled_findings(words: list[str], n: int = FINDINGS, seed: int = 5) -> lis
             elif kind == 4:
                 candidate = pick(mixed + "+/", rng.randint(24, 64))
                 before = f"{text(3)} {rng.choice(['secret', 'secret_key', 'private key', 'client_secret', 'token', 'credentials'])}{rng.choice([' = ', '=', ': '])}{rng.choice(['', chr(34)])}"
-            else:
+            elif kind == 5:
                 candidate = pick(mixed + "_-", rng.randint(32, 48))
                 before = f"{text(3)} {rng.choice(['bearer', 'auth', 'key', 'apikey'])}{rng.choice([' ', '=', ': '])}"
+            elif kind == 6:
+                word = rng.choice([pick(string.ascii_lowercase, rng.randint(6, 12)), (rng.choice(usual) + rng.choice(usual))[:14], rng.choice(usual).title() + str(rng.randint(1, 9999)), pick(mixed, rng.randint(5, 9))])
+                candidate = rng.choice([word, word + rng.choice("!$#%&?*") + str(rng.randint(0, 99)), word.replace("e", "3").replace("o", "0") + rng.choice("!@#$%^&")])
+                before = f"{text(3)} {rng.choice(['password', 'passwd', 'pwd', 'db_password', 'login', 'passphrase', 'secret'])}{rng.choice(['=', ': ', ' = ', ':'])}{rng.choice(['', chr(34), chr(39)])}"
+            elif kind == 7:
+                candidate = pick(rng.choice([mixed, string.ascii_lowercase + string.digits, mixed + "!$%*-_"]), rng.randint(5, 20))
+                before, end = f"{text(2)} {rng.choice(['postgres', 'https', 'mysql', 'amqp', 'redis', 'ftp'])}://{rng.choice(usual)}:", f"@{rng.choice(usual)}.{rng.choice(['com', 'local:5432', 'org/db'])}"
+            else:
+                candidate = "\n" + "\n".join(pick(mixed + "+/", 64) for _ in range(rng.randint(2, 12))) + "\n"
+                before, end = f"{text(1)} -----BEGIN {rng.choice(['', 'RSA ', 'EC ', 'OPENSSH '])}PRIVATE KEY-----", "-----END"
             path = rng.choice(["", "src0", "app/config/settings", ".env", "deploy/prod", "src/main"])
         else:
-            kind = rng.randrange(9)
+            kind = rng.randrange(13)
             before = f"{text(4)} "
             if kind == 0:
                 candidate = "".join(rng.choice(usual) for _ in range(8))[: rng.randint(16, 34)]
@@ -174,15 +207,22 @@ def labelled_findings(words: list[str], n: int = FINDINGS, seed: int = 5) -> lis
             elif kind == 7:
                 candidate = f"{rng.choice(usual)}{rng.randint(1, 9999)}"
                 candidate = candidate if len(candidate) >= SHORT else candidate + "section7"
-            else:
+            elif kind == 8:
                 candidate, before = "/".join(rng.choice(usual) for _ in range(4)) + f"/{rng.randint(1, 99)}", rng.choice([f"{text(2)} ", "href=", f"{text(2)} page: "])
+            elif kind in (9, 10):  # said of a secret, not the secret
+                candidate, before = rng.choice(usual), f"{text(3)} {rng.choice(['password', 'token', 'key', 'secret', 'auth', 'login', 'credentials', 'passphrase'])}{rng.choice([': ', ': ', '=', ' = '])}{rng.choice(['', '', chr(34)])}"
+            elif kind == 11:
+                candidate = rng.choice(["<password>", "<token>", "${DB_PASSWORD}", "$TOKEN", "{{secret}}", "********", "xxxxxxxx", "None", "null", "true", "false", "...", "[REDACTED]", "%s", "your_password_here", "os.environ", "-", "(optional)"])
+                before = f"{text(3)} {rng.choice(['password', 'token', 'api_key', 'secret', 'pwd'])}{rng.choice(['=', ': ', ' = '])}{rng.choice(['', chr(34)])}"
+            else:
+                candidate, before = f"https://{rng.choice(usual)}.org/{rng.choice(usual)}", f"{text(2)} {rng.choice(['key', 'token', 'login', 'auth'])}: "
             path = rng.choice(["", "src0", "tests/fixtures", "docs/example", "src/main", "package-lock"])
         found.append((before[-BESIDE:], candidate, end, path, float(i % 2)))
     return found
 
 
-def fit_forest(spark: SparkSession, findings: list[tuple[str, str, str, str, float]] | DataFrame, dictionary: Dictionary, seed: int = 7) -> list[list[tuple]]:
-    """The trees of a forest trained from labelled findings, each a list of nodes (feature, threshold, left, right, probability).
+def fit_forest(spark: SparkSession, findings: list[tuple[str, str, str, str, float]] | DataFrame, dictionary: Dictionary, seed: int = 7) -> Forest:
+    """A forest trained from labelled findings.
 
     Findings are (before, candidate, after, path, label), a list or a table.
     """
@@ -193,18 +233,43 @@ def fit_forest(spark: SparkSession, findings: list[tuple[str, str, str, str, flo
 
         @F.pandas_udf("array<double>")
         def described(before, candidate, after, path):
-            import pandas as pd
-
             return pd.Series([features(*row, dictionary) for row in zip(before, candidate, after, path, strict=True)])
 
         rows = findings.select(described("before", "candidate", "after", "path").alias("x"), F.col("label").cast("double").alias("label"))
     else:
         rows = spark.createDataFrame([(features(b, c, a, p, dictionary), y) for b, c, a, p, y in findings], "x array<double>, label double")
     model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="sqrt").fit(rows.select(array_to_vector("x").alias("features"), "label"))
-    return [_nodes(tree._java_obj.rootNode()) for tree in model.trees] if hasattr(model.trees[0], "_java_obj") else []
+    if not all(hasattr(tree, "_java_obj") for tree in model.trees):
+        raise TypeError("this session's forests have no nodes that can be read")
+    return Forest([_nodes(tree._java_obj.rootNode()) for tree in model.trees])
+
+
+class Forest:
+    """Trees as arrays (tree, node), so that all findings go down all trees together."""
+
+    def __init__(self, trees: list[list[tuple]]):
+        most = max(map(len, trees))
+        padded = np.array([[*tree, *[(-1, 0.0, 0, 0, 0.0)] * (most - len(tree))] for tree in trees], np.float64)
+        self.feature, self.left, self.right = (padded[..., i].astype(np.int32) for i in (0, 2, 3))
+        self.threshold, self.share = padded[..., 1], padded[..., 4]
+
+    def __len__(self) -> int:
+        return len(self.feature)
+
+    def rate(self, x: np.ndarray) -> np.ndarray:
+        """The mean share of secrets in the leaves of each row."""
+        tree, row = np.arange(len(self))[None, :], np.arange(len(x))[:, None]
+        node = np.zeros((len(x), len(self)), np.int32)
+        while True:
+            feature = self.feature[tree, node]
+            if (feature < 0).all():
+                return self.share[tree, node].mean(axis=1)
+            below = x[row, np.maximum(feature, 0)] <= self.threshold[tree, node]
+            node = np.where(feature < 0, node, np.where(below, self.left[tree, node], self.right[tree, node]))
 
 
 def _nodes(root) -> list[tuple]:
+    """A tree's nodes: (feature or -1, threshold, left, right, share of secrets in a leaf)."""
     out: list[tuple] = []
 
     def add(node) -> int:
@@ -223,45 +288,85 @@ def _nodes(root) -> list[tuple]:
     return out
 
 
-def rate(forest: list[list[tuple]], x: list[float]) -> float:
-    total = 0.0
-    for tree in forest:
-        node = tree[0]
-        while node[0] >= 0:
-            node = tree[node[2] if x[node[0]] <= node[1] else node[3]]
-        total += node[4]
-    return total / max(len(forest), 1)
+def _key_runs(data: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of key characters that are long, or have both digits and letters."""
+    inside = _KEY[data]
+    start, end = inside.copy(), inside.copy()
+    start[1:] &= ~inside[:-1]
+    end[:-1] &= ~inside[1:]
+    edge = at[1:-1]
+    edge = edge[(edge > 0) & (edge < len(data))]
+    start[edge], end[edge - 1] = inside[edge], inside[edge - 1]
+    starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
+    able = ends - starts >= SHORT
+    starts, ends = starts[able], ends[able]
+    both = np.ones(len(starts), bool)
+    for kind in (_DIGIT, _LETTER):
+        upto = np.concatenate([[0], np.cumsum(kind[data], dtype=np.int32)])
+        both &= upto[ends] > upto[starts]
+    able = both | (ends - starts >= LONG)
+    return list(zip(starts[able].tolist(), ends[able].tolist(), strict=True))
+
+
+def _named_values(whole: bytes, data: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
+    """What follows the name of a secret and = or :, up to white space or a quote."""
+    found, upto = [], 0
+    for x in np.flatnonzero((data == 61) | (data == 58)).tolist():
+        if x < upto:
+            continue
+        text = int(np.searchsorted(at, x, side="right")) - 1
+        name = _NAME.search(whole[max(int(at[text]), x - BESIDE) : x])
+        if name and named(name[1].decode()):
+            value = _VALUE.match(whole, x + 1, int(at[text + 1]))
+            if value:
+                y = value.start(1) + len(value[1].rstrip(b".,;)]}>"))
+                if y > value.start(1):
+                    found.append((value.start(1), y))
+                    upto = y
+    return found
+
+
+def _matches(pattern: re.Pattern, mark: bytes, whole: bytes, at: np.ndarray) -> list[tuple[int, int]]:
+    """What the pattern's group takes wherever the pattern begins with the mark, inside one text."""
+    found, x = [], whole.find(mark)
+    while x >= 0:
+        m = pattern.match(whole, x, int(at[np.searchsorted(at, x, side="right")]))
+        if m:
+            found.append(m.span(1))
+        x = whole.find(mark, m.end() if m else x + len(mark))
+    return found
 
 
-def candidates(texts: pa.Array) -> Iterator[tuple[int, int, int, bytes]]:
-    """(text, first byte, byte after the last, bytes of the text) of each candidate."""
+def candidates(texts: pa.Array) -> Iterator[tuple[int, int, str, str, str]]:
+    """(text, first character, before, candidate, after) of each candidate, in order."""
     for a, b in pieces(texts):
         data, at = raw_bytes(texts.slice(a, b - a))
-        inside = _KEY[data]
-        start, end = inside.copy(), inside.copy()
-        start[1:] &= ~inside[:-1]
-        end[:-1] &= ~inside[1:]
-        edge = at[1:-1]
-        edge = edge[(edge > 0) & (edge < len(data))]
-        start[edge], end[edge - 1] = inside[edge], inside[edge - 1]
-        starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
-        far = np.flatnonzero(ends - starts >= SHORT)
-        for i in far:
-            x, y = int(starts[i]), int(ends[i])
-            run = data[x:y]
-            if y - x < LONG and not (_DIGIT[run].any() and _LETTER[run].any()):
-                continue
-            text = int(np.searchsorted(at, x, side="right")) - 1
-            yield a + text, x - int(at[text]), y - int(at[text]), data[at[text] : at[text + 1]].tobytes()
-
-
-def _rated(texts: pa.Array, paths: list[str | None], forest: list, dictionary: Dictionary) -> Iterator[tuple[int, int, str, float]]:
+        whole = data.tobytes()
+        spans = _key_runs(data, at) + _named_values(whole, data, at) + _matches(_ADDRESS, b"://", whole, at) + _matches(_BLOCK, b"-----BEGIN ", whole, at)
+        merged: list[tuple[int, int]] = []
+        for x, y in sorted(spans):
+            if merged and x < merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(merged[-1][1], y))
+            else:
+                merged.append((x, y))
+        text, last, chars = -1, 0, 0
+        for x, y in merged:
+            own = int(np.searchsorted(at, x, side="right")) - 1
+            low, high = int(at[own]), int(at[own + 1])
+            if own != text:
+                text, last, chars = own, low, 0
+            chars += int(np.count_nonzero((data[last:x] & 0xC0) != 0x80))  # bytes that begin a character
+            last = x
+            beside = (whole[max(low, x - BESIDE) : x], whole[x:y], whole[y : min(high, y + BESIDE)])
+            yield (a + own, chars, *(part.decode("utf-8", "ignore") for part in beside))
+
+
+def _rated(texts: pa.Array, paths: list[str | None], forest: Forest, dictionary: Dictionary) -> Iterator[tuple[int, int, str, float]]:
     """(text, first character, candidate, score) of each candidate."""
-    for i, x, y, raw in candidates(texts):
-        before = raw[max(0, x - BESIDE) : x].decode("utf-8", "ignore")
-        after = raw[y : y + BESIDE].decode("utf-8", "ignore")
-        candidate = raw[x:y].decode()
-        yield i, len(raw[:x].decode()), candidate, rate(forest, features(before, candidate, after, paths[i] or "", dictionary))
+    found = candidates(texts)
+    while some := list(islice(found, TOGETHER)):
+        x = np.array([features(before, candidate, after, paths[i] or "", dictionary) for i, _, before, candidate, after in some])
+        yield from ((i, at, candidate, score) for (i, at, _, candidate, _), score in zip(some, forest.rate(x).tolist(), strict=True))
 
 
 class Scanner:
@@ -269,7 +374,7 @@ class Scanner:
 
     def __init__(self, spark: SparkSession, words: list[str], findings: list | DataFrame | None = None, threshold: float = 0.5):
         forest = fit_forest(spark, findings if findings is not None else labelled_findings(words), Dictionary(words))
-        self.threshold = threshold
+        self.threshold, self._spark = threshold, spark
         self._shared = spark.sparkContext.broadcast((forest, words))
 
     def scan(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
@@ -298,35 +403,43 @@ class Scanner:
         rows = docs.select(F.col(doc_id).cast("bigint"), F.col(text), F.col(path).cast("string"))
         return rows.mapInArrow(find, "doc_id bigint, start bigint, n_chars bigint, candidate string, score double, secret boolean")
 
+    def quality(self, findings: list[tuple[str, str, str, str, float]]) -> tuple[float, float]:
+        """(precision, recall) over labelled findings that the forest was not trained on."""
+        forest, words = self._shared.value
+        dictionary = Dictionary(words)
+        said = forest.rate(np.array([features(b, c, a, p, dictionary) for b, c, a, p, _ in findings])) >= self.threshold
+        truth = np.array([y > 0.5 for *_, y in findings])
+        both = float((said & truth).sum())
+        return both / max(float(said.sum()), 1.0), both / max(float(truth.sum()), 1.0)
+
     def redact(self, docs: DataFrame, text: str = "text", path: str = "source", mark: str = "[REDACTED]") -> DataFrame:
         """docs with every secret in the text replaced by mark."""
         shared, threshold = self._shared, self.threshold
         small_batches(docs.sparkSession)
 
         @F.pandas_udf("string")
-        def clean(texts, paths):
-            import pandas as pd
-
+        def clean(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
             forest, words = shared.value
             dictionary = Dictionary(words)
-            out = texts.astype(object).tolist()
-            found: dict[int, list[tuple[int, int]]] = {}
-            for i, at, candidate, score in _rated(pa.array(out, pa.string(), from_pandas=True), paths.tolist(), forest, dictionary):
-                if score >= threshold:
-                    found.setdefault(i, []).append((at, at + len(candidate)))
-            for i, spans in found.items():
-                parts, last = [], 0
-                for a, b in spans:
-                    parts += [out[i][last:a], mark]
-                    last = b
-                out[i] = "".join([*parts, out[i][last:]])
-            return pd.Series(out, dtype=object)
+            for texts, paths in batches:
+                out = texts.astype(object).tolist()
+                found: dict[int, list[tuple[int, int]]] = {}
+                for i, at, candidate, score in _rated(pa.array(out, pa.string(), from_pandas=True), paths.tolist(), forest, dictionary):
+                    if score >= threshold:
+                        found.setdefault(i, []).append((at, at + len(candidate)))
+                for i, spans in found.items():
+                    parts, last = [], 0
+                    for a, b in spans:
+                        parts += [out[i][last:a], mark]
+                        last = b
+                    out[i] = "".join([*parts, out[i][last:]])
+                yield pd.Series(out, dtype=object)
 
         return docs.withColumn(text, clean(F.col(text), F.coalesce(F.col(path).cast("string"), F.lit(""))))
 
 
 def dictionary_words(docs: DataFrame, text: str = "text", most: int = DICTIONARY) -> list[str]:
-    """The words of 3 to 12 ASCII letters that all texts use most."""
-    return frequent_words(docs.select(F.col(text).alias("text")), most, "word rlike '^[a-z]{3,12}$'")
+    """The words of 3 to 12 ASCII letters that all texts use most, more than once."""
+    return frequent_words(docs.select(F.col(text).alias("text")), most, "n > 1 and word rlike '^[a-z]{3,12}$'")
 
 
