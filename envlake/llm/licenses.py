@@ -1,7 +1,8 @@
 """License scan by diagonal voting.
 
 All rolling word k-grams of every text are hashed and joined with the k-grams of
-license templates, which Spark broadcasts: templates are a fixed list. A hit at
+license templates; Spark sends the templates' to the texts if their size allows it,
+as that of the fixed ones does. A hit at
 word p of the text and t of the template votes for the diagonal p - t. Votes are
 summed by diagonal before the shuffle; neighbouring diagonals, as words left out
 or put in make them, are merged; spans with enough of a template are read again
@@ -11,7 +12,10 @@ Templates are license texts and notices, matched in part, and phrases, matched
 whole with two-word grams. Words are those of ALNUM in text.py.
 
 Defined results: a null or empty text has no words and no license; copies of a
-row give equal rows; a label counts once however often it is found.
+row give equal rows; a label counts once however often it is found; a null id is an
+id like any other; other columns, whatever their names, play no part. Long texts go
+through the join in rows of some thousand words; a task that splits or verifies a
+text holds it whole.
 """
 
 from __future__ import annotations
@@ -20,13 +24,13 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .decontaminate import LOWER, UPPER
 from .store import small_batches, written
-from .text import ALNUM, ALNUM_WORD, grams, hash_words, pieces, split_words
+from .text import ALNUM, grams, hash_words, pieces, split_words
 
 #: Phrases that name a license wherever they stand.
 PHRASES = [("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license")]
@@ -58,32 +62,33 @@ COVERED = 0.75
 ROW_WORDS = 8192
 
 
-def template_words() -> list[tuple[str, bool, list[str]]]:
-    """(label, whether a phrase, words) of each template."""
-    texts = [(label, True, t) for label, t in PHRASES] + [(label, False, t) for label, t in TEMPLATES]
-    return [(label, phrase, [w for w in split_words(pa.array([t])).strings().to_pylist()]) for label, phrase, t in texts]
+def template_words(phrases: list[tuple[str, str]] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES) -> list[tuple[str, bool, list[str]]]:
+    """(label, whether a phrase, words) of each template from (label, text); those without words are left out."""
+    texts = [(label, True, t) for label, t in phrases] + [(label, False, t) for label, t in templates]
+    split = [(label, phrase, split_words(pa.array([t])).strings().to_pylist()) for label, phrase, t in texts]
+    return [t for t in split if t[2]]
 
 
 def template_grams(templates: list[tuple[str, bool, list[str]]]) -> list[tuple[int, int, int]]:
     """(hash, template, position) of every k-gram of the templates."""
     found = []
     for i, (_, phrase, words) in enumerate(templates):
-        hashes = grams(hash_words(split_words(pa.array([" ".join(words)]))), PHRASE_K if phrase else K).astype(np.int64)
+        hashes = grams(hash_words(split_words(pa.array([" ".join(words)]))), min(PHRASE_K if phrase else K, len(words))).astype(np.int64)
         found += [(int(h), i, t) for t, h in enumerate(hashes)]
     return found
 
 
 def _rolling(docs: DataFrame) -> DataFrame:
-    """(rid, base, short, grams): for some words of a text from base on, first the two-word grams, short of them, then the k-word ones."""
-    schema = pa.schema([("rid", pa.int64()), ("base", pa.int32()), ("short", pa.int32()), ("grams", pa.list_(pa.int64()))])
+    """(rid, more, base, short, grams): for some words of a text from base on, first the two-word grams, short of them, then the k-word ones."""
+    schema = pa.schema([("rid", pa.int64()), ("more", pa.int64()), ("base", pa.int32()), ("short", pa.int32()), ("grams", pa.list_(pa.int64()))])
 
     def roll(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in pieces(batch.column(1)):
-                words = split_words(batch.column(1).slice(a, b - a), ALNUM)
+            for a, b in pieces(batch.column(2)):
+                words = split_words(batch.column(2).slice(a, b - a), ALNUM)
                 hashes = hash_words(words)
                 rid, base, short, ends, parts = [], [], [], [0], []
-                for key, i, j in zip(batch.column(0).slice(a, b - a).to_pylist(), words.first[:-1], words.first[1:], strict=True):
+                for key, i, j in zip(range(a, b), words.first[:-1], words.first[1:], strict=True):
                     two, long = grams(hashes[i:j], PHRASE_K), grams(hashes[i:j], K)
                     for at in range(0, len(two), ROW_WORDS):
                         x, y = two[at : at + ROW_WORDS], long[at : at + ROW_WORDS]
@@ -94,42 +99,59 @@ def _rolling(docs: DataFrame) -> DataFrame:
                         ends.append(ends[-1] + len(x) + len(y))
                 flat = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), pa.array(base, pa.int32()), pa.array(short, pa.int32()), lists], schema=schema)
+                keys = [batch.column(i).take(pa.array(rid, pa.int32())) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(base, pa.int32()), pa.array(short, pa.int32()), lists], schema=schema)
 
-    return docs.mapInArrow(roll, "rid bigint, base int, short int, grams array<bigint>")
+    return docs.mapInArrow(roll, "rid bigint, more bigint, base int, short int, grams array<bigint>")
 
 
 def find_spans(docs: DataFrame, templates: list[tuple[str, bool, list[str]]]) -> DataFrame:
-    """(rid, template, first, last): spans of words with enough votes, from (rid, text) rows."""
+    """(rid, more, template, first, last): spans of words with enough votes, from (rid, more, text) rows; rid and more are a row's key."""
     spark = docs.sparkSession
     known = spark.createDataFrame(template_grams(templates), "hash bigint, template int, t int")
     shape = spark.createDataFrame([(i, p, len(w)) for i, (_, p, w) in enumerate(templates)], "template int, phrase boolean, size int")
-    rolled = _rolling(docs).select("rid", "base", "short", F.posexplode("grams").alias("j", "hash"))
+    row = ["rid", "more"]
+    rolled = _rolling(docs).select(*row, "base", "short", F.posexplode("grams").alias("j", "hash"))
     at = F.col("base") + F.when(F.col("j") < F.col("short"), F.col("j")).otherwise(F.col("j") - F.col("short"))
-    hits = rolled.join(F.broadcast(known), "hash").select("rid", "template", "t", at.alias("p"))
-    lines = hits.groupBy("rid", "template", (F.col("p") - F.col("t")).alias("diagonal")).agg(F.min("p").alias("low"), F.max("p").alias("high"), F.collect_set("t").alias("ts"))
-    lines = lines.join(F.broadcast(shape), "template")
-    order = Window.partitionBy("rid", "template").orderBy("diagonal")
+    hits = rolled.join(known, "hash").select(*row, "template", "t", at.alias("p"))
+    lines = hits.groupBy(*row, "template", (F.col("p") - F.col("t")).alias("diagonal")).agg(F.min("p").alias("low"), F.max("p").alias("high"), F.collect_set("t").alias("ts"))
+    lines = lines.join(shape, "template")
+    order = Window.partitionBy(*row, "template").orderBy("diagonal")
     apart = F.col("phrase") | (F.col("diagonal") - F.lag("diagonal").over(order) > NEAR)
     lines = lines.withColumn("alignment", F.sum(F.when(F.coalesce(apart, F.lit(True)), 1).otherwise(0)).over(order))
-    merged = lines.groupBy("rid", "template", "alignment", "phrase", "size").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.array_distinct(F.flatten(F.collect_list("ts"))).alias("ts"))
-    k = F.when(F.col("phrase"), PHRASE_K).otherwise(F.least(F.lit(K), F.col("size")))
+    merged = lines.groupBy(*row, "template", "alignment", "phrase", "size").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.array_distinct(F.flatten(F.collect_list("ts"))).alias("ts"))
+    k = F.least(F.when(F.col("phrase"), PHRASE_K).otherwise(K), F.col("size"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("ts", lambda t: F.sequence(t, t + k - 1)))))
     enough = F.when(F.col("phrase"), covered == F.col("size")).otherwise(covered >= F.lit(COVERED) * F.col("size"))
-    return merged.where(enough).select("rid", "template", "first", (F.col("last") + k).alias("last"))
+    return merged.where(enough).select(*row, "template", "first", (F.col("last") + k).alias("last"))
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans."""
+def n_words(text: Column) -> Column:
+    """How many words a text has."""
+
+    @F.pandas_udf("bigint")
+    def count(texts: pd.Series) -> pd.Series:
+        held = pa.array(texts, pa.string(), from_pandas=True)
+        counts = [np.diff(split_words(held.slice(a, b - a), ALNUM).first) for a, b in pieces(held)]
+        return pd.Series(np.concatenate(counts) if counts else np.zeros(0, np.int64))
+
+    return count(text)
+
+
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: list[tuple[str, str]] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+    """A row for each document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
+
+    phrases and templates: (label, text), license names matched whole, and license texts matched in part.
+    """
     small_batches(docs.sparkSession)
-    templates = template_words()
-    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("rid"), F.col(text).alias("text"))
-    spans = written(find_spans(keyed.select("rid", "text"), templates), "spans").groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("template", "first", "last"))).alias("spans"))
+    templates = template_words(phrases, templates)
+    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("rid"), F.xxhash64(F.lit("more"), text, doc_id).alias("more"), F.col(text).alias("text"))
+    spans = written(find_spans(keyed.select("rid", "more", "text"), templates), "spans").groupBy("rid", "more").agg(F.sort_array(F.collect_set(F.struct("template", "first", "last"))).alias("spans"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for rid, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for text, found in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
                 words = split_words(pa.array([text])).strings().to_pylist()
                 kept = []
                 for s in found:
@@ -140,16 +162,15 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                         share = sum(m.size for m in SequenceMatcher(None, want, have, autojunk=False).get_matching_blocks()) / max(len(want), len(have))
                     if share >= COVERED:
                         kept.append({"label": templates[s["template"]][0], "phrase": templates[s["template"]][1], "first": s["first"], "last": s["last"], "score": share})
-                out.append((rid, kept))
+                out.append(kept)
             kind = pa.list_(pa.struct([("label", pa.string()), ("phrase", pa.bool_()), ("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in out], pa.int64()), pa.array([s for _, s in out], kind)], names=["rid", "spans"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, kind)], names=["rid", "more", "spans"])
 
-    checked = keyed.join(spans, "rid").select("rid", "text", "spans").mapInArrow(verify, "rid bigint, spans array<struct<label:string,phrase:boolean,first:bigint,last:bigint,score:double>>")
-    checked = written(checked.dropDuplicates(["rid"]), "licenses")
-    words = F.regexp_count(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), F.lit(ALNUM_WORD)).cast("bigint")
+    checked = keyed.join(spans, ["rid", "more"]).select("rid", "more", "text", "spans").mapInArrow(verify, "rid bigint, more bigint, spans array<struct<label:string,phrase:boolean,first:bigint,last:bigint,score:double>>")
+    checked = written(checked.dropDuplicates(["rid", "more"]), "licenses")
     base = F.filter(F.coalesce("spans", F.array().cast("array<struct<label:string,phrase:boolean,first:bigint,last:bigint,score:double>>")), lambda s: s["phrase"])
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
-    rows = keyed.select("doc_id", "rid", words.alias("n_words")).join(checked, "rid", "left").withColumn("base", base)
+    rows = keyed.select("doc_id", "rid", "more", n_words(F.col("text")).alias("n_words")).join(checked, ["rid", "more"], "left").withColumn("base", base)
     return rows.select(
         "doc_id",
         "n_words",
