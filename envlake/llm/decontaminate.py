@@ -5,20 +5,26 @@ each term the sorted word positions at which it stands, numbered through the
 shard. Test windows are looked up in every shard by themselves, so nothing is
 shuffled: a window starts from the postings of its rarest term, moves them by
 that term's offset, and keeps those that the moved postings of the next rarest
-terms confirm. Windows come in blocks of a bounded size, each broadcast in turn.
+terms confirm. Windows come in blocks of a bounded size; a block is broadcast, its
+hits are written, and it is let go before the next one, so the driver and a task
+hold one block whatever the size of the test set.
 
 Defined results: a null or empty text has no words and no hits; a repeated
 document gives a row for each copy; an item without an id counts for n_hit but
-not among the items; an empty benchmark hits nothing.
+not among the items; an empty benchmark hits nothing; a null id is kept; other
+columns, whatever their names, play no part. A longer text than a shard's size is a
+shard by itself, which a task holds whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +34,8 @@ from .text import ALNUM, ALNUM_WORD, pieces, split_words
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 INDEX_SCHEMA = "shard string, ids array<bigint>, first array<bigint>, terms array<binary>, begin array<bigint>, postings binary"
 HITS_SCHEMA = "shard string, row int, doc_id bigint, n_words bigint, spans array<struct<at:bigint,upto:bigint>>, items array<string>"
-#: A vocabulary of at most so many terms is sent to the tasks that build an index; beyond it they index every term.
-MOST_TERMS = 500_000
-#: Windows in a block that is broadcast: about 10 terms of 10 bytes each, so some 3 MB.
-BLOCK = 20_000
+#: Windows in a block that is broadcast: about 10 terms of 10 bytes each, so some 8 MB.
+BLOCK = 50_000
 #: Postings looked at together in a task.
 TOGETHER = 1 << 21
 
@@ -48,31 +52,21 @@ def test_windows(items: DataFrame, n: int = 10, item_id: str = "item_id", text:
     return w.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
-def build_index(docs: DataFrame, terms: list[bytes] | None = None, doc_id: str = "doc_id", text: str = "text", shard_bytes: int = 4 << 20) -> DataFrame:
-    """Postings of all documents, or of the given terms alone: a row for each shard of about shard_bytes."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    known = spark.sparkContext.broadcast(sorted(terms)) if terms is not None else None
+def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shard_bytes: int = 4 << 20) -> DataFrame:
+    """Postings of every word of all documents: a row for each shard of about shard_bytes."""
+    small_batches(docs.sparkSession)
     schema = pa.schema([("shard", pa.string()), ("ids", pa.list_(pa.int64())), ("first", pa.list_(pa.int64())), ("terms", pa.list_(pa.binary())), ("begin", pa.list_(pa.int64())), ("postings", pa.binary())])
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        vocabulary = pa.array(known.value, pa.binary()) if known is not None else None
         part, count = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for a, b in pieces(texts, shard_bytes):
                 words = split_words(texts.slice(a, b - a), ALNUM)
-                if vocabulary is None:
-                    coded = words.arrow().dictionary_encode()
-                    own, code = coded.dictionary, coded.indices.to_numpy()
-                    at = np.arange(len(code))
-                else:
-                    own = vocabulary
-                    code = pc.fill_null(pc.index_in(words.arrow(), value_set=vocabulary), -1).to_numpy()
-                    at = np.flatnonzero(code >= 0)
-                    code = code[at]
+                coded = words.arrow().dictionary_encode()
+                own, code = coded.dictionary, coded.indices.to_numpy()
                 order = np.argsort(code, kind="stable")
                 counts = np.bincount(code, minlength=len(own))
                 held = np.flatnonzero(counts)
@@ -84,7 +78,7 @@ def build_index(docs: DataFrame, terms: list[bytes] | None = None, doc_id: str =
                         pa.array([words.first.tolist()], pa.list_(pa.int64())),
                         pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), own.take(pa.array(held))),
                         pa.array([begin.tolist()], pa.list_(pa.int64())),
-                        pa.array([at[order].astype("<i4").tobytes()], pa.binary()),
+                        pa.array([order.astype("<i4").tobytes()], pa.binary()),
                     ],
                     schema=schema,
                 )
@@ -124,7 +118,7 @@ class _Block:
         self.arrow = pa.array(self.terms, pa.binary())
 
 
-def _matches(block: _Block, terms: pa.Array, begin: np.ndarray, postings: np.ndarray, doc_of: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _matches(block: _Block, terms: pa.Array, begin: np.ndarray, postings: np.ndarray, first: np.ndarray, doc_of: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(window, first word, word after the last) of every match in a shard."""
     code = pc.fill_null(pc.index_in(terms, value_set=block.arrow), -1).to_numpy(zero_copy_only=False).astype(np.int64)
     lists = np.flatnonzero(code >= 0)
@@ -147,24 +141,28 @@ def _matches(block: _Block, terms: pa.Array, begin: np.ndarray, postings: np.nda
         within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         base = pos[np.repeat(starts[block.term[own, 0]], n) + within] - block.offset[window, 0]
         low, high = base + block.offset[window, 0], base + block.offset[window, 0]
+        begins, ends = first[doc_of[low]], first[doc_of[low] + 1]  # a match stays in its document
         for r in range(1, block.term.shape[1]):
-            term = block.term[window, r]
-            least = np.maximum(base + block.offset[window, r] - slop, 0)
-            i = np.searchsorted(keys, (term << 32) + least)
-            got = keys[np.minimum(i, len(keys) - 1)] - (term << 32) if len(keys) else least
-            ok = (term < 0) | ((i < len(keys)) & (got >= least) & (got <= base + block.offset[window, r] + slop))
+            term, want = block.term[window, r], base + block.offset[window, r]
+            i = np.searchsorted(keys, (term << 32) + np.clip(want, begins, ends - 1))
+            after, before = (keys[np.clip(i - k, 0, len(keys) - 1)] - (term << 32) for k in (0, 1))
+            # the posting nearest to the word's place, of the two around it
+            fits = [(i - k >= 0) & (i - k < len(keys)) & (abs(got - want) <= slop) & (got >= begins) & (got < ends) for k, got in ((0, after), (1, before))]
+            got = np.where(fits[0] & (~fits[1] | (after - want <= want - before)), after, before)
+            ok = (term < 0) | fits[0] | fits[1]
             got = np.where(term < 0, low, got)
-            window, base, low, high = window[ok], base[ok], np.minimum(low, got)[ok], np.maximum(high, got)[ok]
+            window, base, begins, ends, low, high = window[ok], base[ok], begins[ok], ends[ok], np.minimum(low, got)[ok], np.maximum(high, got)[ok]
             if not len(window):
                 break
-        ok = doc_of[low] == doc_of[high]
-        found.append((window[ok], low[ok], high[ok] + 1))
+        found.append((window, low, high + 1))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
 
 
-def search_block(index: DataFrame, rows: list[tuple[list[str], list[str], list[int]]], slop: int = 0) -> DataFrame:
-    """A row for each document of the index: the merged spans of words that the windows match, and the items whose windows do."""
-    shared = index.sparkSession.sparkContext.broadcast(rows)
+def search_block(index: DataFrame, shared: Broadcast, slop: int = 0) -> DataFrame:
+    """A row for each document of the index: the merged spans of words that the windows match, and the items whose windows do.
+
+    shared has the (window, items, rank) of the windows.
+    """
     span = pa.struct([("at", pa.int64()), ("upto", pa.int64())])
     schema = pa.schema([("shard", pa.string()), ("row", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.string()))])
 
@@ -176,7 +174,7 @@ def search_block(index: DataFrame, rows: list[tuple[list[str], list[str], list[i
                 ids, first, begin = ids.values, first.values.to_numpy(), begin.values.to_numpy()
                 n_words = np.diff(first)
                 doc_of = np.repeat(np.arange(len(ids)), n_words)
-                window, low, high = _matches(block, terms.values, begin, np.frombuffer(postings.as_py(), "<i4"), doc_of, slop)
+                window, low, high = _matches(block, terms.values, begin, np.frombuffer(postings.as_py(), "<i4"), first, doc_of, slop)
                 spans: list[list[dict]] = [[] for _ in range(len(ids))]
                 items: list[list[str]] = [[] for _ in range(len(ids))]
                 if len(low):
@@ -208,21 +206,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, slop: int
     """A row for each document: doc_id, n_words, spans (words hit, from 0), n_hit, items, n_items, contaminated.
 
     slop 0 finds exact phrases; a larger one also finds windows whose words stand
-    at most so many words from their places.
+    at most so many words from their places, as seen from the window's rarest word.
     """
-    windows = test_windows(benchmark, n)
-    terms = windows.select(F.explode("window").alias("t")).distinct().limit(MOST_TERMS + 1)
-    vocabulary = [r.t.encode() for r in terms.collect()]
-    index = written(build_index(docs, vocabulary if len(vocabulary) <= MOST_TERMS else None), "postings", narrow=True)
-    ordered = written(ordered_windows(windows, term_counts(index)), "windows")
+    index = written(build_index(docs), "postings", narrow=True)
+    ordered = written(ordered_windows(test_windows(benchmark, n), term_counts(index)), "windows")
     blocks = max(1, -(-ordered.count() // BLOCK))
-    found = None
-    for b in range(blocks):
-        rows = [(list(r.window), list(r["items"]), list(r["rank"])) for r in ordered.where(F.pmod("id", F.lit(blocks)) == b).collect()]
-        one = search_block(index, rows, slop)
-        found = one if found is None else found.unionByName(one)
+
+    def block(b: int) -> Broadcast:
+        own = ordered.where(F.pmod("id", F.lit(blocks)) == b) if blocks > 1 else ordered
+        return index.sparkSession.sparkContext.broadcast([(list(r.window), list(r["items"]), list(r["rank"])) for r in own.collect()])
+
+    found = search_block(index, block(0), slop)
     if blocks > 1:
-        found = found.groupBy("shard", "row").agg(
+        parts = [written(found, "hits")]
+        for b in range(1, blocks):
+            shared = block(b)
+            parts.append(written(search_block(index, shared, slop).where("size(spans) > 0"), "hits", narrow=True))
+            shared.destroy()
+        found = reduce(DataFrame.unionByName, parts).groupBy("shard", "row").agg(
             F.first("doc_id").alias("doc_id"),
             F.first("n_words").alias("n_words"),
             F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -58,11 +60,10 @@ def test_hits_are_those_of_brute_force(tables):
     assert result(decontaminate(*tables)) == brute(DOCS, ITEMS)
 
 
-def test_several_blocks_and_an_index_of_all_terms_give_the_same(tables, monkeypatch):
+def test_several_blocks_give_the_same(tables, monkeypatch):
     from envlake.llm import decontaminate as module
 
     monkeypatch.setattr(module, "BLOCK", 3)
-    monkeypatch.setattr(module, "MOST_TERMS", 5)
     assert result(decontaminate(*tables)) == brute(DOCS, ITEMS)
 
 
@@ -80,6 +81,33 @@ def test_proximity_finds_words_out_of_place(spark):
     assert near.contaminated and near.n_hit == 5
 
 
+def test_proximity_stays_in_a_document_and_keeps_exact_matches(spark):
+    docs = spark.createDataFrame([(1, "z z a"), (2, "b a"), (3, "b"), (4, "a z z b b a")], "doc_id bigint, text string").coalesce(1)
+    items = spark.createDataFrame([(1, "b a")], "item_id bigint, text string")
+    for slop in range(4):
+        hit = {r.doc_id: r.n_hit for r in decontaminate(docs, items, slop=slop).collect()}
+        assert hit[2] == 2 and hit[1] == hit[3] == 0 and hit[4] >= 2
+
+
+def test_proximity_is_that_of_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcde") for _ in range(rng.randint(0, 12)))) for i in range(60)]
+    items = [(i, " ".join(rng.sample("abcde", 3))) for i in range(8)]
+    docs, tests = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    counts = Counter(w for _, t in rows for w in t.split())
+    for slop in (0, 1, 2):
+        want = {}
+        for i, t in rows:
+            w = t.split()
+            for item, text in items:
+                q = text.split()
+                at = min(range(3), key=lambda j: (counts[q[j]], j))
+                if any(w[p] == q[at] and all(any(w[x] == q[j] for x in range(max(0, p + j - at - slop), min(len(w), p + j - at + slop + 1))) for j in range(3)) for p in range(len(w))):
+                    want.setdefault(i, set()).add(str(item))
+        got = {r.doc_id: set(r["items"]) for r in decontaminate(docs, tests, slop=slop).collect() if r.contaminated}
+        assert got == want
+
+
 def test_empty_tables(spark, tables):
     docs, items = tables
     assert decontaminate(docs.limit(0), items).count() == 0
