@@ -8,8 +8,10 @@ vector for each language, and a temperature fitted on a part that the training
 leaves out turns its scores into probabilities.
 
 Defined results: a text that is null or has no letter gets "und" and score 0;
-without any labelled text every document gets "und"; whole texts are read,
-whatever their length; rows are predicted from their text alone.
+without any labelled text every document gets "und"; whole texts are read, a
+stretch at a time, whatever their length; rows are predicted from their text alone,
+so copies get equal rows; of equally likely languages the first by name is taken.
+predict() adds lang_pred and score and takes the place of columns of these names.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 from .store import small_batches
 
 BITS = 15
-#: Labelled texts of each language that a classifier is fitted on, at most; every fifth sets the temperature.
-MOST_TEXTS = 800
+#: Characters of a text that are read together.
+STRETCH = 1 << 18
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.5, 1.0, 2e-4, 1e-5
 
 _LETTERS: list[np.ndarray] = []
@@ -50,20 +52,34 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     """The hashed n-grams of a text, in order, and how often each occurs; None if it has no letter."""
     if not text:
         return None
-    c = letters()[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
-    c = np.concatenate([[np.uint32(32)], c[(c != 32) | (np.concatenate([[np.uint32(32)], c[:-1]]) != 32)], [np.uint32(32)]])
-    if not (c != 32).any():
+    counts, tail, space = np.zeros(1 << BITS, np.int64), np.zeros(0, np.uint32), np.full(1, 32, np.uint32)
+    some = False
+    for at in range(0, len(text), STRETCH):
+        c = letters()[np.frombuffer(text[at : at + STRETCH].encode("utf-32-le", "replace"), np.uint32)]
+        before = tail[-1:] if len(tail) else space
+        c = c[(c != 32) | (np.concatenate([before, c[:-1]]) != 32)]
+        some = some or bool((c != 32).any())
+        first = space if not at else c[:0]
+        last = space if at + STRETCH >= len(text) else c[:0]
+        tail = _count(counts, tail, np.concatenate([first, c, last]))
+    if not some:
         return None
-    h = [c * np.uint32(0x9E3779B1)]
-    h.append(h[0][:-1] * np.uint32(31) + c[1:] * np.uint32(0x85EBCA6B) + np.uint32(7))
-    h.append(h[1][:-1] * np.uint32(33) + c[2:] * np.uint32(0xC2B2AE35) + np.uint32(11))
-    h = np.concatenate(h)
-    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-    counts = np.bincount(h >> np.uint32(32 - BITS), minlength=1 << BITS)
     at = np.flatnonzero(counts)
     return at, counts[at]
 
 
+def _count(counts: np.ndarray, tail: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Adds the n-grams that end in the new letters, which follow the tail, and gives the last two letters of both."""
+    c, old = np.concatenate([tail, new]), len(tail)
+    one = c * np.uint32(0x9E3779B1)
+    two = one[:-1] * np.uint32(31) + c[1:] * np.uint32(0x85EBCA6B) + np.uint32(7)
+    three = two[:-1] * np.uint32(33) + c[2:] * np.uint32(0xC2B2AE35) + np.uint32(11)
+    h = np.concatenate([one[old:], two[max(old - 1, 0) :], three[max(old - 2, 0) :]])
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    counts += np.bincount(h >> np.uint32(32 - BITS), minlength=1 << BITS)
+    return c[-2:]
+
+
 @dataclass
 class Model:
     labels: list[str]
@@ -133,11 +149,13 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "feature int, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
+def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", most_texts: int = 800, most_rows: int = 20_000) -> Model:
     """A model of the rows for which learn is true and lang is not null.
 
-    Document frequencies cover all of them; the classifier is fitted on the
-    MOST_TEXTS of each language that come first by a hash of their key.
+    Document frequencies cover all of them; the classifier is fitted on those of each
+    language that come first by a hash of their key, most_texts at most, and most_rows of
+    all languages together (but one of each); every fifth sets the temperature. These
+    bounds are what the driver holds.
     """
     small_batches(docs.sparkSession)
     known = docs.where(learn & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("turn"))
@@ -149,7 +167,8 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
 
     sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     # The turns are uniform, so a threshold a little above the wanted share leaves few rows to sort.
-    shares = {name: min(1.0, 1.3 * MOST_TEXTS / n + 30 / n) * 2**32 for name, n in sizes.items()}
+    most = max(1, min(most_texts, most_rows // max(len(sizes), 1)))
+    shares = {name: min(1.0, 1.3 * most / n + 30 / n) * 2**32 for name, n in sizes.items()}
     if not shares:
         return Model([], idf, np.zeros((1 << BITS, 0)))
 
@@ -163,13 +182,15 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     least = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
     sample = known.where(F.conv(F.substring("turn", 1, 8), 16, 10).cast("double") < least)
     made = sample.mapInArrow(vectors, "lang string, turn string, at array<int>, n array<int>").where("at is not null")
+    sample = made.toArrow().combine_chunks()
+    held = [(turn, name, *(sample[c][i].values.to_numpy() for c in ("at", "n"))) for i, (name, turn) in enumerate(zip(sample["lang"].to_pylist(), sample["turn"].to_pylist(), strict=True))]
     rows, taken = [], dict.fromkeys(sizes, 0)
-    for r in sorted(made.toArrow().to_pylist(), key=lambda r: (r["turn"], r["lang"], r["at"])):
-        if taken[r["lang"]] < MOST_TEXTS:
-            taken[r["lang"]] += 1
-            rows.append(r)
-    labels = sorted({r["lang"] for r in rows})
-    return fit(labels, idf, [(labels.index(r["lang"]), np.array(r["at"]), np.array(r["n"])) for r in rows])
+    for _, name, at, n in sorted(held, key=lambda r: (r[0], r[1], r[2].tobytes(), r[3].tobytes())):
+        if taken[name] < most:
+            taken[name] += 1
+            rows.append((name, at, n))
+    number = {name: i for i, name in enumerate(sorted({r[0] for r in rows}))}
+    return fit(list(number), idf, [(number[name], at, n) for name, at, n in rows])
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
