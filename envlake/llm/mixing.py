@@ -10,7 +10,9 @@ epochs first, then the documents up to the budget, the last one in part.
 Defined results: a null or empty text has size 0 and nothing is taken of it; null
 is a source of its own, the last; a source without words has target 0; repeated
 rows are separate documents, and which of two identical rows comes first does not
-show in the result.
+show in the result; rows without an id, or with one id, are told apart by their
+text; other columns, whatever their names, play no part, and of a text, however
+long, only its size and digest go on.
 """
 
 from __future__ import annotations
@@ -47,9 +49,10 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
     return table.select("source", "source_size", "weight", F.least("cap", F.col("weight") * F.lit(level)).alias("target"))
 
 
-def mix_sources(docs: DataFrame, size: Column, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, epochs: int = 2, seed: str = "mix", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
+def mix_sources(docs: DataFrame, size: Column, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, epochs: int = 2, seed: str = "mix", doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """(doc_id, size, source, source_size, target, taken): the words the mix takes of each document."""
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
+    own = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (doc_id, text) if c in docs.columns]
+    key = F.md5(F.concat_ws(":", F.lit(seed), own[0], F.md5(own[-1])))
     sized = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.cast("bigint").alias("size"), key.alias("key")), "sized", narrow=True)
     ranges = max(1, -(-sized.count() // RANGE_ROWS))
     sized = sized.withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint") * ranges / F.lit(2**32)))

@@ -22,7 +22,7 @@ FROM shown GROUP BY conv_id
 
 OP4 = f"""
 WITH doc AS MATERIALIZED (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{BLACK_WORD}')) AS BIGINT) AS size,
-        md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS key FROM documents),
+        md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', md5(coalesce(text, '')))) AS key FROM documents),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM doc GROUP BY source),
 turn AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS weight, source_size * 2.0::DOUBLE AS cap FROM src),
 level AS (SELECT *, coalesce(sum(cap) OVER p, 0) AS capped, sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest,
