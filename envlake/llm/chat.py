@@ -101,17 +101,20 @@ def format_turns(conversations: DataFrame, conv_id: str = "conv_id", turn: str =
 
 
 def format_conversations(conversations: DataFrame, **columns: str) -> DataFrame:
-    """(conv_id, formatted, loss_spans): whole conversations as one text, with [from, to) code points under the loss mask."""
-    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text", "formatted")))
-    made = format_turns(conversations, **columns).groupBy("conv_id").agg(turns.alias("turns"))
+    """(conv_id, i, role, formatted, start, loss_from, loss_to): conversations as their formatted turns in order, i from 0.
+
+    Joined in order they are the conversation's text; a turn starts at its code point
+    start, and what is learnt of it stands in [loss_from, loss_to), null for other roles. A
+    conversation of any length is never one row.
+    """
+    turns = format_turns(conversations, **columns)
     # a text begins after the first unescaped end of the role, and ends before CLOSE and the line feed
-    n, head = F.length("x.formatted"), F.length("x.formatted") - F.length(F.regexp_replace("x.formatted", _HEAD, ""))
-    parts = made.select("conv_id", F.posexplode("turns").alias("i", "x"))
-    before = F.coalesce(F.sum(n).over(Window.partitionBy("conv_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    span = F.when(F.col("x.role") == LEARNT, F.struct((before + head).alias("from"), (before + n - len(CLOSE) - 1).alias("to")))
-    parts = parts.select("conv_id", "i", F.col("x.formatted").alias("f"), span.alias("span"))
-    whole = parts.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("i", "f", "span"))).alias("p"))
-    return whole.select("conv_id", F.array_join("p.f", "").alias("formatted"), F.filter("p.span", lambda s: s.isNotNull()).alias("loss_spans"))
+    n, head = F.length("formatted"), F.length("formatted") - F.length(F.regexp_replace("formatted", _HEAD, ""))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    start = F.coalesce(F.sum(n).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint")
+    placed = turns.select("conv_id", (F.row_number().over(order) - 1).alias("i"), "role", "formatted", start.alias("start"), n.alias("n"), head.alias("head"))
+    learnt = F.col("role") == LEARNT
+    return placed.select("conv_id", "i", "role", "formatted", "start", F.when(learnt, F.col("start") + F.col("head")).alias("loss_from"), F.when(learnt, F.col("start") + F.col("n") - len(CLOSE) - 1).alias("loss_to"))
 
 
 def digests(turns: DataFrame) -> DataFrame:

@@ -53,9 +53,14 @@ def test_digests_are_those_of_the_source(spark):
 def test_whole_conversations_and_their_loss_mask(spark):
     df = spark.createDataFrame(ROWS, "conv_id bigint, turn bigint, role string, text string")
     want = by_hand()
-    for r in format_conversations(df).collect():
-        turns = list(parse(r.formatted))
-        assert len(turns) == want[r.conv_id][0]
-        shown = [r.formatted[s["from"] : s["to"]] for s in r.loss_spans]
+    found = {}
+    for r in sorted(format_conversations(df).collect(), key=lambda r: r.i):
+        found.setdefault(r.conv_id, []).append(r)
+    assert found.keys() == want.keys()
+    for conv, rows in found.items():
+        whole = "".join(r.formatted for r in rows)
+        turns = list(parse(whole))
+        assert len(turns) == want[conv][0] and [whole[r.start : r.start + len(r.formatted)] for r in rows] == [r.formatted for r in rows]
+        shown = [whole[r.loss_from : r.loss_to] for r in rows if r.loss_from is not None]
         learnt = [x for role, x in turns if role == "assistant"]
         assert [list(parse(f"### assistant: {x}</turn>\n"))[0][1] for x in shown] == learnt
