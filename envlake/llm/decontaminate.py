@@ -202,13 +202,13 @@ def search_block(index: DataFrame, shared: Broadcast, slop: int = 0) -> DataFram
     return index.mapInArrow(look, HITS_SCHEMA)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, slop: int = 0) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, slop: int = 0, doc_id: str = "doc_id") -> DataFrame:
     """A row for each document: doc_id, n_words, spans (words hit, from 0), n_hit, items, n_items, contaminated.
 
     slop 0 finds exact phrases; a larger one also finds windows whose words stand
     at most so many words from their places, as seen from the window's rarest word.
     """
-    index = written(build_index(docs), "postings", narrow=True)
+    index = written(build_index(docs, doc_id), "postings", narrow=True)
     ordered = written(ordered_windows(test_windows(benchmark, n), term_counts(index)), "windows")
     blocks = max(1, -(-ordered.count() // BLOCK))
 

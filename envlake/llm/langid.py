@@ -11,7 +11,7 @@ Defined results: a text that is null or has no letter gets "und" and score 0;
 without any labelled text every document gets "und"; whole texts are read, a
 stretch at a time, whatever their length; rows are predicted from their text alone,
 so copies get equal rows; of equally likely languages the first by name is taken.
-predict() adds lang_pred and score and takes the place of columns of these names.
+predict() takes the place of columns that have the names of its results.
 """
 
 from __future__ import annotations
@@ -193,8 +193,8 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     return fit(list(number), idf, [(number[name], at, n) for name, at, n in rows])
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs with lang_pred and score, from the text alone."""
+def predict(docs: DataFrame, model: Model, text: str = "text", label: str = "lang_pred", score: str = "score") -> DataFrame:
+    """docs with a label and its score, from the text alone, in columns of the given names."""
     shared = docs.sparkSession.sparkContext.broadcast((model.labels, model.idf, model.weights, model.temperature))
 
     @F.pandas_udf("lang_pred string, score double")
@@ -204,8 +204,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         own = Model(*shared.value)
         return pd.DataFrame([own.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    found = docs.withColumn("_guess", guess(F.col(text)))
-    return found.withColumns({"lang_pred": F.col("_guess.lang_pred"), "score": F.col("_guess.score")}).drop("_guess")
+    kept = [c for c in docs.columns if c not in (label, score)]
+    held = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(kept)], guess(F.col(text)).alias("guess"))
+    return held.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], F.col("guess.lang_pred").alias(label), F.col("guess.score").alias(score))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ def test_stages_keep_columns_and_clean_documents(spark, data):
     assert first.count() >= docs.where("text rlike '[a-z]{3}'").count() * 0.98
 
     kept = corpus_pipeline.near_duplicates(spark, docs, data)
-    groups = Counter(r.component_id for r in jaccard.jaccard_components(docs).collect())
+    groups = Counter(r.component_id for r in jaccard.jaccard_components(docs, 5, 80).collect())
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(groups)
 
     clean = corpus_pipeline.benchmark_decontamination(spark, docs, data)
@@ -55,3 +56,74 @@ def test_stages_take_nulls_and_no_rows(spark, data):
         for _, stage in corpus_pipeline.STAGES:
             df = stage(spark, df, data)
             df.count()
+
+
+def shingles(text, k=5):
+    w = re.findall("[^ \t-\r]+", (text or "").translate(LOWER))
+    return frozenset(tuple(w[i : i + k]) for i in range(max(len(w) - k + 1, 1))) if w else frozenset()
+
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, lang_pred string, row int"
+
+
+def test_rows_of_one_id_are_decided_each_and_other_columns_stay(spark, data):
+    english = "the cat and the dog are in the house and that is what they want to be in for the night"
+    other = "it was the best of times and it was the worst of times when they were at sea with the rest"
+    third = "all of the people in this town have said that they would like to see more of the same"
+    passage = spark.read.parquet(f"{data}/benchmark.parquet").where("size(split(text, ' ')) > 12").first().text
+    rows = [(1, english), (2, english), (2, other), (None, third), (None, third + " " + passage), (4, third + " " + passage), (5, other + " and"), (6, None), (7, ""), (6, None), (None, english)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 5, 42.0, "xx", n) for n, (i, t) in enumerate(rows)], SCHEMA).repartition(3)
+    got = corpus_pipeline.language_id(spark, docs, data)
+    assert got.columns == docs.columns and {(r.score, r.lang_pred) for r in got.collect()} == {(42.0, "xx")} and {r.row for r in got.collect()} == {0, 1, 2, 3, 4, 5, 6, 10}
+    got = {r.row for r in corpus_pipeline.near_duplicates(spark, docs, data).collect()}
+    assert got == {0, 2, 3, 5, 7, 8, 9}
+    got = {r.row for r in corpus_pipeline.benchmark_decontamination(spark, docs, data).collect()}
+    assert got == {0, 1, 2, 3, 6, 7, 8, 9, 10}
+    got = corpus_pipeline.secret_scan(spark, docs, data)
+    assert got.columns == docs.columns and {(r.row, r.score) for r in got.collect()} == {(i, 42.0) for i in range(11)} and {r.n_chars for r in got.where("text is null").collect()} == {5}
+    assert corpus_pipeline.mix_sources(spark, docs, data).count() == 11
+
+
+def test_the_run_is_that_of_brute_force(spark, data):
+    """Near copies, passages and the mix by plain Python; the two learnt stages by their operators' rows."""
+    from envlake.llm import langid, secrets
+
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    model = langid.train(docs, ~langid.held_out())
+    rows = [r for r in docs.collect() if (p := model.predict(r.text))[0] != "und" and p[1] >= corpus_pipeline.LEAST_LANGUAGE_SCORE]
+    sets = {r.doc_id: shingles(r.text) for r in rows}
+    least = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for i in sets:
+            for j in sets:
+                if least[j] < least[i] and sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                    least[i], changed = least[j], True
+    rows = [r for r in rows if least[r.doc_id] == r.doc_id]
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
+    windows = {tuple(w[i : i + 10]) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect() for w in [words(r.text)] if w for i in range(max(len(w) - 9, 1))}
+    rows = [r for r in rows if not any(tuple(w[i : i + n]) in windows for w in [words(r.text)] for n in {len(x) for x in windows} for i in range(len(w) - n + 1))]
+    kept = spark.createDataFrame(rows, docs.schema)
+    clean = secrets.Scanner(spark, secrets.dictionary_words(kept)).redact(kept).collect()
+    sizes = {r.doc_id: len(re.findall("[^ \t-\r]+", r.text or "")) for r in clean}
+    of = {}
+    for r in clean:
+        of[r.source] = of.get(r.source, 0) + sizes[r.doc_id]
+    names = sorted(of, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    full, target = set(), {}
+    while True:
+        left = 1.5 * sum(of.values()) - sum(2 * of[s] for s in full)
+        target = {s: 2 * of[s] if s in full else left * weight[s] / sum(weight[x] for x in names if x not in full) for s in names}
+        more = {s for s in names if s not in full and target[s] > 2 * of[s]}
+        if not more:
+            break
+        full |= more
+    got = corpus_pipeline.run(spark, data).collect()
+    assert {(r.doc_id, r.size, r.source_size) for r in got} == {(r.doc_id, sizes[r.doc_id], of[r.source]) for r in clean}
+    for s in names:
+        own = [r for r in got if r.source == s]
+        assert abs(own[0].target - target[s]) < 1e-6 * max(target[s], 1) and sum(r.taken for r in own) == int(own[0].target)
+        assert all(r.taken <= 2 * r.size for r in own)
