@@ -1,7 +1,10 @@
 """A training corpus from raw documents: five stages, each an operator of envlake.llm.
 
 Every stage takes (spark, docs, sf_dir), works on all that the stage before it
-kept, and returns a DataFrame; all but the last return the columns of documents.
+kept, and returns a DataFrame; all but the last return the columns of documents,
+and any others that docs has, unchanged whatever their names. A row is its own
+document: decisions find it by a key of its own, so rows that share an id, or have
+none, are decided each by its text. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -20,53 +23,88 @@ LEAST_LANGUAGE_SCORE = 0.4
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name like the given one that docs does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def _no_more_files(kept: DataFrame, docs: DataFrame) -> DataFrame:
     """kept with the columns of docs and no more partitions, so that a shuffle doesn't leave later stages many small files."""
     return kept.select(*docs.columns).coalesce(max(1, docs.rdd.getNumPartitions()))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the classifier, learnt from these documents, recognises."""
-    model = langid.train(docs, ~langid.held_out())
-    found = langid.predict(docs, model)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    """Documents in a language that the classifier, learnt from these documents, recognises.
 
+    A null or empty text, or one without letters, goes, and so does one without any
+    likely language; whole texts of any length are read. Copies are decided alike. If no
+    document has a language to learn from, none is recognised.
+    """
+    model = langid.train(docs, ~langid.held_out())
+    label, score = _free(docs, "lang_pred"), _free(docs, "score")
+    found = langid.predict(docs, model, label=label, score=score)
+    return found.where((F.col(label) != "und") & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, k: int = 3, percent: int = 90) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id. Rows without an id stay, but for exact copies."""
-    found = jaccard.jaccard_components(docs.select("doc_id", "text"), k, percent)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return _no_more_files(docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]), docs)
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id, an id before none.
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """near_duplicates as the pipeline takes them; the defaults there are op10's."""
-    return near_duplicates(spark, docs, sf_dir, NEAR_WORDS, NEAR_PERCENT)
+    Texts that share 80 % of their five-word shingles are near copies, and a group is all
+    that they reach; whole texts count. Of a document's repeated rows one stays. Null and
+    empty texts are in no group and all stay. Of several rows with the smallest id any one.
+    """
+    key = _free(docs, "row")
+    # written once, so that a row keeps its key whatever is computed again
+    keyed = written(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    found = jaccard.jaccard_components(keyed.select(key, "text"), NEAR_WORDS, NEAR_PERCENT, doc_id=key)
+    grouped = found.where("n_shingles > 0").select(F.col("doc_id").alias(key), "component_id").join(keyed.select(key, F.col("doc_id").alias("id")), key)
+    first = grouped.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", key)).alias("first"))
+    gone = grouped.join(first, "component_id").where(F.col(key) != F.col(f"first.{key}")).select(key)
+    return _no_more_files(keyed.join(gone, key, "left_anti"), docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage: ten consecutive words of an item, or a whole shorter item.
+
+    Null and empty texts stay; passages of any place in a text of any length count;
+    copies go together. Rows are found again by a hash of their id and text.
+    """
+    key = _free(docs, "row")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.decontaminate(docs.select("doc_id", "text"), benchmark)
-    hit = found.where("contaminated").select("doc_id").distinct()
-    return _no_more_files(docs.join(hit, "doc_id", "left_anti"), docs)
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = decontaminate.decontaminate(keyed.select(key, "text"), benchmark, doc_id=key)
+    hit = found.where("contaminated").select(F.col("doc_id").alias(key)).distinct()
+    return _no_more_files(keyed.join(hit, key, "left_anti"), docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets redacted."""
+    """All documents, with secrets redacted and n_chars the length of what is left.
+
+    A null text stays null and keeps its n_chars; texts of any length are scanned whole;
+    copies are redacted alike.
+    """
     scanner = secrets.Scanner(spark, secrets.dictionary_words(docs))
-    return scanner.redact(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    redacted = scanner.redact(docs)
+    if "n_chars" in docs.columns:
+        redacted = redacted.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars")))
+    return redacted.select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes."""
+    """How many words of each document the mix takes: a row for each, of these columns alone.
+
+    Nothing is taken of a null or empty text; a null source is one, the last; repeated rows are documents of their own.
+    """
     mixed = mixing.mix_sources(docs, mixing.black_words())
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language_id),
-    ("near_duplicates", near_copies),
+    ("near_duplicates", near_duplicates),
     ("benchmark_decontamination", benchmark_decontamination),
     ("secret_scan", secret_scan),
     ("mix_sources", mix_sources),
