@@ -9,18 +9,24 @@ Set-relation skipping, in two places:
   looks up its own lists and skips every other, whatever frequent shingles the
   texts share. Blocks hold about six shingles, so a shared passage or a common
   phrase does not make a list.
-* Answers from answers. Sets that meet in lists are compared whole. Inside a
-  task, overlaps of a set with all others are derived from those of the set
-  before it, by the few shingles in which the two differ, and sets whose possible
-  partners are all connected already are skipped.
-
-Exact copies are one set from the start. Groups of candidates of any size are
-split into blocks, and every pair of blocks is one task's work, so none is
+* Answers from answers. First each member of a list is compared with the list's
+  first one alone, in several rounds with another first one each; a group of near
+  copies is mostly connected by then, for as many comparisons as it has members.
+  Lists whose members are all connected are skipped from then on. What is left
+  apart is compared whole: inside a task, the overlaps of a set with all others are
+  derived from those of the most similar set that has been answered, by the few
+  shingles in which the two differ, and read from lists by skipping to the sets
+  that come after it.
+
+Exact copies are one set from the start. Groups that are left apart, of any size,
+are split into blocks, and every pair of blocks is one task's work, so none is
 gathered whole. Hash collisions aside (64 bits a shingle), results are exact.
 
 Defined results: a null or empty text has no shingles and links with nothing; a
-repeated row is the same document; rows with a null doc_id link with nothing and
-get a null component.
+repeated row is the same document, and so are rows with one id and different texts;
+rows with a null doc_id link with nothing and get a null component; ties do not
+occur, as a component is named by its smallest id; other columns, whatever their
+names, play no part. A task holds a long text's words and shingles whole.
 """
 
 from __future__ import annotations
@@ -30,13 +36,17 @@ from math import ceil, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
 from .store import small_batches, written
 from .text import BLACK, grams, hash_words, mix, pieces, split_words
 
+#: Rounds in which the members of a list are compared with one of them, each time another.
+TURNS = 3
+#: Answered sets of which the most similar one gives a set's answers.
+ANSWERED = 8
 #: Sets, and shingles, in a block of a group that is compared in one task with another block.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 18
 
@@ -116,8 +126,8 @@ def _prepared(docs: DataFrame, k: int, percent: int, doc_id: str, text: str) ->
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(prepare, "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, lists array<bigint>")
 
 
-def local_components(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """(id, smallest id that it reaches among these sets), for ids that reach a smaller one."""
+def local_components(ids: list[int], sets: list[np.ndarray], percent: int, labels: list[int] | None = None) -> list[tuple[int, int]]:
+    """(id, smallest id that it reaches among these sets), for ids that reach a smaller one; sets with one label are connected already."""
     order = np.argsort([len(s) for s in sets], kind="stable")
     sets, ids = [sets[i] for i in order], np.array(ids, np.int64)[order]
     size = np.array([len(s) for s in sets], np.int64)
@@ -125,29 +135,31 @@ def local_components(ids: list[int], sets: list[np.ndarray], percent: int) -> li
     _, code = np.unique(np.concatenate(sets), return_inverse=True)
     ends = np.concatenate([[0], np.cumsum(size)])
     own = [np.sort(code[ends[i] : ends[i + 1]]) for i in range(n)]
-    by_code = np.argsort(code, kind="stable")
-    holder = np.repeat(np.arange(n), size)[by_code]  # by shingle: the sets that hold it, by size
-    begin = np.concatenate([[0], np.cumsum(np.bincount(code))])
-
-    def count(shingles: np.ndarray) -> np.ndarray:
-        lengths = begin[shingles + 1] - begin[shingles]
-        at = np.repeat(begin[shingles] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-        return np.bincount(holder[at], minlength=n)
-
-    label = np.arange(n)
-    before, overlap = -1, np.zeros(n, np.int64)
+    # the list of a shingle has the sets that hold it, by size: one array for all lists, in which a place is found by skipping
+    places = np.sort(code.astype(np.int64) * n + np.repeat(np.arange(n), size))
+
+    def count(shingles: np.ndarray, first: int) -> np.ndarray:
+        """How many of the shingles each set from the first on holds."""
+        begin, end = np.searchsorted(places, shingles * n + first), np.searchsorted(places, (shingles + 1) * n)
+        lengths = end - begin
+        at = np.repeat(begin - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        return np.bincount(places[at] % n, minlength=n)
+
+    label = np.arange(n) if labels is None else np.unique(np.array(labels, np.int64)[order], return_inverse=True)[1]
+    answered: list[tuple[int, np.ndarray]] = []
     upto = np.searchsorted(size, size * 100 // percent, side="right")
     for i in range(n - 1):
         a, b = i + 1, upto[i]
         if a >= b or (label[a:b] == label[i]).all():
             continue
-        differ = np.setxor1d(own[i], own[before], assume_unique=True) if before >= 0 else own[i]
-        if before >= 0 and len(differ) < len(own[i]):
-            new = np.isin(differ, own[i], assume_unique=True)
-            overlap = overlap + count(differ[new]) - count(differ[~new])
+        # the answers of the most similar answered set, changed by the shingles in which the two differ
+        near = min(answered, key=lambda known: size[known[0]] - 2 * known[1][i], default=None)
+        if near is not None and size[near[0]] - 2 * near[1][i] < 0:
+            lost, new = (np.setdiff1d(x, y, assume_unique=True) for x, y in ((own[near[0]], own[i]), (own[i], own[near[0]])))
+            overlap = near[1] + count(new, i) - count(lost, i)
         else:
-            overlap = count(own[i])
-        before = i
+            overlap = count(own[i], i)
+        answered = [*answered[1 - ANSWERED :], (i, overlap)]
         both = overlap[a:b]
         for other in np.unique(label[a:b][100 * both >= percent * (size[i] + size[a:b] - both)]):
             low, high = min(label[i], other), max(label[i], other)
@@ -157,41 +169,88 @@ def local_components(ids: list[int], sets: list[np.ndarray], percent: int) -> li
     return [(int(x), int(y)) for x, y in zip(ids, least[label], strict=True) if x != y]
 
 
-def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row: texts link when 100 * intersection >= percent * union."""
-    table = written(_prepared(docs, k, percent, doc_id, text), "sets")
-    filled = table.where("n_shingles > 0 and doc_id is not null")
-    copies = ["fp1", "fp2", "n_shingles"]
-    reps = filled.groupBy(*copies).agg(F.min("doc_id").alias("rep"), F.first("lists").alias("lists"))
-    lists = reps.select("rep", "n_shingles", F.explode("lists").alias("list"))
-    beside = F.lag("rep").over(Window.partitionBy("list").orderBy("rep"))
-    met = lists.select("rep", beside.alias("near")).where("near is not null").select(F.col("near").alias("a"), F.col("rep").alias("b")).distinct()
-    groups = written(connected(met).withColumnRenamed("component", "cluster"), "clusters")
-    sizes = groups.join(filled.select(F.col("doc_id").alias("node"), "n_shingles").distinct(), "node").groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
-    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
-    groups = groups.join(sizes.select("cluster", blocks.alias("blocks")), "cluster")
-    candidates = docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text")).join(groups, "node")
+def _shingles(docs: DataFrame, k: int) -> DataFrame:
+    """(node, shingles array<bigint>) of (node, text) rows, each set of a node once."""
+    schema = pa.schema([("node", pa.int64()), ("digest", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [h.tobytes() for h in shingle_sets(batch.column(3), k)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(held, pa.binary())], names=["node", "cluster", "blocks", "shingles"])
+            for a, b in pieces(batch.column(1), 1 << 20):
+                held = list(shingle_sets(batch.column(1).slice(a, b - a), k))
+                ends = np.concatenate([[0], np.cumsum([len(h) for h in held])]).astype(np.int32)
+                digest = [int(mix(h).sum(dtype=np.uint64).astype(np.int64)) for h in held]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(digest, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held).astype(np.int64)))], schema=schema)
+
+    found = docs.select("node", "text").mapInArrow(sets, "node bigint, digest bigint, shingles array<bigint>")
+    return found.groupBy("node", "digest").agg(F.first("shingles").alias("shingles")).select("node", "shingles")
+
+
+def _first_pairs(members: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each member of a list with the list's first one, by an order of the turn's own, where the two are not connected."""
+    order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
+    first = members.groupBy("list").agg(F.min_by(F.struct("rep", "component"), order).alias("first"))
+    pairs = members.join(first, "list").where("component <> first.component")
+    return pairs.select(F.least("rep", "first.rep").alias("a"), F.greatest("rep", "first.rep").alias("b")).distinct()
 
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    held = candidates.select("node", "cluster", "blocks", "text").mapInArrow(sets, "node bigint, cluster bigint, blocks int, shingles binary").withColumn("own", own)
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs of nodes whose sets link. A node that is in very many pairs is sent to them, not they to it."""
+    both = F.size(F.array_intersect("x", "y"))
+    held = pairs.join(sets.toDF("b", "y"), "b").join(sets.toDF("a", "x"), "a")
+    return held.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
+
+
+def _apart(members: DataFrame, components: DataFrame) -> DataFrame:
+    """(list, rep, component): the members of lists that are not yet one component."""
+    now = members.join(components, F.col("rep") == F.col("node"), "left").select("list", "rep", F.coalesce("component", "rep").alias("component"))
+    spread = now.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return now.join(spread.select("list"), "list", "left_semi")
+
+
+def _all_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect all members of lists that link, every two of a group of lists compared in one block pair."""
+    edges = _first_pairs(members.withColumn("component", F.col("rep")), 0)
+    groups = written(connected(edges).withColumnRenamed("component", "cluster"), "clusters")
+    nodes = groups.join(members.select(F.col("rep").alias("node"), "component").distinct(), "node")
+    sized = nodes.join(sets.select("node", F.size("shingles").alias("n")), "node").groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
+    nodes = nodes.join(sized.select("cluster", blocks.alias("blocks")), "cluster")
+    held = nodes.join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: (j != F.col("own")) | (F.col("blocks") == 1))
-    held = held.select("node", "cluster", "shingles", "own", F.explode(others).alias("other"))
-    held = held.select("node", "cluster", "shingles", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    held = held.select("node", "component", "cluster", "shingles", "own", F.explode(others).alias("other"))
+    held = held.select("node", "component", "cluster", "shingles", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        sets = [x.values.to_numpy().view(np.uint64) for x in table["shingles"]]
+        pairs = local_components(table["node"].to_pylist(), sets, percent, table["component"].to_pylist())
+        return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    def compare(pdf):
-        import pandas as pd
+    return held.groupBy("cluster", "i", "j").applyInArrow(compare, "a bigint, b bigint")
 
-        pairs = local_components(pdf["node"].tolist(), [np.frombuffer(x, np.uint64) for x in pdf["shingles"]], percent)
-        return pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
 
-    links = held.groupBy("cluster", "i", "j").applyInPandas(compare, "a bigint, b bigint")
-    component = connected(links)
-    least = filled.groupBy(*copies).agg(F.min("doc_id").alias("rep")).join(component, F.col("rep") == F.col("node"), "left")
+def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row: texts link when 100 * intersection >= percent * union."""
+    table = written(_prepared(docs, k, percent, doc_id, text), "sets")
+    filled = table.where("n_shingles > 0 and doc_id is not null")
+    copies = ["fp1", "fp2", "n_shingles"]
+    reps = filled.groupBy(*copies).agg(F.min("doc_id").alias("rep"), F.first("lists").alias("lists"))
+    lists = reps.select("rep", F.explode("lists").alias("list"))
+    several = lists.groupBy("list").agg(F.count("*").alias("m")).where("m > 1").select("list")
+    members = written(lists.join(several, "list").distinct(), "members", narrow=True)
+    nodes = members.select(F.col("rep").alias("node")).distinct()
+    sets = written(_shingles(docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text")).join(nodes, "node"), k), "shingles")
+    apart = members.withColumn("component", F.col("rep"))
+    components = None
+    for turn in range(TURNS):
+        links = _linked(_first_pairs(apart, turn), sets, percent)
+        known = components.select("node", "component").toDF("a", "b").union(links) if components is not None else links
+        components = written(connected(known), "components")
+        apart = written(_apart(members, components), "apart", narrow=True)
+        if apart.isEmpty():
+            break
+    else:
+        components = connected(components.toDF("a", "b").union(_all_links(apart, sets, percent)))
+    least = filled.groupBy(*copies).agg(F.min("doc_id").alias("rep")).join(components, F.col("rep") == F.col("node"), "left")
     # written, so that the join below has a shuffle on either side and Spark can split a set with very many copies
     least = written(least.select(*copies, F.coalesce("component", "rep").alias("found")), "components")
     joined = table.select("doc_id", *copies).join(least, copies, "left")

@@ -65,6 +65,7 @@ def test_small_blocks_lose_no_link(spark, monkeypatch):
     from envlake.llm import jaccard
 
     monkeypatch.setattr(jaccard, "BLOCK_SETS", 3)
+    monkeypatch.setattr(jaccard, "TURNS", 1)
     rows = near_copies(7, groups=4, copies=20)
     found = jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert sorted([tuple(r) for r in found.collect()], key=str) == brute(rows)
@@ -111,6 +112,26 @@ def test_local_components_by_derived_overlaps():
                 want = [low if x == high else x for x in want]
     got = dict(local_components(list(range(40)), sets, 90))
     assert [got.get(i, i) for i in range(40)] == want
+    got = dict(local_components(list(range(40)), sets, 90, [want[0] if w == want[0] else 100 + i for i, w in enumerate(want)]))
+    assert [got.get(i, i) for i in range(40)] == want
+
+
+def test_a_group_of_near_copies_is_compared_as_often_as_it_has_members(spark, monkeypatch):
+    from envlake.llm import jaccard
+
+    pairs, linked = [], jaccard._linked
+
+    def counted(found, sets, percent):
+        pairs.append(found.count())
+        return linked(found, sets, percent)
+
+    monkeypatch.setattr(jaccard, "_linked", counted)
+    monkeypatch.setattr(jaccard, "_all_links", None)  # nothing is left for it
+    for m in (100, 400):
+        pairs.clear()
+        rows = [(i, " ".join([*(f"w{j}" for j in range(300)), f"v{i}"])) for i in range(m)]
+        found = jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert {r.component_id for r in found.collect()} == {0} and m - 1 <= sum(pairs) < 3 * m
 
 
 def test_components_of_a_chain_and_a_star(spark):
