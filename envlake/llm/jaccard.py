@@ -10,8 +10,8 @@ Set-relation skipping, in two places:
   texts share. Blocks hold about six shingles, so a shared passage or a common
   phrase does not make a list.
 * Answers from answers. First each member of a list is compared with the list's
-  first one alone, in several rounds with another first one each; a group of near
-  copies is mostly connected by then, for as many comparisons as it has members.
+  first one alone; a group of near copies of one text is connected by then, for as
+  many comparisons as it has members.
   Lists whose members are all connected are skipped from then on. What is left
   apart is compared whole: inside a task, the overlaps of a set with all others are
   derived from those of the most similar set that has been answered, by the few
@@ -43,8 +43,6 @@ from .components import connected
 from .store import small_batches, written
 from .text import BLACK, grams, hash_words, mix, pieces, split_words
 
-#: Rounds in which the members of a list are compared with one of them, each time another.
-TURNS = 3
 #: Answered sets of which the most similar one gives a set's answers.
 ANSWERED = 8
 #: Sets, and shingles, in a block of a group that is compared in one task with another block.
@@ -185,12 +183,10 @@ def _shingles(docs: DataFrame, k: int) -> DataFrame:
     return found.groupBy("node", "digest").agg(F.first("shingles").alias("shingles")).select("node", "shingles")
 
 
-def _first_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """(a, b): each member of a list with the list's first one, by an order of the turn's own, where the two are not connected."""
-    order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-    first = members.groupBy("list").agg(F.min_by(F.struct("rep", "component"), order).alias("first"))
-    pairs = members.join(first, "list").where("component <> first.component")
-    return pairs.select(F.least("rep", "first.rep").alias("a"), F.greatest("rep", "first.rep").alias("b")).distinct()
+def _first_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): the first member of a list with each of its others."""
+    first = members.groupBy("list").agg(F.min("rep").alias("first"))
+    return members.join(first, "list").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -209,8 +205,7 @@ def _apart(members: DataFrame, components: DataFrame) -> DataFrame:
 
 def _all_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that connect all members of lists that link, every two of a group of lists compared in one block pair."""
-    edges = _first_pairs(members.withColumn("component", F.col("rep")), 0)
-    groups = written(connected(edges).withColumnRenamed("component", "cluster"), "clusters")
+    groups = written(connected(_first_pairs(members)).withColumnRenamed("component", "cluster"), "clusters")
     nodes = groups.join(members.select(F.col("rep").alias("node"), "component").distinct(), "node")
     sized = nodes.join(sets.select("node", F.size("shingles").alias("n")), "node").groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
@@ -239,16 +234,9 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: s
     members = written(lists.join(several, "list").distinct(), "members", narrow=True)
     nodes = members.select(F.col("rep").alias("node")).distinct()
     sets = written(_shingles(docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text")).join(nodes, "node"), k), "shingles")
-    apart = members.withColumn("component", F.col("rep"))
-    components = None
-    for turn in range(TURNS):
-        links = _linked(_first_pairs(apart, turn), sets, percent)
-        known = components.select("node", "component").toDF("a", "b").union(links) if components is not None else links
-        components = written(connected(known), "components")
-        apart = written(_apart(members, components), "apart", narrow=True)
-        if apart.isEmpty():
-            break
-    else:
+    components = written(connected(_linked(_first_pairs(members), sets, percent)), "components")
+    apart = written(_apart(members, components), "apart", narrow=True)
+    if not apart.isEmpty():
         components = connected(components.toDF("a", "b").union(_all_links(apart, sets, percent)))
     least = filled.groupBy(*copies).agg(F.min("doc_id").alias("rep")).join(components, F.col("rep") == F.col("node"), "left")
     # written, so that the join below has a shuffle on either side and Spark can split a set with very many copies

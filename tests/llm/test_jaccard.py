@@ -65,7 +65,6 @@ def test_small_blocks_lose_no_link(spark, monkeypatch):
     from envlake.llm import jaccard
 
     monkeypatch.setattr(jaccard, "BLOCK_SETS", 3)
-    monkeypatch.setattr(jaccard, "TURNS", 1)
     rows = near_copies(7, groups=4, copies=20)
     found = jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert sorted([tuple(r) for r in found.collect()], key=str) == brute(rows)
