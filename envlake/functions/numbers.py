@@ -40,6 +40,12 @@ def exact_decimal(c: Column, precision: int = 18, scale: int = 6) -> Column:
     return F.when(small.cast("decimal(38,18)") == wide, small)
 
 
+def strict_id(c: Column, what: str = "an id") -> Column:
+    """A whole number as bigint; null stays null, anything else is an error when it is computed."""
+    value = positive_id(c)
+    return F.when(c.isNull() | value.isNotNull(), value).otherwise(F.raise_error(F.concat(F.lit(f"{what} is no positive whole number: "), c.cast("string"))))
+
+
 def positive_id(c: Column) -> Column:
     """A positive whole number as bigint, else null."""
     value = c.try_cast("double")

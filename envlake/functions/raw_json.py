@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,12 +47,3 @@ def first_violation(record: Column, fields: list[tuple[str, str]]) -> Column:
     """The reason of the first field, in order, that breaks its contract; null if none does."""
     known = F.schema_of_variant(record).startswith("OBJECT")
     return F.when(record.isNull() | ~known, "record: not an object").otherwise(F.coalesce(*[violation(record, p, n) for p, n in fields]))
-
-
-def all_violations(record: Column, fields: list[tuple[str, str]]) -> Column:
-    """The reasons of all fields that break the contract, in order."""
-    return F.filter(F.array(*[violation(record, p, n) for p, n in fields]), lambda x: x.isNotNull())
-
-
-def any_of(flags: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, flags, F.lit(False))

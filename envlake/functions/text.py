@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Latin letters with accents, and what they are without.
-ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuucnyy"
-
-
 def trimmed(c: Column) -> Column:
     """Text without surrounding blanks; null if nothing is left."""
     text = F.trim(c.cast("string"))
@@ -19,8 +16,16 @@ def trimmed(c: Column) -> Column:
 
 
 def match_key(c: Column) -> Column:
-    """A name without case, accents, blanks and punctuation."""
-    return F.regexp_replace(F.translate(F.lower(c), ACCENTED, PLAIN), r"[^\p{L}\p{N}]", "")
+    """A name as its compatible letters and digits without marks, in folded case (ß is ss).
+
+    Names of registers are few and Spark has no normalisation of its own, so they go to Python in Arrow batches.
+    """
+
+    @F.pandas_udf("string")
+    def folded(names: pd.Series) -> pd.Series:
+        return names.map(lambda x: "".join(ch for ch in unicodedata.normalize("NFKD", x).casefold() if ch.isalnum()), na_action="ignore").astype(object)
+
+    return folded(c.cast("string"))
 
 
 def blank(*columns: Column) -> Column:

@@ -14,21 +14,35 @@ FULL_DATE = r"^\d{4}-\d{2}-\d{2}([T ].*)?$"
 def instant(c: Column, need_offset: bool = False) -> Column:
     """An ISO 8601 text as a timestamp, null where it is none; naive times count as UTC unless an offset is needed."""
     text = F.trim(c.cast("string"))
-    return F.when(text.rlike(WITH_OFFSET if need_offset else FULL_DATE), text.try_cast("timestamp"))
+    own = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(text, F.lit("T00:00:00Z"))).when(text.rlike(WITH_OFFSET), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.when(text.rlike(WITH_OFFSET if need_offset else FULL_DATE), own.try_cast("timestamp"))
+
+
+def in_utc(c: Column) -> Column:
+    """An instant as the date and time that UTC clocks show, without a zone, whatever the session's zone."""
+    return F.convert_timezone(None, F.lit("UTC"), c.cast("timestamp").cast("timestamp_ntz"))
 
 
 def utc_day(c: Column) -> Column:
-    return c.cast("date")
+    """The UTC day of an instant (a date is its own)."""
+    return in_utc(c).cast("date")
 
 
 def natural_key(station: Column, at: Column) -> Column:
-    """station|instant, with microseconds and offset."""
-    return F.concat(F.trim(station.cast("string")), F.lit("|"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    """station|instant in UTC, with microseconds and offset."""
+    return F.concat(F.trim(station.cast("string")), F.lit("|"), F.date_format(in_utc(at), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+
+
+def _bound(at) -> Column:
+    """A literal of an instant; a time without a zone is in UTC."""
+    if isinstance(at, datetime):
+        return F.lit(at if at.tzinfo else at.replace(tzinfo=timezone.utc))
+    return F.lit(at)
 
 
 def half_open(c: Column, start, end) -> Column:
-    """start <= c < end."""
-    return (c >= F.lit(start)) & (c < F.lit(end))
+    """start <= c < end; bounds without a zone are in UTC."""
+    return (c >= _bound(start)) & (c < _bound(end))
 
 
 def strict_day(text: str) -> date:

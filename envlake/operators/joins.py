@@ -19,14 +19,6 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str], check: bool = True)
     return df.join(dim, list(on)), df.join(dim, list(on), "left_anti")
 
 
-def lookup_or_fail(df: DataFrame, dim: DataFrame, on: Sequence[str], what: str = "rows") -> DataFrame:
-    found, unmatched = lookup(df, dim, on)
-    n = unmatched.count()
-    if n:
-        raise ValueError(f"{n} {what} without a match on {', '.join(on)}")
-    return found
-
-
 def new_rows(df: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of df whose key existing lacks; a null key is never in existing."""
     return df.join(existing.select(*key), list(key), "left_anti")

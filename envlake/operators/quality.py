@@ -93,9 +93,11 @@ def dimension_counts(counts: DataFrame, unique: tuple[int, int] = (0, 0)) -> Dat
     return counts.select(F.explode(F.array(*one)).alias("d")).select("d.*")
 
 
-def domain_rules(contract: Contract) -> dict[str, Column]:
-    """A rule named <column>: out of range for each numeric column."""
-    return {f"{c}: out of range": outside(F.col(c), *contract.limit(c)) for c in contract.numeric}
+def row_rules(contract: Contract, columns: Sequence[str]) -> dict[str, Column]:
+    """What can be wrong with a parsed row, by reason: given columns that are missing, then numbers out of range or infinite."""
+    missing = {f"{c}: missing": blank(F.col(c)) for c in columns if c not in contract.numeric}
+    missing |= {f"{c}: missing or no number": F.col(c).isNull() for c in contract.numeric if c in columns}
+    return missing | {f"{c}: out of range": outside(F.col(c), *contract.limit(c)) | infinite(F.col(c)) for c in contract.numeric}
 
 
 def guard(df: DataFrame, rules: dict[str, Column], what: str = "the table") -> None:

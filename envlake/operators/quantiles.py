@@ -1,21 +1,23 @@
 """Exact quantiles of groups of any size.
 
-percentile() holds a group's distinct values in one task. Here a group's values are
-counted in equal-width classes, which are summed before the shuffle; only the
-classes in which a wanted rank falls are looked at again, by distinct value. What
-one task sees of a group is its classes, then the distinct values of one class, as
-a sorted stream.
+percentile() holds a group's distinct values in one task. Here a sketch of each group,
+made before the shuffle, gives bounds a little below and above each wanted quantile.
+They cut the numbers into classes: those at a bound, and those between two. Classes are
+counted, again before the shuffle, and only the class in which a wanted rank falls is
+looked at by distinct value: those near a quantile, however the values are spread, and
+however many outliers there are. Where a sketch is off, the rank falls in another class
+and the result is still exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Classes of a group.
-CLASSES = 1024
+#: How far beside a quantile its bounds lie, as a share of the group, and the sketch's accuracy.
+BESIDE, ACCURACY = 0.002, 4000
 
 
 def same_group(by: Sequence[str], left: str, right: str):
@@ -32,13 +34,20 @@ def join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFr
     return rows.alias("l").join(groups.alias("r"), same_group(by, "l", "r"), "left").select("l.*", *[f"r.{c}" for c in extra])
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], names: Sequence[str]) -> DataFrame:
-    """(by, names): the quantiles of each group's numbers, interpolated between ranks; groups without numbers have none."""
-    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    ends = rows.groupBy(*by).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("*").alias("_n"))
-    width = (F.col("_high") - F.col("_low")) / CLASSES
-    place = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_low")) / width), F.lit(CLASSES - 1))).otherwise(0)
-    classed = join_groups(rows, ends, by).select(*by, "_v", "_n", place.alias("_class"))
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], names: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
+    """(by, more, names): the quantiles of each group's numbers, interpolated between ranks; groups without numbers have none.
+
+    more are other aggregates of the groups, made in the same pass as the sketches; without them groups without numbers are left out.
+    """
+    near = sorted({min(1.0, max(0.0, p + d)) for p in probabilities for d in (-BESIDE, BESIDE)})
+    number = F.col(value).cast("double")
+    bounds = F.array_sort(F.array_distinct(F.percentile_approx(number, [float(p) for p in near], ACCURACY)))
+    groups = df.groupBy(*by).agg(F.count(number).alias("_n"), bounds.alias("_bounds"), *more)
+    rows = df.where(number.isNotNull()).select(*by, number.alias("_v"))
+    marked = join_groups(rows, groups.select(*by, "_n", "_bounds"), by)
+    # twice the bounds below a number, and one if it is a bound
+    place = F.aggregate("_bounds", F.lit(0), lambda k, b: k + (F.col("_v") > b).cast("int") + (F.col("_v") >= b).cast("int"))
+    classed = marked.select(*by, "_v", "_n", place.alias("_class"))
     order = Window.partitionBy(*by).orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)
     held = classed.groupBy(*by, "_class").agg(F.count("*").alias("_c"), F.first("_n").alias("_n"))
     held = held.withColumn("_before", F.coalesce(F.sum("_c").over(order), F.lit(0)))
@@ -56,4 +65,5 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probabilities:
         position = (F.col("_n") - 1) * p
         low, high = F.col("_m")[F.floor(position)], F.col("_m")[F.ceil(position)]
         out.append(F.when(low == high, low).otherwise((F.ceil(position) - position) * low + (position - F.floor(position)) * high).alias(name))
-    return at.select(*by, *out)
+    found = at.select(*by, *out)
+    return join_groups(groups.drop("_n", "_bounds"), found, by) if more else found

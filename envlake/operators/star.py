@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..domain import PARAMETERS, UNKNOWN_UNIT
-from ..functions.times import day_parts
+from ..functions.times import day_parts, utc_day
 from .keys import assert_unique, dimension_keys
 from .quality import guard, require_columns
 from .statistics import alerts, rolling_mean
 
+# The published columns of the dimension of stations.
 STATION_COLUMNS = ("codigo_origem", "nome_estacao", "status_estacao", "id_cidade", "nome_cidade", "codigo_ibge_cidade", "sigla_estado", "nome_estado")
 
 
@@ -31,14 +32,14 @@ def dim_station(measures: DataFrame, stations: DataFrame | None = None, cities:
 def dim_parameter(measures: DataFrame) -> DataFrame:
     """Every code that has measures; one that is not in the catalogue is its own name."""
     catalogue = measures.sparkSession.createDataFrame(PARAMETERS, "codigo_parametro string, nome string, unidade string")
-    found = measures.select("codigo_parametro").distinct().join(F.broadcast(catalogue), "codigo_parametro", "left")
+    found = measures.select("codigo_parametro").distinct().join(catalogue, "codigo_parametro", "left")
     found = found.select("codigo_parametro", F.coalesce("nome", "codigo_parametro").alias("nome_parametro"), F.coalesce("unidade", F.lit(UNKNOWN_UNIT)).alias("unidade_medida"))
     return dimension_keys(found, "sk_parametro", ["codigo_parametro"]).select("sk_parametro", "codigo_parametro", "nome_parametro", "unidade_medida")
 
 
 def dim_time(measures: DataFrame) -> DataFrame:
     """Every UTC day that has measures."""
-    days = measures.select(F.col("data_leitura").cast("date").alias("data")).distinct()
+    days = measures.select(utc_day(F.col("data_leitura")).alias("data")).distinct()
     parts = day_parts(F.col("data"))
     return dimension_keys(days, "sk_tempo", ["data"]).select("sk_tempo", "data", *[c.alias(name) for name, c in parts.items()])
 
@@ -46,11 +47,12 @@ def dim_time(measures: DataFrame) -> DataFrame:
 def fact_measures(measures: DataFrame, station: DataFrame, parameter: DataFrame, time: DataFrame, factor: float = 1.5, limit: float = 3.0) -> DataFrame:
     """Each measure with its three keys, its flags and its rolling mean; a key that is missing is an error."""
     rows = rolling_mean(alerts(measures, factor=factor, limit=limit), ("dataset", "id_estacao", "codigo_parametro"), ("data_leitura", "id_leitura_origem"))
-    rows = rows.withColumn("_day", F.col("data_leitura").cast("date"))
+    rows = rows.withColumn("_day", utc_day(F.col("data_leitura")))
     rows = rows.join(station.select("sk_estacao", "id_estacao"), "id_estacao", "left")
     rows = rows.join(parameter.select("sk_parametro", "codigo_parametro"), "codigo_parametro", "left")
     rows = rows.join(time.select("sk_tempo", F.col("data").alias("_day")), "_day", "left")
-    return rows.select("sk_estacao", "sk_tempo", "sk_parametro", "dataset", "id_leitura_origem", "data_leitura", F.col("valor").alias("valor_lido"), "media_movel", "anomalia_iqr", "anomalia_zscore", "alerta_qualidade")
+    found = lambda key, of: F.coalesce(key, F.raise_error(F.concat(F.lit(f"a measure without a {key} for "), F.coalesce(F.col(of).cast("string"), F.lit("null")))).cast("bigint")).alias(key)
+    return rows.select(found("sk_estacao", "id_estacao"), found("sk_tempo", "_day"), found("sk_parametro", "codigo_parametro"), "dataset", "id_leitura_origem", "data_leitura", F.col("valor").alias("valor_lido"), "media_movel", "anomalia_iqr", "anomalia_zscore", "alerta_qualidade")
 
 
 def star_schema(measures: DataFrame, stations: DataFrame | None = None, cities: DataFrame | None = None, states: DataFrame | None = None, factor: float = 1.5, limit: float = 3.0) -> dict[str, DataFrame]:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import finite
+from ..functions.times import utc_day
 from .quantiles import exact_quantiles, join_groups
 
 #: The series of the environmental measurements.
@@ -39,14 +40,8 @@ def describe(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor") ->
     # checked in the same pass, by the rows themselves
     keys = {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"a null in the group column {c}")).cast(kind)) for c, kind in df.dtypes if c in by}
     rows = df.select(v.alias("_v"), *[k.alias(c) for c, k in keys.items()])
-    found = rows.groupBy(*by).agg(
-        F.count("_v").alias("n_validos"),
-        (F.count("*") - F.count("_v")).alias("n_invalidos"),
-        F.avg("_v").alias("media"),
-        F.stddev_samp("_v").alias("desvio_padrao"),
-        F.var_samp("_v").alias("variancia"),
-    )
-    found = found.where("n_validos > 0").join(exact_quantiles(rows, by, "_v", QUARTILES, ("q1", "mediana", "q3")), list(by))
+    more = [F.count("_v").alias("n_validos"), (F.count("*") - F.count("_v")).alias("n_invalidos"), F.avg("_v").alias("media"), F.stddev_samp("_v").alias("desvio_padrao"), F.var_samp("_v").alias("variancia")]
+    found = exact_quantiles(rows, by, "_v", QUARTILES, ("q1", "mediana", "q3"), more).where("n_validos > 0")
     return found.select(*by, "n_validos", "n_invalidos", "media", "mediana", "desvio_padrao", "variancia", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"), F.lit(1).alias("ddof"))
 
 
@@ -57,8 +52,15 @@ def z_scores(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor", li
     """
     limit = check_limit(limit, "the limit")
     rows = df.withColumn(value, finite(F.col(value).cast("double")))
-    groups = rows.groupBy(*by).agg(F.count(value).alias("n_validos"), F.count_if(F.col(value).isNull()).alias("n_invalidos"), F.avg(value).alias("media"), F.stddev_samp(value).alias("desvio_padrao"))
-    rows = join_groups(rows, groups, by)
+    return _scored(join_groups(rows, rows.groupBy(*by).agg(*_moments(value)), by), value, limit)
+
+
+def _moments(value: str) -> list[Column]:
+    """What a Z-score needs of a series."""
+    return [F.count(value).alias("n_validos"), F.count_if(F.col(value).isNull()).alias("n_invalidos"), F.avg(value).alias("media"), F.stddev_samp(value).alias("desvio_padrao")]
+
+
+def _scored(rows: DataFrame, value: str, limit: float) -> DataFrame:
     state = F.when(F.col(value).isNull(), INVALID).when(F.col("n_validos") < 2, FEW).when(F.col("desvio_padrao") == 0, CONSTANT).otherwise(DONE)
     rows = rows.withColumn("status_zscore", state)
     score = F.when(F.col("status_zscore") == DONE, (F.col(value) - F.col("media")) / F.col("desvio_padrao"))
@@ -69,7 +71,11 @@ def iqr_flags(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor", f
     """df with the group's quartiles and Tukey limits, and whether the measure is outside them; null for invalid measures."""
     factor = check_limit(factor, "the factor")
     rows = df.withColumn(value, finite(F.col(value).cast("double")))
-    rows = join_groups(rows, exact_quantiles(rows, by, value, (0.25, 0.75), ("q1", "q3")), by).withColumn("iqr", F.col("q3") - F.col("q1"))
+    return _fenced(join_groups(rows, exact_quantiles(rows, by, value, (0.25, 0.75), ("q1", "q3")), by), value, factor)
+
+
+def _fenced(rows: DataFrame, value: str, factor: float) -> DataFrame:
+    rows = rows.withColumn("iqr", F.col("q3") - F.col("q1"))
     rows = rows.withColumns({"limite_inferior_iqr": F.col("q1") - factor * F.col("iqr"), "limite_superior_iqr": F.col("q3") + factor * F.col("iqr"), "fator_iqr": F.lit(factor)})
     flag = (F.col(value) < F.col("limite_inferior_iqr")) | (F.col(value) > F.col("limite_superior_iqr"))
     return rows.withColumns({"anomalia_iqr": flag, "status_iqr": F.when(F.col(value).isNull(), INVALID).otherwise(DONE)})
@@ -81,16 +87,19 @@ def either(a: Column, b: Column) -> Column:
 
 
 def alerts(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor", factor: float = 1.5, limit: float = 3.0) -> DataFrame:
-    """Both flags and their combination alerta_qualidade."""
-    rows = z_scores(iqr_flags(df, by, value, factor), by, value, limit)
+    """Both flags and their combination alerta_qualidade; what they need of a series is made in one pass and joined once."""
+    factor, limit = check_limit(factor, "the factor"), check_limit(limit, "the limit")
+    rows = df.withColumn(value, finite(F.col(value).cast("double")))
+    rows = join_groups(rows, exact_quantiles(rows, by, value, (0.25, 0.75), ("q1", "q3"), _moments(value)), by)
+    rows = _scored(_fenced(rows, value, factor), value, limit)
     return rows.withColumn("alerta_qualidade", either(F.col("anomalia_iqr"), F.col("anomalia_zscore")))
 
 
 def sql_anomalies(df: DataFrame, by: Sequence[str] = ("id_estacao", "codigo_parametro"), value: str = "valor", limit: float = 3.0, factor: float = 1.5) -> DataFrame:
     """The relational report's dialect: flags are never null, and a Z-score at the limit is an anomaly."""
     rows = df.where(F.col(value).isNotNull())
-    groups = rows.groupBy(*by).agg(F.count("*").alias("n"), F.avg(value).alias("media"), F.stddev_samp(value).alias("desvio"), F.var_samp(value).alias("variancia"))
-    rows = join_groups(join_groups(rows, groups, by), exact_quantiles(rows, by, value, QUARTILES, ("q1", "mediana", "q3")), by)
+    more = [F.count("*").alias("n"), F.avg(value).alias("media"), F.stddev_samp(value).alias("desvio"), F.var_samp(value).alias("variancia")]
+    rows = join_groups(rows, exact_quantiles(rows, by, value, QUARTILES, ("q1", "mediana", "q3"), more), by)
     score = F.when(F.col("desvio") > 0, (F.col(value) - F.col("media")) / F.col("desvio"))
     low, high = (F.col("q1") - factor * (F.col("q3") - F.col("q1")), F.col("q3") + factor * (F.col("q3") - F.col("q1")))
     rows = rows.withColumns({"z_score": score, "limite_inferior": low, "limite_superior": high})
@@ -109,4 +118,9 @@ def status_counts(df: DataFrame, status: str = "status_zscore") -> DataFrame:
 
 def period(df: DataFrame, at: str = "data_leitura") -> tuple:
     """(first day, day after the last) of the measures, or nulls."""
-    return tuple(df.agg(F.date_trunc("day", F.min(at)), F.date_trunc("day", F.max(at)) + F.expr("interval 1 day")).first())
+    return tuple(period_of(df, at).first())
+
+
+def period_of(df: DataFrame, at: str = "data_leitura") -> DataFrame:
+    """(first, end): a row with the first UTC day and the day after the last."""
+    return df.agg(utc_day(F.min(at)).alias("first"), F.date_add(utc_day(F.max(at)), 1).alias("end"))

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import exact_decimal, outside
 from .keys import keep_first
 
-INSERT, REPLAY, ENRICH, UPDATE, REJECT = "insert", "replay", "enrich", "update", "reject"
+INSERT, REPLAY, ENRICH, UPDATE, REJECT, REPAIR = "insert", "replay", "enrich", "update", "reject", "repair"
 
 
 def classify(new: DataFrame, existing: DataFrame, key: Sequence[str], same: Sequence[str], enrich: Sequence[str] = ()) -> DataFrame:
@@ -91,12 +91,6 @@ def event_verdicts(items: DataFrame, existing: DataFrame, key: Sequence[str], co
     return new.join(old, list(key), "left").select(*key, verdict.alias("verdict"))
 
 
-def first_events(items: DataFrame, key: Sequence[str], batch: str) -> DataFrame:
-    """The items of the first batch position of each event: a conflict keeps the first whole event."""
-    first = F.min(batch).over(Window.partitionBy(*key))
-    return items.withColumn("_first", first).where(F.col(batch) == F.col("_first")).drop("_first")
-
-
 def differences(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of a that b lacks, rows of b that a lacks), counting repeats."""
     common = [c for c in a.columns if c in b.columns]
