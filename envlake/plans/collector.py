@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.raw_json import kind, text_at
 from ..functions.times import strict_day
 from ..sources.raw import RestSource, climate_rows
+from ..sources.tables import exists
 
 #: The fields of a result and of a day, and what each must be; * may be missing.
 RESULT_FIELDS = {"uf": "text", "id_municipio": "text", "id_estacao": "number", "capturado_em": "text", "detalhes_estacao": "object"}
@@ -74,3 +75,19 @@ def result_reasons(column: str = "result"):
 def temperatures(results: DataFrame, column: str = "result") -> DataFrame:
     """Daily rows of the results that meet their contract."""
     return climate_rows(results.where(F.size(result_reasons(column)) == 0), column)
+
+
+def append_results(new: DataFrame, path: str, column: str = "result") -> int:
+    """Append a collector's results to the JSON lines at path, if these and all that are there meet the contract; how many there are then.
+
+    The first reasons of those that don't are named, and nothing is written.
+    """
+    spark = new.sparkSession
+    given = new.select(F.col(column).alias("r"))
+    held = spark.read.text(path).select(F.try_parse_json("value").alias("r")) if exists(spark, path) else given.limit(0)
+    whole = held.unionByName(given)
+    broken = whole.select(F.explode(result_reasons("r")).alias("why")).distinct().orderBy("why").limit(10).collect()
+    if broken:
+        raise ValueError("; ".join(r.why for r in broken))
+    given.select(F.to_json("r").alias("value")).write.mode("append").text(path)
+    return spark.read.text(path).count()

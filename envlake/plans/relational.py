@@ -1,43 +1,59 @@
 """The relational model: headers and items of events, registers, and migration of wide tables.
 
-Verdicts are found by joins over whole batches. An event is accepted or rejected
-as a whole, headers and items together; both tables are then written under one
-lock, each staged first.
+An event travels as one row, its header with its items in an array. Verdicts are
+found by joins over whole batches. An event is accepted or rejected as a whole; both
+tables are then written under one lock, from a stage that is complete before the
+tables are touched: a load that ends midway is taken up again by the next one.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..domain import ACTIVE, CONTRACTS, INACTIVE, LIMITS, PARAMETERS, PERSONAL_DATA, WATER, Contract
+from ..domain import contract as dataset
 from ..functions.numbers import exact_decimal
 from ..functions.personal import cpf_pseudonym, encrypt_name, read_names
 from ..functions.text import active_flag, trimmed
-from ..functions.times import half_open, natural_key
+from ..functions.times import half_open, natural_key, utc_day
 from ..operators import joins, upsert
-from ..operators.keys import keep_first
-from ..operators.reshape import event_rows, long_table
-from ..sources.tables import exists, locked, remove
+from ..operators.constraints import NotNull, Unique, enforce
+from ..operators.keys import duplicate_keys
+from ..operators.reshape import event_rows
+from ..sources.tables import children, exists, locked, move, remove, write_text
 
+# The columns of both tables.
 HEADERS = "origem string, chave_origem string, id_estacao bigint, id_operador bigint, data_leitura timestamp"
 ITEMS = "origem string, chave_origem string, codigo_parametro string, valor_numerico decimal(18,6), valor_texto string"
 EVENT = ["origem", "chave_origem"]
+HEADER = [*EVENT, "id_estacao", "id_operador", "data_leitura"]
+#: The column of the day by which headers lie in folders, so that a change rewrites the days that it touches.
+DAY = "dia"
+#: Longest texts of a header.
+KEY_LENGTH, STATION_LENGTH = 150, 50
 
 
-def header_reasons() -> list:
-    """Rules of a header, by reason."""
+def header_reasons(columns: Sequence[str] = ()) -> list:
+    """Rules of a header, by reason; of the columns codigo_estacao and operador_cpf_hash where there are any."""
     blank = lambda c: F.col(c).isNull() | (F.trim(c) == "")
     rules = {
         "unknown origin": ~F.coalesce(F.col("origem").isin(*CONTRACTS), F.lit(False)),
         "no key": blank("chave_origem"),
-        "key too long": F.length("chave_origem") > 150,
+        "key too long": F.length("chave_origem") > KEY_LENGTH,
         "no station": F.col("id_estacao").isNull(),
         "no instant": F.col("data_leitura").isNull(),
+        "key of another reading": (F.col("origem") != WATER.name) & (F.col("chave_origem") != natural_key(F.col("codigo_estacao") if "codigo_estacao" in columns else F.col("id_estacao"), F.col("data_leitura"))),
     }
+    if "codigo_estacao" in columns:
+        rules["station code too long"] = F.length(F.trim("codigo_estacao")) > STATION_LENGTH
+    if "operador_cpf_hash" in columns:
+        rules["no operator digest"] = ~operator_hash_valid(F.col("operador_cpf_hash"))
     return F.filter(F.array(*[F.when(F.coalesce(r, F.lit(False)), F.lit(n)) for n, r in rules.items()]), lambda x: x.isNotNull())
 
 
@@ -46,94 +62,196 @@ def operator_hash_valid(c):
     return c.isNull() | c.rlike("^[0-9a-f]{64}$")
 
 
-def prepare(readings: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """(headers, items) of wide readings; a null measure is no item, a water event may lack some, a weather event none."""
-    texts = ["condicao"] if "condicao" in readings.columns else []
-    key = trimmed(F.col("id_leitura_origem")) if contract is WATER else natural_key(F.col("id_estacao"), F.col("data_leitura"))
-    rows = readings.withColumns({"origem": F.lit(contract.name), "chave_origem": key})
-    operator = F.col("id_operador").cast("bigint") if "id_operador" in rows.columns else F.lit(None).cast("bigint")
-    headers = rows.select("origem", "chave_origem", F.col("id_estacao").cast("bigint").alias("id_estacao"), operator.alias("id_operador"), "data_leitura")
-    wide = rows.select(*EVENT, *[F.col(c).cast("string").alias(code) for c, code in contract.codes.items()], *[F.col(c).alias("CONDICAO_METEO") for c in texts])
-    long = long_table(wide, EVENT, [*contract.codes.values(), *["CONDICAO_METEO" for _ in texts]], "codigo_parametro", "v").where("v is not null")
-    is_text = F.col("codigo_parametro") == "CONDICAO_METEO"
-    items = long.select(*EVENT, "codigo_parametro", F.when(~is_text, F.col("v")).alias("numero"), F.when(is_text, F.col("v")).alias("valor_texto"))
-    return headers, items
+def prepare(readings: DataFrame, contract: Contract, order: Sequence[str] = ()) -> DataFrame:
+    """Wide readings as events: header columns, ordem (the given columns, by which of several rows with a key the first is told), and itens.
+
+    A null measure is no item, a water event may lack some, a weather event none.
+    """
+    key = trimmed(F.col("id_leitura_origem")) if contract is WATER else natural_key(F.col("codigo_estacao") if "codigo_estacao" in readings.columns else F.col("id_estacao"), F.col("data_leitura"))
+    item = lambda code, number, text: F.struct(F.lit(code).alias("codigo_parametro"), number.cast("string").alias("numero"), text.cast("string").alias("valor_texto"))
+    parts = [item(code, F.col(c), F.lit(None)) for c, code in contract.codes.items()]
+    if "condicao" in readings.columns:
+        parts.append(item("CONDICAO_METEO", F.lit(None), F.col("condicao")))
+    items = F.filter(F.array(*parts), lambda x: x["numero"].isNotNull() | x["valor_texto"].isNotNull())
+    operator = F.col("id_operador").cast("bigint") if "id_operador" in readings.columns else F.lit(None).cast("bigint")
+    turn = F.struct(*[F.col(c) for c in order]) if order else F.struct(F.lit(0).alias("n"))
+    more = [c for c in ("codigo_estacao", "operador_cpf_hash") if c in readings.columns]
+    return readings.select(F.lit(contract.name).alias("origem"), key.alias("chave_origem"), F.col("id_estacao").cast("bigint").alias("id_estacao"), operator.alias("id_operador"), "data_leitura", *more, turn.alias("ordem"), items.alias("itens"))
 
 
 @dataclass
 class EventLoad:
-    """What a batch of events does: new headers and items, enriched headers, and a verdict with reasons for each event."""
+    """What a batch of events does: new headers and items, enriched headers, what was accepted, and verdicts.
+
+    verdicts has (event, verdict, reasons, n): n rows of the batch had it. accepted has
+    the events, in their stored form, that were not rejected.
+    """
 
     headers: DataFrame
     items: DataFrame
     enriched: DataFrame
+    accepted: DataFrame
     verdicts: DataFrame
 
 
-def load_events(headers: DataFrame, items: DataFrame, stored_headers: DataFrame, stored_items: DataFrame, complete: int = 1) -> EventLoad:
-    """Classify whole events.
+def load_events(events: DataFrame, stored_headers: DataFrame, stored_items: DataFrame, complete: int = 1) -> EventLoad:
+    """Classify whole events: judge() and outcome() in one."""
+    return outcome(judge(events, stored_headers, stored_items, complete))
+
+
+def judge(events: DataFrame, stored_headers: DataFrame, stored_items: DataFrame, complete: int = 1) -> DataFrame:
+    """The different rows of events with what stands against each and what its first copy does.
 
     An event is rejected if its header or an item breaks a rule, it has fewer items
     than complete, its header conflicts with the stored one, or its codes and values
-    are not those stored. Of several headers with a key the first by instant and
-    station counts.
+    are not those stored. The first of a key that is not rejected, by ordem and then by
+    its content, stands for it: later ones with the same content are replays, others are
+    rejected. An operator is added where there was none. A stored header that has no
+    items, as after a load that was lost midway, gets those of its event (repair).
+    Identical rows are counted before they are shuffled.
     """
-    first = keep_first(headers, EVENT, ["data_leitura", "id_estacao", "id_operador"])
-    checked = upsert.classify(first, stored_headers, EVENT, ["id_estacao", "data_leitura"], ["id_operador"]).withColumn("reasons", header_reasons())
-    exact = items.withColumn("valor_numerico", exact_decimal(F.col("numero")))
-    broken = exact.withColumn("why", upsert.item_reasons(F.col("codigo_parametro"), F.col("numero"), F.col("valor_texto"), LIMITS))
-    summary = broken.groupBy(*EVENT).agg(F.count("*").alias("n"), F.count_distinct("codigo_parametro").alias("codes"), F.array_distinct(F.flatten(F.collect_list("why"))).alias("item_reasons"))
-    value = F.concat_ws("/", F.col("valor_numerico").cast("string"), F.col("valor_texto")).alias("value")
-    same = upsert.event_verdicts(exact.select(*EVENT, F.col("codigo_parametro").alias("code"), value), stored_items.select(*EVENT, F.col("codigo_parametro").alias("code"), value), EVENT)
-    rows = checked.join(summary, EVENT, "left").join(same.withColumnRenamed("verdict", "item_verdict"), EVENT, "left")
-    extra = F.array(
-        F.when(F.col("verdict") == upsert.REJECT, "header conflict"),
-        F.when(F.coalesce(F.col("n"), F.lit(0)) < complete, "items missing"),
-        F.when(F.col("n") > F.col("codes"), "a code repeats"),
-        F.when(F.col("item_verdict") == upsert.REJECT, "item conflict"),
+    exact = F.array_sort(F.transform("itens", lambda x: F.struct(x["codigo_parametro"].alias("codigo_parametro"), exact_decimal(x["numero"]).alias("valor_numerico"), x["valor_texto"].alias("valor_texto"))))
+    broken = F.array_distinct(F.flatten(F.transform("itens", lambda x: upsert.item_reasons(x["codigo_parametro"], x["numero"], x["valor_texto"], LIMITS))))
+    codes = F.transform("itens", lambda x: x["codigo_parametro"])
+    given = lambda *pairs: F.filter(F.array(*[F.when(rule, F.lit(name)) for name, rule in pairs]), lambda x: x.isNotNull())
+    own = given(("items missing", F.size("itens") < complete), ("a code repeats", F.size(F.array_distinct(codes)) < F.size(codes)))
+    content = ["id_estacao", "data_leitura", "valores"]
+    rows = events.withColumn("why", F.concat(header_reasons(events.columns), broken, own)).withColumn("valores", exact)
+    rows = rows.groupBy(*EVENT, *content, "id_operador", "why").agg(F.count("*").alias("n"), F.min("ordem").alias("ordem"))
+
+    held = stored_items.groupBy(*EVENT).agg(F.array_sort(F.collect_list(F.struct("codigo_parametro", "valor_numerico", "valor_texto"))).alias("_items"))
+    old = stored_headers.select(*EVENT, F.struct("id_estacao", "data_leitura", "id_operador").alias("_old")).join(held, EVENT, "left")
+    rows = rows.join(old, EVENT, "left")
+    differs = lambda base: (F.col("id_estacao") != F.col(f"{base}.id_estacao")) | (F.col("data_leitura") != F.col(f"{base}.data_leitura"))
+    other = lambda c: F.coalesce(F.col("id_operador") != F.col(c), F.lit(False))
+    known = F.col("_old").isNotNull()
+    against = given(("header conflict", known & (differs("_old") | other("_old.id_operador"))), ("item conflict", F.col("_items") != F.col("valores")))
+    rows = rows.withColumn("why", F.concat("why", against))
+
+    able = rows.where(F.size("why") == 0)
+    operator = F.min(F.when(F.col("id_operador").isNotNull(), F.struct("ordem", "id_operador")))
+    versions = able.groupBy(*EVENT, *content).agg(F.min(F.struct("ordem", "id_operador")).alias("lead"), operator.alias("operator"))
+    first = versions.groupBy(*EVENT).agg(F.min(F.struct("lead", *content, "operator")).alias("first"))
+    rows = rows.join(first, EVENT, "left")
+    clash = given(("header conflict", differs("first") | other("first.operator.id_operador")), ("item conflict", F.col("valores") != F.col("first.valores")))
+    rows = rows.withColumn("why", F.when(F.size("why") > 0, F.col("why")).otherwise(clash))
+
+    lead = F.struct("ordem", "id_operador").eqNullSafe(F.col("first.lead"))
+    adds = F.col("id_operador").isNotNull() & F.col("_old.id_operador").isNull() & F.struct("ordem", "id_operador").eqNullSafe(F.col("first.operator"))
+    one = F.when(lead & ~known, upsert.INSERT).when(lead & F.col("_items").isNull(), upsert.REPAIR).when(adds, upsert.ENRICH)
+    rows = rows.withColumns({"one": F.when(F.size("why") == 0, one), "lead": (F.size("why") == 0) & lead, "known": known})
+    return rows.select(*EVENT, *content, "id_operador", "n", "why", "one", "lead", "known", F.col("_items").isNull().alias("bare"), F.col("_old.id_operador").alias("old_operator"), F.col("first.operator.id_operador").alias("new_operator"))
+
+
+def outcome(rows: DataFrame) -> EventLoad:
+    """What judged events do to the tables."""
+    parts = F.when(F.size("why") > 0, F.array(F.struct(F.lit(upsert.REJECT).alias("verdict"), F.col("n").alias("n")))).otherwise(
+        F.filter(
+            F.array(F.struct(F.col("one").alias("verdict"), F.lit(1).cast("bigint").alias("n")), F.struct(F.lit(upsert.REPLAY).alias("verdict"), F.when(F.col("one").isNull(), F.col("n")).otherwise(F.col("n") - 1).alias("n"))),
+            lambda v: v["verdict"].isNotNull() & (v["n"] > 0),
+        )
     )
-    reasons = F.concat(F.col("reasons"), F.coalesce("item_reasons", F.array().cast("array<string>")), F.filter(extra, lambda x: x.isNotNull()))
-    rows = rows.withColumn("reasons", reasons).withColumn("verdict", F.when(F.size("reasons") > 0, upsert.REJECT).otherwise(F.col("verdict")))
-    kept = rows.where(F.col("verdict") == upsert.INSERT)
-    columns = [*EVENT, "id_estacao", "id_operador", "data_leitura"]
-    new_items = exact.join(kept.select(*EVENT), EVENT, "left_semi").select(*EVENT, "codigo_parametro", "valor_numerico", "valor_texto")
-    return EventLoad(kept.select(*columns), new_items, rows.where(F.col("verdict") == upsert.ENRICH).select(*columns), rows.select(*EVENT, "verdict", "reasons"))
+    verdicts = rows.select(*EVENT, F.col("why").alias("reasons"), F.explode(parts).alias("v")).select(*EVENT, "v.verdict", "reasons", "v.n")
+    won = rows.where("lead")
+    header = won.select(*EVENT, "id_estacao", F.coalesce("old_operator", "new_operator").alias("id_operador"), "data_leitura", (~F.col("known")).alias("_new"), (F.col("known") & F.col("old_operator").isNull() & F.col("new_operator").isNotNull()).alias("_more"))
+    items = won.where("bare").select(*EVENT, F.explode("valores").alias("v")).select(*EVENT, "v.*")
+    return EventLoad(header.where("_new").select(*HEADER), items, header.where("_more").select(*HEADER), won.select(*EVENT, "id_estacao", "data_leitura", "valores"), verdicts)
+
+
+def wide_events(accepted: DataFrame, contract: Contract) -> DataFrame:
+    """Accepted events as the wide readings that were stored, a row for each event."""
+    value = lambda code, name: F.element_at(F.filter("valores", lambda x: x["codigo_parametro"] == code), 1)[name]
+    values = F.transform("valores", lambda x: x["codigo_parametro"])
+    at = {c: F.when(F.array_contains(values, code), value(code, "valor_numerico")).alias(c) for c, code in contract.codes.items()}
+    more = [F.col("chave_origem").alias("id_leitura_origem")] if contract is WATER else [F.when(F.array_contains(values, "CONDICAO_METEO"), value("CONDICAO_METEO", "valor_texto")).alias("condicao")]
+    return accepted.where(F.col("origem") == contract.name).select(*at.values(), "data_leitura", "id_estacao", *more)
 
 
 def stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(headers, items) of the tables in a folder, empty if there are none."""
-    read = lambda name, schema: spark.read.schema(schema).parquet(f"{folder}/{name}") if exists(spark, f"{folder}/{name}") else spark.createDataFrame([], schema)
-    return read("leituras", HEADERS), read("leitura_itens", ITEMS)
+    read = lambda name, schema, more="": spark.read.schema(schema + more).parquet(f"{folder}/{name}") if exists(spark, f"{folder}/{name}") else spark.createDataFrame([], schema)
+    return read("leituras", HEADERS, f", {DAY} date").select(*HEADER), read("leitura_itens", ITEMS)
+
+
+def _stage(rows: DataFrame, folder: str) -> str:
+    """Judged events, and the days of headers as they will be, in a folder that says so only when it is whole."""
+    spark, stage = rows.sparkSession, f"{folder}/_pending/{uuid.uuid4().hex}"
+    rows.write.parquet(f"{stage}/judged")
+    load = outcome(spark.read.parquet(f"{stage}/judged"))
+    enforce(load.items, [NotNull((*EVENT, "codigo_parametro")), Unique((*EVENT, "codigo_parametro"))], "the new items")
+    enforce(load.headers, [NotNull((*EVENT, "id_estacao", "data_leitura")), Unique(tuple(EVENT))], "the new headers")
+    enriched = load.enriched.withColumn(DAY, utc_day(F.col("data_leitura")))
+    days = [r[0] for r in enriched.select(DAY).distinct().collect()]
+    if days:
+        now = spark.read.schema(f"{HEADERS}, {DAY} date").parquet(f"{folder}/leituras").where(F.col(DAY).isin(days))
+        now.join(enriched.select(*EVENT), EVENT, "left_anti").unionByName(enriched).write.parquet(f"{stage}/days")
+    write_text(spark, f"{stage}/_whole", "")
+    return stage
+
+
+def _apply(spark: SparkSession, folder: str, stage: str) -> None:
+    """Bring a whole stage into the tables; what is there already is left alone, so this can be done again."""
+    if exists(spark, f"{stage}/days"):
+        spark.read.parquet(f"{stage}/days").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(f"{folder}/leituras")
+    headers, items = stored(spark, folder)
+    load = outcome(spark.read.parquet(f"{stage}/judged"))
+    new = joins.new_rows(load.headers, headers, EVENT).withColumn(DAY, utc_day(F.col("data_leitura")))
+    new.hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(f"{folder}/leituras")
+    joins.new_rows(load.items, items, [*EVENT, "codigo_parametro"]).write.mode("append").parquet(f"{folder}/leitura_itens")
+
+
+def recover(spark: SparkSession, folder: str) -> int:
+    """Finish loads that ended midway, and forget those that had not come to touch the tables; how many were finished. Needs the lock."""
+    done = 0
+    for stage in children(spark, f"{folder}/_pending"):
+        if exists(spark, f"{stage}/_whole"):
+            _apply(spark, folder, stage)
+            done += 1
+        remove(spark, stage)
+    return done
 
 
-def persist_events(headers: DataFrame, items: DataFrame, folder: str, complete: int = 1) -> dict[str, int]:
-    """Load events into the tables of a folder; how many of each verdict there were."""
-    spark, stage = headers.sparkSession, f"{folder}/_stage/{uuid.uuid4().hex}"
+@dataclass
+class Persisted:
+    """How many rows of the batch had each verdict, and the accepted events."""
+
+    counts: dict[str, int]
+    accepted: DataFrame
+
+
+def persist(events: DataFrame, folder: str, complete: int = 1) -> Persisted:
+    """Load events into the tables of a folder, all of the batch or nothing of it."""
+    spark = events.sparkSession
     with locked(spark, f"{folder}/leituras"):
-        try:
-            old_headers, old_items = stored(spark, folder)
-            load = load_events(headers, items, old_headers, old_items, complete)
-            load.verdicts.write.parquet(f"{stage}/verdicts")
-            load.items.write.parquet(f"{stage}/items")
-            load.headers.write.parquet(f"{stage}/headers")
-            load.enriched.write.parquet(f"{stage}/enriched")
-            enriched = spark.read.parquet(f"{stage}/enriched")
-            if not enriched.isEmpty():
-                rest = old_headers.join(enriched.select(*EVENT), EVENT, "left_anti").unionByName(enriched)
-                rest.write.parquet(f"{stage}/old")
-                spark.read.parquet(f"{stage}/old").write.mode("overwrite").parquet(f"{folder}/leituras")
-            spark.read.parquet(f"{stage}/headers").write.mode("append").parquet(f"{folder}/leituras")
-            spark.read.parquet(f"{stage}/items").write.mode("append").parquet(f"{folder}/leitura_itens")
-            return {r.verdict: r.n for r in spark.read.parquet(f"{stage}/verdicts").groupBy("verdict").agg(F.count("*").alias("n")).collect()}
-        finally:
-            remove(spark, stage)
+        recover(spark, folder)
+        stage = _stage(judge(events, *stored(spark, folder), complete), folder)
+        _apply(spark, folder, stage)
+        done = f"{folder}/_judged/{uuid.uuid4().hex}"
+        move(spark, f"{stage}/judged", done)
+        remove(spark, stage)
+    load = outcome(spark.read.parquet(done))
+    counts = {r.verdict: r.n for r in load.verdicts.groupBy("verdict").agg(F.sum("n").alias("n")).collect()}
+    return Persisted(counts, load.accepted)
+
+
+def persist_events(events: DataFrame, folder: str, complete: int = 1) -> dict[str, int]:
+    """Load events into the tables of a folder; how many rows had each verdict."""
+    return persist(events, folder, complete).counts
+
+
+def load_frame(readings: DataFrame, contract: Contract, folder: str, order: Sequence[str] = ()) -> tuple[DataFrame, dict[str, int]]:
+    """(approved readings, counts of verdicts): wide readings into the tables; those that were accepted come back as they are stored."""
+    done = persist(prepare(readings, contract, order), folder, 1 if contract is WATER else len(contract.codes) + 1)
+    return wide_events(done.accepted, contract), done.counts
 
 
 def measures_of_period(headers: DataFrame, items: DataFrame, contract: Contract, start, end) -> DataFrame:
     """Wide readings of an origin in [start, end); incomplete events stay, with nulls."""
     own = headers.where((F.col("origem") == contract.name) & half_open(F.col("data_leitura"), start, end))
-    rows = event_rows(own, items, EVENT, list(contract.codes.values()), "codigo_parametro", "valor_numerico")
-    return rows.select(*EVENT, "id_estacao", "data_leitura", *[F.col(code).alias(c) for c, code in contract.codes.items()])
+    texts = [] if contract is WATER else ["CONDICAO_METEO"]
+    value = F.coalesce(F.col("valor_numerico").cast("string"), F.col("valor_texto"))
+    rows = event_rows(own, items.select(*EVENT, "codigo_parametro", value.alias("v")), EVENT, [*contract.codes.values(), *texts], "codigo_parametro", "v")
+    return rows.select(*EVENT, "id_estacao", "data_leitura", *[F.col(code).cast("decimal(18,6)").alias(c) for c, code in contract.codes.items()], *[F.col(t).alias("condicao") for t in texts])
 
 
 def upsert_parameters(existing: DataFrame, rows: list[tuple[str, str, str]] = PARAMETERS) -> DataFrame:
@@ -174,29 +292,92 @@ def append_new(rows: DataFrame, existing: DataFrame, key: list[str]) -> DataFram
     return existing.unionByName(joins.new_rows(rows, existing, key), allowMissingColumns=True)
 
 
+def replace_register(rows: DataFrame, existing: DataFrame, key: list[str], used: DataFrame | None = None, reference: str | None = None) -> DataFrame:
+    """A register replaced as a whole: keys must be unique, and none that another table refers to may go."""
+    enforce(rows, [NotNull(tuple(key)), Unique(tuple(key))], "the register")
+    if used is not None and reference is not None:
+        gone = joins.new_rows(existing.select(*key), rows, key)
+        joins.delete_with_children(existing, used, gone, key[0], reference, cascade=False)
+    return rows
+
+
+def read_operators(spark: SparkSession, path: str) -> tuple[DataFrame, str | None]:
+    """(operators, their date or None) of a JSON document {date, operadores: [...]}; one that can't be read has no rows.
+
+    Rows are (cpf, nome, status, estacao_id) as texts; those without a station are left out.
+    """
+    text = "struct<cpf:string,nome:string,status:string,estacao_id:string>"
+    documents = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
+    date = documents.select(F.try_variant_get("v", "$.date", "string").alias("d")).first()
+    rows = documents.select(F.explode(F.try_variant_get("v", "$.operadores", f"array<{text}>")).alias("o")).select("o.*")
+    return rows.where(trimmed(F.col("estacao_id")).isNotNull()), date.d if date else None
+
+
+def load_operators(rows: DataFrame, existing: DataFrame, stations: DataFrame, hmac_key: bytes, token_key: str, dated: bool) -> tuple[DataFrame, DataFrame]:
+    """(operators with verdicts, rejected rows): undated rows are loaded all or none, dated ones each by itself."""
+    good, bad = protect_operators(rows, stations, hmac_key, token_key)
+    if not dated:
+        n = bad.count()
+        if n:
+            raise ValueError(f"{n} operators are not acceptable; none is loaded")
+    return upsert_operators(good.dropDuplicates(["cpf_hash"]), existing, token_key), bad
+
+
 @dataclass
 class Reconciled:
-    """What a migration found: cells that the new tables lack, cells that they have besides, and orphans."""
-
-    missing: int
-    extra: int
-    orphans: int
-
-
-def migrate(legacy: DataFrame, contract: Contract, folder: str, stations: DataFrame) -> Reconciled:
-    """Load a wide table as events and compare every cell; an error, with nothing loaded, if a row can't be moved."""
-    lost = joins.orphans(legacy, stations, {"id_estacao": "id_estacao"})
-    if not lost.isEmpty():
-        raise ValueError("rows of the old table have no registered station")
-    headers, items = prepare(legacy, contract)
-    old_headers, old_items = stored(legacy.sparkSession, folder)
-    refused = load_events(headers, items, old_headers, old_items).verdicts.where(F.col("verdict") == upsert.REJECT)
-    if not refused.isEmpty():
-        raise ValueError("rows of the old table break the rules of the new ones")
-    persist_events(headers, items, folder)
-    new_headers, new_items = stored(legacy.sparkSession, folder)
-    want = items.select(*EVENT, "codigo_parametro", exact_decimal(F.col("numero")).alias("valor_numerico"), "valor_texto")
-    own = new_items.where(F.col("origem") == contract.name)
-    missing, extra = upsert.differences(want, own)
-    loose = joins.orphans(new_items, new_headers, {c: c for c in EVENT})
-    return Reconciled(missing.count(), extra.count(), loose.count())
+    """What a migration moved: events of each origin, and the tables that it put into the archive."""
+
+    events: dict[str, int]
+    archived: list[str]
+
+
+def migrate(legacy: dict[str, DataFrame], folder: str, stations: DataFrame, archive: dict[str, str] | None = None) -> Reconciled:
+    """Load wide tables, by dataset, as events: one unit, checked before anything is published.
+
+    Preflight: required columns, registered stations, keys that don't repeat, rules of
+    every event, archives that are not there yet. Then what the tables will hold is
+    compared with the old ones cell by cell, headers and items; only if nothing is
+    missing or besides is it published. archive maps an old table's folder to where it
+    is moved when all is done; a moved table has a file that marks it as read only.
+    """
+    spark = stations.sparkSession
+    for path, target in (archive or {}).items():
+        if not exists(spark, path) or exists(spark, target):
+            raise ValueError(f"preflight: {path} can't be moved to {target}")
+    parts = []
+    for name, table in legacy.items():
+        contract = dataset(name)
+        missing = [c for c in ("id_estacao", contract.instant, *contract.codes, *(["id_leitura_origem"] if contract is WATER else ["condicao"])) if c not in table.columns]
+        if missing:
+            raise ValueError(f"preflight: {contract.name} lacks {', '.join(missing)}")
+        if not joins.orphans(table, stations, {"id_estacao": "id_estacao"}).isEmpty():
+            raise ValueError("preflight: rows of the old table have no registered station")
+        parts.append(prepare(table, contract))
+    events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if not duplicate_keys(events, EVENT).isEmpty():
+        raise ValueError("preflight: a natural key repeats")
+    with locked(spark, f"{folder}/leituras"):
+        recover(spark, folder)
+        old_headers, old_items = stored(spark, folder)
+        stage = _stage(judge(events, old_headers, old_items), folder)
+        try:
+            load = outcome(spark.read.parquet(f"{stage}/judged"))
+            if not load.verdicts.where(F.col("verdict") == upsert.REJECT).isEmpty():
+                raise ValueError("preflight: rows of the old table break the rules of the new ones")
+            exact = events.select(*EVENT, "id_estacao", "data_leitura", F.explode("itens").alias("i"))
+            want = exact.select(*EVENT, "id_estacao", "data_leitura", "i.codigo_parametro", exact_decimal(F.col("i.numero")).alias("valor_numerico"), "i.valor_texto")
+            headers, items = old_headers.unionByName(load.headers), old_items.unionByName(load.items)
+            have = items.join(events.select(*EVENT), EVENT, "left_semi").join(headers.select(*EVENT, "id_estacao", "data_leitura"), EVENT)
+            lost, extra = upsert.differences(want, have)
+            if not (lost.isEmpty() and extra.isEmpty() and joins.orphans(items, headers, {c: c for c in EVENT}).isEmpty()):
+                raise ValueError("reconciliation: the tables would not hold what the old ones do")
+        except Exception:
+            remove(spark, stage)
+            raise
+        _apply(spark, folder, stage)
+        remove(spark, stage)
+    moved = {r.origem: r.n for r in events.groupBy("origem").agg(F.count("*").alias("n")).collect()}
+    for path, target in (archive or {}).items():
+        move(spark, path, target)
+        write_text(spark, f"{target}/_READ_ONLY", "")
+    return Reconciled(moved, list((archive or {}).values()))

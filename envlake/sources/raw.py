@@ -35,7 +35,7 @@ def records(payload: DataFrame, dataset: str, body: str = "body") -> DataFrame:
 
 def whole_files(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """The records of JSON files, each one document, in order of file and position."""
-    files = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("body"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("body"))
     return records(files, dataset)
 
 
@@ -135,7 +135,8 @@ class _RestReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.urls = [u for u in options.get("urls", "").split("\n") if u]
         self.token, self.timeout = options.get("token"), float(options.get("timeout", "15"))
-        self.per_minute, self.tasks = int(options.get("perminute", "30")), max(1, int(options.get("tasks", "1")))
+        self.per_minute = int(options.get("perminute", "30"))
+        self.tasks = max(1, min(int(options.get("tasks", "1")), self.per_minute))  # each has a call a minute at least
         for url in self.urls:
             if urllib.parse.urlsplit(url).scheme not in ("http", "https"):
                 raise ValueError("only http and https endpoints can be read")
@@ -144,7 +145,7 @@ class _RestReader(DataSourceReader):
         return [InputPartition(i) for i in range(self.tasks)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple[str, int, str | None]]:
-        limit = RateLimit(max(1, self.per_minute // self.tasks))
+        limit = RateLimit(self.per_minute // self.tasks)
         for url in self.urls[partition.value :: self.tasks]:
             limit.wait()
             request = urllib.request.Request(url, headers={"Authorization": f"Bearer {self.token}"} if self.token else {})
@@ -216,11 +217,10 @@ def climate_rows(results: DataFrame, column: str = "result") -> DataFrame:
     return rows.select("uf", "id_estacao", "d.*")
 
 
-def collected(document: dict, new: list[dict], check: Callable[[dict], list[str]]) -> dict:
-    """A collector's document with new results added, if the whole then still meets its contract; else an error with its first reasons."""
-    merged = {**document, "resultados": [*document.get("resultados", []), *new]}
-    merged["metadados"] = {**document.get("metadados", {}), "total_registros_acumulados": len(merged["resultados"]), "gerado_em": datetime.now(timezone.utc).isoformat()}
-    broken = check(json.loads(json.dumps(merged, allow_nan=False)))
-    if broken:
-        raise ValueError("; ".join(broken[:10]))
-    return merged
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None, split: tuple[str, int, int, int] | None = None) -> DataFrame:
+    """A whole table of a database, or a query in parentheses with a name; split (column, low, high, parts) reads it in as many ranges at once."""
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**(properties or {}))
+    if split:
+        for name, value in zip(("partitionColumn", "lowerBound", "upperBound", "numPartitions"), split, strict=True):
+            reader = reader.option(name, value)
+    return reader.load()

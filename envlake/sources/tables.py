@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import json
+import logging
 import os
 import time
 import uuid
@@ -16,14 +17,16 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..domain import Contract
-from ..functions.times import utc_midnight
+from ..functions.times import in_utc, utc_day, utc_midnight
 from ..operators.keys import duplicate_keys, keep_first
 from ..operators.quality import assess, dimension_counts, require_columns, typed
 
+log = logging.getLogger("envlake.insertion")
 DAY = "dia_utc"
 
 
@@ -42,6 +45,21 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The paths of what a folder holds, in order; none if there is no folder."""
+    fs, p = _fs(spark, path)
+    return sorted(str(f.getPath()) for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder or file; the target must not exist."""
+    fs, p = _fs(spark, path)
+    _, to = _fs(spark, target)
+    fs.mkdirs(to.getParent())
+    if fs.exists(to) or not fs.rename(p, to):
+        raise OSError(f"{path} was not moved to {target}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A whole file, written beside its place and renamed into it."""
     fs, p = _fs(spark, path)
@@ -58,7 +76,10 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def _created(spark: SparkSession, fs, p) -> bool:
-    """Whether this call made the file: one of several at once does. On a local disk Hadoop's create is no such call, Java's is."""
+    """Whether this call made the file: one of several at once does. On a local disk Hadoop's create is no such call, Java's is.
+
+    HDFS and local disks have such a call. An object store whose create() may overwrite needs a lock of another kind.
+    """
     if fs.getUri().getScheme() == "file":
         return spark.sparkContext._jvm.java.io.File(p.toUri().getPath()).createNewFile()
     try:
@@ -71,17 +92,31 @@ def _created(spark: SparkSession, fs, p) -> bool:
 
 
 @contextlib.contextmanager
-def locked(spark: SparkSession, table: str, timeout: float = 60.0, poll: float = 0.05) -> Iterator[None]:
-    """One writer of a table at a time, by a file that only one can create."""
+def locked(spark: SparkSession, table: str, timeout: float = 60.0, poll: float = 0.05, expiry: float = 6 * 3600.0) -> Iterator[None]:
+    """One writer of a table at a time, by a file that only one can create and that names its owner.
+
+    A file older than expiry seconds was left by a writer that is gone, and is taken away.
+    """
     fs, p = _fs(spark, f"{table.rstrip('/')}.lock")
     if p.getParent() is not None:
         fs.mkdirs(p.getParent())
     end = time.monotonic() + timeout
     while not _created(spark, fs, p):
+        try:
+            left = time.time() - fs.getFileStatus(p).getModificationTime() / 1000 > expiry
+        except Py4JJavaError:
+            continue  # it has just been let go
+        if left:
+            log.warning("%s: a lock older than %s s is taken away", table, expiry)
+            fs.delete(p, False)
+            continue
         if time.monotonic() >= end:
             raise TimeoutError(f"{table} is locked")
         time.sleep(poll)
     try:
+        out = fs.create(p, True)
+        out.write(bytearray(f"{spark.sparkContext.applicationId} {uuid.uuid4().hex}".encode()))
+        out.close()
         yield
     finally:
         fs.delete(p, False)
@@ -113,12 +148,13 @@ def read_days(spark: SparkSession, path: str, first: date | None = None, end: da
 
 def checked_days(df: DataFrame, instant: str) -> DataFrame:
     """df, if every row lies in the day of its folder."""
-    n = df.where(F.col(instant).cast("date") != F.col(DAY)).count()
+    n = df.where(utc_day(F.col(instant)) != F.col(DAY)).count()
     if n:
         raise ValueError(f"{n} rows lie outside the day of their folder")
     return df
 
 
+# The keys of a manifest are published names.
 def _manifest(spark: SparkSession, folder: str, done: Written, **more) -> str:
     run = uuid.uuid4().hex
     path = f"{folder.rstrip('/')}/_audit/{done.dataset}/{run}.json"
@@ -129,7 +165,8 @@ def _manifest(spark: SparkSession, folder: str, done: Written, **more) -> str:
 
 
 def _write_days(df: DataFrame, path: str, instant: str) -> None:
-    rows = df.repartition(DAY).sortWithinPartitions(DAY, instant)
+    # by ranges of time: days that lie together share a task, and a day that is large is split over several
+    rows = df.repartitionByRange(DAY, instant).sortWithinPartitions(DAY, instant)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(DAY).parquet(path)
 
 
@@ -151,7 +188,7 @@ def merge(df: DataFrame, contract: Contract, folder: str, order: Sequence[str |
             added = first.join(read_table(spark, path).select(*contract.key), list(contract.key), "left_anti")
         stage = f"{folder.rstrip('/')}/_stage/{uuid.uuid4().hex}"
         try:
-            added.withColumn(DAY, F.col(contract.instant).cast("date")).write.parquet(f"{stage}/added")
+            added.withColumn(DAY, utc_day(F.col(contract.instant))).write.parquet(f"{stage}/added")
             added = spark.read.parquet(f"{stage}/added")
             totals = counts.first().asDict()
             evaluated, approved = clean.count(), added.count()
@@ -188,7 +225,7 @@ def rebuild(load: Callable[[], DataFrame], contract: Contract, folder: str, star
         require_columns(df, contract.required, contract.name)
         stage = f"{folder.rstrip('/')}/_stage/{uuid.uuid4().hex}"
         try:
-            typed(df, contract).withColumn(DAY, F.col(contract.instant).cast("date")).write.parquet(f"{stage}/new")
+            typed(df, contract).withColumn(DAY, utc_day(F.col(contract.instant))).write.parquet(f"{stage}/new")
             rows = spark.read.parquet(f"{stage}/new")
             clean, counts = assess(rows, contract)
             received, kept = counts.first()["received"], clean.count()
@@ -220,14 +257,19 @@ def rebuild(load: Callable[[], DataFrame], contract: Contract, folder: str, star
         return done
 
 
+def _report_text(df: DataFrame) -> list[Column]:
+    """The columns of a report: booleans as words, instants in UTC with their offset."""
+    at = lambda c, t: F.concat(F.date_format(in_utc(F.col(c)) if t == "timestamp" else F.col(c), "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+00:00")).alias(c)
+    return [F.when(F.col(c), "True").when(~F.col(c), "False").alias(c) if t == "boolean" else at(c, t) if t.startswith("timestamp") else F.col(c) for c, t in df.dtypes]
+
+
 def write_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
-    """One CSV file for a report: sorted, with ; and a byte order mark, nulls empty, True and False.
+    """One CSV file for a small report: sorted, with ; and a byte order mark, nulls empty, True and False.
 
-    Spark writes the sorted parts; the file is put together part by part, so that
-    no more than one line is held at a time.
+    Spark writes the sorted parts and the driver puts them together; write_csv_parts() is for reports with a row for each measure.
     """
     spark = df.sparkSession
-    text = [F.when(F.col(c), "True").when(~F.col(c), "False").alias(c) if t == "boolean" else F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSSxxx").alias(c) if t.startswith("timestamp") else F.col(c) for c, t in df.dtypes]
+    text = _report_text(df)
     stage = f"{path}.{uuid.uuid4().hex}.stage"
     try:
         df.orderBy(*order).select(*text).write.option("sep", ";").option("emptyValue", "").option("nullValue", "").csv(stage)
@@ -253,6 +295,11 @@ def write_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
         remove(spark, stage)
 
 
+def write_csv_parts(df: DataFrame, path: str, order: Sequence[str]) -> None:
+    """The same dialect as a folder of sorted parts, each with its header; their names are in the order of the rows. Nothing passes the driver."""
+    df.orderBy(*order).select(*_report_text(df)).write.mode("overwrite").option("sep", ";").option("header", "true").option("emptyValue", "").option("nullValue", "").csv(path)
+
+
 def write_star(tables: dict[str, DataFrame], folder: str, source: str | None = None) -> None:
     """The tables of a star schema as Parquet; the folder must not lie inside the source."""
     if source is not None and os.path.commonpath([os.path.abspath(folder), os.path.abspath(source)]) == os.path.abspath(source):

@@ -4,7 +4,7 @@ import threading
 
 import pytest
 
-from envlake.cli import parser
+from envlake.cli import main, parser
 from envlake.domain import WATER
 from envlake.plans import medallion, reports
 from envlake.sources import raw
@@ -44,7 +44,7 @@ def test_raw_batches_to_facts_twice(spark, tmp_path, registered):
     silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
     for turn in range(2):
         counts = medallion.run(spark, str(folder), silver, gold, registered)
-        assert counts == {"qualidade_agua": 5, "leitura_meteorologica": 2, "facts": 4 * 5 + 2 * 4}
+        assert counts == {"qualidade_agua": 4, "leitura_meteorologica": 2, "facts": 4 * 5 + 2 * 4}
     kept = {r.id_leitura_origem: r.temperatura_agua for r in read_table(spark, f"{silver}/qualidade_agua").collect()}
     assert kept == {"w0": 20, "w1": 21, "w2": 22, "w9": 20}
     assert {r.temperatura_ar for r in read_table(spark, f"{silver}/leitura_meteorologica").collect()} == {25.0}
@@ -69,6 +69,77 @@ def test_raw_batches_to_facts_twice(spark, tmp_path, registered):
         medallion.backfill(spark, str(folder), silver, registered[0], "qualidade_agua", "2026-05-20", "2026-05-21", replace=True)
 
 
+def test_rules_come_before_duplicates_and_rejected_rows_are_kept(spark, tmp_path, registered):
+    folder, silver = tmp_path / "raw", str(tmp_path / "silver")
+    batch(folder, "api_qualidade_agua_1.jsonl", [water("w1", temperatura=99.0), water("w1", temperatura=20.0), water("w1", temperatura=21.0), water("w2", ph="bad", turbidez=-1.0), water(None), water("w3", station="E9")])
+    done = medallion.load(spark, str(folder), silver, registered[0], ["qualidade_agua"])["qualidade_agua"]
+    assert done.rejected == {"temperatura_agua: out of range": 1, "ph: missing or no number": 1, "turbidez: out of range": 1, "id_leitura_origem: missing": 1, medallion.NO_STATION: 1}
+    assert {r.id_leitura_origem: r.temperatura_agua for r in read_table(spark, f"{silver}/qualidade_agua").collect()} == {"w1": 20} and done.unmatched == 1
+    kept = spark.read.parquet(f"{silver}/_rejected/qualidade_agua/*")
+    assert sorted(len(r.reasons) for r in kept.collect()) == [1, 1, 1, 2]
+    accepted, _ = medallion.parse(spark, str(folder), WATER, newest_first=True)
+    times = [r.data_leitura for r in accepted.collect()]
+    assert times == sorted(times, reverse=True)
+
+
+def test_raw_batches_to_the_relational_model(spark, tmp_path, registered):
+    folder, silver, model = tmp_path / "raw", str(tmp_path / "silver"), str(tmp_path / "model")
+    batch(folder, "api_qualidade_agua_1.jsonl", [water("w1"), water("w2", temperatura=0.1234567)])
+    batch(folder, "api_leitura_meteorologica_1.jsonl", [weather("m1")])
+    done = medallion.load(spark, str(folder), silver, registered[0], relational=model)
+    assert done["qualidade_agua"].verdicts == {"insert": 1, "reject": 1} and done["leitura_meteorologica"].verdicts == {"insert": 1}
+    assert [(r.temperatura_agua, r.id_leitura_origem) for r in read_table(spark, f"{silver}/qualidade_agua").collect()] == [(20.0, "w1")]
+    assert [(r.temperatura_ar, r.condicao, r.id_cidade) for r in read_table(spark, f"{silver}/leitura_meteorologica").collect()] == [(25.0, "sol", 1)]
+    again = medallion.backfill(spark, str(folder), silver, registered[0], "leitura_meteorologica", "2026-05-20", "2026-05-21", replace=True, relational=model)
+    assert again.verdicts == {"replay": 1} and again.table.written == 1
+    with pytest.raises(ValueError, match="reject"):
+        medallion.backfill(spark, str(folder), silver, registered[0], "qualidade_agua", "2026-05-20", "2026-05-21", replace=True, relational=model)
+
+
+def test_registers_are_kept_as_snapshots(spark, tmp_path, registered):
+    silver, made = str(tmp_path / "silver"), []
+    with pytest.raises(ValueError):
+        medallion.stored_registers(spark, silver)
+    for _ in range(2):
+        got = medallion.stored_registers(spark, silver, lambda: made.append(1) or registered)
+        assert [sorted(map(str, a.collect())) for a in got] == [sorted(map(str, b.collect())) for b in registered]
+    assert made == [1]
+    with pytest.raises(ValueError, match="empty"):
+        medallion.write_registers(spark, silver, (registered[0].limit(0), *registered[1:]))
+    assert medallion.stored_registers(spark, silver)[0].count() == 2
+
+
+def test_whole_files_are_one_document_each(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"leituras_ambientais": [water("a"), water("b")]}, indent=2))
+    (tmp_path / "b.json").write_text(json.dumps([water("c")], indent=2))
+    rows = raw.flatten(raw.whole_files(spark, f"{tmp_path}/*.json", "qualidade_agua"), "qualidade_agua")
+    assert sorted((r.file, r.position, r.id_leitura_origem) for r in rows.collect()) == [("a.json", 0, "a"), ("a.json", 1, "b"), ("b.json", 0, "c")]
+
+
+def test_tables_of_a_database(spark):
+    url = "jdbc:derby:memory:envlake;create=true"
+    spark.range(20).selectExpr("cast(id as int) as k", "cast(id * 2 as double) as v").write.format("jdbc").options(url=url, dbtable="things", driver="org.apache.derby.jdbc.EmbeddedDriver").mode("overwrite").save()
+    rows = raw.read_jdbc(spark, url, "things", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}, ("K", 0, 20, 3))
+    assert rows.rdd.getNumPartitions() == 3 and rows.agg({"V": "sum"}).first()[0] == 380
+
+
+def test_settings_and_logs(tmp_path):
+    import logging
+
+    from envlake import session
+
+    got = session.Places.from_env({"ENVLAKE_RAW": "in", "ENVLAKE_TABLES": "/abs", "ENVLAKE_PER_MINUTE": "5", "ENVLAKE_LOGS": " "}, "/root")
+    assert (got.raw, got.tables, got.per_minute, got.logs, got.timeout) == ("/root/in", "/abs", 5, "/root/logs", 15.0)
+    for bad in ({"ENVLAKE_PER_MINUTE": "0"}, {"ENVLAKE_TIMEOUT": "x"}):
+        with pytest.raises(ValueError):
+            session.Places.from_env(bad)
+    for _ in range(2):
+        session.configure_logging(str(tmp_path), "insertion").info("one line")
+    assert len((tmp_path / "insertion.log").read_text().splitlines()) == 2 and len(logging.getLogger("envlake.insertion").handlers) == 2
+    with pytest.raises(ValueError):
+        session.configure_logging(str(tmp_path), "other")
+
+
 def test_a_stream_merges_what_a_batch_would(spark, tmp_path, registered):
     folder = tmp_path / "raw"
     batch(folder, "api_qualidade_agua_1.jsonl", [water("w1"), water("w2", temperatura=21.0), water("", temperatura=1.0)])
@@ -134,17 +205,28 @@ def test_rate_limit_waits_for_the_window():
             raw.RateLimit(bad)
 
 
-def test_climate_rows_and_collected_documents(spark):
+def test_climate_rows(spark):
     result = {"uf": "SP", "id_estacao": 7, "dados_climaticos": [{"data": "2026-01-01", "temperatura_minima": 1.5, "temperatura_minima_estimada": True}]}
     df = spark.createDataFrame([(json.dumps(r),) for r in (result, {"uf": "SP", "id_estacao": 8, "dados_climaticos": {}})], "r string").selectExpr("parse_json(r) as result")
     assert [(r.id_estacao, r.temperatura_minima, r.temperatura_maxima) for r in raw.climate_rows(df).collect()] == [(7, 1.5, None)]
-    grown = raw.collected({"metadados": {}, "resultados": [1]}, [2], lambda d: [])
-    assert grown["resultados"] == [1, 2] and grown["metadados"]["total_registros_acumulados"] == 2
-    with pytest.raises(ValueError, match="a; b"):
-        raw.collected({}, [], lambda d: ["a", "b"])
+
+
+def test_results_are_appended_if_all_meet_the_contract(spark, tmp_path):
+    from envlake.plans import collector
+
+    good = {"uf": "SP", "id_municipio": "1", "id_estacao": 7, "capturado_em": "2026-01-01T00:00:00Z", "detalhes_estacao": {"id": 7}, "dados_climaticos": []}
+    rows = lambda *r: spark.createDataFrame([(json.dumps(x),) for x in r], "r string").selectExpr("parse_json(r) as result")
+    path = str(tmp_path / "results")
+    assert collector.append_results(rows(good), path) == 1 and collector.append_results(rows(good, good), path) == 3
+    with pytest.raises(ValueError, match="uf: not two letters"):
+        collector.append_results(rows(good, good | {"uf": "S1"}), path)
+    assert spark.read.text(path).count() == 3
 
 
 def test_commands_have_help():
     assert parser().parse_args(["gold", "--report", "zscore", "--silver", "s", "--out", "o", "--limit", "2"]).limit == 2
     with pytest.raises(SystemExit):
         parser().parse_args(["gold", "--report", "other"])
+    with pytest.raises(SystemExit):
+        parser().parse_args(["migrate", "--relational", "r", "--stations", "s"])
+    assert main(["collect", "--url", "http://x", "--token", " ", "--municipality", "SP:1", "--first", "2026-01-01", "--last", "2026-01-02", "--out", "o"]) == 1

@@ -29,6 +29,23 @@ def test_instants(spark):
     assert times.utc_midnight(datetime(2026, 1, 1, tzinfo=timezone.utc)).day == 1
 
 
+def test_days_and_keys_are_in_utc_whatever_the_session_says(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.sql("select timestamp'2026-05-20T00:30:00Z' as t, 7 as s")
+        row = df.select(times.utc_day(F.col("t")).alias("d"), times.natural_key(F.col("s"), F.col("t")).alias("k"), times.half_open(F.col("t"), *times.inclusive_days("2026-05-20", "2026-05-20")).alias("h"), (times.instant(F.lit("2026-05-20T00:30:00")) == F.col("t")).alias("i")).first()
+        assert (str(row.d), row.k, row.h, row.i) == ("2026-05-20", "7|2026-05-20T00:30:00.000000+00:00", True, True)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_strict_ids(spark):
+    assert one(spark, numbers.strict_id(F.col("x")), "7") == 7 and one(spark, numbers.strict_id(F.col("x")), None) is None
+    for bad in ("x", "1.5", "-1", ""):
+        with pytest.raises(Exception, match="no positive whole number"):
+            one(spark, numbers.strict_id(F.col("x")), bad)
+
+
 def test_numbers(spark):
     read = lambda v: one(spark, numbers.number(F.col("x")), v)
     assert read(" 5.2 ") == 5.2 and read("1e3") == 1000 and read("bad") is None and read("NaN") is None and read("1d") is None and read("true") is None
@@ -39,6 +56,7 @@ def test_numbers(spark):
 
 def test_text(spark):
     assert one(spark, text.match_key(F.col("x")), " São João-d'Oeste ") == "saojoaodoeste"
+    assert [one(spark, text.match_key(F.col("x")), v) for v in ("Štětí", "Straße ①", "Łódź", "ﬁn", None)] == ["steti", "strasse1", "łodz", "fin", None]
     assert one(spark, text.safe_source(F.col("x")), "https://me:pw@h.example/a/b?token=1#f") == "h.example/a/b"
     assert one(spark, text.station_label(F.lit("N"), F.col("x"), F.lit("Ativa")), None) == "[Desativado] N -"
     assert [one(spark, text.active_flag(F.col("x"), ("ativo",), ("desativado",)), v) for v in (" Ativo", "desativado", "?", None)] == [1, 0, 0, None]

@@ -21,11 +21,11 @@ def water(spark, *rows):
 def test_events_are_accepted_or_rejected_as_a_whole(spark, tmp_path):
     folder = str(tmp_path)
     first = [("a", 1, None, AT, "20", "7", None, None, None), ("b", 1, 5, AT, "20.5", "7.123456", "1", "2", "3"), ("bad", 1, None, AT, "20", "14.5", None, None, None), ("fine", None, None, AT, "1", None, None, None, None), ("none", 1, None, AT, None, None, None, None, None), ("long", 1, None, AT, "0.30000000000000004", None, None, None, None)]
-    assert relational.persist_events(*water(spark, *first), folder) == {"insert": 2, "reject": 4}
+    assert relational.persist_events(water(spark, *first), folder) == {"insert": 2, "reject": 4}
     again = [("a", 1, 9, AT, "20.000000", "7", None, None, None), ("b", 1, 6, AT, "20.5", "7.123456", "1", "2", "3"), ("c", 2, None, AT, "1", None, None, None, None)]
-    assert relational.persist_events(*water(spark, *again), folder) == {"enrich": 1, "reject": 1, "insert": 1}
+    assert relational.persist_events(water(spark, *again), folder) == {"enrich": 1, "reject": 1, "insert": 1}
     changed = [("c", 2, None, AT, "1", "7", None, None, None), ("a", 1, None, AT, "20", "7", None, None, None), ("b", 1, None, AT, "20.5", "7", "1", "2", "3")]
-    assert relational.persist_events(*water(spark, *changed), folder) == {"reject": 2, "replay": 1}
+    assert relational.persist_events(water(spark, *changed), folder) == {"reject": 2, "replay": 1}
     headers, items = relational.stored(spark, folder)
     assert {(r.chave_origem, r.id_operador) for r in headers.collect()} == {("a", 9), ("b", 5), ("c", None)} and items.count() == 8
     wide = relational.measures_of_period(headers, items, WATER, AT, datetime(2026, 5, 21)).orderBy("chave_origem").collect()
@@ -33,14 +33,91 @@ def test_events_are_accepted_or_rejected_as_a_whole(spark, tmp_path):
     assert relational.measures_of_period(headers, items, WATER, datetime(2026, 5, 21), datetime(2026, 5, 22)).count() == 0
 
 
-def test_weather_events_need_all_five(spark):
+def test_weather_events_need_all_five(spark, tmp_path):
     rows = [(1, 1, AT, 20.0, 50.0, 0.0, 1.0, "sol"), (2, 1, AT, 20.0, None, 0.0, 1.0, "sol"), (3, 1, AT, 20.0, 50.0, 0.0, 1.0, " ")]
     df = spark.createDataFrame(rows, "id_estacao bigint, id_cidade bigint, data_leitura timestamp, temperatura_ar double, umidade double, chuva double, vento double, condicao string")
-    headers, items = relational.prepare(df, WEATHER)
+    events = relational.prepare(df, WEATHER)
     empty = (spark.createDataFrame([], relational.HEADERS), spark.createDataFrame([], relational.ITEMS))
-    got = {r.chave_origem.split("|")[0]: (r.verdict, r.reasons) for r in relational.load_events(headers, items, *empty, complete=5).verdicts.collect()}
+    got = {r.chave_origem.split("|")[0]: (r.verdict, r.reasons) for r in relational.load_events(events, *empty, complete=5).verdicts.collect()}
     assert got == {"1": ("insert", []), "2": ("reject", ["items missing"]), "3": ("reject", ["blank text"])}
-    assert items.where("codigo_parametro = 'CONDICAO_METEO' and valor_texto = 'sol'").count() == 2
+    assert events.where("exists(itens, i -> i.codigo_parametro = 'CONDICAO_METEO' and i.valor_texto = 'sol')").count() == 2
+    approved, counts = relational.load_frame(df.withColumn("codigo_estacao", F.concat(F.lit("E"), "id_estacao")), WEATHER, str(tmp_path))
+    assert counts == {"insert": 1, "reject": 2} and [(float(r.temperatura_ar), r.condicao, r.id_estacao) for r in approved.collect()] == [(20.0, "sol", 1)]
+    assert relational.stored(spark, str(tmp_path))[0].first().chave_origem == "E1|2026-05-20T10:00:00.000000+00:00"
+
+
+def test_events_that_repeat_in_a_batch(spark, tmp_path):
+    folder = str(tmp_path)
+    row = ("a", 1, None, AT, "20", "7", None, None, None)
+    rows = [row, row, row, ("a", 1, 5, AT, "20.0", "7", None, None, None), ("a", 1, None, AT, "21", "7", None, None, None), ("a", 2, None, AT, "20", "7", None, None, None), ("b", 1, None, AT, "99", None, None, None, None), ("b", 1, None, AT, "9", None, None, None, None)]
+    assert relational.persist_events(water(spark, *rows), folder) == {"insert": 2, "replay": 2, "enrich": 1, "reject": 3}
+    headers, items = relational.stored(spark, folder)
+    assert {(r.chave_origem, r.id_estacao, r.id_operador) for r in headers.collect()} == {("a", 1, 5), ("b", 1, None)}
+    assert {(r.chave_origem, r.codigo_parametro, float(r.valor_numerico)) for r in items.collect()} == {("a", "TEMP_AGUA", 20.0), ("a", "PH", 7.0), ("b", "TEMP_AGUA", 9.0)}
+    ordered = spark.createDataFrame([(2, *row), (1, "a2", 1, None, AT, "1", None, None, None, None), (3, "a2", 1, None, AT, "2", None, None, None, None)], "n int, " + WATER_SCHEMA)
+    assert relational.persist_events(relational.prepare(ordered, WATER, ["n"]), folder) == {"replay": 1, "insert": 1, "reject": 1}
+    assert float(relational.stored(spark, folder)[1].where("chave_origem = 'a2'").first().valor_numerico) == 1.0
+
+
+def test_a_load_that_ends_midway_is_taken_up_again(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    relational.persist_events(water(spark, ("a", 1, None, AT, "20", "7", None, None, None)), folder)
+    batch = water(spark, ("a", 1, 9, AT, "20", "7", None, None, None), ("b", 1, None, AT, "1", "2", None, None, None))
+    real = relational.joins.new_rows
+
+    def broken(rows, existing, key):
+        if "codigo_parametro" in key:
+            raise OSError("the disk is full")
+        return real(rows, existing, key)
+
+    monkeypatch.setattr(relational.joins, "new_rows", broken)
+    with pytest.raises(OSError):
+        relational.persist_events(batch, folder)  # ends after the headers, before the items
+    monkeypatch.undo()
+    assert relational.stored(spark, folder)[1].count() == 2
+    assert relational.persist_events(water(spark, ("c", 1, None, AT, "1", None, None, None, None)), folder) == {"insert": 1}
+    headers, items = relational.stored(spark, folder)
+    assert {(r.chave_origem, r.id_operador) for r in headers.collect()} == {("a", 9), ("b", None), ("c", None)} and headers.count() == 3
+    assert items.count() == 5 and not list((tmp_path / "_pending").iterdir())
+
+    def early(*_):
+        raise OSError("the disk is full")
+
+    monkeypatch.setattr(relational, "write_text", early)
+    with pytest.raises(OSError):
+        relational.persist_events(water(spark, ("d", 1, None, AT, "1", None, None, None, None), ("a", 1, None, AT, "20", "7", None, None, None)), folder)
+    monkeypatch.undo()
+    assert relational.stored(spark, folder)[0].count() == 3
+    assert relational.persist_events(water(spark, ("c", 1, None, AT, "1", None, None, None, None)), folder) == {"replay": 1}
+    assert relational.stored(spark, folder)[0].count() == 3
+
+
+def test_headers_that_lost_their_items_get_them_again(spark, tmp_path):
+    folder, events = str(tmp_path), water(spark, ("a", 1, None, AT, "20", "7", None, None, None), ("b", 1, None, AT, "5", None, None, None, None))
+    relational.persist_events(events, folder)
+    items = relational.stored(spark, folder)[1].where("chave_origem = 'b'").collect()
+    spark.createDataFrame(items, relational.ITEMS).write.mode("overwrite").parquet(f"{folder}/leitura_itens")
+    assert relational.persist_events(events, folder) == {"repair": 1, "replay": 1}
+    assert relational.stored(spark, folder)[1].count() == 3 and relational.persist_events(events, folder) == {"replay": 2}
+
+
+def test_an_enrichment_rewrites_its_day_alone(spark, tmp_path):
+    folder = str(tmp_path)
+    days = [AT.replace(day=d) for d in (1, 2, 3)]
+    relational.persist_events(water(spark, *[(f"k{d.day}", 1, None, d, "20", None, None, None, None) for d in days]), folder)
+    before = {(p.parent, p.name) for p in (tmp_path / "leituras").rglob("part-*.parquet")}
+    assert relational.persist_events(water(spark, ("k2", 1, 7, days[1], "20", None, None, None, None)), folder) == {"enrich": 1}
+    after = {(p.parent, p.name) for p in (tmp_path / "leituras").rglob("part-*.parquet")}
+    assert len(before & after) == 2 and relational.stored(spark, folder)[0].where("id_operador = 7").count() == 1
+
+
+def test_rules_of_headers(spark):
+    rows = [("x" * 51, "k", None), ("E", "k", "0" * 63), ("E", "k", "0" * 64)]
+    df = spark.createDataFrame([(c, k, 1, AT, "20", h, *[None] * 4) for c, k, h in rows], "codigo_estacao string, id_leitura_origem string, id_estacao bigint, data_leitura timestamp, temperatura_agua string, operador_cpf_hash string, ph string, oxigenio string, condutividade string, turbidez string")
+    events = relational.prepare(df, WATER)
+    assert [r.w for r in events.select(relational.header_reasons(events.columns).alias("w")).collect()] == [["station code too long"], ["no operator digest"], []]
+    other = events.limit(1).withColumn("origem", F.lit(WEATHER.name)).withColumn("codigo_estacao", F.lit("E"))
+    assert other.select(relational.header_reasons(other.columns).alias("w")).first().w == ["key of another reading"]
 
 
 def test_registers(spark):
@@ -73,13 +150,47 @@ def test_operators_are_protected_and_updated(spark):
 def test_migration_moves_every_cell_or_nothing(spark, tmp_path):
     stations = spark.createDataFrame([(1,)], "id_estacao bigint")
     legacy = spark.createDataFrame([("a", 1, None, AT, "20", "7", "1", "2", None), ("b", 1, None, AT, "20", None, "1", "2", "0.5")], WATER_SCHEMA)
-    done = relational.migrate(legacy, WATER, str(tmp_path / "ok"), stations)
-    assert (done.missing, done.extra, done.orphans) == (0, 0, 0)
+    old, kept = str(tmp_path / "qualidade_agua"), str(tmp_path / "legado_qualidade_agua")
+    legacy.write.parquet(old)
+    source = spark.read.parquet(old)
+    for broken in (source.withColumn("id_estacao", F.lit(7).cast("bigint")), source.withColumn("ph", F.lit("99")), source.unionByName(source), source.drop("ph")):
+        with pytest.raises(ValueError, match="preflight"):
+            relational.migrate({WATER.name: broken}, str(tmp_path / "no"), stations, {old: kept})
+    assert not exists(spark, str(tmp_path / "no" / "leituras")) and exists(spark, old)
+    done = relational.migrate({WATER.name: source}, str(tmp_path / "ok"), stations, {old: kept})
+    assert done.events == {"qualidade_agua": 2} and done.archived == [kept]
     assert relational.stored(spark, str(tmp_path / "ok"))[1].count() == 8
-    for broken in (legacy.withColumn("id_estacao", F.lit(7).cast("bigint")), legacy.withColumn("ph", F.lit("99"))):
+    assert not exists(spark, old) and exists(spark, f"{kept}/_READ_ONLY") and spark.read.parquet(kept).count() == 2
+    # a table that holds something else for these events does not reconcile
+    relational.persist_events(water(spark, ("a", 1, None, AT, "21", None, None, None, None)), str(tmp_path / "other"))
+    with pytest.raises(ValueError):
+        relational.migrate({WATER.name: spark.read.parquet(kept)}, str(tmp_path / "other"), stations)
+    assert relational.stored(spark, str(tmp_path / "other"))[1].count() == 1
+
+
+def test_operators_come_from_a_document(spark, tmp_path):
+    path, key, token = tmp_path / "operators.json", b"a key for tests", "MDEyMzQ1Njc4OTAxMjM0NTY3ODkwMTIzNDU2Nzg5MDE="
+    stations = spark.createDataFrame([("E1", 1)], "codigo_origem string, id_estacao bigint")
+    none = spark.createDataFrame([], "cpf_hash string, nome_completo_cifrado string, status int, id_estacao bigint")
+    path.write_text(json.dumps({"date": "2026-01-01", "operadores": [{"cpf": "529.982.247-25", "nome": "Ana", "status": "ativo", "estacao_id": "E1"}, {"cpf": "111.111.111-11", "nome": "Bob", "estacao_id": "E1"}, {"nome": "no station"}]}, indent=2))
+    rows, date = relational.read_operators(spark, str(path))
+    assert date == "2026-01-01" and rows.count() == 2
+    good, bad = relational.load_operators(rows, none, stations, key, token, dated=True)
+    assert (good.count(), bad.count()) == (1, 1)
+    with pytest.raises(ValueError):
+        relational.load_operators(rows, none, stations, key, token, dated=False)
+    for broken in ("{no json", "[]", '{"operadores": 3}'):
+        path.write_text(broken)
+        rows, date = relational.read_operators(spark, str(path))
+        assert date is None and rows.count() == 0
+
+
+def test_a_register_is_replaced_as_a_whole(spark):
+    old, used = spark.createDataFrame([(1, "a"), (2, "b")], "id int, n string"), spark.createDataFrame([(2,)], "ref int")
+    assert relational.replace_register(old.where("id = 2"), old, ["id"], used, "ref").count() == 1
+    for bad in (old.where("id = 1"), old.union(old)):
         with pytest.raises(ValueError):
-            relational.migrate(broken, WATER, str(tmp_path / "no"), stations)
-    assert not exists(spark, str(tmp_path / "no" / "leituras"))
+            relational.replace_register(bad, old, ["id"], used, "ref")
 
 
 class _Api(http.server.BaseHTTPRequestHandler):

@@ -97,6 +97,32 @@ def test_one_writer_at_a_time(spark, tmp_path):
         pass
 
 
+def test_an_old_lock_is_taken_away(spark, tmp_path):
+    (tmp_path / "t.lock").write_text("gone")
+    with pytest.raises(TimeoutError), tables.locked(spark, str(tmp_path / "t"), timeout=0.1):
+        pass
+    with tables.locked(spark, str(tmp_path / "t"), timeout=1.0, expiry=0.0001):
+        assert (tmp_path / "t.lock").read_text().startswith("local-")
+    assert not (tmp_path / "t.lock").exists()
+
+
+def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(4000).selectExpr("cast(id as string) as id_leitura_origem", "1L as id_estacao", "timestamp'2026-05-20' + make_interval(0,0,0,0,0,0,id) as data_leitura", "1d as temperatura_agua", "7d as ph", "1d as oxigenio", "1d as condutividade", "1d as turbidez")
+        assert tables.merge(df, WATER, str(tmp_path)).written == 4000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list((tmp_path / "qualidade_agua").rglob("part-*.parquet"))) > 1
+
+
+def test_reports_as_sorted_parts(spark, tmp_path):
+    df = spark.range(1000).selectExpr("999 - id as a", "timestamp'2026-01-01' as t")
+    tables.write_csv_parts(df, str(tmp_path / "out"), ["a"])
+    lines = [x for p in sorted((tmp_path / "out").glob("part-*.csv")) for x in p.read_text().splitlines()]
+    assert [x for x in lines if x != "a;t"] == [f"{i};2026-01-01 00:00:00.000000+00:00" for i in range(1000)]
+
+
 def test_csv_dialect(spark, tmp_path):
     df = spark.createDataFrame([(2, None, True, "é;x"), (1, 1.5, False, None)], "a int, b double, c boolean, d string")
     tables.write_csv(df, str(tmp_path / "out.csv"), ["a"])
