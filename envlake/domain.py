@@ -37,10 +37,9 @@ LIMITS = {
 }
 
 # Personal data that the tables hold, for the catalogue of the data protection law.
-_PURPOSE = "Cadastro e identificacao de operadores de campo"
 PERSONAL_DATA = [
-    ("dbo", "operadores", "cpf", "cpf_hash", "Dado pessoal", _PURPOSE, "HMAC-SHA-256", "Chave HMAC restrita ao processo autorizado; digest nao reversivel"),
-    ("dbo", "operadores", "nome_completo", "nome_completo_cifrado", "Dado pessoal", _PURPOSE, "Fernet", "Descriptografia autorizada por principal; tentativas auditadas sem PII"),
+    ("dbo", "operadores", "cpf", "cpf_hash", "Dado pessoal", "Cadastro e identificacao de operadores de campo", "HMAC-SHA-256", "Chave HMAC restrita ao processo autorizado; digest nao reversivel"),
+    ("dbo", "operadores", "nome_completo", "nome_completo_cifrado", "Dado pessoal", "Cadastro e identificacao de operadores de campo", "Fernet", "Descriptografia autorizada por principal; tentativas auditadas sem PII"),
 ]
 
 # Names of cities, as keys, that the registers of stations write in another way than that of cities.
@@ -100,7 +99,16 @@ CONTRACTS = {c.name: c for c in (WATER, WEATHER)}
 ENVELOPES = {"qualidade_agua": "leituras_ambientais", "leitura_meteorologica": "leituras_meteorologicas"}
 
 # The fields of a raw record, in the order in which a contract reports the first that fails.
-RAW_WATER = [("id", "text"), ("estacao_id", "text"), ("timestamp", "instant")] + [(f"qualidade_agua.{x}.valor", "number") for x in ("temperatura", "ph", "oxigenio_dissolvido", "condutividade", "turbidez")]
+RAW_WATER = [
+    ("id", "text"),
+    ("estacao_id", "text"),
+    ("timestamp", "instant"),
+    ("qualidade_agua.temperatura.valor", "number"),
+    ("qualidade_agua.ph.valor", "number"),
+    ("qualidade_agua.oxigenio_dissolvido.valor", "number"),
+    ("qualidade_agua.condutividade.valor", "number"),
+    ("qualidade_agua.turbidez.valor", "number"),
+]
 RAW_WEATHER = [("id", "text"), ("estacao_id", "text"), ("timestamp", "instant"), ("cidade", "text"), ("estado", "text")] + [
     ("dados_meteorologicos.temperatura_ar.valor", "number"),
     ("dados_meteorologicos.umidade.valor", "number"),

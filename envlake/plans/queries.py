@@ -6,13 +6,18 @@ types and numeric columns for parameters. Doubles are rounded on both sides.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..domain import WATER
 from ..functions import numbers, personal, raw_json, text, times
 from ..operators import constraints, joins, keys, quality, reshape, star, statistics, upsert
+from ..sources import raw, tables
+from . import collector, relational
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOGUE: dict[str, tuple[Query, str | None]] = {}
@@ -30,6 +35,23 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir; only a session on one machine may have none and gets a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        root = "file://" + tempfile.mkdtemp(prefix="envlake-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def customer_readings(customers: DataFrame, temperature, day) -> DataFrame:
+    """Customers as water readings of a temperature, on a day from 0 on."""
+    at = (F.lit("2026-01-01").cast("timestamp_ntz") + F.make_dt_interval(day.cast("int"))).cast("timestamp")
+    value = temperature if isinstance(temperature, Column) else F.lit(temperature)
+    return customers.select(F.col("c_custkey").cast("string").alias("id_leitura_origem"), F.col("c_nationkey").cast("bigint").alias("id_estacao"), at.alias("data_leitura"), value.alias("temperatura_agua"), F.lit(7.0).alias("ph"), *[F.lit(1.0).alias(c) for c in ("oxigenio", "condutividade", "turbidez")])
+
+
 def rounded(df: DataFrame, *columns: str, places: int = 7) -> DataFrame:
     return df.withColumns({c: F.round(c, places) for c in columns})
 
@@ -109,8 +131,7 @@ def rolling_mean_7(spark, d):
 
 @query("SELECT CAST(date_trunc('day', min(ts)) AS DATE) AS first_day, CAST(date_trunc('day', max(ts)) + INTERVAL 1 DAY AS DATE) AS end_day FROM events")
 def report_period(spark, d):
-    e = event_measures(spark, d)
-    return e.agg(F.min("data_leitura").cast("date").alias("first_day"), F.date_add(F.max("data_leitura").cast("date"), 1).alias("end_day"))
+    return statistics.period_of(event_measures(spark, d)).toDF("first_day", "end_day")
 
 
 @query("SELECT l_orderkey AS id, CAST(CAST(l_quantity AS DECIMAL(18,6)) AS DOUBLE) AS quantity, CAST(l_shipdate AS DATE) AS day, CAST(TRY_CAST(l_returnflag AS DOUBLE) AS DOUBLE) AS flag_number FROM lineitem WHERE l_quantity >= 45")
@@ -119,10 +140,17 @@ def scan_project_cast(spark, d):
     return rows.select(F.col("l_orderkey").alias("id"), F.col("l_quantity").cast("decimal(18,6)").cast("double").alias("quantity"), times.utc_day(F.col("l_shipdate")).alias("day"), numbers.number(F.col("l_returnflag")).alias("flag_number"))
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+@query("SELECT 'W' || event_id AS id_leitura_origem, CASE WHEN user_id % 5 <> 0 THEN 'E' || user_id END AS codigo_estacao, ts AS data_leitura, CASE WHEN event_id % 4 <> 0 THEN round(value, 6) END AS temperatura_agua, CAST(json_extract(props, '$.k') AS DOUBLE) AS ph, CAST(NULL AS DOUBLE) AS oxigenio FROM events")
 def json_flatten_props(spark, d):
-    v = F.try_parse_json("props")
-    return table(spark, d, "events").select("event_id", F.try_variant_get(v, "$.k", "bigint").alias("k"))
+    """Events as raw water records, numbers as text among them, flattened to rows."""
+    e = table(spark, d, "events")
+    k = F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").cast("string")
+    number = F.when(F.col("event_id") % 4 == 0, F.lit('"none"')).when(F.col("event_id") % 2 == 0, F.concat(F.lit('"'), F.col("value").cast("string"), F.lit('"'))).otherwise(F.col("value").cast("string"))
+    station = F.when(F.col("user_id") % 5 == 0, F.lit('" "')).otherwise(F.concat(F.lit('" E'), F.col("user_id").cast("string"), F.lit(' "')))
+    at = F.concat(F.date_format(times.in_utc(F.col("ts")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    text_of = F.concat(F.lit('{"id":"W'), "event_id", F.lit('","estacao_id":'), station, F.lit(',"timestamp":"'), at, F.lit('","qualidade_agua":{"temperatura":{"valor":'), number, F.lit('},"ph":{"valor":'), F.coalesce(k, F.lit("null")), F.lit("}}}"))
+    rows = raw.flatten(e.select(F.try_parse_json(text_of).alias("record")), "qualidade_agua")
+    return rounded(rows, "temperatura_agua", places=6).select("id_leitura_origem", "codigo_estacao", "data_leitura", "temperatura_agua", "ph", "oxigenio")
 
 
 @query("""SELECT event_id, CASE event_id % 7 WHEN 0 THEN 'id: missing' WHEN 1 THEN 'id: not a text' WHEN 2 THEN 'id: blank' WHEN 3 THEN 'at: not an ISO instant'
@@ -138,9 +166,11 @@ def json_contract_reasons(spark, d):
     return table(spark, d, "events").select("event_id", raw_json.first_violation(record, fields).alias("reason"))
 
 
-@query("SELECT r_regionkey, r_name, CAST(NULL AS DOUBLE) AS area FROM region")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id_leitura_origem, CAST(c_nationkey AS BIGINT) AS id_estacao, code AS codigo_parametro, CASE WHEN code = 'PH' THEN c_acctbal END AS valor FROM customer, (VALUES ('TEMP_AGUA'), ('PH'), ('OD'), ('COND_ELETRICA'), ('TURBIDEZ')) v(code)")
 def missing_column_default(spark, d):
-    return table(spark, d, "region").select("r_regionkey", "r_name", F.lit(None).cast("double").alias("area"))
+    """Readings with one measure alone, as long measures of all: those of columns that are not there are null."""
+    rows = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id_leitura_origem"), F.col("c_nationkey").cast("bigint").alias("id_estacao"), F.lit("2026-01-01").cast("timestamp").alias("data_leitura"), F.col("c_acctbal").alias("ph"))
+    return reshape.measurements(rows, WATER).select("id_leitura_origem", "id_estacao", "codigo_parametro", "valor")
 
 
 @query("SELECT c_custkey, lower(trim(c_mktsegment)) AS segment, CASE WHEN trim(c_name) <> '' THEN trim(c_name) END AS name FROM customer")
@@ -211,11 +241,9 @@ u AS (SELECT count(*) AS e, count(DISTINCT concat(l_orderkey, '-', l_linenumber)
 SELECT dimension, e AS evaluated, e - x AS approved, x AS rejected FROM (UNPIVOT c ON completeness, accuracy, validity, timeliness, consistency INTO NAME dimension VALUE x)
 UNION ALL SELECT 'uniqueness', e, a, e - a FROM u""")
 def quality_dimensions(spark, d):
-    from ..domain import WATER
-
     clean, counts = quality.assess(water_readings(spark, d), WATER)
-    unique = clean.agg(F.count("*"), F.count_distinct(*WATER.key)).first()
-    return quality.dimension_counts(counts, tuple(unique))
+    unique = clean.agg(F.count("*").alias("evaluated"), F.count_distinct(*WATER.key).alias("approved"))
+    return quality.dimension_counts(counts).where("dimension <> 'uniqueness'").unionByName(unique.select(F.lit("uniqueness").alias("dimension"), "evaluated", "approved", (F.col("evaluated") - F.col("approved")).alias("rejected")))
 
 
 @query("SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-08'")
@@ -230,10 +258,17 @@ def window_inclusive_day(spark, d):
     return table(spark, d, "events").where(times.half_open(F.col("ts"), start, end)).select("event_id", "ts")
 
 
-@query("SELECT count(*) FILTER (CAST(ts AS DATE) <> CAST(ts + INTERVAL 6 HOUR AS DATE)) AS outside FROM events")
+@query("SELECT event_id, ts FROM events WHERE CAST(ts AS DATE) < DATE '2024-02-01' UNION ALL SELECT -count(*), TIMESTAMP '2024-01-01' FROM events WHERE CAST(ts AS DATE) <> CAST(ts + INTERVAL 6 HOUR AS DATE)")
 def partition_day_guard(spark, d):
-    shifted = table(spark, d, "events").withColumn("day", (F.col("ts") + F.expr("interval 6 hours")).cast("date"))
-    return shifted.agg(F.count_if(F.col("ts").cast("date") != F.col("day")).alias("outside"))
+    """Rows that lie in the folder of their day pass the guard; of those in another day's, the guard says how many."""
+    e = table(spark, d, "events").select("event_id", "ts")
+    good = tables.checked_days(e.where(times.utc_day(F.col("ts")) < "2024-02-01").withColumn(tables.DAY, times.utc_day(F.col("ts"))), "ts")
+    try:
+        tables.checked_days(e.withColumn(tables.DAY, (times.in_utc(F.col("ts")) + F.expr("interval 6 hours")).cast("date")), "ts")
+        outside = 0
+    except ValueError as why:
+        outside = int(str(why).split()[0])
+    return good.drop(tables.DAY).union(spark.createDataFrame([(-outside,)], "event_id bigint").select("event_id", F.lit("2024-01-01").cast("timestamp_ntz").cast(dict(e.dtypes)["ts"])))
 
 
 ORDER = "l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
@@ -312,13 +347,11 @@ def orphan_check(spark, d):
     return joins.orphans(table(spark, d, "lineitem"), some_suppliers(spark, d), {"l_suppkey": "s_suppkey"}).agg(F.count("*").alias("n"))
 
 
-@query("SELECT n_regionkey, count(*) AS n FROM nation WHERE n_nationkey % 5 <> 0 GROUP BY n_regionkey")
+@query("SELECT 'city' AS kind, CAST(n_nationkey AS BIGINT) AS id FROM nation WHERE n_nationkey % 5 <> 0 UNION ALL SELECT 'station', CAST(s_suppkey AS BIGINT) FROM supplier WHERE s_nationkey % 5 <> 0")
 def cascade_delete(spark, d):
     n = table(spark, d, "nation")
     kept, children = joins.delete_with_children(n, table(spark, d, "supplier"), n.where("n_nationkey % 5 = 0"), "n_nationkey", "s_nationkey")
-    return kept.groupBy("n_regionkey").agg(F.count("*").alias("n"))
-
-
+    return kept.select(F.lit("city").alias("kind"), F.col("n_nationkey").cast("bigint").alias("id")).union(children.select(F.lit("station"), F.col("s_suppkey").cast("bigint")))
 
 
 def codes_of(spark, d) -> dict[str, str]:
@@ -430,11 +463,14 @@ def fact_star(spark, d):
     return rounded(fact, "media_movel").drop("dataset", "data_leitura")
 
 
-@query("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, c_name || '!' FROM customer WHERE c_custkey % 2 <> 0 AND c_custkey % 3 = 0")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id_leitura_origem, CASE WHEN c_custkey % 2 = 0 THEN 20.0 ELSE 30.0 END AS temperatura_agua FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0")
 def upsert_insert_ignore(spark, d):
-    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
-    new = c.where("id % 3 = 0").withColumn("name", F.concat("name", F.lit("!")))
-    return upsert.insert_ignore(new, c.where("id % 2 = 0"), ["id"], ["name"])
+    """Readings merged into a table by day, then others of which some have keys that are there: those stay as they were."""
+    folder = scratch(spark, "merge")
+    c = table(spark, d, "customer")
+    for mod, value in ((2, 20.0), (3, 30.0)):
+        tables.merge(customer_readings(c.where(F.col("c_custkey") % mod == 0), value, day=F.col("c_custkey") % (5 * mod)), WATER, folder)
+    return tables.read_table(spark, f"{folder}/{WATER.name}").select("id_leitura_origem", "temperatura_agua")
 
 
 @query("""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'insert' WHEN o_orderkey % 5 = 1 THEN 'reject' WHEN o_orderkey % 5 = 2 THEN 'enrich' ELSE 'replay' END AS verdict FROM orders""")
@@ -495,20 +531,26 @@ def natural_key_string(spark, d):
     return table(spark, d, "events").select("event_id", times.natural_key(F.col("user_id"), F.col("ts")).alias("key"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE CAST(l_shipdate AS DATE) < DATE '1995-01-01' OR CAST(l_shipdate AS DATE) >= DATE '1996-01-01' UNION ALL SELECT -l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE CAST(l_shipdate AS DATE) >= DATE '1995-01-01' AND CAST(l_shipdate AS DATE) < DATE '1996-01-01' AND l_linenumber = 1")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id_leitura_origem, CAST(c_custkey % 10 AS BIGINT) AS day, 20.0 AS temperatura_agua FROM customer WHERE c_custkey % 10 NOT IN (2, 3, 4) UNION ALL SELECT 'new-' || c_custkey, CAST(2 AS BIGINT), 25.0 FROM customer WHERE c_custkey % 10 = 2")
 def rebuild_days(spark, d):
-    """The days of 1995 replaced by a reference that has first lines alone."""
-    rows = table(spark, d, "lineitem")
-    start, end = times.exclusive_days("1995-01-01", "1996-01-01")
-    inside = times.half_open(F.col("l_shipdate"), start, end)
-    reference = rows.where(inside & (F.col("l_linenumber") == 1)).withColumn("l_orderkey", -F.col("l_orderkey"))
-    return rows.where(~inside).unionByName(reference).select("l_orderkey", "l_linenumber", "l_partkey")
+    """A table of ten days of which three are replaced by a reference that has rows for one of them alone."""
+    from datetime import datetime, timezone
+
+    folder, c = scratch(spark, "rebuild"), table(spark, d, "customer")
+    tables.merge(customer_readings(c, 20.0, day=F.col("c_custkey") % 10), WATER, folder)
+    new = customer_readings(c.where("c_custkey % 10 = 2"), 25.0, day=F.col("c_custkey") % 10).withColumn("id_leitura_origem", F.concat(F.lit("new-"), "id_leitura_origem"))
+    tables.rebuild(lambda: new, WATER, folder, *(datetime(2026, 1, day, tzinfo=timezone.utc) for day in (3, 6)))
+    return tables.read_table(spark, f"{folder}/{WATER.name}").select("id_leitura_origem", (F.dayofmonth(tables.DAY) - 1).cast("bigint").alias("day"), "temperatura_agua")
 
 
-@query("SELECT count(*) AS received, count(*) FILTER (l_quantity <= 40) AS approved, count(DISTINCT CAST(l_shipdate AS DATE)) AS days FROM lineitem")
+@query("""SELECT count(*) AS received, count(*) FILTER (c_acctbal <= 5000) AS written, (SELECT count(DISTINCT c_custkey % 7) FROM customer WHERE c_acctbal <= 5000) AS days, count(*) FILTER (c_acctbal > 5000) AS out_of_range FROM customer""")
 def manifest_counts(spark, d):
-    ok = ~numbers.outside(F.col("l_quantity"), 0, 40)
-    return table(spark, d, "lineitem").agg(F.count("*").alias("received"), F.count_if(ok).alias("approved"), F.count_distinct(times.utc_day(F.col("l_shipdate"))).alias("days"))
+    """What the manifest of a merge says of readings that are too warm at large balances."""
+    folder = scratch(spark, "manifest")
+    rows = customer_readings(table(spark, d, "customer"), F.when(F.col("c_acctbal") > 5000, 99.0).otherwise(20.0), day=F.col("c_custkey") % 7)
+    done = tables.merge(rows, WATER, folder)
+    m = spark.read.option("multiLine", "true").json(done.manifest)
+    return m.select(F.col("linhas_recebidas").alias("received"), F.col("linhas_gravadas").alias("written"), F.size("particoes_gravadas").cast("bigint").alias("days"), F.col("dimensoes_qualidade.accuracy.linhas_rejeitadas").alias("out_of_range"))
 
 
 _CPF = "list_transform(range(1, 10), lambda i: CAST(s[i] AS INTEGER))"
@@ -537,17 +579,25 @@ def hmac_pseudonym(spark, d):
     return table(spark, d, "customer").select("c_custkey", personal.hmac_sha256(F.col("c_name"), _KEY).alias("pseudonym"))
 
 
-@query("SELECT s_suppkey, s_name FROM supplier")
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 4 <> 0 THEN s_name END AS s_name, s_suppkey % 4 <> 0 AS authentic, 'gAAAA' AS head, CAST(((len(s_name) // 16 + 1) * 16 + 57 + 2) // 3 * 4 AS INTEGER) AS length FROM supplier")
 def encrypted_names(spark, d):
-    """Names encrypted and read again by an authorised principal."""
+    """Names encrypted and read again by an authorised principal, every fourth token changed; a token's first bytes and length are those of its format."""
     key = "MDEyMzQ1Njc4OTAxMjM0NTY3ODkwMTIzNDU2Nzg5MDE="
-    rows = table(spark, d, "supplier").select("s_suppkey", personal.encrypt_name(F.col("s_name"), key).alias("token"))
-    return rows.select("s_suppkey", personal.read_names(F.col("token"), key, principal="loader", authorize=lambda who, what: who == "loader").alias("s_name"))
+    rows = table(spark, d, "supplier").select("s_suppkey", personal.encrypt_name(F.col("s_name"), key, at=F.lit(1_700_000_000).cast("bigint")).alias("token"))
+    other = F.concat(F.substring("token", 1, 40), F.when(F.substring("token", 41, 1) == "A", "B").otherwise("A"), F.expr("substring(token, 42)"))
+    rows = rows.withColumn("token", F.when(F.col("s_suppkey") % 4 == 0, other).otherwise(F.col("token")))
+    name = personal.read_names(F.col("token"), key, principal="loader", authorize=lambda who, what: who == "loader")
+    return rows.select("s_suppkey", name.alias("s_name"), name.isNotNull().alias("authentic"), F.substring("token", 1, 5).alias("head"), F.length("token").alias("length"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem")
+@query("SELECT CAST(p AS BIGINT) AS place, line FROM (SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS p, concat_ws(';', o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN 'True' ELSE 'False' END, coalesce(CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END, ''), strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f') || '+00:00') AS line FROM orders)")
 def sorted_publish(spark, d):
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
+    """Orders published as one CSV file and read again line by line."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 2 == 0).alias("even"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority")).alias("priority"), F.col("o_orderdate").cast("timestamp_ntz").alias("at"))
+    path = f"{scratch(spark, 'report')}/orders.csv"
+    tables.write_csv(o, path, ["at", "o_orderkey"])
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("place", "line"))
+    return lines.where("place > 0 and line <> ''").select(F.col("place").cast("bigint").alias("place"), "line")
 
 
 @query("SELECT CAST(event_id AS VARCHAR) AS id_leitura_origem, round(value, 7) AS valor FROM events ORDER BY value DESC, CAST(event_id AS VARCHAR) LIMIT 20")
@@ -558,13 +608,9 @@ def top_anomalies(spark, d):
 @query("SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey FROM lineitem GROUP BY ALL")
 def stream_dedup_available_now(spark, d):
     """Line items streamed into a table of first rows by key, twice; the second time adds nothing."""
-    import tempfile
-    import uuid
-
     from ..streaming.ingest import dedup_stream
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="envlake-stream-")
-    root = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    root = scratch(spark, "stream")
     rows = spark.read.parquet(f"{d}/lineitem.parquet")
     for turn in range(2):
         stream = spark.readStream.schema(rows.schema).option("pathGlobFilter", "lineitem.parquet").parquet(d).select("l_orderkey", "l_linenumber", "l_partkey")
@@ -580,19 +626,104 @@ def constraint_report(spark, d):
     return constraints.report(table(spark, d, "lineitem"), rules)
 
 
-@query("""SELECT verdict, count(*) AS n FROM (SELECT CASE o_orderkey % 4 WHEN 0 THEN 'insert' WHEN 1 THEN 'replay' WHEN 2 THEN 'reject' ELSE 'enrich' END AS verdict FROM orders) GROUP BY verdict""")
+def order_events(spark, d) -> tuple[DataFrame, DataFrame]:
+    """(batch, stored) of orders as water readings.
+
+    By the key modulo 6: new and twice the same; stored; stored with another value; stored without the operator;
+    new, then again with another value; stored, but its items were lost.
+    """
+    n = F.col("o_orderkey") % 6
+    rows = table(spark, d, "orders").select(F.lit(0).alias("turn"), F.col("o_orderkey"), F.col("o_orderkey").cast("string").alias("id_leitura_origem"), F.col("o_custkey").alias("id_estacao"), F.when(n == 3, 1).cast("bigint").alias("id_operador"), F.col("o_orderdate").cast("timestamp").alias("data_leitura"), F.lit("20.5").alias("temperatura_agua"), F.lit("7").alias("ph"), *[F.lit(None).cast("string").alias(c) for c in ("oxigenio", "condutividade", "turbidez")])
+    again = rows.where(n.isin(0, 4)).withColumn("turn", F.lit(1)).withColumn("ph", F.when(n == 4, "9").otherwise(F.col("ph")))
+    old = rows.where(~n.isin(0, 4)).withColumn("id_operador", F.lit(None).cast("bigint")).withColumn("ph", F.when(n == 2, "8").otherwise(F.col("ph")))
+    return rows.unionByName(again), old
+
+
+def loaded_orders(spark, d):
+    batch, old = order_events(spark, d)
+    stored = relational.load_events(relational.prepare(old, WATER), spark.createDataFrame([], relational.HEADERS), spark.createDataFrame([], relational.ITEMS))
+    items = stored.items.where(F.col("chave_origem").cast("bigint") % 6 != 5)
+    return relational.load_events(relational.prepare(batch, WATER, ["turn"]), stored.headers, items)
+
+
+@query("""SELECT verdict, count(*) AS n FROM (SELECT CASE o_orderkey % 6 WHEN 0 THEN 'insert' WHEN 1 THEN 'replay' WHEN 2 THEN 'reject' WHEN 3 THEN 'enrich' WHEN 4 THEN 'insert' ELSE 'repair' END AS verdict FROM orders
+UNION ALL SELECT CASE o_orderkey % 6 WHEN 0 THEN 'replay' ELSE 'reject' END FROM orders WHERE o_orderkey % 6 IN (0, 4)) GROUP BY verdict""")
 def event_load(spark, d):
-    """Orders as water events against stored ones: new, the same, with another value, or with an operator that the stored lack."""
-    from . import relational
-    from ..domain import WATER
-
-    n = F.col("o_orderkey") % 4
-    rows = table(spark, d, "orders").select(F.col("o_orderkey"), F.col("o_orderkey").cast("string").alias("id_leitura_origem"), F.col("o_custkey").alias("id_estacao"), F.when(n == 3, 1).cast("bigint").alias("id_operador"), F.col("o_orderdate").cast("timestamp").alias("data_leitura"), F.lit("20.5").alias("temperatura_agua"), F.lit("7").alias("ph"), *[F.lit(None).cast("string").alias(c) for c in ("oxigenio", "condutividade", "turbidez")])
-    old = rows.where(n != 0).withColumn("id_operador", F.lit(None).cast("bigint")).withColumn("ph", F.when(n == 2, "8").otherwise(F.col("ph")))
-    old_headers, old_items = relational.prepare(old, WATER)
-    stored = old_items.withColumn("valor_numerico", numbers.exact_decimal(F.col("numero"))).drop("numero")
-    load = relational.load_events(*relational.prepare(rows, WATER), old_headers, stored)
-    return load.verdicts.groupBy("verdict").agg(F.count("*").alias("n"))
+    """Orders against stored ones: how many rows have each verdict."""
+    return loaded_orders(spark, d).verdicts.groupBy("verdict").agg(F.sum("n").alias("n"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS chave_origem, code AS codigo_parametro, CAST(v AS DOUBLE) AS valor FROM orders, (VALUES ('TEMP_AGUA', 20.5), ('PH', 7.0)) x(code, v) WHERE o_orderkey % 6 IN (0, 4, 5)")
+def event_load_items(spark, d):
+    """The items that the same load adds: of new events, and of those whose items were lost."""
+    return loaded_orders(spark, d).items.select("chave_origem", "codigo_parametro", F.col("valor_numerico").cast("double").alias("valor"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS chave_origem, CAST(o_custkey AS BIGINT) AS id_estacao, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderkey % 6 IN (0, 4)")
+def event_load_headers(spark, d):
+    return loaded_orders(spark, d).headers.select("chave_origem", "id_estacao", times.utc_day(F.col("data_leitura")).alias("day"))
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS chave_origem, code AS codigo_parametro, CASE code WHEN 'TEMP_AGUA' THEN 20.0 ELSE 7.0 END AS valor FROM customer, (VALUES ('TEMP_AGUA'), ('PH')) x(code) WHERE c_custkey % 50 = 0")
+def migration_reconcile(spark, d):
+    """Customers as an old wide table, migrated and reconciled; the items of its tables."""
+    folder, c = scratch(spark, "migration"), table(spark, d, "customer").where("c_custkey % 50 = 0")
+    old = customer_readings(c, 20.0, day=F.col("c_custkey") % 3).withColumns({x: F.lit(None).cast("double") for x in ("oxigenio", "condutividade", "turbidez")})
+    relational.migrate({WATER.name: old}, folder, c.select(F.col("c_nationkey").cast("bigint").alias("id_estacao")).distinct())
+    return relational.stored(spark, folder)[1].select("chave_origem", "codigo_parametro", F.col("valor_numerico").cast("double").alias("valor"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS id_leitura_origem, list_sort(CASE WHEN o_orderkey % 4 = 0 THEN ['temperatura_agua: out of range'] ELSE [] END || CASE WHEN o_orderkey % 6 = 0 THEN ['id_estacao: missing'] ELSE [] END || CASE WHEN o_orderkey % 9 = 0 THEN ['ph: missing or no number'] ELSE [] END).array_to_string(', ') AS reasons FROM orders WHERE o_orderkey % 4 = 0 OR o_orderkey % 6 = 0 OR o_orderkey % 9 = 0")
+def rejected_rows(spark, d):
+    """Rows that the flow's rules reject, with all their reasons."""
+    k = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(k.cast("string").alias("id_leitura_origem"), F.when(k % 6 != 0, F.col("o_custkey")).alias("id_estacao"), F.when(k % 4 == 0, 51.0).otherwise(50.0).alias("temperatura_agua"), F.when(k % 9 != 0, 7.0).alias("ph"), *[F.lit(1.0).alias(c) for c in ("oxigenio", "condutividade", "turbidez")])
+    _, rejected = quality.split(rows, quality.row_rules(WATER, ["id_leitura_origem", "id_estacao", *WATER.numeric]))
+    return rejected.select("id_leitura_origem", F.array_join(F.array_sort("reasons"), ", ").alias("reasons"))
+
+
+@query("SELECT event_id, user_id FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-03' AND CAST(ts AS DATE) < DATE '2024-01-05'")
+def read_days_pruned(spark, d):
+    """Two days of a table by day, of which the other folders are not read."""
+    path = f"{scratch(spark, 'days')}/events"
+    e = table(spark, d, "events").select("event_id", "user_id", "ts").where("ts < '2024-01-08'")
+    e.withColumn(tables.DAY, times.utc_day(F.col("ts"))).write.partitionBy(tables.DAY).parquet(path)
+    from datetime import date
+
+    return tables.read_days(spark, path, date(2024, 1, 3), date(2024, 1, 5)).select("event_id", "user_id")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 0 WHEN c_custkey % 3 = 1 THEN 1 END AS position, 'r' || c_custkey AS id FROM customer WHERE c_custkey % 3 < 2 UNION ALL SELECT c_custkey, 0, 's' || c_custkey FROM customer WHERE c_custkey % 3 = 1 UNION ALL SELECT c_custkey, 0, 't' || c_custkey FROM customer WHERE c_custkey % 3 = 2")
+def raw_envelopes(spark, d):
+    """Records of payloads that are a list of two, an envelope of one, or one record."""
+    k, n = F.col("c_custkey").cast("string"), F.col("c_custkey") % 3
+    one = lambda letter: F.concat(F.lit('{"id":"' + letter), k, F.lit('"}'))
+    body = F.when(n == 0, F.concat(F.lit('{"leituras_ambientais":['), one("r"), F.lit("]}"))).when(n == 1, F.concat(F.lit("["), one("s"), F.lit(","), one("r"), F.lit("]"))).otherwise(one("t"))
+    found = raw.records(table(spark, d, "customer").select("c_custkey", body.alias("body")), "qualidade_agua")
+    return found.select("c_custkey", "position", F.try_variant_get("record", "$.id", "string").alias("id"))
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'uf: not two letters' WHEN 1 THEN 'id_estacao: not a number' WHEN 2 THEN 'dados_climaticos: a day breaks its contract' ELSE '' END AS reasons FROM orders")
+def collector_contract(spark, d):
+    k, n = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 4
+    uf, station, day = F.when(n == 0, '"S1"').otherwise('"SP"'), F.when(n == 1, '"7"').otherwise("7"), F.when(n == 2, '"2026-02-30"').otherwise('"2026-02-28"')
+    text_of = F.concat(F.lit('{"uf":'), uf, F.lit(',"id_municipio":"'), k, F.lit('","id_estacao":'), station, F.lit(',"capturado_em":"2026-01-01T00:00:00Z","detalhes_estacao":{},"dados_climaticos":[{"data":'), day, F.lit(',"temperatura_minima":1.5}]}'))
+    rows = table(spark, d, "orders").select("o_orderkey", F.try_parse_json(text_of).alias("result"))
+    return rows.select("o_orderkey", F.array_join(collector.result_reasons(), ",").alias("reasons"))
+
+
+@query("SELECT CAST(ts AS DATE) AS dia, event_type, count(*) AS n FROM events GROUP BY ALL")
+def stream_daily_counts(spark, d):
+    """Events streamed into counts by day and type."""
+    import uuid
+
+    from ..streaming.ingest import daily_counts
+
+    name = f"days_{uuid.uuid4().hex}"
+    rows = table(spark, d, "events")
+    stream = spark.readStream.schema(rows.schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
+    daily_counts(stream, "ts", ["event_type"]).writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).option("checkpointLocation", scratch(spark, "counts")).start().awaitTermination()
+    return spark.table(name)
 
 
 def queries() -> dict[str, Query]:

@@ -16,7 +16,7 @@ from ..operators.quality import guard, require_columns
 from ..operators.reshape import measurements
 from ..operators.star import star_schema
 from ..operators.statistics import SERIES, alerts, describe, period, z_scores
-from ..sources.tables import checked_days, exists, read_days, write_csv, write_star
+from ..sources.tables import checked_days, exists, read_days, write_csv, write_csv_parts, write_star
 
 START, END = "periodo_inicio_utc", "periodo_fim_exclusivo_utc"
 # The columns of the published reports, in order.
@@ -69,18 +69,20 @@ def statistics_report(measures: DataFrame, path: str, first: str | None = None,
     return out
 
 
-def z_score_report(measures: DataFrame, path: str, limit: float = 3.0, first: str | None = None, last: str | None = None) -> DataFrame:
+def z_score_report(measures: DataFrame, path: str, limit: float = 3.0, first: str | None = None, last: str | None = None, one_file: bool = True) -> DataFrame:
+    """Publish the Z-score of every measure: one CSV file, or for many measures a folder of sorted parts."""
     found = z_scores(measures, limit=limit)
     if found.where("valor is not null").isEmpty():
         raise ValueError("there is no valid measure")
     out = _with_period(found, measures, first, last, Z_SCORES)
-    write_csv(out, path, ROW_ORDER)
+    (write_csv if one_file else write_csv_parts)(out, path, ROW_ORDER)
     return out
 
 
-def alert_report(measures: DataFrame, path: str, factor: float = 1.5, limit: float = 3.0, first: str | None = None, last: str | None = None) -> DataFrame:
+def alert_report(measures: DataFrame, path: str, factor: float = 1.5, limit: float = 3.0, first: str | None = None, last: str | None = None, one_file: bool = True) -> DataFrame:
+    """Publish both flags of every measure: one CSV file, or for many measures a folder of sorted parts."""
     out = _with_period(alerts(measures, factor=factor, limit=limit), measures, first, last, ALERTS)
-    write_csv(out, path, ROW_ORDER)
+    (write_csv if one_file else write_csv_parts)(out, path, ROW_ORDER)
     return out
 
 

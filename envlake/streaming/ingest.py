@@ -7,16 +7,20 @@ and a replayed batch writes nothing.
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..domain import contract
 from ..sources.raw import approve, flatten
 from ..sources.tables import Written, merge
 
+log = logging.getLogger("envlake.treatment")
+
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """A stream of (file, record) from JSON lines that arrive in a folder."""
@@ -35,7 +39,8 @@ def merge_stream(spark: SparkSession, source: str, dataset: str, folder: str, ch
 
     def batch(rows: DataFrame, _: int) -> None:
         good, _bad = approve(rows, dataset)
-        done = merge(resolve(flatten(good, dataset)).drop("file"), rules, folder)
+        found = resolve(flatten(good, dataset))
+        done = merge(found.select(*[c for c in found.columns if c not in ("file", "codigo_estacao")]), rules, folder)
         if report:
             report(done)
 
@@ -56,6 +61,27 @@ def dedup_stream(stream: DataFrame, key: list[str], path: str, checkpoint: str,
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+class Progress(StreamingQueryListener):
+    """Says how far streams have come: after the first batch, every hundredth, and otherwise no more often than every so many seconds."""
+
+    def __init__(self, say: Callable[[str], None] = log.info, every: int = 100, seconds: float = 5.0, clock: Callable[[], float] = time.monotonic):
+        self.say, self.every, self.seconds, self.clock = say, every, seconds, clock
+        self.batches, self.rows, self.last = 0, 0, clock()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.batches += 1
+        self.rows += max(event.progress.numInputRows, 0)
+        if self.batches == 1 or self.batches % self.every == 0 or self.clock() - self.last >= self.seconds:
+            self.last = self.clock()
+            self.say(f"{self.batches} batches, {self.rows} rows")
+
+    def onQueryTerminated(self, event) -> None:
+        self.say(f"done: {self.batches} batches, {self.rows} rows")
+
+
 def daily_counts(stream: DataFrame, at: str, by: list[str], late: str = "7 days") -> DataFrame:
     """Tumbling UTC days of a stream: how many rows each group had."""
     day = F.window(at, "1 day")
