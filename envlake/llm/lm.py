@@ -39,7 +39,9 @@ from .text import ALNUM, hash_words, mix, pieces, split_words
 from .vocabulary import frequent_words
 
 #: Weight of the unigram model in a bigram's probability; tokens in a bucket, about; bytes of text in a piece, about.
-WEIGHT, BUCKET, PIECE = 50.0, 1 << 22, 4 << 20
+WEIGHT, BUCKET, PIECE = 50.0, 1 << 21, 8 << 20
+#: Bits of the filter that tells target texts from most others before they are shuffled: 8 MB, whatever the number of targets.
+FILTER_BITS = 1 << 26
 #: The hashes that stand for a word outside a limited vocabulary and for the start of a text.
 OTHER, START = np.uint64(0), np.uint64(1)
 
@@ -91,7 +93,7 @@ def target_bigrams(targets: DataFrame, known: np.ndarray | None, frequent: np.nd
                 key, at, n = np.unique(counter(before, now), return_index=True, return_counts=True)
                 now = now[at]
                 chosen = _bucket(key, now, frequent, buckets)
-                order = np.argsort(chosen, kind="stable")
+                order = np.lexsort((key, now, chosen))  # equal words together, which compresses
                 key, now, n = key[order], now[order], n[order].astype(np.int32)
                 cuts = np.searchsorted(chosen[order], np.arange(buckets + 1))
                 held = np.flatnonzero(np.diff(cuts))
@@ -236,6 +238,16 @@ def score(rows: DataFrame, targets: DataFrame, known: np.ndarray | None) -> Data
     return sums.groupBy("piece").applyInArrow(gather, "doc_id bigint, n_tokens bigint, loss_target double, loss_background double, score double")
 
 
+def likely_rows(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is among the ids, and some others: those that a filter of a fixed size can't tell from them."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    bits = ids.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("at"))
+    bits = bits.groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits"))
+    held = rows.withColumns({"part": F.bitmap_bucket_number(place), "at": F.bitmap_bit_position(place)}).join(F.broadcast(bits), "part")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return held.where(F.getbit(byte, (F.col("at") % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int | None = None) -> DataFrame:
     """Scores of all documents; targets has the doc_id of each document that the target model learns from.
 
@@ -250,5 +262,5 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str =
         held = pa.array(frequent_words(rows.select("text"), words), pa.string())
         known = np.array([hash_words(split_words(held.slice(i, 1), ALNUM))[0] for i in range(len(held))], np.uint64)
     chosen = targets.select(F.col(doc_id).cast("bigint").alias("doc_id")).distinct()
-    # only the target texts are looked up; Spark sends the ids to the texts if their size allows it, else both are shuffled
-    return score(rows, rows.join(chosen, "doc_id", "left_semi").select("text"), known)
+    learnt = likely_rows(rows, chosen).join(chosen, "doc_id", "left_semi").select("text")
+    return score(rows, written(learnt, "targets"), known)

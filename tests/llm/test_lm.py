@@ -106,6 +106,14 @@ def test_every_word_and_bigram_has_its_own_count(spark, monkeypatch):
         assert (got[i].loss_target, got[i].loss_background) == pytest.approx(tuple(want))
 
 
+def test_the_filter_keeps_every_target_and_few_others(spark):
+    rows = spark.range(-20_000, 20_000).selectExpr("if(id = 77, null, id) as doc_id", "'x' as text")
+    ids = spark.range(0, 20_000, 3).selectExpr("id as doc_id")
+    got = {r.doc_id for r in lm.likely_rows(rows, ids).collect()}
+    assert set(range(0, 20_000, 3)) <= got and len(got) < 7200
+    assert lm.likely_rows(rows, ids.limit(0)).count() == 0
+
+
 def test_equally_frequent_words_fill_the_vocabulary(spark):
     df = spark.createDataFrame([(" ".join(f"w{i:02}" for i in range(50)),)] * 3 + [("w49",)], "text string").repartition(4)
     assert lm.frequent_words(df, 40) == [f"w{i:02}" for i in range(39)] + ["w49"]
