@@ -48,6 +48,19 @@ OTHER, START = np.uint64(0), np.uint64(1)
 _ASKED = "piece bigint, bucket bigint, keys binary, words binary, docs binary, doc binary, n binary, last binary, ids array<bigint>, tokens array<bigint>"
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches as larger ones of about PIECE bytes of text, which the column of that number holds."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(text).nbytes
+        if size >= PIECE:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def tokens(texts: pa.Array, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(previous token, token, first token of each text) of all texts, tokens as hashes; known: a limited vocabulary's, sorted."""
     words = split_words(texts, ALNUM)
@@ -68,7 +81,7 @@ def word_totals(texts: DataFrame, known: np.ndarray | None) -> DataFrame:
     """(word, n): the counts of each token, and of starts, in the texts."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, 0):
             for a, b in pieces(batch.column(0), PIECE):
                 _, now, first = tokens(batch.column(0).slice(a, b - a), known)
                 word, n = np.unique(now, return_counts=True)
@@ -87,7 +100,7 @@ def target_bigrams(targets: DataFrame, known: np.ndarray | None, frequent: np.nd
     """For some target texts and each bucket a row with their bigrams that go there: keys, words, and n, their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, 0):
             for a, b in pieces(batch.column(0), PIECE):
                 before, now, _ = tokens(batch.column(0).slice(a, b - a), known)
                 key, at, n = np.unique(counter(before, now), return_index=True, return_counts=True)
@@ -116,7 +129,7 @@ def bigrams(rows: DataFrame, known: np.ndarray | None, frequent: np.ndarray, buc
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = TaskContext.get().partitionId() << 32
-        for batch in batches:
+        for batch in gathered(batches, 1):
             for a, b in pieces(batch.column(1), PIECE):
                 piece += 1
                 before, now, first = tokens(batch.column(1).slice(a, b - a), known)
