@@ -1,8 +1,7 @@
 """License scan by diagonal voting.
 
 All rolling word k-grams of every text are hashed and joined with the k-grams of
-license templates; Spark sends the templates' to the texts if their size allows it,
-as that of the fixed ones does. A hit at
+license templates, which are sent to the texts while they are few (MOST_SENT). A hit at
 word p of the text and t of the template votes for the diagonal p - t. Votes are
 summed by diagonal before the shuffle; neighbouring diagonals, as words left out
 or put in make them, are merged; spans with enough of a template are read again
@@ -52,6 +51,8 @@ TEMPLATES = [
     ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software"),
 ]
 
+#: Templates that are sent to every task, at most.
+MOST_SENT = 10_000
 #: Words in a gram of a template, and of a phrase.
 K, PHRASE_K = 4, 2
 #: Diagonals so near one another are one alignment.
@@ -113,6 +114,9 @@ def find_spans(docs: DataFrame, templates: list[tuple[str, bool, list[str]]]) ->
     row = ["rid", "more"]
     rolled = _rolling(docs).select(*row, "base", "short", F.posexplode("grams").alias("j", "hash"))
     at = F.col("base") + F.when(F.col("j") < F.col("short"), F.col("j")).otherwise(F.col("j") - F.col("short"))
+    # the templates come from the driver, so their size is known; a list too large to be sent to every task is shuffled
+    few = len(templates) <= MOST_SENT
+    known, shape = (F.broadcast(known), F.broadcast(shape)) if few else (known, shape)
     hits = rolled.join(known, "hash").select(*row, "template", "t", at.alias("p"))
     lines = hits.groupBy(*row, "template", (F.col("p") - F.col("t")).alias("diagonal")).agg(F.min("p").alias("low"), F.max("p").alias("high"), F.collect_set("t").alias("ts"))
     lines = lines.join(shape, "template")
