@@ -30,6 +30,7 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,13 +40,13 @@ from .text import ALNUM, hash_words, mix, pieces, split_words
 from .vocabulary import frequent_words
 
 #: Weight of the unigram model in a bigram's probability; tokens in a bucket, about; bytes of text in a piece, about.
-WEIGHT, BUCKET, PIECE = 50.0, 1 << 21, 8 << 20
+WEIGHT, BUCKET, PIECE = 50.0, 1 << 22, 6 << 20
 #: Bits of the filter that tells target texts from most others before they are shuffled: 8 MB, whatever the number of targets.
 FILTER_BITS = 1 << 26
 #: The hashes that stand for a word outside a limited vocabulary and for the start of a text.
 OTHER, START = np.uint64(0), np.uint64(1)
 
-_ASKED = "piece bigint, bucket bigint, keys binary, words binary, docs binary, doc binary, n binary, last binary, ids array<bigint>, tokens array<bigint>"
+_ASKED = "piece bigint, bucket bigint, keys binary, words binary, runs binary, docs binary, doc binary, n binary, last binary, ids array<bigint>, tokens array<bigint>"
 
 
 def gathered(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
@@ -96,8 +97,14 @@ def _bucket(key: np.ndarray, now: np.ndarray, frequent: np.ndarray, buckets: int
     return (np.where(np.isin(now, frequent), key, mix(now)) % np.uint64(buckets)).astype(np.int64)
 
 
+def _runs(words: np.ndarray) -> tuple[bytes, bytes]:
+    """Equal neighbours as one word each and how many there are."""
+    at = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]])[: len(words)])
+    return words[at].tobytes(), np.diff(np.append(at, len(words))).astype(np.int32).tobytes()
+
+
 def target_bigrams(targets: DataFrame, known: np.ndarray | None, frequent: np.ndarray, buckets: int) -> DataFrame:
-    """For some target texts and each bucket a row with their bigrams that go there: keys, words, and n, their counts."""
+    """For some target texts and each bucket a row with their bigrams that go there: keys, words in runs, and n, their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, 0):
@@ -111,20 +118,21 @@ def target_bigrams(targets: DataFrame, known: np.ndarray | None, frequent: np.nd
                 cuts = np.searchsorted(chosen[order], np.arange(buckets + 1))
                 held = np.flatnonzero(np.diff(cuts))
                 spans = [slice(cuts[i], cuts[i + 1]) for i in held]
-                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), *(pa.array([x[s].tobytes() for s in spans], pa.binary()) for x in (key, now, n))], names=["bucket", "keys", "words", "n"])
+                words, runs = zip(*(_runs(now[s]) for s in spans), strict=True) if spans else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array([key[s].tobytes() for s in spans], pa.binary()), pa.array(words, pa.binary()), pa.array(runs, pa.binary()), pa.array([n[s].tobytes() for s in spans], pa.binary())], names=["bucket", "keys", "words", "runs", "n"])
 
-    found = targets.select("text").mapInArrow(count, "bucket bigint, keys binary, words binary, n binary")
+    found = targets.select("text").mapInArrow(count, "bucket bigint, keys binary, words binary, runs binary, n binary")
     none = lambda name, kind: F.lit(None).cast(kind).alias(name)
-    return found.select(none("piece", "bigint"), "bucket", "keys", "words", none("docs", "binary"), none("doc", "binary"), "n", none("last", "binary"), none("ids", "array<bigint>"), none("tokens", "array<bigint>"))
+    return found.select(none("piece", "bigint"), "bucket", "keys", "words", "runs", none("docs", "binary"), none("doc", "binary"), "n", none("last", "binary"), none("ids", "array<bigint>"), none("tokens", "array<bigint>"))
 
 
 def bigrams(rows: DataFrame, known: np.ndarray | None, frequent: np.ndarray, buckets: int) -> DataFrame:
     """For each piece of texts a row with its documents, and one for each bucket with the bigrams that go there.
 
-    keys and words: each bigram and its second word. docs: how many documents of the piece hold it; for each of
+    keys: each bigram; words and runs: their second words, and how many bigrams in a row have each. docs: how many documents of the piece hold it; for each of
     these doc, n and last: which, how often, and whether it ends the document.
     """
-    blobs = ("keys", "words", "docs", "doc", "n", "last")
+    blobs = ("keys", "words", "runs", "docs", "doc", "n", "last")
     schema = pa.schema([("piece", pa.int64()), ("bucket", pa.int64()), *((x, pa.binary()) for x in blobs), ("ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,8 +162,8 @@ def bigrams(rows: DataFrame, known: np.ndarray | None, frequent: np.ndarray, buc
                 rows: dict[str, list] = {x.name: [] for x in schema}
                 for bucket in np.flatnonzero(np.diff(cuts)):
                     x, y = slice(cuts[bucket], cuts[bucket + 1]), slice(where[cuts[bucket]], where[cuts[bucket + 1]])
-                    for name, value in zip(blobs, (keys[x], words[x], docs[x], doc[y], n[y], last[y]), strict=True):
-                        rows[name].append(value.tobytes())
+                    for name, value in zip(blobs, (keys[x].tobytes(), *_runs(words[x]), docs[x].tobytes(), doc[y].tobytes(), n[y].tobytes(), last[y].tobytes()), strict=True):
+                        rows[name].append(value)
                     rows["bucket"].append(int(bucket))
                     rows["ids"].append(None)
                     rows["tokens"].append(None)
@@ -189,25 +197,32 @@ def score(rows: DataFrame, targets: DataFrame, known: np.ndarray | None) -> Data
     alone = [WEIGHT / ((n or 0) + distinct + 1) for n in size[:2]]
     first_loss = [log((n or 0) + WEIGHT) for n in starts]
 
-    def weigh(pdf):
-        import pandas as pd
+    weighed = pa.schema([("piece", pa.int64()), ("bucket", pa.int64()), *((x, pa.binary()) for x in ("doc", "target", "background")), ("ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
+
+    def flat(column: pa.ChunkedArray, kind) -> np.ndarray:
+        """The numbers of all blobs of a column, one after the other."""
+        blobs = column.combine_chunks()
+        ends = np.frombuffer(blobs.buffers()[1], np.int32, len(blobs) + 1, 4 * blobs.offset)
+        return np.frombuffer(blobs.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind) if len(blobs) and blobs.buffers()[2] is not None else np.zeros(0, kind)
 
+    def weigh(table: pa.Table) -> pa.Table:
         out: dict[str, list] = {x: [] for x in ("piece", "bucket", "doc", "target", "background", "ids", "tokens")}
-        sent = pdf[pdf["docs"].notna()]
-        learnt = pdf[pdf["keys"].notna() & pdf["docs"].isna()]
-        parts = [[np.frombuffer(x, kind) for x in sent[name]] for name, kind in (("keys", np.uint64), ("words", np.uint64), ("docs", np.int32), ("n", np.int32), ("last", np.uint8))]
+        records = table.filter(pc.is_null(table["keys"])).select(["piece", "ids", "tokens"])
+        sent = table.filter(pc.is_valid(table["docs"]))
+        learnt = table.filter(pc.and_(pc.is_valid(table["keys"]), pc.is_null(table["docs"])))
+        del table
         if len(sent):
-            keys, words, docs, n, _ = (np.concatenate(x) for x in parts)
+            docs, n = flat(sent["docs"], np.int32), flat(sent["n"], np.int32)
             every = np.add.reduceat(n.astype(np.int64), np.cumsum(docs) - docs)
-            del n, docs
-            keys, pair = np.unique(keys, return_inverse=True)
-            word, code = np.unique(words, return_inverse=True)
-            del words
+            keys, pair = np.unique(flat(sent["keys"], np.uint64), return_inverse=True)
+            word, code = np.unique(flat(sent["words"], np.uint64), return_inverse=True)
+            code = np.repeat(code, flat(sent["runs"], np.int32))
             # target texts are among all texts, so their bigrams and words are among these
-            got = [np.concatenate([np.frombuffer(x, kind) for x in learnt[name]]) if len(learnt) else np.zeros(0, kind) for name, kind in (("keys", np.uint64), ("words", np.uint64), ("n", np.int32))]
-            pairs = [np.bincount(np.searchsorted(keys, got[0]), got[2], len(keys)), np.bincount(pair, every, len(keys))]
-            singles = [np.bincount(np.searchsorted(word, got[1]), got[2], len(word)), np.bincount(code, every, len(word))]
-            del keys, got
+            their_n = flat(learnt["n"], np.int32)
+            their_words = np.repeat(np.searchsorted(word, flat(learnt["words"], np.uint64)), flat(learnt["runs"], np.int32))
+            pairs = [np.bincount(np.searchsorted(keys, flat(learnt["keys"], np.uint64)), their_n, len(keys)), np.bincount(pair, every, len(keys))]
+            singles = [np.bincount(their_words, their_n, len(word)), np.bincount(code, every, len(word))]
+            del keys, every, their_n, their_words, learnt
             hot, *counts = frequent.value
             at = np.minimum(np.searchsorted(hot, word), max(len(hot) - 1, 0))
             is_hot = hot[at] == word if len(hot) else np.zeros(len(word), bool)
@@ -218,9 +233,12 @@ def score(rows: DataFrame, targets: DataFrame, known: np.ndarray | None) -> Data
                     ones[is_hot] = counts[i][at[is_hot]]
                 pair_loss.append(-np.log(pairs[i][pair] + alone[i] * (ones + 1)[code]))
                 word_loss.append(np.log(ones + WEIGHT)[code])
+            del pair, code, pairs
             upto = 0
-            for piece, bucket, held, docs, n, last in zip(sent["piece"], sent["bucket"], sent["doc"], *parts[2:], strict=True):
-                doc = np.frombuffer(held, np.uint16 if len(held) == 2 * len(n) else np.uint32)
+            for row in range(len(sent)):
+                piece, bucket = sent["piece"][row].as_py(), sent["bucket"][row].as_py()
+                docs, n, last, held = (np.frombuffer(sent[name][row].as_buffer(), kind) for name, kind in (("docs", np.int32), ("n", np.int32), ("last", np.uint8), ("doc", np.uint8)))
+                doc = held.view(np.uint16 if len(held) == 2 * len(n) else np.uint32)
                 x = slice(upto, upto + len(docs))
                 upto += len(docs)
                 touched, of = np.unique(doc, return_inverse=True)
@@ -228,10 +246,10 @@ def score(rows: DataFrame, targets: DataFrame, known: np.ndarray | None) -> Data
                 sums = [np.bincount(of, n * np.repeat(p[x], docs) + (n - last.astype(np.int32)) * np.repeat(w[x], docs)) for p, w in zip(pair_loss, word_loss, strict=True)]
                 for name, value in (("piece", piece), ("bucket", bucket), ("doc", touched.astype(np.int32).tobytes()), ("target", sums[0].tobytes()), ("background", sums[1].tobytes()), ("ids", None), ("tokens", None)):
                     out[name].append(value)
-        for _, r in pdf[pdf["keys"].isna()].iterrows():
-            for name, value in (("piece", r["piece"]), ("bucket", -1), ("doc", None), ("target", None), ("background", None), ("ids", r["ids"]), ("tokens", r["tokens"])):
+        for piece, ids, tokens in zip(*(records[x].to_pylist() for x in ("piece", "ids", "tokens")), strict=True):
+            for name, value in (("piece", piece), ("bucket", -1), ("doc", None), ("target", None), ("background", None), ("ids", ids), ("tokens", tokens)):
                 out[name].append(value)
-        return pd.DataFrame(out)
+        return pa.Table.from_pydict(out, schema=weighed)
 
     def gather(table: pa.Table) -> pa.Table:
         table = table.sort_by("bucket")  # sums in one order
@@ -247,7 +265,7 @@ def score(rows: DataFrame, targets: DataFrame, known: np.ndarray | None) -> Data
         return pa.table([ids, pa.array(n, pa.int64()), *(pa.array(x, pa.float64(), mask=none) for x in (target, background, target - background))], names=["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
 
     sent = bigrams(rows, known, frequent.value[0], buckets).unionByName(target_bigrams(targets, known, frequent.value[0], buckets))
-    sums = sent.groupBy("bucket").applyInPandas(weigh, "piece bigint, bucket bigint, doc binary, target binary, background binary, ids array<bigint>, tokens array<bigint>")
+    sums = sent.groupBy("bucket").applyInArrow(weigh, "piece bigint, bucket bigint, doc binary, target binary, background binary, ids array<bigint>, tokens array<bigint>")
     return sums.groupBy("piece").applyInArrow(gather, "doc_id bigint, n_tokens bigint, loss_target double, loss_background double, score double")
 
 
@@ -275,5 +293,6 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, doc_id: str =
         held = pa.array(frequent_words(rows.select("text"), words), pa.string())
         known = np.array([hash_words(split_words(held.slice(i, 1), ALNUM))[0] for i in range(len(held))], np.uint64)
     chosen = targets.select(F.col(doc_id).cast("bigint").alias("doc_id")).distinct()
-    learnt = likely_rows(rows, chosen).join(chosen, "doc_id", "left_semi").select("text")
+    # one plan at every size: the number of targets has no bound, so their ids are never broadcast
+    learnt = likely_rows(rows, chosen).join(chosen.hint("merge"), "doc_id", "left_semi").select("text")
     return score(rows, written(learnt, "targets"), known)
