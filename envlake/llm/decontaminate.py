@@ -208,7 +208,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, slop: int
     slop 0 finds exact phrases; a larger one also finds windows whose words stand
     at most so many words from their places, as seen from the window's rarest word.
     """
-    index = written(build_index(docs, doc_id), "postings", narrow=True)
+    index = written(build_index(docs, doc_id), "postings")
     ordered = written(ordered_windows(test_windows(benchmark, n), term_counts(index)), "windows")
     blocks = max(1, -(-ordered.count() // BLOCK))
 
