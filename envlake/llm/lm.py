@@ -40,7 +40,7 @@ from .text import ALNUM, hash_words, mix, pieces, split_words
 from .vocabulary import frequent_words
 
 #: Weight of the unigram model in a bigram's probability; tokens in a bucket, about; bytes of text in a piece, about.
-WEIGHT, BUCKET, PIECE = 50.0, 1 << 22, 6 << 20
+WEIGHT, BUCKET, PIECE = 50.0, 1 << 21, 6 << 20
 #: Bits of the filter that tells target texts from most others before they are shuffled: 8 MB, whatever the number of targets.
 FILTER_BITS = 1 << 26
 #: The hashes that stand for a word outside a limited vocabulary and for the start of a text.
