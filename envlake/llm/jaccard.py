@@ -12,8 +12,9 @@ Set-relation skipping, in two places:
 * Answers from answers. First each member of a list is compared with the list's
   first one alone; a group of near copies of one text is connected by then, for as
   many comparisons as it has members.
-  Lists whose members are all connected are skipped from then on. What is left
-  apart is compared whole: inside a task, the overlaps of a set with all others are
+  Lists whose members are all connected are skipped from then on. Of what is left
+  apart, parities of the sets, a few bits a shingle, tell which members of a list
+  can't link. What may link is compared whole: inside a task, the overlaps of a set with all others are
   derived from those of the most similar set that has been answered, by the few
   shingles in which the two differ, and read from lists by skipping to the sets
   that come after it.
@@ -203,9 +204,72 @@ def _apart(members: DataFrame, components: DataFrame) -> DataFrame:
     return now.join(spread.select("list"), "list", "left_semi")
 
 
+def parities(hashes: np.ndarray) -> bytes:
+    """Bits, at least two for each shingle, of which each shingle turns one: those of two sets differ in no more bits than the sets in shingles."""
+    bits = np.zeros(max(64, 1 << int(2 * len(hashes) - 1).bit_length()), np.uint8)
+    places, n = np.unique(mix(hashes ^ np.uint64(0x8EBC6AF09C88C6E3)) % np.uint64(len(bits)), return_counts=True)
+    bits[places.astype(np.int64)] = n & 1
+    return np.packbits(bits).tobytes()
+
+
+def _folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """The parities for fewer bits."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, size), axis=0)
+
+
+def may_link(sizes: np.ndarray, bits: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Pairs that connect all sets of which any two can't be told to be no link by their parities."""
+    found, label = [], np.arange(len(sizes))
+    shortest = min(len(b) for b in bits)
+    table = np.stack([_folded(b, shortest) for b in bits])
+    for i in range(len(sizes) - 1):
+        rest = np.flatnonzero((label != label[i]) & (np.arange(len(sizes)) > i))
+        most = (sizes[rest] + sizes[i]) * (100 - percent) / (100 + percent)
+        rest = rest[(np.bitwise_count(table[rest] ^ table[i]).sum(axis=1, dtype=np.int64) <= most) & (100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i]))]
+        for j in rest:
+            if label[j] == label[i]:
+                continue
+            size = min(len(bits[i]), len(bits[j]))
+            if size > shortest and np.bitwise_count(_folded(bits[i], size) ^ _folded(bits[j], size)).sum(dtype=np.int64) > (sizes[i] + sizes[j]) * (100 - percent) / (100 + percent):
+                continue
+            found.append((i, int(j)))
+            label[label == label[j]] = label[i]
+    return found
+
+
+def _near_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs that connect the members of a list that may link; a list of any size is compared a block pair at a time."""
+    schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [x.values.to_numpy().view(np.uint64) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in held], pa.int64()), pa.array([parities(h) for h in held], pa.binary())], schema=schema)
+
+    wanted = sets.join(members.select(F.col("rep").alias("node")).distinct(), "node")
+    sketches = written(wanted.select("node", "shingles").mapInArrow(sketch, "rep bigint, n bigint, bits binary"), "sketches", narrow=True)
+    sizes = members.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+    rows = members.join(sizes, "list").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: (j != F.col("own")) | (F.col("blocks") == 1))
+    rows = rows.select("list", "rep", "own", F.explode(others).alias("other"))
+    place = F.xxhash64("list", F.least("own", "other"), F.greatest("own", "other"))
+    groups = 1 + members.count() // (8 * BLOCK_SETS)
+    rows = rows.join(sketches, "rep").select(F.pmod(place, F.lit(groups)).alias("part"), place.alias("place"), "rep", "n", "bits")
+
+    def find(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("place", "ascending"), ("rep", "ascending")])
+        place, rep, n = (table[x].to_numpy() for x in ("place", "rep", "n"))
+        bits = [np.frombuffer(x, np.uint8) for x in table["bits"].to_pylist()]
+        cuts = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1, [len(place)]])
+        pairs = [(rep[a + i], rep[a + j]) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b - a > 1 for i, j in may_link(n[a:b], bits[a:b], percent)]
+        return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return rows.groupBy("part").applyInArrow(find, "a bigint, b bigint").where("a <> b").distinct()
+
+
 def _all_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that connect all members of lists that link, every two of a group of lists compared in one block pair."""
-    groups = written(connected(_first_pairs(members)).withColumnRenamed("component", "cluster"), "clusters")
+    """(a, b): links that connect all members of lists that link, every two of a group of sets that may link compared in one block pair."""
+    groups = written(connected(_near_pairs(members, sets, percent)).withColumnRenamed("component", "cluster"), "clusters")
     nodes = groups.join(members.select(F.col("rep").alias("node"), "component").distinct(), "node")
     sized = nodes.join(sets.select("node", F.size("shingles").alias("n")), "node").groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")

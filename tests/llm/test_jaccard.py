@@ -115,6 +115,27 @@ def test_local_components_by_derived_overlaps():
     assert [got.get(i, i) for i in range(40)] == want
 
 
+def test_parities_lose_no_link():
+    from envlake.llm.jaccard import may_link, parities
+
+    rng = np.random.default_rng(9)
+    for n in (1, 3, 10, 33, 64, 200, 1000):
+        base = rng.integers(0, 2**63, n, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([base[rng.random(n) > 0.06], rng.integers(0, 2**63, int(rng.integers(0, 2 + n // 8)), dtype=np.uint64)])) for _ in range(20)]
+        sets = [s for s in sets if len(s)] + [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for _ in range(5)]
+        for percent in (80, 90):
+            label = list(range(len(sets)))
+            for i, j in may_link(np.array([len(s) for s in sets]), [np.frombuffer(parities(s), np.uint8) for s in sets], percent):
+                label = [label[i] if x == label[j] else x for x in label]
+            for i, x in enumerate(sets):
+                for j, y in enumerate(sets):
+                    both = len(np.intersect1d(x, y))
+                    if 100 * both >= percent * (len(x) + len(y) - both):
+                        assert label[i] == label[j]
+            if n >= 64:
+                assert len({label[i] for i in range(len(sets) - 5, len(sets))}) == 5  # unlike sets are told apart
+
+
 def test_a_group_of_near_copies_is_compared_as_often_as_it_has_members(spark, monkeypatch):
     from envlake.llm import jaccard
 
