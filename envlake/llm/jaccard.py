@@ -37,10 +37,12 @@ from math import ceil, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
+from .lm import gathered
 from .store import small_batches, written
 from .text import BLACK, grams, hash_words, mix, pieces, split_words
 
@@ -48,6 +50,8 @@ from .text import BLACK, grams, hash_words, mix, pieces, split_words
 ANSWERED = 8
 #: Sets, and shingles, in a block of a group that is compared in one task with another block.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 18
+#: Shingles for each bucket of index lists, about; it has fewer lists than that.
+BUCKET = 1 << 22
 
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -104,25 +108,93 @@ def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _prepared(docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, n_shingles, fp1, fp2, lists) of each row: its set's size, 128-bit digest and index lists."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("lists", pa.list_(pa.int64()))])
+def _prepared(docs: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, n_shingles, fp1, fp2) of each row: its set's size and 128-bit digest."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64())])
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         other = np.uint64(0xA0761D6478BD642F)
         for batch in batches:
-            n, one, two, lists = [], [], [], []
-            for h in shingle_sets(batch.column(1), k):
-                n.append(len(h))
-                one.append(int(mix(h).sum(dtype=np.uint64).astype(np.int64)))
-                two.append(int(mix(h ^ other).sum(dtype=np.uint64).astype(np.int64)))
-                lists.append(signatures(h, percent).astype(np.int64) if len(h) else np.zeros(0, np.int64))
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], schema=schema)
+            held = [(len(h), digest(h), digest(h ^ other)) for h in shingle_sets(batch.column(1), k)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[i] for x in held], pa.int64()) for i in range(3))], schema=schema)
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(prepare, "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, lists array<bigint>")
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(prepare, "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint")
+
+
+def digest(hashes: np.ndarray) -> int:
+    """One number for a set, whatever its order."""
+    return int(mix(hashes).sum(dtype=np.uint64).astype(np.int64))
+
+
+def _members(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
+    """(list, fp1): the sets of each index list that has several, from a table whose one column is text.
+
+    A list has a bucket and a number of 40 bits there. A piece of texts sends each
+    bucket the lists that it has there, set by set, and of its own sets in one list
+    only the first; the others are known to be members without being sent there.
+    """
+    schema = pa.schema([("bucket", pa.int64()), ("known", pa.bool_()), ("lists", pa.binary()), ("sets", pa.binary()), ("runs", pa.binary())])
+    low = np.uint64((1 << 40) - 1)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = TaskContext.get().partitionId()
+        for batch in gathered(batches, 0):
+            own: dict[int, np.ndarray] = {}
+            for h in shingle_sets(batch.column(0), k):
+                name = digest(h)
+                if len(h) and name not in own:
+                    key = signatures(h, percent)
+                    own[name] = ((key >> np.uint64(40)) % np.uint64(buckets)) << np.uint64(40) | key & low
+            if not own:
+                continue
+            turn += 1
+            names, places = np.array(list(own), np.int64), np.concatenate(list(own.values()))
+            of = np.repeat(np.arange(len(own)), [len(x) for x in own.values()])
+            order = np.lexsort((of, places))
+            places, of = places[order], of[order]
+            new = np.concatenate([[True], places[1:] != places[:-1]])
+            at = np.flatnonzero(new)
+            known = np.repeat(np.diff(np.append(at, len(places))) > 1, np.diff(np.append(at, len(places))))
+            rows = [(turn % buckets, True, places[known].tobytes(), names[of[known]].tobytes(), None)] if known.any() else []
+            places, of = places[at], of[at]
+            order = np.lexsort((places, of, places >> np.uint64(40)))
+            places, of = places[order], of[order]
+            cuts = np.searchsorted(places >> np.uint64(40), np.arange(buckets + 1, dtype=np.uint64))
+            for bucket in np.flatnonzero(np.diff(cuts)):
+                x = slice(cuts[bucket], cuts[bucket + 1])
+                held, runs = np.unique(of[x], return_counts=True)
+                number = (places[x] & low).view(np.uint8).reshape(-1, 8)[:, :5]
+                rows.append((int(bucket), False, number.tobytes(), names[held].tobytes(), runs.astype(np.int32).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, field.type) for x, field in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    def find(table: pa.Table) -> pa.Table:
+        places, names, met, them = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
+        for bucket, known, lists, sets, runs in zip(*(table[x] for x in schema.names), strict=True):
+            held = np.frombuffer(sets.as_buffer(), np.int64)
+            if known.as_py():
+                places.append(np.frombuffer(lists.as_buffer(), np.int64))
+                names.append(held)
+                continue
+            five = np.frombuffer(lists.as_buffer(), np.uint8).reshape(-1, 5)
+            number = np.zeros((len(five), 8), np.uint8)
+            number[:, :5] = five
+            met.append(number.reshape(-1).view(np.int64) | bucket.as_py() << 40)
+            them.append(np.repeat(held, np.frombuffer(runs.as_buffer(), np.int32)))
+        if met:
+            place, name = np.concatenate(met), np.concatenate(them)
+            order = np.lexsort((name, place))
+            place, name = place[order], name[order]
+            at = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            ends = np.append(at[1:], len(place))
+            several = np.repeat(name[at] != name[ends - 1], ends - at)
+            several &= np.concatenate([[True], (place[1:] != place[:-1]) | (name[1:] != name[:-1])])
+            places.append(place[several])
+            names.append(name[several])
+        return pa.table([pa.array(np.concatenate(x)) for x in (places, names)], names=["list", "fp1"])
+
+    sent = docs.mapInArrow(ask, "bucket bigint, known boolean, lists binary, sets binary, runs binary")
+    return sent.groupBy("bucket").applyInArrow(find, "list bigint, fp1 bigint").distinct()
 
 
 def local_components(ids: list[int], sets: list[np.ndarray], percent: int, labels: list[int] | None = None) -> list[tuple[int, int]]:
@@ -177,8 +249,8 @@ def _shingles(docs: DataFrame, k: int) -> DataFrame:
             for a, b in pieces(batch.column(1), 1 << 20):
                 held = list(shingle_sets(batch.column(1).slice(a, b - a), k))
                 ends = np.concatenate([[0], np.cumsum([len(h) for h in held])]).astype(np.int32)
-                digest = [int(mix(h).sum(dtype=np.uint64).astype(np.int64)) for h in held]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(digest, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held).astype(np.int64)))], schema=schema)
+                digests = [digest(h) for h in held]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(digests, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held).astype(np.int64)))], schema=schema)
 
     found = docs.select("node", "text").mapInArrow(sets, "node bigint, digest bigint, shingles array<bigint>")
     return found.groupBy("node", "digest").agg(F.first("shingles").alias("shingles")).select("node", "shingles")
@@ -289,20 +361,22 @@ def _all_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row: texts link when 100 * intersection >= percent * union."""
-    table = written(_prepared(docs, k, percent, doc_id, text), "sets")
+    table = written(_prepared(docs, k, doc_id, text), "sets")
     filled = table.where("n_shingles > 0 and doc_id is not null")
     copies = ["fp1", "fp2", "n_shingles"]
-    reps = filled.groupBy(*copies).agg(F.min("doc_id").alias("rep"), F.first("lists").alias("lists"))
-    lists = reps.select("rep", F.explode("lists").alias("list"))
-    several = lists.groupBy("list").agg(F.count("*").alias("m")).where("m > 1").select("list")
-    members = written(lists.join(several, "list").distinct(), "members", narrow=True)
+    reps = written(filled.groupBy(*copies).agg(F.min("doc_id").alias("rep")), "reps", narrow=True)
+    # lists go by the digests of sets, so that neither they nor texts meet the rows before a list is known to have several members
+    shingles = filled.agg(F.sum("n_shingles")).first()[0] or 0
+    found = _members(docs.where(F.col(doc_id).isNotNull()).select(F.col(text).alias("text")), k, percent, 1 + shingles // BUCKET)
+    members = found.join(reps.select("fp1", "rep"), "fp1").select("list", "rep")
+    members = written(members, "members", narrow=True)
     nodes = members.select(F.col("rep").alias("node")).distinct()
     sets = written(_shingles(docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text")).join(nodes, "node"), k), "shingles")
     components = written(connected(_linked(_first_pairs(members), sets, percent)), "components")
     apart = written(_apart(members, components), "apart", narrow=True)
     if not apart.isEmpty():
         components = connected(components.toDF("a", "b").union(_all_links(apart, sets, percent)))
-    least = filled.groupBy(*copies).agg(F.min("doc_id").alias("rep")).join(components, F.col("rep") == F.col("node"), "left")
+    least = reps.join(components, F.col("rep") == F.col("node"), "left")
     # written, so that the join below has a shuffle on either side and Spark can split a set with very many copies
     least = written(least.select(*copies, F.coalesce("component", "rep").alias("found")), "components")
     joined = table.select("doc_id", *copies).join(least, copies, "left")
