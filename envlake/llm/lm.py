@@ -6,8 +6,8 @@ unless a caller limits it) and the smoothing. A document's score is the mean ove
 its tokens of the loss under the target model minus that under the background
 model: below 0 is more like the target.
 
-Every word and every bigram of all documents has a count of its own; words and
-bigrams are told apart by 64 bits of hash. What is counted grows with the input,
+Every word and every bigram of all documents has a count of its own; words are told
+apart by 64 bits of hash, bigrams by their bucket and 48 bits. What is counted grows with the input,
 so no task holds a model: a piece of texts sends each of its bigrams, with the
 documents that hold it, to a bucket chosen by the bigram's second word. A bucket
 has all bigrams that end in its words, therefore their counts and those of the
@@ -40,7 +40,7 @@ from .text import ALNUM, hash_words, mix, pieces, split_words
 from .vocabulary import frequent_words
 
 #: Weight of the unigram model in a bigram's probability; tokens in a bucket, about; bytes of text in a piece, about.
-WEIGHT, BUCKET, PIECE = 50.0, 1 << 21, 6 << 20
+WEIGHT, BUCKET, PIECE = 50.0, 1 << 20, 6 << 20
 #: Bits of the filter that tells target texts from most others before they are shuffled: 8 MB, whatever the number of targets.
 FILTER_BITS = 1 << 26
 #: The hashes that stand for a word outside a limited vocabulary and for the start of a text.
@@ -103,6 +103,17 @@ def _runs(words: np.ndarray) -> tuple[bytes, bytes]:
     return words[at].tobytes(), np.diff(np.append(at, len(words))).astype(np.int32).tobytes()
 
 
+def _six(keys: np.ndarray) -> bytes:
+    """The lower six bytes of each key, which tell the bigrams of one bucket apart."""
+    return keys.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _from_six(data: np.ndarray) -> np.ndarray:
+    keys = np.zeros((len(data) // 6, 8), np.uint8)
+    keys[:, :6] = data.reshape(-1, 6)
+    return keys.reshape(-1).view(np.uint64)
+
+
 def target_bigrams(targets: DataFrame, known: np.ndarray | None, frequent: np.ndarray, buckets: int) -> DataFrame:
     """For some target texts and each bucket a row with their bigrams that go there: keys, words in runs, and n, their counts."""
 
@@ -119,7 +130,7 @@ def target_bigrams(targets: DataFrame, known: np.ndarray | None, frequent: np.nd
                 held = np.flatnonzero(np.diff(cuts))
                 spans = [slice(cuts[i], cuts[i + 1]) for i in held]
                 words, runs = zip(*(_runs(now[s]) for s in spans), strict=True) if spans else ((), ())
-                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array([key[s].tobytes() for s in spans], pa.binary()), pa.array(words, pa.binary()), pa.array(runs, pa.binary()), pa.array([n[s].tobytes() for s in spans], pa.binary())], names=["bucket", "keys", "words", "runs", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array([_six(key[s]) for s in spans], pa.binary()), pa.array(words, pa.binary()), pa.array(runs, pa.binary()), pa.array([n[s].tobytes() for s in spans], pa.binary())], names=["bucket", "keys", "words", "runs", "n"])
 
     found = targets.select("text").mapInArrow(count, "bucket bigint, keys binary, words binary, runs binary, n binary")
     none = lambda name, kind: F.lit(None).cast(kind).alias(name)
@@ -162,7 +173,7 @@ def bigrams(rows: DataFrame, known: np.ndarray | None, frequent: np.ndarray, buc
                 rows: dict[str, list] = {x.name: [] for x in schema}
                 for bucket in np.flatnonzero(np.diff(cuts)):
                     x, y = slice(cuts[bucket], cuts[bucket + 1]), slice(where[cuts[bucket]], where[cuts[bucket + 1]])
-                    for name, value in zip(blobs, (keys[x].tobytes(), *_runs(words[x]), docs[x].tobytes(), doc[y].tobytes(), n[y].tobytes(), last[y].tobytes()), strict=True):
+                    for name, value in zip(blobs, (_six(keys[x]), *_runs(words[x]), docs[x].tobytes(), doc[y].tobytes(), n[y].tobytes(), last[y].tobytes()), strict=True):
                         rows[name].append(value)
                     rows["bucket"].append(int(bucket))
                     rows["ids"].append(None)
@@ -214,13 +225,13 @@ def score(rows: DataFrame, targets: DataFrame, known: np.ndarray | None) -> Data
         if len(sent):
             docs, n = flat(sent["docs"], np.int32), flat(sent["n"], np.int32)
             every = np.add.reduceat(n.astype(np.int64), np.cumsum(docs) - docs)
-            keys, pair = np.unique(flat(sent["keys"], np.uint64), return_inverse=True)
+            keys, pair = np.unique(_from_six(flat(sent["keys"], np.uint8)), return_inverse=True)
             word, code = np.unique(flat(sent["words"], np.uint64), return_inverse=True)
             code = np.repeat(code, flat(sent["runs"], np.int32))
             # target texts are among all texts, so their bigrams and words are among these
             their_n = flat(learnt["n"], np.int32)
             their_words = np.repeat(np.searchsorted(word, flat(learnt["words"], np.uint64)), flat(learnt["runs"], np.int32))
-            pairs = [np.bincount(np.searchsorted(keys, flat(learnt["keys"], np.uint64)), their_n, len(keys)), np.bincount(pair, every, len(keys))]
+            pairs = [np.bincount(np.searchsorted(keys, _from_six(flat(learnt["keys"], np.uint8))), their_n, len(keys)), np.bincount(pair, every, len(keys))]
             singles = [np.bincount(their_words, their_n, len(word)), np.bincount(code, every, len(word))]
             del keys, every, their_n, their_words, learnt
             hot, *counts = frequent.value
