@@ -109,17 +109,17 @@ def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _prepared(docs: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, n_shingles, fp1, fp2) of each row: its set's size and 128-bit digest."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64())])
+    """(doc_id, n_shingles, fp1, fp2, bits) of each row: its set's size, 128-bit digest and parities."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("bits", pa.binary())])
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         other = np.uint64(0xA0761D6478BD642F)
         for batch in batches:
-            held = [(len(h), digest(h), digest(h ^ other)) for h in shingle_sets(batch.column(1), k)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[i] for x in held], pa.int64()) for i in range(3))], schema=schema)
+            held = [(len(h), digest(h), digest(h ^ other), parities(h)) for h in shingle_sets(batch.column(1), k)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[i] for x in held], schema.types[i + 1]) for i in range(4))], schema=schema)
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(prepare, "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint")
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(prepare, "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, bits binary")
 
 
 def digest(hashes: np.ndarray) -> int:
@@ -309,24 +309,29 @@ def may_link(sizes: np.ndarray, bits: list[np.ndarray], percent: int) -> list[tu
     return found
 
 
-def _near_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs that connect the members of a list that may link; a list of any size is compared a block pair at a time."""
-    schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
+def _may_link(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) of nodes that can't be told to be no link by their parities."""
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [x.values.to_numpy().view(np.uint64) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in held], pa.int64()), pa.array([parities(h) for h in held], pa.binary())], schema=schema)
+            n = np.stack([batch.column(i).to_numpy() for i in (2, 4)], axis=1)
+            bits = [[np.frombuffer(x, np.uint8) for x in batch.column(i).to_pylist()] for i in (3, 5)]
+            kept = [bool(may_link(own, [x, y], percent)) for own, x, y in zip(n, *bits, strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+
+    held = pairs.join(sketches.toDF("b", "m", "y"), "b").join(sketches.toDF("a", "n", "x"), "a")
+    return held.select("a", "b", "n", "x", "m", "y").mapInArrow(keep, "a bigint, b bigint").distinct()
 
-    wanted = sets.join(members.select(F.col("rep").alias("node")).distinct(), "node")
-    sketches = written(wanted.select("node", "shingles").mapInArrow(sketch, "rep bigint, n bigint, bits binary"), "sketches", narrow=True)
+
+def _near_pairs(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs that connect the members of a list that may link; a list of any size is compared a block pair at a time."""
     sizes = members.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
     rows = members.join(sizes, "list").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: (j != F.col("own")) | (F.col("blocks") == 1))
     rows = rows.select("list", "rep", "own", F.explode(others).alias("other"))
     place = F.xxhash64("list", F.least("own", "other"), F.greatest("own", "other"))
     groups = 1 + members.count() // (8 * BLOCK_SETS)
-    rows = rows.join(sketches, "rep").select(F.pmod(place, F.lit(groups)).alias("part"), place.alias("place"), "rep", "n", "bits")
+    rows = rows.join(sketches.toDF("rep", "n", "bits"), "rep").select(F.pmod(place, F.lit(groups)).alias("part"), place.alias("place"), "rep", "n", "bits")
 
     def find(table: pa.Table) -> pa.Table:
         table = table.sort_by([("place", "ascending"), ("rep", "ascending")])
@@ -339,9 +344,8 @@ def _near_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("part").applyInArrow(find, "a bigint, b bigint").where("a <> b").distinct()
 
 
-def _all_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _all_links(members: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that connect all members of lists that link, every two of a group of sets that may link compared in one block pair."""
-    groups = written(connected(_near_pairs(members, sets, percent)).withColumnRenamed("component", "cluster"), "clusters")
     nodes = groups.join(members.select(F.col("rep").alias("node"), "component").distinct(), "node")
     sized = nodes.join(sets.select("node", F.size("shingles").alias("n")), "node").groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
@@ -364,18 +368,24 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, doc_id: s
     table = written(_prepared(docs, k, doc_id, text), "sets")
     filled = table.where("n_shingles > 0 and doc_id is not null")
     copies = ["fp1", "fp2", "n_shingles"]
-    reps = written(filled.groupBy(*copies).agg(F.min("doc_id").alias("rep")), "reps", narrow=True)
+    reps = written(filled.groupBy(*copies).agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits")), "reps", narrow=True)
     # lists go by the digests of sets, so that neither they nor texts meet the rows before a list is known to have several members
     shingles = filled.agg(F.sum("n_shingles")).first()[0] or 0
     found = _members(docs.where(F.col(doc_id).isNotNull()).select(F.col(text).alias("text")), k, percent, 1 + shingles // BUCKET)
     members = found.join(reps.select("fp1", "rep"), "fp1").select("list", "rep")
     members = written(members, "members", narrow=True)
-    nodes = members.select(F.col("rep").alias("node")).distinct()
-    sets = written(_shingles(docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text")).join(nodes, "node"), k), "shingles")
-    components = written(connected(_linked(_first_pairs(members), sets, percent)), "components")
+    # parities, a thirtieth of the shingles, tell which texts need their shingles compared
+    sketches = written(reps.join(members.select("rep").distinct(), "rep").select("rep", "n_shingles", "bits"), "sketches", narrow=True)
+    texts = docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text"))
+    first = written(_may_link(_first_pairs(members), sketches, percent), "pairs", narrow=True)
+    nodes = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
+    sets = written(_shingles(texts.join(nodes, "node"), k), "shingles")
+    components = written(connected(_linked(first, sets, percent)), "components")
     apart = written(_apart(members, components), "apart", narrow=True)
     if not apart.isEmpty():
-        components = connected(components.toDF("a", "b").union(_all_links(apart, sets, percent)))
+        groups = written(connected(_near_pairs(apart, sketches, percent)).withColumnRenamed("component", "cluster"), "clusters")
+        sets = written(_shingles(texts.join(groups.select("node"), "node"), k), "shingles")
+        components = connected(components.toDF("a", "b").union(_all_links(apart, groups, sets, percent)))
     least = reps.join(components, F.col("rep") == F.col("node"), "left")
     # written, so that the join below has a shuffle on either side and Spark can split a set with very many copies
     least = written(least.select(*copies, F.coalesce("component", "rep").alias("found")), "components")
