@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import written
+
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key in the given order, which should be total for a repeatable result."""
@@ -32,6 +34,33 @@ def assert_unique(df: DataFrame, key: Sequence[str], what: str = "the table") ->
     return df
 
 
+def dense_positions(df: DataFrame, order: Sequence[str | Column], group: Sequence[str] = (), name: str = "position", rows: str | None = None) -> DataFrame:
+    """df with each row's place, from 0 on, among the rows of its group in the given order, and on request their number.
+
+    No task holds a group: rows are range-sorted over all tasks by group and order,
+    each task numbers its own, and a prefix sum over the counts of (task, group), a row
+    for each, shifts them. The sorted rows are written once, as another sort may deal
+    them otherwise. The order should be total but for equal rows; equal rows, however
+    many, are dealt over tasks. Groups may be null.
+    """
+    sort = [*[F.col(c).asc_nulls_first() for c in group], *order, F.col("_tie")]
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*sort).sortWithinPartitions(*sort).drop("_tie")
+    placed = written(ranged.withColumn("_task", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "placed")
+    counts = written(placed.groupBy("_task", *group).agg(F.count("*").alias("_n"), F.min("_at").alias("_first")), "counts")
+    before = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
+    kept = [F.col("_shift")]
+    if rows is not None:
+        kept.append(F.sum("_n").over(Window.partitionBy(*group)).alias("_rows"))
+    shift = shift.select(F.col("_task").alias("_of"), *[F.col(c).alias(f"_of_{c}") for c in group], *kept)
+    same = F.col("_task") == F.col("_of")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    found = placed.join(shift, same)
+    return found.select(*df.columns, (F.col("_at") + F.col("_shift")).alias(name), *([F.col("_rows").alias(rows)] if rows is not None else []))
+
+
 def dimension_keys(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
-    """df with a key from 1 on: for dimension tables, which are small, in one window."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    """df with a dense key from 1 on in the given order, however many rows there are."""
+    found = dense_positions(df, [F.col(c).asc_nulls_first() for c in order], name=name)
+    return found.withColumn(name, F.col(name) + 1)

@@ -6,8 +6,6 @@ types and numeric columns for parameters. Doubles are rounded on both sides.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +14,7 @@ from pyspark.sql import functions as F
 from ..domain import WATER
 from ..functions import numbers, personal, raw_json, text, times
 from ..operators import constraints, joins, keys, quality, reshape, star, statistics, upsert
+from ..scratch import scratch
 from ..sources import raw, tables
 from . import collector, relational
 
@@ -35,16 +34,6 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; only a session on one machine may have none and gets a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        root = "file://" + tempfile.mkdtemp(prefix="envlake-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def customer_readings(customers: DataFrame, temperature, day) -> DataFrame:
     """Customers as water readings of a temperature, on a day from 0 on."""
     at = (F.lit("2026-01-01").cast("timestamp_ntz") + F.make_dt_interval(day.cast("int"))).cast("timestamp")
