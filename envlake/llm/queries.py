@@ -14,6 +14,7 @@ from . import jaccard as op10
 from . import langid as op6
 from . import licenses as op3
 from . import lm as op8
+from . import merkle as op11
 from . import mixing as op4
 from . import secrets as op5
 from . import topk as op7
@@ -76,5 +77,9 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.jaccard_components(_read(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.audit(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

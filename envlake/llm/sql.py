@@ -89,5 +89,31 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM d
 """
 
 
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE concat(strlen(CAST({0} AS VARCHAR)), ':', {0}) END"
+_LEAF = "sha256(concat(" + ", ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + "))"
+_CRC32 = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len({0})), lambda i: CAST(ord({0}[i + 1]) AS BIGINT))), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+#: tree 0 has the leaves by language, tree 1 the subroots; a step is a node's run on one level.
+OP11 = f"""
+WITH RECURSIVE doc AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, lang, {_LEAF.format('text')} AS leaf,
+        CASE WHEN {_CRC32.format('CAST(doc_id AS VARCHAR)')} % 3 = 0 THEN {_LEAF.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS altered FROM documents),
+leaf AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n FROM doc),
+node AS MATERIALIZED (SELECT * FROM (WITH RECURSIVE up(lang, lvl, idx, n, h) AS (SELECT lang, 0, idx, n, leaf FROM leaf UNION ALL
+        SELECT lang, any_value(lvl) + 1, idx // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY idx)) FROM up WHERE n > 1 GROUP BY lang, idx // 8) SELECT * FROM up)),
+sub AS MATERIALIZED (SELECT lang, lvl AS height, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM node WHERE n = 1),
+high AS MATERIALIZED (SELECT * FROM (WITH RECURSIVE up(lvl, idx, n, h) AS (SELECT 0, idx, n, h FROM sub UNION ALL
+        SELECT any_value(lvl) + 1, idx // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY idx)) FROM up WHERE n > 1 GROUP BY idx // 8) SELECT * FROM up)),
+run AS MATERIALIZED (SELECT lang, lvl, idx // 8 AS p, list(h ORDER BY idx) AS hs FROM node WHERE n > 1 GROUP BY lang, lvl, idx // 8),
+run2 AS MATERIALIZED (SELECT lvl, idx // 8 AS p, list(h ORDER BY idx) AS hs FROM high WHERE n > 1 GROUP BY lvl, idx // 8),
+step AS MATERIALIZED (SELECT rid, r.lvl AS k, hs, (l.idx >> (3 * r.lvl)) % 8 AS place FROM leaf l JOIN run r ON r.lang IS NOT DISTINCT FROM l.lang AND r.p = l.idx >> (3 * r.lvl + 3)
+    UNION ALL SELECT rid, s.height + r.lvl, hs, (s.idx >> (3 * r.lvl)) % 8 FROM leaf l JOIN sub s ON s.lang IS NOT DISTINCT FROM l.lang JOIN run2 r ON r.p = s.idx >> (3 * r.lvl + 3)),
+side AS MATERIALIZED (SELECT rid, k, array_to_string(list_slice(hs, 1, place), '') AS a, array_to_string(list_slice(hs, place + 2, 8), '') AS b FROM step),
+folded(rid, k, h) AS (SELECT rid, 0, coalesce(altered, leaf) FROM leaf UNION ALL SELECT f.rid, f.k + 1, sha256(concat(a, h, b)) FROM folded f JOIN side s ON s.rid = f.rid AND s.k = f.k),
+proof AS (SELECT rid, sha256(string_agg(a || b, '' ORDER BY k)) AS proof FROM side GROUP BY rid)
+SELECT doc_id, leaf, s.h AS subroot, root.h AS root, coalesce(proof, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = root.h AS verified
+FROM leaf l JOIN sub s ON s.lang IS NOT DISTINCT FROM l.lang LEFT JOIN proof USING (rid)
+JOIN (SELECT rid, arg_max(h, k) AS h FROM folded GROUP BY rid) f USING (rid), (SELECT h FROM high WHERE n = 1) root
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2, "op4_mix_sources": OP4, "op7_exact_top_k": OP7, "op8_lm_scoring": OP8, "op9_benchmark_decontamination": OP9, "op10_ngram_jaccard_join": OP10}
+    return {"op2_chat_formatting": OP2, "op4_mix_sources": OP4, "op7_exact_top_k": OP7, "op8_lm_scoring": OP8, "op9_benchmark_decontamination": OP9, "op10_ngram_jaccard_join": OP10, "op11_merkle_manifest": OP11}
