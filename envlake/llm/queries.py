@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import audit as op13
 from . import chat as op2
 from . import decontaminate as op9
 from . import html_text as op1
@@ -81,5 +82,9 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11.audit(_read(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

@@ -115,5 +115,26 @@ JOIN (SELECT rid, arg_max(h, k) AS h FROM folded GROUP BY rid) f USING (rid), (S
 """
 
 
+OP13 = f"""
+WITH doc AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{BLACK_WORD}') AS w FROM documents),
+first AS (SELECT t, min(doc_id) AS f FROM doc GROUP BY t),
+label AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+cell AS MATERIALIZED (SELECT part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b, 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) AS c,
+        regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > f, false) AS e, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+        FROM doc JOIN first USING (t) LEFT JOIN label USING (doc_id) GROUP BY ALL),
+mask AS MATERIALIZED (SELECT part, n, good, toxic, concat(if(a, 'A', ''), if(b, 'B', ''), if(c, 'C', ''), if(d, 'D', ''), if(e, 'E', '')) AS fails FROM cell),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS MATERIALIZED (SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+step AS MATERIALIZED (SELECT filter_order, s AS step, filter_order[s] AS own, filter_order[1:s - 1] AS before FROM orders, unnest(range(1, 6)) AS r(s)),
+found AS MATERIALIZED (SELECT part, filter_order, step, own, n, good, toxic, fails, contains(fails, own) AS failed, translate(fails, before, '') <> fails AS gone FROM mask, step),
+result AS (SELECT part, filter_order, step, own, sum(n) FILTER (NOT gone AND NOT failed) AS kept, sum(n) FILTER (failed AND NOT gone) AS removed, sum(n) FILTER (failed AND gone) AS redundant,
+        sum(n) FILTER (fails = own) AS unique_fails, sum(good) FILTER (failed AND NOT gone) AS good_lost, sum(toxic) FILTER (failed AND NOT gone) AS toxic_lost FROM found GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley FROM result
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2, "op4_mix_sources": OP4, "op7_exact_top_k": OP7, "op8_lm_scoring": OP8, "op9_benchmark_decontamination": OP9, "op10_ngram_jaccard_join": OP10, "op11_merkle_manifest": OP11}
+    return {"op2_chat_formatting": OP2, "op4_mix_sources": OP4, "op7_exact_top_k": OP7, "op8_lm_scoring": OP8, "op9_benchmark_decontamination": OP9, "op10_ngram_jaccard_join": OP10, "op11_merkle_manifest": OP11, "op13_filter_audit": OP13}
