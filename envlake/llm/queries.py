@@ -17,6 +17,7 @@ from . import licenses as op3
 from . import lm as op8
 from . import merkle as op11
 from . import mixing as op4
+from . import neighbours as op12
 from . import secrets as op5
 from . import topk as op7
 
@@ -82,6 +83,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11.audit(_read(spark, sf_dir, "documents"))
 
 
+def op12_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
