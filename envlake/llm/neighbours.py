@@ -311,7 +311,7 @@ def compared(k: int):
     return compare
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, mass: float = 0.96, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, mass: float = 0.98, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): of each query row the k nearest others that are found, by cosine."""
     found = written(entries(vectors, k, vec_id, embedding), "entries")
     x = F.col(embedding)
