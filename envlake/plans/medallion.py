@@ -14,15 +14,16 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..domain import CITY_ALIASES, CONTRACTS, Contract, contract
+from ..domain import CITY_ALIASES, CONTRACTS, PARAMETERS, Contract, contract
 from ..functions.text import trimmed
 from ..functions.times import exclusive_days, half_open
 from ..operators.joins import lookup, match_places
 from ..operators.keys import dimension_keys, keep_first
 from ..operators.quality import reason_counts, require_columns, row_rules, split
 from ..sources.raw import flatten, read_lines
-from ..sources.tables import Written, exists, merge, move, rebuild, remove
-from .relational import load_frame, measures_of_period, stored
+from ..sources.tables import Written, merge, rebuild
+from ..sources.versions import clean, current, leased, new_folder, publish
+from .relational import References, load_frame, measures_of_period, stored
 from .reports import publish_star, read_measures
 
 #: The snapshots of the registers, and the reason of a row whose station is in none.
@@ -54,28 +55,28 @@ def registers(spark: SparkSession, states: DataFrame, cities: DataFrame, station
 
 
 def write_registers(spark: SparkSession, folder: str, registered: tuple[DataFrame, DataFrame, DataFrame]) -> None:
-    """Snapshots of (stations, cities, states) in a folder's cadastros: all are written beside before any takes its place; an empty one is an error."""
-    root, stage = f"{folder.rstrip('/')}/cadastros", f"{folder.rstrip('/')}/_stage/{uuid.uuid4().hex}"
-    try:
+    """Snapshots of (stations, cities, states) in a folder's cadastros, published as one; an empty one is an error."""
+    root = f"{folder.rstrip('/')}/cadastros"
+    with leased(spark, root) as lease:
+        seen, fresh = current(spark, root), new_folder()
         for name, table in zip(REGISTERS, registered, strict=True):
-            table.coalesce(1).write.parquet(f"{stage}/{name}")
-            if spark.read.parquet(f"{stage}/{name}").isEmpty():
+            table.coalesce(1).write.parquet(f"{root}/{fresh}/{name}")
+            if spark.read.parquet(f"{root}/{fresh}/{name}").isEmpty():
                 raise ValueError(f"the register {name} is empty")
-        for name in REGISTERS:
-            remove(spark, f"{root}/{name}")
-            move(spark, f"{stage}/{name}", f"{root}/{name}")
-    finally:
-        remove(spark, stage)
+        publish(spark, root, seen, {name: f"{fresh}/{name}" for name in REGISTERS}, lease)
+        clean(spark, root, ("",), lambda content: [f.split("/")[0] for f in content.values()], lease)
 
 
 def stored_registers(spark: SparkSession, folder: str, make: Callable[[], tuple[DataFrame, DataFrame, DataFrame]] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(stations, cities, states) from a folder's snapshots; the first time, make() gives what is written."""
     root = f"{folder.rstrip('/')}/cadastros"
-    if not all(exists(spark, f"{root}/{name}") for name in REGISTERS):
+    held = current(spark, root).content
+    if not held:
         if make is None:
             raise ValueError(f"{root} has no registers")
         write_registers(spark, folder, make())
-    found = tuple(spark.read.parquet(f"{root}/{name}") for name in REGISTERS)
+        held = current(spark, root).content
+    found = tuple(spark.read.parquet(f"{root}/{held[name]}") for name in REGISTERS)
     for table, columns in zip(found, (("id_estacao", "codigo_origem", "id_cidade"), ("id_cidade", "nome_cidade"), ("id_estado", "sigla_estado")), strict=True):
         require_columns(table, columns, "a register")
     return found
@@ -120,7 +121,7 @@ def load(spark: SparkSession, raw: str, folder: str, stations: DataFrame, names:
         rows, unmatched = resolve(accepted, rules, stations)
         reasons, verdicts = _keep_rejected(rejected, unmatched, folder, rules.name), {}
         if relational:
-            approved, verdicts = load_frame(rows, rules, relational, ["file", "line"])
+            approved, verdicts = load_frame(rows, rules, relational, ["file", "line"], References(stations, codes=[p[0] for p in PARAMETERS]))
             if "id_cidade" in rules.required:
                 approved = approved.join(stations.select("id_estacao", "id_cidade"), "id_estacao")
             rows = approved.select(*rules.required)
@@ -143,7 +144,7 @@ def backfill(spark: SparkSession, raw: str, folder: str, stations: DataFrame, na
     rows, unmatched = resolve(accepted.where(within), rules, stations)
     reasons, verdicts = _keep_rejected(rejected.where(within), unmatched, folder, name), {}
     if relational:
-        _, verdicts = load_frame(rows, rules, relational, ["file", "line"])
+        _, verdicts = load_frame(rows, rules, relational, ["file", "line"], References(stations, codes=[p[0] for p in PARAMETERS]))
         held = measures_of_period(*stored(spark, relational), rules, start, stop)
         rows = held.withColumnRenamed("chave_origem", "id_leitura_origem").join(stations.select("id_estacao", "id_cidade"), "id_estacao").select(*rules.required)
     rows = rows.drop("file", "line", "codigo_estacao")

@@ -1,17 +1,20 @@
 """The relational model: headers and items of events, registers, and migration of wide tables.
 
 An event travels as one row, its header with its items in an array. Verdicts are
-found by joins over whole batches. An event is accepted or rejected as a whole; both
-tables are then written under one lock, from a stage that is complete before the
-tables are touched: a load that ends midway is taken up again by the next one.
+found by joins over whole batches. An event is accepted or rejected as a whole. Both
+tables are one folder with one log (sources/versions.py): headers and items of a load
+are written under new names and published by one snapshot, so a reader sees neither or
+both, and a load that ends midway leaves the tables as they were. What a migration
+still has to move into the archive is in the same snapshot, and the next writer
+finishes it.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +29,8 @@ from ..operators import joins, upsert
 from ..operators.constraints import NotNull, Unique, enforce
 from ..operators.keys import duplicate_keys
 from ..operators.reshape import event_rows
-from ..sources.tables import children, exists, locked, move, remove, write_text
+from ..sources.files import exists, move, write_text
+from ..sources.versions import Lease, Snapshot, clean, current, leased, new_folder, publish, to_gather
 
 # The columns of both tables.
 HEADERS = "origem string, chave_origem string, id_estacao bigint, id_operador bigint, data_leitura timestamp"
@@ -35,6 +39,8 @@ EVENT = ["origem", "chave_origem"]
 HEADER = [*EVENT, "id_estacao", "id_operador", "data_leitura"]
 #: The column of the day by which headers lie in folders, so that a change rewrites the days that it touches.
 DAY = "dia"
+#: Folders of a day of headers, and of items, beyond which a load puts them together; old files are looked for every so many versions.
+MOST_FOLDERS, CLEAN_EVERY = 8, 8
 #: Longest texts of a header.
 KEY_LENGTH, STATION_LENGTH = 150, 50
 
@@ -94,16 +100,45 @@ class EventLoad:
     verdicts: DataFrame
 
 
-def load_events(events: DataFrame, stored_headers: DataFrame, stored_items: DataFrame, complete: int = 1) -> EventLoad:
+@dataclass(frozen=True)
+class References:
+    """What headers and items may refer to: registers with id_estacao and with id_operador, and codes of parameters; None is not checked."""
+
+    stations: DataFrame | None = None
+    operators: DataFrame | None = None
+    codes: Sequence[str] | None = None
+
+
+def load_events(events: DataFrame, stored_headers: DataFrame, stored_items: DataFrame, complete: int = 1, references: References = References()) -> EventLoad:  # noqa: B008
     """Classify whole events: judge() and outcome() in one."""
-    return outcome(judge(events, stored_headers, stored_items, complete))
+    return outcome(judge(events, stored_headers, stored_items, complete, references))
 
 
-def judge(events: DataFrame, stored_headers: DataFrame, stored_items: DataFrame, complete: int = 1) -> DataFrame:
+def _orphaned(rows: DataFrame, references: References) -> DataFrame:
+    """rows with `orphan`, why their references are to nothing; a null one refers to nothing and is right.
+
+    A register has a row for each station or operator, so Spark sends a small one to the
+    rows, and splits a hot station of a large one, as nothing is aggregated above.
+    """
+    why = []
+    for column, register, reason in (("id_estacao", references.stations, "unknown station"), ("id_operador", references.operators, "unknown operator")):
+        if register is not None:
+            known = register.select(F.col(column).cast("bigint").alias(f"_known_{column}")).where(f"_known_{column} is not null").distinct()
+            rows = rows.join(known, F.col(column) == F.col(f"_known_{column}"), "left")
+            why.append(F.when(F.col(column).isNotNull() & F.col(f"_known_{column}").isNull(), F.lit(reason)))
+    if references.codes is not None:
+        known = [F.lit(c) for c in references.codes]
+        strange = F.exists("itens", lambda x: ~F.coalesce(F.array_contains(F.array(*known), x["codigo_parametro"]), F.lit(False)))
+        why.append(F.when(strange, F.lit("unknown parameter")))
+    found = F.filter(F.array(*why), lambda x: x.isNotNull()) if why else F.array().cast("array<string>")
+    return rows.withColumn("orphan", found).drop("_known_id_estacao", "_known_id_operador")
+
+
+def judge(events: DataFrame, stored_headers: DataFrame, stored_items: DataFrame, complete: int = 1, references: References = References()) -> DataFrame:  # noqa: B008
     """The different rows of events with what stands against each and what its first copy does.
 
-    An event is rejected if its header or an item breaks a rule, it has fewer items
-    than complete, its header conflicts with the stored one, or its codes and values
+    An event is rejected if its header or an item breaks a rule, its station, operator or
+    a code is not in the references, it has fewer items than complete, its header conflicts with the stored one, or its codes and values
     are not those stored. The first of a key that is not rejected, by ordem and then by
     its content, stands for it: later ones with the same content are replays, others are
     rejected. An operator is added where there was none. A stored header that has no
@@ -116,7 +151,7 @@ def judge(events: DataFrame, stored_headers: DataFrame, stored_items: DataFrame,
     given = lambda *pairs: F.filter(F.array(*[F.when(rule, F.lit(name)) for name, rule in pairs]), lambda x: x.isNotNull())
     own = given(("items missing", F.size("itens") < complete), ("a code repeats", F.size(F.array_distinct(codes)) < F.size(codes)))
     content = ["id_estacao", "data_leitura", "valores"]
-    rows = events.withColumn("why", F.concat(header_reasons(events.columns), broken, own)).withColumn("valores", exact)
+    rows = _orphaned(events, references).withColumn("why", F.concat(header_reasons(events.columns), F.col("orphan"), broken, own)).withColumn("valores", exact)
     rows = rows.groupBy(*EVENT, *content, "id_operador", "why").agg(F.count("*").alias("n"), F.min("ordem").alias("ordem"))
 
     held = stored_items.groupBy(*EVENT).agg(F.array_sort(F.collect_list(F.struct("codigo_parametro", "valor_numerico", "valor_texto"))).alias("_items"))
@@ -168,49 +203,80 @@ def wide_events(accepted: DataFrame, contract: Contract) -> DataFrame:
 
 
 def stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(headers, items) of the tables in a folder, empty if there are none."""
-    read = lambda name, schema, more="": spark.read.schema(schema + more).parquet(f"{folder}/{name}") if exists(spark, f"{folder}/{name}") else spark.createDataFrame([], schema)
-    return read("leituras", HEADERS, f", {DAY} date").select(*HEADER), read("leitura_itens", ITEMS)
+    """(headers, items) of the tables in a folder as its latest snapshot has them, empty if there are none."""
+    return _tables(spark, folder, current(spark, folder).content)
+
+
+def _headers(spark: SparkSession, folder: str, days: dict[str, list[dict[str, Any]]]) -> DataFrame:
+    paths = [f"{folder}/{f['folder']}" for folders in days.values() for f in folders]
+    read = spark.read.schema(f"{HEADERS}, {DAY} date").option("basePath", f"{folder}/leituras")
+    return read.parquet(*paths).select(*HEADER, DAY) if paths else spark.createDataFrame([], f"{HEADERS}, {DAY} date")
+
+
+def _items(spark: SparkSession, folder: str, folders: list[dict[str, Any]]) -> DataFrame:
+    paths = [f"{folder}/{f['folder']}" for f in folders]
+    return spark.read.schema(ITEMS).parquet(*paths) if paths else spark.createDataFrame([], ITEMS)
+
+
+def _tables(spark: SparkSession, folder: str, content: dict[str, Any]) -> tuple[DataFrame, DataFrame]:
+    return _headers(spark, folder, content.get("headers", {})).select(*HEADER), _items(spark, folder, content.get("items", []))
 
 
-def _stage(rows: DataFrame, folder: str) -> str:
-    """Judged events, and the days of headers as they will be, in a folder that says so only when it is whole."""
-    spark, stage = rows.sparkSession, f"{folder}/_pending/{uuid.uuid4().hex}"
-    rows.write.parquet(f"{stage}/judged")
-    load = outcome(spark.read.parquet(f"{stage}/judged"))
+def _used(content: dict[str, Any]) -> list[str]:
+    """The folders that a snapshot needs."""
+    headers = [f["folder"].rsplit("/", 1)[0] for folders in content.get("headers", {}).values() for f in folders]
+    return [*headers, *[f["folder"] for f in content.get("items", [])], *content.get("judged", [])]
+
+
+def _written(spark: SparkSession, folder: str, content: dict[str, Any], load: EventLoad) -> dict[str, Any]:
+    """Write what a load adds under new names; what the folder will hold. Headers that get an operator have their days written anew."""
     enforce(load.items, [NotNull((*EVENT, "codigo_parametro")), Unique((*EVENT, "codigo_parametro"))], "the new items")
     enforce(load.headers, [NotNull((*EVENT, "id_estacao", "data_leitura")), Unique(tuple(EVENT))], "the new headers")
-    enriched = load.enriched.withColumn(DAY, utc_day(F.col("data_leitura")))
-    days = [r[0] for r in enriched.select(DAY).distinct().collect()]
-    if days:
-        now = spark.read.schema(f"{HEADERS}, {DAY} date").parquet(f"{folder}/leituras").where(F.col(DAY).isin(days))
-        now.join(enriched.select(*EVENT), EVENT, "left_anti").unionByName(enriched).write.parquet(f"{stage}/days")
-    write_text(spark, f"{stage}/_whole", "")
-    return stage
-
-
-def _apply(spark: SparkSession, folder: str, stage: str) -> None:
-    """Bring a whole stage into the tables; what is there already is left alone, so this can be done again."""
-    if exists(spark, f"{stage}/days"):
-        spark.read.parquet(f"{stage}/days").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(f"{folder}/leituras")
-    headers, items = stored(spark, folder)
-    load = outcome(spark.read.parquet(f"{stage}/judged"))
-    new = joins.new_rows(load.headers, headers, EVENT).withColumn(DAY, utc_day(F.col("data_leitura")))
-    new.hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(f"{folder}/leituras")
-    joins.new_rows(load.items, items, [*EVENT, "codigo_parametro"]).write.mode("append").parquet(f"{folder}/leitura_itens")
-
-
-def recover(spark: SparkSession, folder: str) -> int:
-    """Finish loads that ended midway, and forget those that had not come to touch the tables; how many were finished. Needs the lock."""
-    done = 0
-    for stage in children(spark, f"{folder}/_pending"):
-        if exists(spark, f"{stage}/_whole"):
-            _apply(spark, folder, stage)
-            done += 1
-        remove(spark, stage)
+    with_day = lambda df: df.withColumn(DAY, utc_day(F.col("data_leitura")))
+    days = {d: list(f) for d, f in content.get("headers", {}).items()}
+    enriched = with_day(load.enriched)
+    again = {str(r[0]) for r in enriched.select(DAY).distinct().collect()} | {d for d, f in days.items() if len(f) >= MOST_FOLDERS}
+    old = _headers(spark, folder, {d: f for d, f in days.items() if d in again})
+    rows = with_day(load.headers).unionByName(old.join(enriched.select(*EVENT), EVENT, "left_anti")).unionByName(enriched)
+    fresh = f"leituras/{new_folder()}"
+    rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(f"{folder}/{fresh}")
+    counted = spark.read.schema(f"{DAY} date").parquet(f"{folder}/{fresh}").groupBy(DAY).agg(F.count("*")).collect()
+    for day, n in ((str(r[0]), r[1]) for r in counted):
+        days[day] = [*([] if day in again else days.get(day, [])), {"folder": f"{fresh}/{DAY}={day}", "rows": n}]
+    held = content.get("items", [])
+    gathered = to_gather(held, MOST_FOLDERS)
+    more = f"leitura_itens/{new_folder()}"
+    load.items.unionByName(_items(spark, folder, gathered)).write.parquet(f"{folder}/{more}")
+    n = spark.read.schema(ITEMS).parquet(f"{folder}/{more}").count()
+    items = [*[f for f in held if f not in gathered], *([{"folder": more, "rows": n}] if n else [])]
+    return content | {"headers": dict(sorted(days.items())), "items": items}
+
+
+def _publish(spark: SparkSession, folder: str, seen: Snapshot, content: dict[str, Any], lease: Lease) -> Snapshot:
+    done = publish(spark, folder, seen, content, lease)
+    if done.version % CLEAN_EVERY == 0:
+        clean(spark, folder, ("leituras", "leitura_itens", "_judged"), _used, lease)
     return done
 
 
+def recover(spark: SparkSession, folder: str, lease: Lease) -> Snapshot:
+    """The latest snapshot, after the moves that it promises and a writer that is gone did not make."""
+    seen = current(spark, folder)
+    moves = seen.content.get("moves", [])
+    for path, target in moves:
+        if exists(spark, path):
+            move(spark, path, target)
+        write_text(spark, f"{target}/_READ_ONLY", "")
+    return _publish(spark, folder, seen, {k: v for k, v in seen.content.items() if k != "moves"}, lease) if moves else seen
+
+
+def require_migrated(spark: SparkSession, legacy: Sequence[str]) -> None:
+    """An error if an old wide table is still in its place with rows: it must be migrated and put into the archive before anything is loaded beside it."""
+    for path in legacy:
+        if exists(spark, path) and not exists(spark, f"{path.rstrip('/')}/_READ_ONLY") and not spark.read.parquet(path).isEmpty():
+            raise ValueError(f"{path} still holds rows: migrate and archive it before loading")
+
+
 @dataclass
 class Persisted:
     """How many rows of the batch had each verdict, and the accepted events."""
@@ -219,29 +285,32 @@ class Persisted:
     accepted: DataFrame
 
 
-def persist(events: DataFrame, folder: str, complete: int = 1) -> Persisted:
-    """Load events into the tables of a folder, all of the batch or nothing of it."""
-    spark = events.sparkSession
-    with locked(spark, f"{folder}/leituras"):
-        recover(spark, folder)
-        stage = _stage(judge(events, *stored(spark, folder), complete), folder)
-        _apply(spark, folder, stage)
-        done = f"{folder}/_judged/{uuid.uuid4().hex}"
-        move(spark, f"{stage}/judged", done)
-        remove(spark, stage)
-    load = outcome(spark.read.parquet(done))
-    counts = {r.verdict: r.n for r in load.verdicts.groupBy("verdict").agg(F.sum("n").alias("n")).collect()}
+def persist(events: DataFrame, folder: str, complete: int = 1, references: References = References(), legacy: Sequence[str] = ()) -> Persisted:  # noqa: B008
+    """Load events into the tables of a folder, all of the batch or nothing of it.
+
+    legacy: folders of old wide tables, which must not hold rows any more.
+    """
+    spark, folder = events.sparkSession, folder.rstrip("/")
+    require_migrated(spark, legacy)
+    with leased(spark, folder) as lease:
+        seen = recover(spark, folder, lease)
+        judged = f"_judged/{new_folder()}"
+        judge(events, *_tables(spark, folder, seen.content), complete, references).write.parquet(f"{folder}/{judged}")
+        load = outcome(spark.read.parquet(f"{folder}/{judged}"))
+        counts = {r.verdict: r.n for r in load.verdicts.groupBy("verdict").agg(F.sum("n").alias("n")).collect()}
+        if counts.keys() & {upsert.INSERT, upsert.REPAIR, upsert.ENRICH}:
+            _publish(spark, folder, seen, _written(spark, folder, seen.content, load) | {"judged": [judged]}, lease)
     return Persisted(counts, load.accepted)
 
 
-def persist_events(events: DataFrame, folder: str, complete: int = 1) -> dict[str, int]:
+def persist_events(events: DataFrame, folder: str, complete: int = 1, references: References = References()) -> dict[str, int]:  # noqa: B008
     """Load events into the tables of a folder; how many rows had each verdict."""
-    return persist(events, folder, complete).counts
+    return persist(events, folder, complete, references).counts
 
 
-def load_frame(readings: DataFrame, contract: Contract, folder: str, order: Sequence[str] = ()) -> tuple[DataFrame, dict[str, int]]:
+def load_frame(readings: DataFrame, contract: Contract, folder: str, order: Sequence[str] = (), references: References = References(), legacy: Sequence[str] = ()) -> tuple[DataFrame, dict[str, int]]:  # noqa: B008
     """(approved readings, counts of verdicts): wide readings into the tables; those that were accepted come back as they are stored."""
-    done = persist(prepare(readings, contract, order), folder, 1 if contract is WATER else len(contract.codes) + 1)
+    done = persist(prepare(readings, contract, order), folder, 1 if contract is WATER else len(contract.codes) + 1, references, legacy)
     return wide_events(done.accepted, contract), done.counts
 
 
@@ -338,10 +407,12 @@ def migrate(legacy: dict[str, DataFrame], folder: str, stations: DataFrame, arch
     every event, archives that are not there yet. Then what the tables will hold is
     compared with the old ones cell by cell, headers and items; only if nothing is
     missing or besides is it published. archive maps an old table's folder to where it
-    is moved when all is done; a moved table has a file that marks it as read only.
+    is moved; a moved table has a file that marks it as read only. The moves are
+    published with the tables, so that one that fails is made by the next writer.
     """
-    spark = stations.sparkSession
-    for path, target in (archive or {}).items():
+    spark, folder = stations.sparkSession, folder.rstrip("/")
+    moves = [[path.rstrip("/"), target.rstrip("/")] for path, target in (archive or {}).items()]
+    for path, target in moves:
         if not exists(spark, path) or exists(spark, target):
             raise ValueError(f"preflight: {path} can't be moved to {target}")
     parts = []
@@ -356,28 +427,22 @@ def migrate(legacy: dict[str, DataFrame], folder: str, stations: DataFrame, arch
     events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if not duplicate_keys(events, EVENT).isEmpty():
         raise ValueError("preflight: a natural key repeats")
-    with locked(spark, f"{folder}/leituras"):
-        recover(spark, folder)
-        old_headers, old_items = stored(spark, folder)
-        stage = _stage(judge(events, old_headers, old_items), folder)
-        try:
-            load = outcome(spark.read.parquet(f"{stage}/judged"))
-            if not load.verdicts.where(F.col("verdict") == upsert.REJECT).isEmpty():
-                raise ValueError("preflight: rows of the old table break the rules of the new ones")
-            exact = events.select(*EVENT, "id_estacao", "data_leitura", F.explode("itens").alias("i"))
-            want = exact.select(*EVENT, "id_estacao", "data_leitura", "i.codigo_parametro", exact_decimal(F.col("i.numero")).alias("valor_numerico"), "i.valor_texto")
-            headers, items = old_headers.unionByName(load.headers), old_items.unionByName(load.items)
-            have = items.join(events.select(*EVENT), EVENT, "left_semi").join(headers.select(*EVENT, "id_estacao", "data_leitura"), EVENT)
-            lost, extra = upsert.differences(want, have)
-            if not (lost.isEmpty() and extra.isEmpty() and joins.orphans(items, headers, {c: c for c in EVENT}).isEmpty()):
-                raise ValueError("reconciliation: the tables would not hold what the old ones do")
-        except Exception:
-            remove(spark, stage)
-            raise
-        _apply(spark, folder, stage)
-        remove(spark, stage)
-    moved = {r.origem: r.n for r in events.groupBy("origem").agg(F.count("*").alias("n")).collect()}
-    for path, target in (archive or {}).items():
-        move(spark, path, target)
-        write_text(spark, f"{target}/_READ_ONLY", "")
-    return Reconciled(moved, list((archive or {}).values()))
+    with leased(spark, folder) as lease:
+        seen = recover(spark, folder, lease)
+        judged = f"_judged/{new_folder()}"
+        judge(events, *_tables(spark, folder, seen.content), references=References(stations, codes=[p[0] for p in PARAMETERS])).write.parquet(f"{folder}/{judged}")
+        load = outcome(spark.read.parquet(f"{folder}/{judged}"))
+        if not load.verdicts.where(F.col("verdict") == upsert.REJECT).isEmpty():
+            raise ValueError("preflight: rows of the old table break the rules of the new ones")
+        content = _written(spark, folder, seen.content, load)
+        headers, items = _tables(spark, folder, content)
+        exact = events.select(*EVENT, "id_estacao", "data_leitura", F.explode("itens").alias("i"))
+        want = exact.select(*EVENT, "id_estacao", "data_leitura", "i.codigo_parametro", exact_decimal(F.col("i.numero")).alias("valor_numerico"), "i.valor_texto")
+        have = items.join(events.select(*EVENT), EVENT, "left_semi").join(headers.select(*EVENT, "id_estacao", "data_leitura"), EVENT)
+        lost, extra = upsert.differences(want, have)
+        if not (lost.isEmpty() and extra.isEmpty() and joins.orphans(items, headers, {c: c for c in EVENT}).isEmpty()):
+            raise ValueError("reconciliation: the tables would not hold what the old ones do")
+        moved = {r.origem: r.n for r in events.groupBy("origem").agg(F.count("*").alias("n")).collect()}
+        _publish(spark, folder, seen, content | {"judged": [judged], "moves": moves}, lease)
+        recover(spark, folder, lease)
+    return Reconciled(moved, [target for _, target in moves])

@@ -16,7 +16,7 @@ from ..operators.quality import guard, require_columns
 from ..operators.reshape import measurements
 from ..operators.star import star_schema
 from ..operators.statistics import SERIES, alerts, describe, period, z_scores
-from ..sources.tables import checked_days, exists, read_days, write_csv, write_csv_parts, write_star
+from ..sources.tables import checked_days, has_table, read_days, write_csv, write_csv_parts, write_star
 
 START, END = "periodo_inicio_utc", "periodo_fim_exclusivo_utc"
 # The columns of the published reports, in order.
@@ -39,7 +39,7 @@ def read_measures(spark: SparkSession, folder: str, first: str | None = None, la
     parts = []
     for contract in CONTRACTS.values():
         path = f"{folder.rstrip('/')}/{contract.name}"
-        if not exists(spark, path):
+        if not has_table(spark, path):
             continue
         rows = read_days(spark, path, start, end)
         require_columns(rows, ("id_estacao", contract.instant), contract.name)

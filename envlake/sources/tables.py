@@ -1,149 +1,112 @@
-"""Partitioned tables by UTC day: merging, rebuilding, manifests and locks.
-
-A table is a folder of Parquet with a folder dia_utc=YYYY-MM-DD for each day. A
-merge adds rows whose key no day has; a rebuild replaces whole days. Both write
-only the days that they touch, after staging what is read from the same table.
+"""Tables by UTC day: merging, rebuilding, key index, manifests and reports.
+
+A table is a folder of Parquet with a folder dia_utc=YYYY-MM-DD for each day of each
+write, and a log that says which of them are valid (sources/versions.py). A merge
+adds rows whose key no day has; a rebuild replaces whole days. Both write new folders
+beside the old ones and publish once, so readers see the table before or after, and a
+killed writer leaves the table as it was.
+
+Beside the rows a write stores a hash of each key with its day. A merge joins the
+hashes of its keys with that index, which is a few bytes for a row, and reads the keys
+of those days alone in which one is found; most merges read none. A folder of
+Parquet by day that has no log is a table, too: its first write gives it one.
 """
 
 from __future__ import annotations
 
-import contextlib
 import json
 import logging
 import os
-import time
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
+from functools import reduce
+from typing import Any
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..domain import Contract
 from ..functions.times import in_utc, utc_day, utc_midnight
 from ..operators.keys import duplicate_keys, keep_first
 from ..operators.quality import assess, dimension_counts, require_columns, typed
+from .files import children, exists, fs_path, move, remove, write_text
+from .versions import PREFIX, Lease, Snapshot, clean, current, leased, new_folder, publish, to_gather
 
+__all__ = ["children", "exists", "merge", "move", "read_days", "read_table", "rebuild", "remove", "write_csv", "write_text"]
 log = logging.getLogger("envlake.insertion")
 DAY = "dia_utc"
+#: Folders of a day, and of the index, beyond which a write puts them together.
+MOST_FOLDERS = 8
+#: Every so many versions old files are looked for.
+CLEAN_EVERY = 8
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-
-
-def children(spark: SparkSession, path: str) -> list[str]:
-    """The paths of what a folder holds, in order; none if there is no folder."""
-    fs, p = _fs(spark, path)
-    return sorted(str(f.getPath()) for f in fs.listStatus(p)) if fs.exists(p) else []
-
-
-def move(spark: SparkSession, path: str, target: str) -> None:
-    """Rename a folder or file; the target must not exist."""
-    fs, p = _fs(spark, path)
-    _, to = _fs(spark, target)
-    fs.mkdirs(to.getParent())
-    if fs.exists(to) or not fs.rename(p, to):
-        raise OSError(f"{path} was not moved to {target}")
-
+@dataclass
+class Written:
+    """What a merge or rebuild did."""
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A whole file, written beside its place and renamed into it."""
-    fs, p = _fs(spark, path)
-    part = p.suffix(f".{uuid.uuid4().hex}.part")
-    out = fs.create(part, True)
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(part, p):
-        raise OSError(f"{path} was not written")
+    dataset: str
+    received: int
+    written: int
+    days: list[str]
+    dimensions: dict[str, dict[str, int]] = field(default_factory=dict)
+    manifest: str = ""
 
 
-def _created(spark: SparkSession, fs, p) -> bool:
-    """Whether this call made the file: one of several at once does. On a local disk Hadoop's create is no such call, Java's is.
+def _content(spark: SparkSession, path: str) -> Snapshot:
+    """The table's latest snapshot; of a folder without a log, one that lists its days.
 
-    HDFS and local disks have such a call. An object store whose create() may overwrite needs a lock of another kind.
+    content: days (day to its folders), schema, index (folders with their rows).
     """
-    if fs.getUri().getScheme() == "file":
-        return spark.sparkContext._jvm.java.io.File(p.toUri().getPath()).createNewFile()
-    try:
-        fs.create(p, False).close()
-        return True
-    except Exception as e:
-        if "AlreadyExists" in str(e) or "already exists" in str(e):
-            return False
-        raise
+    seen = current(spark, path)
+    if seen.version or not exists(spark, path):
+        return seen
+    days = {n.split("=", 1)[1]: [n] for n in (c.rstrip("/").rsplit("/", 1)[-1] for c in children(spark, path)) if n.startswith(f"{DAY}=")}
+    if not days:
+        return seen
+    schema = spark.read.option("mergeSchema", "true").parquet(path).drop(DAY).schema
+    return Snapshot(0, {"days": days, "schema": schema.jsonValue(), "index": []})
 
 
-@contextlib.contextmanager
-def locked(spark: SparkSession, table: str, timeout: float = 60.0, poll: float = 0.05, expiry: float = 6 * 3600.0) -> Iterator[None]:
-    """One writer of a table at a time, by a file that only one can create and that names its owner.
+def has_table(spark: SparkSession, path: str) -> bool:
+    return bool(_content(spark, path).content)
 
-    A file older than expiry seconds was left by a writer that is gone, and is taken away.
-    """
-    fs, p = _fs(spark, f"{table.rstrip('/')}.lock")
-    if p.getParent() is not None:
-        fs.mkdirs(p.getParent())
-    end = time.monotonic() + timeout
-    while not _created(spark, fs, p):
-        try:
-            left = time.time() - fs.getFileStatus(p).getModificationTime() / 1000 > expiry
-        except Py4JJavaError:
-            continue  # it has just been let go
-        if left:
-            log.warning("%s: a lock older than %s s is taken away", table, expiry)
-            fs.delete(p, False)
-            continue
-        if time.monotonic() >= end:
-            raise TimeoutError(f"{table} is locked")
-        time.sleep(poll)
-    try:
-        out = fs.create(p, True)
-        out.write(bytearray(f"{spark.sparkContext.applicationId} {uuid.uuid4().hex}".encode()))
-        out.close()
-        yield
-    finally:
-        fs.delete(p, False)
 
+def _schema(content: dict[str, Any]) -> StructType:
+    return StructType.fromJson(content["schema"])
 
-@dataclass
-class Written:
-    """What a merge or rebuild did."""
 
-    dataset: str
-    received: int
-    written: int
-    days: list[str]
-    dimensions: dict[str, dict[str, int]] = field(default_factory=dict)
-    manifest: str = ""
+def _read(spark: SparkSession, path: str, content: dict[str, Any], days: Sequence[str] | None = None) -> DataFrame:
+    """The rows of a snapshot, or of some of its days: other days' folders are not even listed."""
+    schema = _schema(content).add(DAY, "date")
+    wanted = [f for day, folders in content["days"].items() if days is None or day in days for f in folders]
+    parts = []
+    for versioned in (True, False):
+        own = [f"{path}/{f}" for f in wanted if f.startswith(PREFIX) is versioned]
+        if own:
+            parts.append(spark.read.schema(schema).option("basePath", path).parquet(*own).select(*schema.names))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """The table as its latest snapshot has it, whatever is written while it is read."""
+    path = path.rstrip("/")
+    seen = _content(spark, path)
+    if not seen.content:
+        raise ValueError(f"{path} is no table by day")
+    return _read(spark, path, seen.content)
 
 
 def read_days(spark: SparkSession, path: str, first: date | None = None, end: date | None = None) -> DataFrame:
     """The rows of the days [first, end); other days' folders are not read."""
-    df = read_table(spark, path)
-    if first is not None:
-        df = df.where(F.col(DAY) >= F.lit(first))
-    return df if end is None else df.where(F.col(DAY) < F.lit(end))
+    path = path.rstrip("/")
+    seen = _content(spark, path)
+    if not seen.content:
+        raise ValueError(f"{path} is no table by day")
+    return _read(spark, path, seen.content, [d for d in seen.content["days"] if (first is None or d >= str(first)) and (end is None or d < str(end))])
 
 
 def checked_days(df: DataFrame, instant: str) -> DataFrame:
@@ -164,46 +127,117 @@ def _manifest(spark: SparkSession, folder: str, done: Written, **more) -> str:
     return path
 
 
-def _write_days(df: DataFrame, path: str, instant: str) -> None:
+def _write_days(df: DataFrame, path: str, instant: str) -> dict[str, int]:
+    """Write rows below a new folder of the table; how many each day has."""
     # by ranges of time: days that lie together share a task, and a day that is large is split over several
     rows = df.repartitionByRange(DAY, instant).sortWithinPartitions(DAY, instant)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(DAY).parquet(path)
+    rows.write.option("compression", "snappy").partitionBy(DAY).parquet(path)
+    if not any(f"/{DAY}=" in c for c in children(df.sparkSession, path)):
+        return {}
+    written = df.sparkSession.read.schema(StructType.fromDDL(f"{DAY} date")).parquet(path)
+    return {str(r[0]): r[1] for r in written.groupBy(DAY).agg(F.count("*")).collect()}
+
+
+def _merged(a: StructType, b: StructType, name: str) -> StructType:
+    """Both schemas' columns; a column of two kinds is an error."""
+    out = StructType.fromJson(a.jsonValue())
+    for f in b.fields:
+        if f.name not in out.names:
+            out.add(f.name, f.dataType, True)
+        elif out[f.name].dataType != f.dataType:
+            raise ValueError(f"{name}: {f.name} is {out[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}")
+    return out
+
+
+def _hashed(key: Sequence[str]) -> Column:
+    return F.xxhash64(*key).alias("hash")
+
+
+def _indexed(spark: SparkSession, path: str, content: dict[str, Any]) -> DataFrame:
+    """(hash, dia_utc) of every key that was ever written; keys of replaced days stay until folders are put together."""
+    kind = f"hash bigint, {DAY} date"
+    folders = [f"{path}/{i['folder']}" for i in content.get("index", [])]
+    return spark.read.schema(kind).parquet(*folders) if folders else spark.createDataFrame([], kind)
+
+
+def _hit_days(spark: SparkSession, path: str, content: dict[str, Any], new: DataFrame, key: Sequence[str]) -> list[str]:
+    """The days of the table in which a key of new may be; a driver's list of days, as a snapshot has them."""
+    if not content.get("index"):
+        return list(content.get("days", {}))
+    found = _indexed(spark, path, content).join(new.select(_hashed(key)).distinct(), "hash")
+    return [d for d in (str(r[0]) for r in found.select(DAY).distinct().collect()) if d in content["days"]]
+
+
+def _index(spark: SparkSession, path: str, content: dict[str, Any], rows: DataFrame, key: Sequence[str]) -> list[dict[str, Any]]:
+    """The index with the keys of rows: in a new folder, which also takes in others when there are too many."""
+    own = rows.select(_hashed(key), DAY)
+    old = content.get("index", [])
+    if not old and content.get("days"):  # a table that had no index
+        own = own.unionByName(_read(spark, path, content).select(_hashed(key), DAY))
+    gathered = to_gather(old, MOST_FOLDERS)
+    if gathered:
+        own = own.unionByName(_indexed(spark, path, {"index": gathered}))
+    folder = f"_keys/{new_folder()}"
+    own.write.option("compression", "zstd").parquet(f"{path}/{folder}")
+    return [*[i for i in old if i not in gathered], {"folder": folder, "rows": spark.read.parquet(f"{path}/{folder}").count()}]
+
+
+def _used(content: dict[str, Any]) -> list[str]:
+    """The folders that a snapshot needs."""
+    return [f.split("/")[0] for folders in content.get("days", {}).values() for f in folders] + [i["folder"] for i in content.get("index", [])]
+
+
+def _commit(spark: SparkSession, path: str, seen: Snapshot, content: dict[str, Any], lease: Lease) -> None:
+    done = publish(spark, path, seen, content, lease)
+    if done.version % CLEAN_EVERY == 0:
+        clean(spark, path, ("", "_keys"), _used, lease)
 
 
 def merge(df: DataFrame, contract: Contract, folder: str, order: Sequence[str | Column] | None = None) -> Written:
     """Add the clean rows whose key no day of the table has yet; the first row of a key stays for good.
 
     order says which of several rows with a key comes first; without it, all
-    columns do. A manifest is written even if no row is.
+    columns do. A manifest is written even if no row is. Days get a further folder;
+    one that has many is put together.
     """
     spark, path = df.sparkSession, f"{folder.rstrip('/')}/{contract.name}"
-    with locked(spark, path):
-        clean, counts = assess(df, contract)
+    with leased(spark, path) as lease:
+        seen = _content(spark, path)
+        content = seen.content
+        clean_rows, counts = assess(df, contract)
         for c in contract.key:
-            if dict(clean.dtypes)[c] == "string":
-                clean = clean.withColumn(c, F.trim(c))
-        first = keep_first(clean, contract.key, order or sorted(c for c in clean.columns))
-        added = first
-        if exists(spark, path):
-            added = first.join(read_table(spark, path).select(*contract.key), list(contract.key), "left_anti")
+            if dict(clean_rows.dtypes)[c] == "string":
+                clean_rows = clean_rows.withColumn(c, F.trim(c))
+        first = keep_first(clean_rows, contract.key, order or sorted(c for c in clean_rows.columns))
         stage = f"{folder.rstrip('/')}/_stage/{uuid.uuid4().hex}"
         try:
-            added.withColumn(DAY, utc_day(F.col(contract.instant))).write.parquet(f"{stage}/added")
-            added = spark.read.parquet(f"{stage}/added")
+            first.withColumn(DAY, utc_day(F.col(contract.instant))).write.parquet(f"{stage}/first")
+            first = spark.read.parquet(f"{stage}/first")
             totals = counts.first().asDict()
-            evaluated, approved = clean.count(), added.count()
-            days = [str(r[0]) for r in added.select(DAY).distinct().orderBy(DAY).collect()]
-            if days:
-                rows = added
-                if exists(spark, path):
-                    touched = read_table(spark, path).where(F.col(DAY).isin([date.fromisoformat(day) for day in days]))
-                    touched.unionByName(added, allowMissingColumns=True).write.parquet(f"{stage}/days")
-                    rows = spark.read.parquet(f"{stage}/days")
-                _write_days(rows, path, contract.instant)
+            evaluated = clean_rows.count()
+            hit = _hit_days(spark, path, content, first, contract.key)
+            added = first.join(_read(spark, path, content, hit).select(*contract.key), list(contract.key), "left_anti") if hit else first
+            schema = _merged(_schema(content), first.drop(DAY).schema, contract.name) if content else first.drop(DAY).schema
+            fresh = new_folder()
+            rows = _write_days(added, f"{path}/{fresh}", contract.instant)
+            if rows:
+                days = {d: list(f) for d, f in content.get("days", {}).items()}
+                crowded = [d for d in rows if len(days.get(d, [])) >= MOST_FOLDERS]
+                if crowded:
+                    one = new_folder()
+                    for d in _write_days(_read(spark, path, content, crowded), f"{path}/{one}", contract.instant):
+                        days[d] = [f"{one}/{DAY}={d}"]
+                for d in rows:
+                    days[d] = [*days.get(d, []), f"{fresh}/{DAY}={d}"]
+                index = _index(spark, path, content, spark.read.schema(first.schema).parquet(f"{path}/{fresh}"), contract.key)
+                _commit(spark, path, seen, {"days": dict(sorted(days.items())), "schema": schema.jsonValue(), "index": index}, lease)
+            else:
+                remove(spark, f"{path}/{fresh}")
+            approved = sum(rows.values())
             dimensions = {r.dimension: {"linhas_avaliadas": r.evaluated, "linhas_aprovadas": r.approved, "linhas_rejeitadas": r.rejected} for r in dimension_counts(counts, (evaluated, approved)).collect()}
         finally:
             remove(spark, stage)
-        done = Written(contract.name, totals["received"], approved, days, dimensions)
+        done = Written(contract.name, totals["received"], approved, sorted(rows), dimensions)
         done.manifest = _manifest(spark, folder, done)
         return done
 
@@ -213,7 +247,7 @@ def rebuild(load: Callable[[], DataFrame], contract: Contract, folder: str, star
 
     Every row must be clean, in the window and with a key that neither repeats nor
     is in a day outside it. Days of the table in the window without new rows become
-    empty: their folders go, for a dynamic overwrite would leave them.
+    empty.
     """
     a, b = utc_midnight(start), utc_midnight(end)
     if a >= b:
@@ -221,38 +255,43 @@ def rebuild(load: Callable[[], DataFrame], contract: Contract, folder: str, star
     first, last = a.date(), b.date()
     df = load()
     spark, path = df.sparkSession, f"{folder.rstrip('/')}/{contract.name}"
-    with locked(spark, path):
+    with leased(spark, path) as lease:
         require_columns(df, contract.required, contract.name)
+        seen = _content(spark, path)
+        content = seen.content
         stage = f"{folder.rstrip('/')}/_stage/{uuid.uuid4().hex}"
         try:
             typed(df, contract).withColumn(DAY, utc_day(F.col(contract.instant))).write.parquet(f"{stage}/new")
             rows = spark.read.parquet(f"{stage}/new")
-            clean, counts = assess(rows, contract)
-            received, kept = counts.first()["received"], clean.count()
+            good, counts = assess(rows, contract)
+            received, kept = counts.first()["received"], good.count()
             if kept != received:
                 raise ValueError(f"{received - kept} of {received} rows fail a quality dimension")
             if not duplicate_keys(rows, contract.key).isEmpty():
                 raise ValueError("a key repeats")
             if not rows.where((F.col(DAY) < F.lit(first)) | (F.col(DAY) >= F.lit(last))).isEmpty():
                 raise ValueError("a row lies outside the window")
-            before: dict[str, int] = {}
-            if exists(spark, path):
-                table = read_table(spark, path)
-                outside = table.where((F.col(DAY) < F.lit(first)) | (F.col(DAY) >= F.lit(last)))
-                if not outside.join(rows.select(*contract.key), list(contract.key), "left_semi").isEmpty():
-                    raise ValueError("a key is in a day outside the window")
-                before = {str(r[0]): r[1] for r in read_days(spark, path, first, last).groupBy(DAY).agg(F.count("*")).collect()}
-            after = {str(r[0]): r[1] for r in rows.groupBy(DAY).agg(F.count("*")).collect()}
-            if after:
-                _write_days(rows, path, contract.instant)
-            for day in before.keys() - after.keys():
-                remove(spark, f"{path}/{DAY}={day}")
+            days = content.get("days", {})
+            inside = [d for d in days if str(first) <= d < str(last)]
+            outside = [d for d in _hit_days(spark, path, content, rows, contract.key) if d not in inside]
+            if outside and not _read(spark, path, content, outside).join(rows.select(*contract.key), list(contract.key), "left_semi").isEmpty():
+                raise ValueError("a key is in a day outside the window")
+            before = {str(r[0]): r[1] for r in _read(spark, path, content, inside).groupBy(DAY).agg(F.count("*")).collect()} if inside else {}
+            schema = _merged(_schema(content), rows.drop(DAY).schema, contract.name) if content else rows.drop(DAY).schema
+            fresh = new_folder()
+            after = _write_days(rows, f"{path}/{fresh}", contract.instant)
+            if after or inside:
+                left = {d: f for d, f in days.items() if d not in inside} | {d: [f"{fresh}/{DAY}={d}"] for d in after}
+                index = _index(spark, path, content, rows, contract.key)
+                _commit(spark, path, seen, {"days": dict(sorted(left.items())), "schema": schema.jsonValue(), "index": index}, lease)
+            if not after:
+                remove(spark, f"{path}/{fresh}")
             dimensions = {r.dimension: {"linhas_avaliadas": r.evaluated, "linhas_aprovadas": r.approved, "linhas_rejeitadas": r.rejected} for r in dimension_counts(counts, (received, received)).collect()}
         finally:
             remove(spark, stage)
-        days = sorted(before.keys() | after.keys())
-        done = Written(contract.name, received, received, days, dimensions)
-        parts = [{"caminho": f"{DAY}={d}", "linhas_anteriores": before.get(d, 0), "linhas_finais": after.get(d, 0)} for d in days]
+        touched = sorted(before.keys() | after.keys())
+        done = Written(contract.name, received, received, touched, dimensions)
+        parts = [{"caminho": f"{DAY}={d}", "linhas_anteriores": before.get(d, 0), "linhas_finais": after.get(d, 0)} for d in touched]
         done.manifest = _manifest(spark, folder, done, modo="reconstrucao", inicio_utc=a.isoformat(), fim_exclusivo_utc=b.isoformat(), particoes=parts)
         return done
 
@@ -273,8 +312,8 @@ def write_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
     stage = f"{path}.{uuid.uuid4().hex}.stage"
     try:
         df.orderBy(*order).select(*text).write.option("sep", ";").option("emptyValue", "").option("nullValue", "").csv(stage)
-        fs, folder = _fs(spark, stage)
-        _, target = _fs(spark, path)
+        fs, folder = fs_path(spark, stage)
+        _, target = fs_path(spark, path)
         part = target.suffix(f".{uuid.uuid4().hex}.part")
         jvm = spark.sparkContext._jvm
         out = fs.create(part, True)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from envlake.domain import WATER, WEATHER
 from envlake.plans import collector, relational
-from envlake.sources.tables import exists
+from envlake.sources.files import exists
+from envlake.sources.versions import clean, current
 
 AT = datetime(2026, 5, 20, 10)
 WATER_SCHEMA = "id_leitura_origem string, id_estacao bigint, id_operador bigint, data_leitura timestamp, temperatura_agua string, ph string, oxigenio string, condutividade string, turbidez string"
@@ -59,48 +60,97 @@ def test_events_that_repeat_in_a_batch(spark, tmp_path):
     assert float(relational.stored(spark, folder)[1].where("chave_origem = 'a2'").first().valor_numerico) == 1.0
 
 
-def test_a_load_that_ends_midway_is_taken_up_again(spark, tmp_path, monkeypatch):
-    folder = str(tmp_path)
+@pytest.mark.parametrize("step", ["_written", "publish", "clean"])
+def test_a_load_that_ends_midway_leaves_both_tables_or_neither(spark, tmp_path, monkeypatch, step):
+    folder = str(tmp_path / "t")
+    monkeypatch.setattr(relational, "CLEAN_EVERY", 1)
     relational.persist_events(water(spark, ("a", 1, None, AT, "20", "7", None, None, None)), folder)
     batch = water(spark, ("a", 1, 9, AT, "20", "7", None, None, None), ("b", 1, None, AT, "1", "2", None, None, None))
-    real = relational.joins.new_rows
+    real = getattr(relational, step)
 
-    def broken(rows, existing, key):
-        if "codigo_parametro" in key:
-            raise OSError("the disk is full")
-        return real(rows, existing, key)
+    def killed(*args):
+        if step == "_written":  # after the new folders are written, before they are published
+            real(*args)
+        raise OSError("killed")
 
-    monkeypatch.setattr(relational.joins, "new_rows", broken)
+    held = relational.stored(spark, folder)
+    monkeypatch.setattr(relational, step, killed)
     with pytest.raises(OSError):
-        relational.persist_events(batch, folder)  # ends after the headers, before the items
-    monkeypatch.undo()
-    assert relational.stored(spark, folder)[1].count() == 2
-    assert relational.persist_events(water(spark, ("c", 1, None, AT, "1", None, None, None, None)), folder) == {"insert": 1}
+        relational.persist_events(batch, folder)
+    monkeypatch.setattr(relational, step, real)
     headers, items = relational.stored(spark, folder)
-    assert {(r.chave_origem, r.id_operador) for r in headers.collect()} == {("a", 9), ("b", None), ("c", None)} and headers.count() == 3
-    assert items.count() == 5 and not list((tmp_path / "_pending").iterdir())
+    assert (headers.count(), items.count()) == ((2, 4) if step == "clean" else (1, 2))
+    assert (held[0].count(), held[1].count()) == (1, 2)  # who began to read before goes on reading
+    assert relational.persist_events(batch, folder) == ({"replay": 2} if step == "clean" else {"enrich": 1, "insert": 1})
+    headers, items = relational.stored(spark, folder)
+    assert {(r.chave_origem, r.id_operador) for r in headers.collect()} == {("a", 9), ("b", None)} and headers.count() == 2 and items.count() == 4
 
-    def early(*_):
-        raise OSError("the disk is full")
 
-    monkeypatch.setattr(relational, "write_text", early)
-    with pytest.raises(OSError):
-        relational.persist_events(water(spark, ("d", 1, None, AT, "1", None, None, None, None), ("a", 1, None, AT, "20", "7", None, None, None)), folder)
-    monkeypatch.undo()
-    assert relational.stored(spark, folder)[0].count() == 3
-    assert relational.persist_events(water(spark, ("c", 1, None, AT, "1", None, None, None, None)), folder) == {"replay": 1}
-    assert relational.stored(spark, folder)[0].count() == 3
+def test_many_loads_gather_their_folders(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "t")
+    monkeypatch.setattr(relational, "MOST_FOLDERS", 3)
+    monkeypatch.setattr(relational, "CLEAN_EVERY", 1)
+    monkeypatch.setattr(relational, "clean", lambda *args: clean(*args, retention=0.0))
+    for i in range(8):
+        assert relational.persist_events(water(spark, (f"k{i}", 1, None, AT, "20", "7", None, None, None)), folder) == {"insert": 1}
+    headers, items = relational.stored(spark, folder)
+    assert headers.count() == 8 and items.count() == 16
+    held = current(spark, folder).content
+    assert max(len(f) for f in held["headers"].values()) <= 3 and len(held["items"]) <= 4
+    assert len([p for p in (tmp_path / "t" / "leitura_itens").iterdir()]) == len(held["items"])
 
 
 def test_headers_that_lost_their_items_get_them_again(spark, tmp_path):
     folder, events = str(tmp_path), water(spark, ("a", 1, None, AT, "20", "7", None, None, None), ("b", 1, None, AT, "5", None, None, None, None))
     relational.persist_events(events, folder)
     items = relational.stored(spark, folder)[1].where("chave_origem = 'b'").collect()
-    spark.createDataFrame(items, relational.ITEMS).write.mode("overwrite").parquet(f"{folder}/leitura_itens")
+    spark.createDataFrame(items, relational.ITEMS).write.mode("overwrite").parquet(f"{folder}/{current(spark, folder).content['items'][0]['folder']}")
     assert relational.persist_events(events, folder) == {"repair": 1, "replay": 1}
     assert relational.stored(spark, folder)[1].count() == 3 and relational.persist_events(events, folder) == {"replay": 2}
 
 
+def test_references_are_checked_with_the_verdicts(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    known = relational.References(spark.createDataFrame([(1,), (2,), (2,), (None,)], "id_estacao bigint"), spark.createDataFrame([(5,)], "id_operador bigint"), ["TEMP_AGUA", "PH"])
+    rows = [("a", 1, 5, AT, "20", "7", None, None, None), ("b", 3, None, AT, "20", None, None, None, None), ("c", 2, 6, AT, "20", None, None, None, None), ("d", 2, None, AT, "20", None, "1", None, None), ("e", 3, 6, AT, None, None, "1", None, None)]
+    done = relational.persist(water(spark, *rows), folder, references=known)
+    assert done.counts == {"insert": 1, "reject": 4}
+    why = relational.load_events(water(spark, *rows), *(spark.createDataFrame([], x) for x in (relational.HEADERS, relational.ITEMS)), references=known).verdicts
+    assert {r.chave_origem: r.reasons for r in why.collect()} == {"a": [], "b": ["unknown station"], "c": ["unknown operator"], "d": ["unknown parameter"], "e": ["unknown station", "unknown operator", "unknown parameter"]}
+    assert relational.stored(spark, folder)[0].count() == 1
+    assert relational.persist_events(water(spark, *rows), folder) == {"replay": 1, "insert": 4}  # without registers nothing is held against them
+
+
+def test_nothing_is_loaded_beside_an_old_table_with_rows(spark, tmp_path):
+    old, events = str(tmp_path / "qualidade_agua"), water(spark, ("a", 1, None, AT, "20", None, None, None, None))
+    spark.createDataFrame([("a",)], "id string").write.parquet(old)
+    with pytest.raises(ValueError, match="migrate"):
+        relational.persist(events, str(tmp_path / "t"), legacy=[old, str(tmp_path / "none")])
+    spark.createDataFrame([], "id string").write.mode("overwrite").parquet(old)
+    assert relational.persist(events, str(tmp_path / "t"), legacy=[old]).counts == {"insert": 1}
+
+
+def test_archive_moves_that_fail_are_made_by_the_next_writer(spark, tmp_path, monkeypatch):
+    stations, folder = spark.createDataFrame([(1,)], "id_estacao bigint"), str(tmp_path / "ok")
+    spark.createDataFrame([("a", 1, None, AT, "20", "7", "1", "2", None)], WATER_SCHEMA).write.parquet(str(tmp_path / "old1"))
+    spark.createDataFrame([(1,)], "x int").write.parquet(str(tmp_path / "old2"))
+    moves, real = {str(tmp_path / f"old{i}"): str(tmp_path / f"kept{i}") for i in (1, 2)}, relational.move
+
+    def second(spark, path, target):
+        if path.endswith("old2"):
+            raise OSError("no space")
+        real(spark, path, target)
+
+    monkeypatch.setattr(relational, "move", second)
+    with pytest.raises(OSError):
+        relational.migrate({WATER.name: spark.read.parquet(str(tmp_path / "old1"))}, folder, stations, moves)
+    monkeypatch.undo()
+    assert not (tmp_path / "old1").exists() and (tmp_path / "old2").exists() and relational.stored(spark, folder)[1].count() == 4
+    assert relational.persist_events(water(spark, ("c", 1, None, AT, "1", None, None, None, None)), folder) == {"insert": 1}
+    assert not (tmp_path / "old2").exists() and all((tmp_path / f"kept{i}" / "_READ_ONLY").exists() for i in (1, 2))
+    assert "moves" not in current(spark, folder).content
+
+
 def test_an_enrichment_rewrites_its_day_alone(spark, tmp_path):
     folder = str(tmp_path)
     days = [AT.replace(day=d) for d in (1, 2, 3)]
@@ -108,7 +158,7 @@ def test_an_enrichment_rewrites_its_day_alone(spark, tmp_path):
     before = {(p.parent, p.name) for p in (tmp_path / "leituras").rglob("part-*.parquet")}
     assert relational.persist_events(water(spark, ("k2", 1, 7, days[1], "20", None, None, None, None)), folder) == {"enrich": 1}
     after = {(p.parent, p.name) for p in (tmp_path / "leituras").rglob("part-*.parquet")}
-    assert len(before & after) == 2 and relational.stored(spark, folder)[0].where("id_operador = 7").count() == 1
+    assert before <= after and {p.name for p, _ in after - before} == {"dia=2026-05-02"} and relational.stored(spark, folder)[0].where("id_operador = 7").count() == 1
 
 
 def test_rules_of_headers(spark):

@@ -1,5 +1,4 @@
 import json
-import threading
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -32,7 +31,7 @@ def test_a_replay_writes_nothing_and_late_days_are_opened_again(spark, tmp_path)
     late = tables.merge(water(spark, ("c", "2026-05-20T01:00:00", 9.0), ("b", "2026-05-25T00:00:00", 9.0)), WATER, folder)
     assert late.written == 1  # a key that another day has stays what it was
     assert content(spark, folder) == [("a", "2026-05-20", 1.0), ("b", "2026-05-21", 2.0), ("c", "2026-05-20", 9.0)]
-    assert not list(tmp_path.glob("_stage/*")) and not list(tmp_path.glob("*.lock"))
+    assert not list(tmp_path.glob("_stage/*")) and [p.suffix for p in tmp_path.glob("*.lease/*") if not p.name.startswith(".")] == [".free"]
 
 
 def test_new_columns_are_added_and_empty_batches_have_a_manifest(spark, tmp_path):
@@ -78,34 +77,6 @@ def test_a_rebuild_that_breaks_a_rule_changes_nothing(spark, tmp_path, rows, mat
         tables.rebuild(lambda: None, WATER, folder, datetime(2026, 5, 20), utc("2026-05-22"))
 
 
-def test_one_writer_at_a_time(spark, tmp_path):
-    order = []
-
-    def write(name):
-        with tables.locked(spark, str(tmp_path / "t")):
-            order.append(name)
-            threading.Event().wait(0.2)
-            order.append(name)
-
-    threads = [threading.Thread(target=write, args=(n,)) for n in "ab"]
-    for t in threads:
-        t.start()
-    for t in threads:
-        t.join()
-    assert order in (["a", "a", "b", "b"], ["b", "b", "a", "a"])
-    with tables.locked(spark, str(tmp_path / "t")), pytest.raises(TimeoutError), tables.locked(spark, str(tmp_path / "t"), timeout=0.1):
-        pass
-
-
-def test_an_old_lock_is_taken_away(spark, tmp_path):
-    (tmp_path / "t.lock").write_text("gone")
-    with pytest.raises(TimeoutError), tables.locked(spark, str(tmp_path / "t"), timeout=0.1):
-        pass
-    with tables.locked(spark, str(tmp_path / "t"), timeout=1.0, expiry=0.0001):
-        assert (tmp_path / "t.lock").read_text().startswith("local-")
-    assert not (tmp_path / "t.lock").exists()
-
-
 def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
