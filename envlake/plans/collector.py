@@ -7,11 +7,12 @@ a request that fails gives no rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.raw_json import kind, text_at
+from ..functions.raw_json import extracted, kind, let
 from ..functions.times import strict_day
 from ..sources.raw import RestSource, climate_rows
 from ..sources.tables import exists
@@ -51,25 +52,32 @@ def collect(spark: SparkSession, base: str, municipalities: Sequence[tuple[str,
     return plan.join(fetch(spark, list(wanted), token, tasks, per_minute), "url", "left").select("uf", "id_municipio", "id_estacao", F.col("body").alias("climate"))
 
 
-def result_reasons(column: str = "result"):
-    """Why a collector's result breaks its contract, in order; an empty list if it does not."""
-    r = F.col(column)
-    reasons = [F.when(kind(r, p).isNull(), f"{p}: missing").when(kind(r, p) != k, f"{p}: not a {k}") for p, k in RESULT_FIELDS.items()]
-    uf = text_at(r, "uf")
-    reasons.append(F.when((kind(r, "uf") == "text") & ~uf.rlike(r"^\p{L}{2}$"), "uf: not two letters"))
-    days = F.try_variant_get(r, "$.dados_climaticos", "array<variant>")
-    reasons.append(F.when(kind(r, "dados_climaticos").isNull(), "dados_climaticos: missing").when(~kind(r, "dados_climaticos").isin("array", "object"), "dados_climaticos: not a list"))
-
-    def day_breaks(d):
-        date = F.try_variant_get(d, "$.data", "string")
-        wrong = date.isNull() | ~date.rlike(r"^\d{4}-\d{2}-\d{2}$") | date.try_cast("date").isNull()
-        for name in DAY_NUMBERS:
-            tag = F.schema_of_variant(F.try_variant_get(d, f"$.{name}", "variant"))
-            wrong = wrong | F.coalesce(tag.startswith("STRING") | tag.startswith("BOOLEAN") | tag.startswith("OBJECT") | tag.startswith("ARRAY"), F.lit(False))
-        return wrong
-
-    reasons.append(F.when(F.coalesce(F.exists(days, day_breaks), F.lit(False)), "dados_climaticos: a day breaks its contract"))
-    return F.filter(F.array(*reasons), lambda x: x.isNotNull())
+def result_reasons(column: str = "result") -> Column:
+    """Why a collector's result breaks its contract, in order; an empty list if it does not.
+
+    The result is read once, into its fields with their kinds, and so is its list of days.
+    """
+    return let(F.col(column), lambda r: let(extracted(r, [*RESULT_FIELDS, "dados_climaticos"]), _reasons))
+
+
+def _reasons(x: Column) -> Column:
+    found = {p: x[f"f{i}"] for i, p in enumerate(RESULT_FIELDS)}
+    reasons = [F.when(found[p]["kind"].isNull(), f"{p}: missing").when(found[p]["kind"] != k, f"{p}: not a {k}") for p, k in RESULT_FIELDS.items()]
+    uf = F.try_variant_get(found["uf"]["v"], "$", "string")
+    reasons.append(F.when((found["uf"]["kind"] == "text") & ~uf.rlike(r"^\p{L}{2}$"), "uf: not two letters"))
+    days = x[f"f{len(RESULT_FIELDS)}"]
+    reasons.append(F.when(days["kind"].isNull(), "dados_climaticos: missing").when(~days["kind"].isin("array", "object"), "dados_climaticos: not a list"))
+    listed = F.try_variant_get(days["v"], "$", "array<variant>")
+    reasons.append(F.when(F.coalesce(F.exists(listed, _day_breaks), F.lit(False)), "dados_climaticos: a day breaks its contract"))
+    return F.filter(F.array(*reasons), lambda r: r.isNotNull())
+
+
+def _day_breaks(day: Column) -> Column:
+    """Whether a day has no date, or a number that is something else; one that is no number and no other kind is missing."""
+    date = F.try_variant_get(day, "$.data", "string")
+    wrong = let(date, lambda d: d.isNull() | ~d.rlike(r"^\d{4}-\d{2}-\d{2}$") | d.try_cast("date").isNull())
+    strange = [F.coalesce(kind(day, name) != "number", F.lit(False)) for name in DAY_NUMBERS]
+    return reduce(lambda a, b: a | b, strange, wrong)
 
 
 def temperatures(results: DataFrame, column: str = "result") -> DataFrame:
