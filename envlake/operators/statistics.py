@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import finite
 from ..functions.times import utc_day
+from .keys import dense_positions
 from .quantiles import exact_quantiles, join_groups
 
 #: The series of the environmental measurements.
 SERIES = ("dataset", "id_estacao", "codigo_parametro", "unidade_medida")
 QUARTILES = (0.25, 0.5, 0.75)
+#: Rows of a series that a task takes in order, beyond which the series is cut into ranges.
+MOST_IN_TASK = 1_000_000
 # The published states of a row's Z-score.
 INVALID, FEW, CONSTANT, DONE = "medida_invalida", "amostra_insuficiente", "desvio_zero", "avaliado"
 
@@ -106,10 +109,24 @@ def sql_anomalies(df: DataFrame, by: Sequence[str] = ("id_estacao", "codigo_para
     return rows.withColumns({"anomalia_z": F.coalesce(F.abs("z_score") >= limit, F.lit(False)), "anomalia_iqr": (F.col(value) < low) | (F.col(value) > high)})
 
 
-def rolling_mean(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str = "valor", rows: int = 7, name: str = "media_movel") -> DataFrame:
-    """df with the mean of this row's and the rows - 1 earlier measures of its series; invalid ones are left out."""
-    frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(1 - rows, 0)
-    return df.withColumn(name, F.avg(finite(F.col(value).cast("double"))).over(frame))
+def rolling_mean(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str = "valor", rows: int = 7, name: str = "media_movel", most: int = MOST_IN_TASK) -> DataFrame:
+    """df with the mean of this row's and the rows - 1 earlier measures of its series; invalid ones are left out.
+
+    Where a series has more than most rows, it is cut into ranges of that many by its
+    rows' places (dense_positions, which needs no task for a series), and each range
+    also gets the last rows - 1 of the range before it, so that its means are whole.
+    """
+    mean = F.avg(finite(F.col(value).cast("double")))
+    largest = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= most:
+        return df.withColumn(name, mean.over(Window.partitionBy(*by).orderBy(*order).rowsBetween(1 - rows, 0)))
+    placed = dense_positions(df, [F.col(c).asc_nulls_first() for c in order], by, name="_at")
+    size = max(most, rows)
+    own = F.floor(F.col("_at") / size)
+    lent = F.col("_at") % size >= size - (rows - 1)
+    ranged = placed.withColumn("_range", F.explode(F.when(lent, F.array(own, own + 1)).otherwise(F.array(own))))
+    found = ranged.withColumn(name, mean.over(Window.partitionBy(*by, "_range").orderBy("_at").rowsBetween(1 - rows, 0)))
+    return found.where(F.col("_range") == own).drop("_at", "_range")
 
 
 def status_counts(df: DataFrame, status: str = "status_zscore") -> DataFrame:

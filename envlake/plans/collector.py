@@ -1,7 +1,7 @@
 """The climate collector: municipalities to stations to daily temperatures, over REST.
 
-Each step is one read of the "rest" source: its requests are dealt over tasks, and
-a request that fails gives no rows.
+Each step is a table of requests, dealt over tasks that share the calls a minute; a
+request that fails gives no rows.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.raw_json import extracted, kind, let
 from ..functions.times import strict_day
-from ..sources.raw import RestSource, climate_rows
+from ..sources.raw import climate_rows, get_all
 from ..sources.tables import exists
 
 #: The fields of a result and of a day, and what each must be; * may be missing.
@@ -22,34 +22,38 @@ RESULT_FIELDS = {"uf": "text", "id_municipio": "text", "id_estacao": "number", "
 DAY_NUMBERS = ("temperatura_minima", "temperatura_media", "temperatura_maxima", "precipitacao")
 
 
-def fetch(spark: SparkSession, urls: Sequence[str], token: str, tasks: int = 1, per_minute: int = 30, timeout: float = 15.0) -> DataFrame:
-    """(url, body variant) of the answers that are JSON; a token is needed and never logged."""
+def fetch(requests: DataFrame, token: str, tasks: int = 1, per_minute: int = 30, timeout: float = 15.0) -> DataFrame:
+    """requests (url, ...) with the body, a variant, of the answers that are JSON; a token is needed and never logged."""
     if not token or not token.strip():
         raise ValueError("the collector needs a token")
-    spark.dataSource.register(RestSource)
-    options = {"urls": "\n".join(urls), "token": token, "tasks": str(tasks), "perminute": str(per_minute), "timeout": str(timeout)}
-    got = spark.read.format("rest").options(**options).load()
-    return got.where("status = 200").select("url", F.try_parse_json("body").alias("body")).where("body is not null")
+    got = get_all(requests, token, tasks, per_minute, timeout)
+    return got.where("status = 200").withColumn("body", F.try_parse_json("body")).where("body is not null").drop("status")
 
 
 def station_ids(answers: DataFrame) -> DataFrame:
-    """(url, id_estacao) of lists of stations: objects with id or idEstacao, or plain ids."""
-    item = F.explode(F.try_variant_get("body", "$", "array<variant>")).alias("s")
-    rows = answers.select("url", item)
-    return rows.select("url", F.coalesce(F.try_variant_get("s", "$.id", "bigint"), F.try_variant_get("s", "$.idEstacao", "bigint"), F.try_variant_get("s", "$", "bigint")).alias("id_estacao")).where("id_estacao is not null")
+    """answers with id_estacao in place of their body, a row for each station of a list: objects with id or idEstacao, or plain ids."""
+    rows = answers.withColumn("s", F.explode(F.try_variant_get("body", "$", "array<variant>")))
+    found = F.coalesce(F.try_variant_get("s", "$.id", "bigint"), F.try_variant_get("s", "$.idEstacao", "bigint"), F.try_variant_get("s", "$", "bigint"))
+    return rows.withColumn("id_estacao", found).drop("s", "body").where("id_estacao is not null")
 
 
-def collect(spark: SparkSession, base: str, municipalities: Sequence[tuple[str, str]], first: str, last: str, token: str, tasks: int = 1, per_minute: int = 30) -> DataFrame:
-    """(uf, id_municipio, id_estacao, climate variant) for the stations of the municipalities; configuration is small, so the driver makes the requests' addresses."""
+def collect(spark: SparkSession, base: str, municipalities: Sequence[tuple[str, str]] | DataFrame, first: str, last: str, token: str, tasks: int = 1, per_minute: int = 30) -> DataFrame:
+    """(uf, id_municipio, id_estacao, climate variant) for the stations of the municipalities, a table or a list.
+
+    Both kinds of requests are tables: those for stations are made from the
+    municipalities, and those for the climate from the answers. Each step is held to
+    the limit by itself.
+    """
     strict_day(first), strict_day(last)
-    base = base.rstrip("/")
-    lists = {f"{base}/estacoes?uf={uf}&municipio={m}": (uf, m) for uf, m in municipalities}
-    found = [(lists[r.url], r.id_estacao) for r in station_ids(fetch(spark, list(lists), token, tasks, per_minute)).distinct().orderBy("url", "id_estacao").collect()]
-    wanted = {f"{base}/clima/{s}?inicio={first}&fim={last}&uf={uf}&municipio={m}": (uf, m, s) for (uf, m), s in found}
-    if not wanted:
-        return spark.createDataFrame([], "uf string, id_municipio string, id_estacao bigint").withColumn("climate", F.try_parse_json(F.lit(None).cast("string")))
-    plan = spark.createDataFrame([(url, *x) for url, x in wanted.items()], "url string, uf string, id_municipio string, id_estacao bigint")
-    return plan.join(fetch(spark, list(wanted), token, tasks, per_minute), "url", "left").select("uf", "id_municipio", "id_estacao", F.col("body").alias("climate"))
+    base = F.lit(base.rstrip("/"))
+    if not isinstance(municipalities, DataFrame):
+        municipalities = spark.createDataFrame(list(municipalities), "uf string, id_municipio string")
+    where = F.concat(F.lit("uf="), F.url_encode("uf"), F.lit("&municipio="), F.url_encode("id_municipio"))
+    lists = municipalities.select("uf", "id_municipio").distinct().withColumn("url", F.concat(base, F.lit("/estacoes?"), where))
+    found = station_ids(fetch(lists, token, tasks, per_minute)).select("uf", "id_municipio", "id_estacao").distinct()
+    wanted = found.withColumn("url", F.concat(base, F.lit("/clima/"), F.col("id_estacao").cast("string"), F.lit(f"?inicio={first}&fim={last}&"), where))
+    climate = fetch(wanted, token, tasks, per_minute).select("uf", "id_municipio", "id_estacao", F.col("body").alias("climate"))
+    return found.join(climate, ["uf", "id_municipio", "id_estacao"], "left")
 
 
 def result_reasons(column: str = "result") -> Column:

@@ -86,7 +86,7 @@ def resolve(rows: DataFrame, rules: Contract, stations: DataFrame) -> tuple[Data
     """(rows with the contract's columns, rows that had no registered station)."""
     dim = stations.select(trimmed(F.col("codigo_origem")).alias("codigo_estacao"), "id_estacao", "id_cidade")
     found, unmatched = lookup(rows, dim, ["codigo_estacao"])
-    return found.select(*rules.required, *[c for c in ("codigo_estacao", "file", "line") if c in found.columns]), unmatched
+    return found.select(*rules.required, *[c for c in ("codigo_estacao", "file", "line", "value") if c in found.columns]), unmatched
 
 
 def parse(spark: SparkSession, raw: str, rules: Contract, newest_first: bool = False) -> tuple[DataFrame, DataFrame]:

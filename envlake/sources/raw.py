@@ -21,6 +21,7 @@ from ..functions.numbers import number
 from ..functions.raw_json import first_violation
 from ..functions.text import station_label, trimmed
 from ..functions.times import instant
+from ..scratch import written
 
 
 def records(payload: DataFrame, dataset: str, body: str = "body") -> DataFrame:
@@ -87,6 +88,8 @@ def flatten(raw: DataFrame, dataset: str, record: str = "record") -> DataFrame:
 class RateLimit:
     """At most n calls in any 60 seconds; clock and sleep can be replaced."""
 
+    WINDOW = 60.0
+
     def __init__(self, per_minute: int, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
         if isinstance(per_minute, bool) or not isinstance(per_minute, int) or per_minute < 1:
             raise ValueError("the limit must be a positive whole number")
@@ -96,12 +99,12 @@ class RateLimit:
     def wait(self) -> None:
         while True:
             now = self.clock()
-            while self.calls and now - self.calls[0] >= 60:
+            while self.calls and now - self.calls[0] >= self.WINDOW:
                 self.calls.popleft()
             if len(self.calls) < self.per_minute:
                 self.calls.append(now)
                 return
-            self.sleep(60 - (now - self.calls[0]))
+            self.sleep(self.WINDOW - (now - self.calls[0]))
 
 
 @dataclass(frozen=True)
@@ -148,12 +151,43 @@ class _RestReader(DataSourceReader):
         limit = RateLimit(self.per_minute // self.tasks)
         for url in self.urls[partition.value :: self.tasks]:
             limit.wait()
-            request = urllib.request.Request(url, headers={"Authorization": f"Bearer {self.token}"} if self.token else {})
-            try:
-                with urllib.request.urlopen(request, timeout=self.timeout) as answer:
-                    yield url, answer.status, answer.read().decode()
-            except OSError as e:
-                yield url, getattr(e, "code", 0) or 0, None
+            yield url, *_get(url, self.token, self.timeout)
+
+
+def _get(url: str, token: str | None, timeout: float) -> tuple[int, str | None]:
+    """(status, body) of a GET; a request that fails has no body."""
+    request = urllib.request.Request(url, headers={"Authorization": f"Bearer {token}"} if token else {})
+    try:
+        with urllib.request.urlopen(request, timeout=timeout) as answer:
+            return answer.status, answer.read().decode()
+    except OSError as e:
+        return getattr(e, "code", 0) or 0, None
+
+
+def get_all(requests: DataFrame, token: str | None = None, tasks: int = 1, per_minute: int = 30, timeout: float = 15.0, url: str = "url") -> DataFrame:
+    """requests, a table with an address in each row, with the status and body of its answer; written once, so no request is repeated.
+
+    The rows are dealt to a fixed number of tasks. Each has an equal share of the calls
+    a minute, so all of them together keep the limit, whenever they run.
+    """
+    share = RateLimit(per_minute).per_minute  # checks the limit
+    tasks = max(1, min(tasks, share))
+    if not requests.where(~F.col(url).rlike("^https?://")).isEmpty():
+        raise ValueError("only http and https endpoints can be read")
+
+    def call(batches):
+        limit = RateLimit(share // tasks)
+        for batch in batches:
+            found = []
+            for address in batch[url]:
+                limit.wait()
+                found.append(_get(address, token, timeout))
+            yield batch.assign(status=[s for s, _ in found], body=[b for _, b in found])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema.fields)
+    numbered = requests.withColumn("_task", F.pmod(F.xxhash64(url), F.lit(tasks)).cast("int"))
+    dealt = numbered.repartition(tasks, "_task").drop("_task")
+    return written(dealt.mapInPandas(call, f"{kinds}, status int, body string"), "answers")
 
 
 def ingest(spark: SparkSession, url: str, dataset: str, path: str, label: str | None = None, token: str | None = None, per_minute: int = 30, timeout: float = 15.0) -> Ingested:

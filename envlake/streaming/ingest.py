@@ -7,50 +7,90 @@ and a replayed batch writes nothing.
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..domain import contract
+from ..operators.quality import row_rules, split
+from ..sources.files import exists
 from ..sources.raw import approve, flatten
 from ..sources.tables import Written, merge
 
 log = logging.getLogger("envlake.treatment")
+#: Reasons of lines that never become rows with a station.
+NO_RECORD, NOT_FOUND = "line: no record", "codigo_estacao: not registered"
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """A stream of (file, record) from JSON lines that arrive in a folder."""
+    """A stream of (file, value, record) from JSON lines that arrive in a folder; record is null where a line has none or is no JSON."""
     text = spark.readStream.schema("value string").option("recursiveFileLookup", "true").text(path)
-    parsed = text.select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("v"))
-    return parsed.select("file", F.try_variant_get("v", "$.record", "variant").alias("record")).where("record is not null")
+    parsed = text.select(F.col("_metadata.file_path").alias("file"), "value", F.try_parse_json("value").alias("v"))
+    return parsed.select("file", "value", F.try_variant_get("v", "$.record", "variant").alias("record"))
 
 
-def merge_stream(spark: SparkSession, source: str, dataset: str, folder: str, checkpoint: str, resolve: Callable[[DataFrame], DataFrame], report: Callable[[Written], None] | None = None) -> StreamingQuery:
+def stream_name(checkpoint: str) -> str:
+    """What a stream's rejected rows are kept under: the same whenever it is started again from its checkpoint."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def merge_stream(spark: SparkSession, source: str, dataset: str, folder: str, checkpoint: str, resolve: Callable[[DataFrame], DataFrame | tuple[DataFrame, DataFrame]], report: Callable[[Written], None] | None = None) -> StreamingQuery:
     """Merge what has arrived in source into the dataset's table, then stop (trigger AvailableNow).
 
-    resolve turns flat rows into rows with the contract's columns, as by joining
-    the registers of stations.
+    resolve turns flat rows into rows with the contract's columns, as by joining the
+    registers of stations; it may return those that it found and those that it did not.
+    Lines that are no record, records that break the contract, rows that break a rule
+    and rows that are not found are kept with their reasons (see rejected_rows), in a
+    folder for each micro-batch that a replay of the batch writes again.
     """
     rules = contract(dataset)
 
-    def batch(rows: DataFrame, _: int) -> None:
-        good, _bad = approve(rows, dataset)
-        found = resolve(flatten(good, dataset))
-        done = merge(found.select(*[c for c in found.columns if c not in ("file", "codigo_estacao")]), rules, folder)
+    def batch(rows: DataFrame, number: int) -> None:
+        rows = rows.persist()
+        try:
+            good, bad = approve(rows.where("record is not null"), dataset)
+            flat = flatten(good, dataset)
+            given = ["codigo_estacao", "data_leitura", *[k for k in rules.key if k in flat.columns], *rules.numeric]
+            accepted, broken = split(flat, row_rules(rules, list(dict.fromkeys(given))))
+            found = resolve(accepted)
+            found, lost = found if isinstance(found, tuple) else (found, accepted.limit(0))
+            kept = lambda df, why: df.select("file", "value", why.alias("reasons"))
+            out = [
+                kept(rows.where("record is null and trim(value) <> ''"), F.array(F.lit(NO_RECORD))),
+                kept(bad, F.array("reason")),
+                kept(broken, F.col("reasons")),
+                kept(lost, F.array(F.lit(NOT_FOUND))),
+            ]
+            reduce(DataFrame.unionByName, out).write.mode("overwrite").parquet(f"{_rejected(folder, dataset)}/stream={stream_name(checkpoint)}/batch={number}")
+            done = merge(found.select(*[c for c in found.columns if c not in ("file", "value", "codigo_estacao")]), rules, folder)
+        finally:
+            rows.unpersist()
         if report:
             report(done)
 
     return lines(spark, source).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _rejected(folder: str, dataset: str) -> str:
+    return f"{folder.rstrip('/')}/_rejected_streams/{dataset}"
+
+
+def rejected_rows(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
+    """(file, value, reasons, stream, batch): the lines of all streams that did not come into the dataset's table, each once."""
+    kind = "file string, value string, reasons array<string>, stream string, batch bigint"
+    path = _rejected(folder, dataset)
+    return spark.read.schema(kind).option("basePath", path).parquet(f"{path}/stream=*") if exists(spark, path) else spark.createDataFrame([], kind)
+
+
 def dedup_stream(stream: DataFrame, key: list[str], path: str, checkpoint: str, order: list[str | Column]) -> StreamingQuery:
     """Append the rows of a stream whose key is not yet in the table at path; the first of a key stays."""
     from ..operators.keys import keep_first
-    from ..sources.tables import exists
 
     def batch(rows: DataFrame, _: int) -> None:
         first = keep_first(rows, key, order)

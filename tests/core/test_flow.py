@@ -9,6 +9,7 @@ from envlake.domain import WATER
 from envlake.plans import medallion, reports
 from envlake.sources import raw
 from envlake.sources.tables import read_table
+from envlake.streaming import ingest
 from envlake.streaming.ingest import merge_stream
 
 
@@ -152,6 +153,40 @@ def test_a_stream_merges_what_a_batch_would(spark, tmp_path, registered):
     assert {r.id_leitura_origem: r.temperatura_agua for r in read_table(spark, f"{silver}/qualidade_agua").collect()} == {"w1": 20, "w2": 21, "w3": 20}
 
 
+def test_a_stream_keeps_what_it_rejects_also_when_a_batch_is_replayed(spark, registered, tmp_path, monkeypatch):
+    folder, silver, checkpoint = tmp_path / "raw", str(tmp_path / "silver"), str(tmp_path / "c2")
+    batch(folder, "api_qualidade_agua_1.jsonl", [water("w1"), water("", temperatura=1.0), water("w9", station="E9"), water("hot", temperatura=99.0)], extra=["{no json", "", '{"record": null}', "[1]"])
+    resolve = lambda rows: medallion.resolve(rows, WATER, registered[0])
+    want = {"id: blank": 1, "line: no record": 2, "record: not an object": 1, "codigo_estacao: not registered": 1, "temperatura_agua: out of range": 1}
+
+    def reasons():
+        out = {}
+        for r in ingest.rejected_rows(spark, silver, "qualidade_agua").collect():
+            for x in r.reasons:
+                out[x] = out.get(x, 0) + 1
+        return out
+
+    assert reasons() == {}
+    real = ingest.merge
+
+    def killed(*args):
+        real(*args)
+        raise OSError("killed after the merge, before the batch is done")
+
+    monkeypatch.setattr(ingest, "merge", killed)
+    with pytest.raises(Exception, match="killed"):
+        merge_stream(spark, str(folder), "qualidade_agua", silver, checkpoint, resolve).awaitTermination()
+    monkeypatch.undo()
+    assert reasons() == want
+    done = []
+    merge_stream(spark, str(folder), "qualidade_agua", silver, checkpoint, resolve, done.append).awaitTermination()
+    assert reasons() == want and [d.written for d in done] == [0]  # the batch was done once more and added nothing
+    batch(folder, "api_qualidade_agua_2.jsonl", [water("w2"), water("w3", ph="7")], extra=["broken"])
+    merge_stream(spark, str(folder), "qualidade_agua", silver, checkpoint, resolve, done.append).awaitTermination()
+    assert reasons()["line: no record"] == 3 and sum(reasons().values()) == sum(want.values()) + 2 and done[-1].written == 1
+    assert {r.id_leitura_origem for r in read_table(spark, f"{silver}/qualidade_agua").collect()} == {"w1", "w2"}
+
+
 class _Answers(http.server.BaseHTTPRequestHandler):
     seen: list = []
     answers = {"/list": [water("a"), water("b", ph="7"), {"id": 1}], "/envelope": {"leituras_ambientais": [water("c")]}, "/one": water("d"), "/none": []}

@@ -1,6 +1,8 @@
 import http.server
+import inspect
 import json
 import threading
+import time
 from datetime import datetime
 
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 from envlake.domain import WATER, WEATHER
 from envlake.plans import collector, relational
+from envlake.sources import raw
 from envlake.sources.files import exists
 from envlake.sources.versions import clean, current
 
@@ -261,13 +264,44 @@ def test_collector(spark):
     threading.Thread(target=server.serve_forever, daemon=True).start()
     base = f"http://127.0.0.1:{server.server_port}"
     try:
-        got = collector.collect(spark, base, [("SP", "1")], "2026-01-01", "2026-01-02", "t", per_minute=1000)
+        got = collector.collect(spark, base, [("SP", "1")], "2026-01-01", "2026-01-02", "t", per_minute=1000, tasks=4)
         assert {(r.id_estacao, r.climate is None) for r in got.collect()} == {(7, False), (8, False), (9, True)}
-        assert collector.collect(spark, base, [("SP", "1")], "2026-01-01", "2026-01-02", "other", per_minute=1000).count() == 0
+        assert got.count() == 3  # no request is made again
+        assert collector.collect(spark, base, spark.createDataFrame([("SP", "1")], "uf string, id_municipio string"), "2026-01-01", "2026-01-02", "other", per_minute=1000).count() == 0
     finally:
         server.shutdown()
+    assert inspect.getsource(collector.collect).count(".collect()") == 0
     with pytest.raises(ValueError):
-        collector.fetch(spark, [base], " ")
+        collector.fetch(spark.createDataFrame([(base,)], "url string"), " ")
+    with pytest.raises(ValueError):
+        collector.fetch(spark.createDataFrame([("ftp://x",)], "url string"), "t")
+
+
+def test_tasks_share_the_calls_a_minute(spark, monkeypatch):
+    calls, lock = [], threading.Lock()
+
+    class Slow(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            with lock:
+                calls.append(time.monotonic())
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(b"1")
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Slow)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    # a minute of two seconds, so that the test need not wait for a real one
+    monkeypatch.setattr(raw.RateLimit, "WINDOW", 2.0)
+    try:
+        requests = spark.range(30).selectExpr(f"concat('http://127.0.0.1:{server.server_port}/', id) as url")
+        assert raw.get_all(requests, "t", tasks=4, per_minute=8).where("status = 200").count() == 30
+    finally:
+        server.shutdown()
+    assert len(calls) == 30
+    assert all(sum(a <= t < a + 1.9 for t in calls) <= 8 for a in calls)
 
 
 def test_contract_of_collected_results(spark):

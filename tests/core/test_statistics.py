@@ -76,3 +76,19 @@ def test_relational_dialect(spark):
 def test_rolling_mean_takes_seven_rows(spark):
     got = [r.media_movel for r in st.rolling_mean(series(spark, [1.0, None, 3.0, 4.0, 100.0, 6.0, 7.0, 8.0, 9.0]), ["id_estacao"], ["data_leitura"]).orderBy("data_leitura").collect()]
     assert got[0] == got[1] == 1 and got[4] == 27 and got[8] == pytest.approx((3 + 4 + 100 + 6 + 7 + 8 + 9) / 7)
+
+
+def test_a_hot_series_is_cut_into_ranges(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [("hot", i, rng.choice([None, float("nan"), rng.random()])) for i in range(700)] + [(f"s{i % 40}", i, rng.random()) for i in range(1300)] + [(None, i, 1.0 * i) for i in range(60)]
+    df = spark.createDataFrame(rows, "s string, t int, valor double").repartition(5)
+    whole = st.rolling_mean(df, ["s"], ["t"])
+    cut = st.rolling_mean(df, ["s"], ["t"], most=50)
+    assert "_range" in cut._jdf.queryExecution().optimizedPlan().toString() and cut.columns == whole.columns
+    key = lambda r: (r.s or "", r.t)
+    a, b = ([(r.s, r.t, None if r.media_movel is None else round(r.media_movel, 12)) for r in sorted(x.collect(), key=key)] for x in (whole, cut))
+    assert a == b and len(a) == len(rows)
+    single = st.rolling_mean(df, ["s"], ["t"], most=3)  # ranges are never shorter than the frame
+    assert [(r.s, r.t, None if r.media_movel is None else round(r.media_movel, 12)) for r in sorted(single.collect(), key=key)] == a
