@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions.raw_json import extracted, kind, let
 from ..functions.times import strict_day
+from ..sources.files import children, remove
 from ..sources.raw import climate_rows, get_all
-from ..sources.tables import exists
+from ..sources.versions import PREFIX, current, leased, new_folder, publish
 
 #: The fields of a result and of a day, and what each must be; * may be missing.
 RESULT_FIELDS = {"uf": "text", "id_municipio": "text", "id_estacao": "number", "capturado_em": "text", "detalhes_estacao": "object"}
@@ -89,17 +90,42 @@ def temperatures(results: DataFrame, column: str = "result") -> DataFrame:
     return climate_rows(results.where(F.size(result_reasons(column)) == 0), column)
 
 
+def results(spark: SparkSession, path: str) -> DataFrame:
+    """(value): the lines of a cumulative file of results, those appended to it and those that lay there before."""
+    seen = current(spark, path)
+    return _lines(spark, [f"{path.rstrip('/')}/{f['folder']}" for f in seen.content.get("folders", [])] + _foreign(spark, path))
+
+
+def _foreign(spark: SparkSession, path: str) -> list[str]:
+    """Files of the folder that append_results() did not write."""
+    return [c for c in children(spark, path) if not c.rstrip("/").rsplit("/", 1)[-1].startswith((PREFIX, "_", "."))]
+
+
+def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return spark.read.text(list(paths)) if paths else spark.createDataFrame([], "value string")
+
+
 def append_results(new: DataFrame, path: str, column: str = "result") -> int:
     """Append a collector's results to the JSON lines at path, if these and all that are there meet the contract; how many there are then.
 
-    The first reasons of those that don't are named, and nothing is written.
+    What was appended before met it then, and is not read again; files of others are
+    checked once. The first reasons of those that don't are named, and nothing is
+    written. An append is published as one.
     """
-    spark = new.sparkSession
-    given = new.select(F.col(column).alias("r"))
-    held = spark.read.text(path).select(F.try_parse_json("value").alias("r")) if exists(spark, path) else given.limit(0)
-    whole = held.unionByName(given)
-    broken = whole.select(F.explode(result_reasons("r")).alias("why")).distinct().orderBy("why").limit(10).collect()
-    if broken:
-        raise ValueError("; ".join(r.why for r in broken))
-    given.select(F.to_json("r").alias("value")).write.mode("append").text(path)
-    return spark.read.text(path).count()
+    spark, path = new.sparkSession, path.rstrip("/")
+    with leased(spark, path) as lease:
+        seen = current(spark, path)
+        held, foreign = seen.content.get("folders", []), _foreign(spark, path)
+        fresh = new_folder()
+        new.select(F.to_json(column).alias("value")).write.text(f"{path}/{fresh}")
+        checked = {f["folder"]: f["rows"] for f in seen.content.get("foreign", [])}
+        unchecked = [f for f in foreign if f not in checked]
+        whole = _lines(spark, [f"{path}/{fresh}", *unchecked]).select(F.try_parse_json("value").alias("r"))
+        broken = whole.select(F.explode(result_reasons("r")).alias("why")).distinct().orderBy("why").limit(10).collect()
+        if broken:
+            remove(spark, f"{path}/{fresh}")
+            raise ValueError("; ".join(r.why for r in broken))
+        checked |= {f: _lines(spark, [f]).count() for f in unchecked}
+        folders = [*held, {"folder": fresh, "rows": _lines(spark, [f"{path}/{fresh}"]).count()}]
+        publish(spark, path, seen, {"folders": folders, "foreign": [{"folder": f, "rows": n} for f, n in checked.items()]}, lease)
+        return sum(f["rows"] for f in folders) + sum(checked.values())

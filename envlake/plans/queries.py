@@ -15,7 +15,7 @@ from ..domain import WATER
 from ..functions import numbers, personal, raw_json, text, times
 from ..operators import constraints, joins, keys, quality, reshape, star, statistics, upsert
 from ..scratch import scratch
-from ..sources import raw, tables
+from ..sources import raw, tables, versions
 from . import collector, relational
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -628,35 +628,42 @@ def order_events(spark, d) -> tuple[DataFrame, DataFrame]:
     return rows.unionByName(again), old
 
 
-def loaded_orders(spark, d):
+def loaded_orders(spark, d) -> tuple[relational.Persisted, DataFrame, DataFrame]:
+    """What loading the batch did, and both tables after it: the stored orders were loaded before, and some of their items lost."""
     batch, old = order_events(spark, d)
-    stored = relational.load_events(relational.prepare(old, WATER), spark.createDataFrame([], relational.HEADERS), spark.createDataFrame([], relational.ITEMS))
-    items = stored.items.where(F.col("chave_origem").cast("bigint") % 6 != 5)
-    return relational.load_events(relational.prepare(batch, WATER, ["turn"]), stored.headers, items)
+    folder = scratch(spark, "orders")
+    relational.persist(relational.prepare(old, WATER), folder)
+    with versions.leased(spark, folder) as lease:
+        seen = versions.current(spark, folder)
+        lost = f"leitura_itens/{versions.new_folder()}"
+        relational.stored(spark, folder)[1].where(F.col("chave_origem").cast("bigint") % 6 != 5).write.parquet(f"{folder}/{lost}")
+        versions.publish(spark, folder, seen, seen.content | {"items": [{"folder": lost, "rows": 0}]}, lease)
+    return relational.persist(relational.prepare(batch, WATER, ["turn"]), folder), *relational.stored(spark, folder)
 
 
 @query("""SELECT verdict, count(*) AS n FROM (SELECT CASE o_orderkey % 6 WHEN 0 THEN 'insert' WHEN 1 THEN 'replay' WHEN 2 THEN 'reject' WHEN 3 THEN 'enrich' WHEN 4 THEN 'insert' ELSE 'repair' END AS verdict FROM orders
 UNION ALL SELECT CASE o_orderkey % 6 WHEN 0 THEN 'replay' ELSE 'reject' END FROM orders WHERE o_orderkey % 6 IN (0, 4)) GROUP BY verdict""")
 def event_load(spark, d):
-    """Orders against stored ones: how many rows have each verdict."""
-    return loaded_orders(spark, d).verdicts.groupBy("verdict").agg(F.sum("n").alias("n"))
+    """Orders loaded beside stored ones: how many rows have each verdict."""
+    return loaded_orders(spark, d)[0].verdicts.groupBy("verdict").agg(F.sum("n").alias("n"))
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS chave_origem, code AS codigo_parametro, CAST(v AS DOUBLE) AS valor FROM orders, (VALUES ('TEMP_AGUA', 20.5), ('PH', 7.0)) x(code, v) WHERE o_orderkey % 6 IN (0, 4, 5)")
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS chave_origem, code AS codigo_parametro, CASE WHEN code = 'TEMP_AGUA' THEN 20.5 WHEN o_orderkey % 6 = 2 THEN 8.0 ELSE 7.0 END AS valor FROM orders, (VALUES ('TEMP_AGUA'), ('PH')) x(code)")
 def event_load_items(spark, d):
-    """The items that the same load adds: of new events, and of those whose items were lost."""
-    return loaded_orders(spark, d).items.select("chave_origem", "codigo_parametro", F.col("valor_numerico").cast("double").alias("valor"))
+    """The items after the same load, of which it added those of new events and those that were lost."""
+    return loaded_orders(spark, d)[2].select("chave_origem", "codigo_parametro", F.col("valor_numerico").cast("double").alias("valor"))
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS chave_origem, CAST(o_custkey AS BIGINT) AS id_estacao, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderkey % 6 IN (0, 4)")
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS chave_origem, CAST(o_custkey AS BIGINT) AS id_estacao, CASE WHEN o_orderkey % 6 = 3 THEN CAST(1 AS BIGINT) END AS id_operador, CAST(o_orderdate AS DATE) AS day FROM orders")
 def event_load_headers(spark, d):
-    return loaded_orders(spark, d).headers.select("chave_origem", "id_estacao", times.utc_day(F.col("data_leitura")).alias("day"))
+    """The headers after the same load, of which it added the new ones and some operators."""
+    return loaded_orders(spark, d)[1].select("chave_origem", "id_estacao", "id_operador", times.utc_day(F.col("data_leitura")).alias("day"))
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS chave_origem, code AS codigo_parametro, CASE code WHEN 'TEMP_AGUA' THEN 20.0 ELSE 7.0 END AS valor FROM customer, (VALUES ('TEMP_AGUA'), ('PH')) x(code) WHERE c_custkey % 50 = 0")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS chave_origem, code AS codigo_parametro, CASE code WHEN 'TEMP_AGUA' THEN 20.0 ELSE 7.0 END AS valor FROM customer, (VALUES ('TEMP_AGUA'), ('PH')) x(code)")
 def migration_reconcile(spark, d):
     """Customers as an old wide table, migrated and reconciled; the items of its tables."""
-    folder, c = scratch(spark, "migration"), table(spark, d, "customer").where("c_custkey % 50 = 0")
+    folder, c = scratch(spark, "migration"), table(spark, d, "customer")
     old = customer_readings(c, 20.0, day=F.col("c_custkey") % 3).withColumns({x: F.lit(None).cast("double") for x in ("oxigenio", "condutividade", "turbidez")})
     relational.migrate({WATER.name: old}, folder, c.select(F.col("c_nationkey").cast("bigint").alias("id_estacao")).distinct())
     return relational.stored(spark, folder)[1].select("chave_origem", "codigo_parametro", F.col("valor_numerico").cast("double").alias("valor"))
@@ -675,8 +682,8 @@ def rejected_rows(spark, d):
 def read_days_pruned(spark, d):
     """Two days of a table by day, of which the other folders are not read."""
     path = f"{scratch(spark, 'days')}/events"
-    e = table(spark, d, "events").select("event_id", "user_id", "ts").where("ts < '2024-01-08'")
-    e.withColumn(tables.DAY, times.utc_day(F.col("ts"))).write.partitionBy(tables.DAY).parquet(path)
+    e = table(spark, d, "events").select("event_id", "user_id", "ts").withColumn(tables.DAY, times.utc_day(F.col("ts")))
+    e.repartitionByRange(tables.DAY).write.partitionBy(tables.DAY).parquet(path)
     from datetime import date
 
     return tables.read_days(spark, path, date(2024, 1, 3), date(2024, 1, 5)).select("event_id", "user_id")
@@ -716,8 +723,12 @@ def stream_daily_counts(spark, d):
 
 
 def queries() -> dict[str, Query]:
+    from . import flow_queries  # noqa: F401  adds its own
+
     return {name: f for name, (f, _) in CATALOGUE.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import flow_queries  # noqa: F401
+
     return {name: sql for name, (_, sql) in CATALOGUE.items() if sql}

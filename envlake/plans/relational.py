@@ -24,7 +24,7 @@ from ..domain import contract as dataset
 from ..functions.numbers import exact_decimal
 from ..functions.personal import cpf_pseudonym, encrypt_name, read_names
 from ..functions.text import active_flag, trimmed
-from ..functions.times import half_open, natural_key, utc_day
+from ..functions.times import half_open, natural_key
 from ..operators import joins, upsert
 from ..operators.constraints import NotNull, Unique, enforce
 from ..operators.keys import duplicate_keys
@@ -37,9 +37,8 @@ HEADERS = "origem string, chave_origem string, id_estacao bigint, id_operador bi
 ITEMS = "origem string, chave_origem string, codigo_parametro string, valor_numerico decimal(18,6), valor_texto string"
 EVENT = ["origem", "chave_origem"]
 HEADER = [*EVENT, "id_estacao", "id_operador", "data_leitura"]
-#: The column of the day by which headers lie in folders, so that a change rewrites the days that it touches.
-DAY = "dia"
-#: Folders of a day of headers, and of items, beyond which a load puts them together; old files are looked for every so many versions.
+OPERATORS = "origem string, chave_origem string, id_operador bigint"
+#: Folders of a table beyond which a load puts them together; old files are looked for every so many versions.
 MOST_FOLDERS, CLEAN_EVERY = 8, 8
 #: Longest texts of a header.
 KEY_LENGTH, STATION_LENGTH = 150, 50
@@ -207,55 +206,57 @@ def stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return _tables(spark, folder, current(spark, folder).content)
 
 
-def _headers(spark: SparkSession, folder: str, days: dict[str, list[dict[str, Any]]]) -> DataFrame:
-    paths = [f"{folder}/{f['folder']}" for folders in days.values() for f in folders]
-    read = spark.read.schema(f"{HEADERS}, {DAY} date").option("basePath", f"{folder}/leituras")
-    return read.parquet(*paths).select(*HEADER, DAY) if paths else spark.createDataFrame([], f"{HEADERS}, {DAY} date")
-
-
-def _items(spark: SparkSession, folder: str, folders: list[dict[str, Any]]) -> DataFrame:
+def _read(spark: SparkSession, folder: str, schema: str, folders: list[dict[str, Any]]) -> DataFrame:
     paths = [f"{folder}/{f['folder']}" for f in folders]
-    return spark.read.schema(ITEMS).parquet(*paths) if paths else spark.createDataFrame([], ITEMS)
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def _tables(spark: SparkSession, folder: str, content: dict[str, Any]) -> tuple[DataFrame, DataFrame]:
-    return _headers(spark, folder, content.get("headers", {})).select(*HEADER), _items(spark, folder, content.get("items", []))
+    """Headers with the operators that were added later, and items, of a snapshot."""
+    headers = _read(spark, folder, HEADERS, content.get("headers", []))
+    if content.get("operators"):
+        added = _read(spark, folder, OPERATORS, content["operators"]).withColumnRenamed("id_operador", "_added")
+        headers = headers.join(added, EVENT, "left").withColumn("id_operador", F.coalesce("id_operador", "_added")).select(*HEADER)
+    return headers, _read(spark, folder, ITEMS, content.get("items", []))
 
 
 def _used(content: dict[str, Any]) -> list[str]:
     """The folders that a snapshot needs."""
-    headers = [f["folder"].rsplit("/", 1)[0] for folders in content.get("headers", {}).values() for f in folders]
-    return [*headers, *[f["folder"] for f in content.get("items", [])], *content.get("judged", [])]
+    return [*[f["folder"] for kind in ("headers", "operators", "items") for f in content.get(kind, [])], *content.get("judged", [])]
+
+
+def _added(spark: SparkSession, folder: str, place: str, rows: DataFrame, held: list[dict[str, Any]], order: Sequence[str]) -> list[dict[str, Any]]:
+    """The folders of a table with new rows in one more, which also takes in others when there are many; files are ranges of the order, so that readers skip those they need not."""
+    if not held and rows.isEmpty():
+        return held
+    gathered = to_gather(held, MOST_FOLDERS)
+    fresh = f"{place}/{new_folder()}"
+    rows = rows.unionByName(_read(spark, folder, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields), gathered))
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{folder}/{fresh}")
+    n = spark.read.schema(rows.schema).parquet(f"{folder}/{fresh}").count()
+    return [*[f for f in held if f not in gathered], *([{"folder": fresh, "rows": n}] if n else [])]
 
 
 def _written(spark: SparkSession, folder: str, content: dict[str, Any], load: EventLoad) -> dict[str, Any]:
-    """Write what a load adds under new names; what the folder will hold. Headers that get an operator have their days written anew."""
+    """Write what a load adds under new names; what the folder will hold.
+
+    Nothing that is there is written anew: an operator that a stored header gets is a row
+    of its own, joined when headers are read; an event gets one once at most.
+    """
     enforce(load.items, [NotNull((*EVENT, "codigo_parametro")), Unique((*EVENT, "codigo_parametro"))], "the new items")
     enforce(load.headers, [NotNull((*EVENT, "id_estacao", "data_leitura")), Unique(tuple(EVENT))], "the new headers")
-    with_day = lambda df: df.withColumn(DAY, utc_day(F.col("data_leitura")))
-    days = {d: list(f) for d, f in content.get("headers", {}).items()}
-    enriched = with_day(load.enriched)
-    again = {str(r[0]) for r in enriched.select(DAY).distinct().collect()} | {d for d, f in days.items() if len(f) >= MOST_FOLDERS}
-    old = _headers(spark, folder, {d: f for d, f in days.items() if d in again})
-    rows = with_day(load.headers).unionByName(old.join(enriched.select(*EVENT), EVENT, "left_anti")).unionByName(enriched)
-    fresh = f"leituras/{new_folder()}"
-    rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(f"{folder}/{fresh}")
-    counted = spark.read.schema(f"{DAY} date").parquet(f"{folder}/{fresh}").groupBy(DAY).agg(F.count("*")).collect()
-    for day, n in ((str(r[0]), r[1]) for r in counted):
-        days[day] = [*([] if day in again else days.get(day, [])), {"folder": f"{fresh}/{DAY}={day}", "rows": n}]
-    held = content.get("items", [])
-    gathered = to_gather(held, MOST_FOLDERS)
-    more = f"leitura_itens/{new_folder()}"
-    load.items.unionByName(_items(spark, folder, gathered)).write.parquet(f"{folder}/{more}")
-    n = spark.read.schema(ITEMS).parquet(f"{folder}/{more}").count()
-    items = [*[f for f in held if f not in gathered], *([{"folder": more, "rows": n}] if n else [])]
-    return content | {"headers": dict(sorted(days.items())), "items": items}
+    add = lambda kind, place, rows, order: _added(spark, folder, place, rows, content.get(kind, []), order)
+    return content | {
+        "headers": add("headers", "leituras", load.headers, ("data_leitura", *EVENT)),
+        "operators": add("operators", "leitura_operadores", load.enriched.select(*EVENT, "id_operador"), EVENT),
+        "items": add("items", "leitura_itens", load.items, (*EVENT, "codigo_parametro")),
+    }
 
 
 def _publish(spark: SparkSession, folder: str, seen: Snapshot, content: dict[str, Any], lease: Lease) -> Snapshot:
     done = publish(spark, folder, seen, content, lease)
     if done.version % CLEAN_EVERY == 0:
-        clean(spark, folder, ("leituras", "leitura_itens", "_judged"), _used, lease)
+        clean(spark, folder, ("leituras", "leitura_operadores", "leitura_itens", "_judged"), _used, lease)
     return done
 
 
@@ -279,10 +280,11 @@ def require_migrated(spark: SparkSession, legacy: Sequence[str]) -> None:
 
 @dataclass
 class Persisted:
-    """How many rows of the batch had each verdict, and the accepted events."""
+    """How many rows of the batch had each verdict, the accepted events, and every event's verdicts with reasons."""
 
     counts: dict[str, int]
     accepted: DataFrame
+    verdicts: DataFrame
 
 
 def persist(events: DataFrame, folder: str, complete: int = 1, references: References = References(), legacy: Sequence[str] = ()) -> Persisted:  # noqa: B008
@@ -300,7 +302,7 @@ def persist(events: DataFrame, folder: str, complete: int = 1, references: Refer
         counts = {r.verdict: r.n for r in load.verdicts.groupBy("verdict").agg(F.sum("n").alias("n")).collect()}
         if counts.keys() & {upsert.INSERT, upsert.REPAIR, upsert.ENRICH}:
             _publish(spark, folder, seen, _written(spark, folder, seen.content, load) | {"judged": [judged]}, lease)
-    return Persisted(counts, load.accepted)
+    return Persisted(counts, load.accepted, load.verdicts)
 
 
 def persist_events(events: DataFrame, folder: str, complete: int = 1, references: References = References()) -> dict[str, int]:  # noqa: B008

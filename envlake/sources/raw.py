@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..domain import ENVELOPES, RAW_FIELDS, contract
-from ..functions.numbers import number
+from ..functions.numbers import number, strict_id
 from ..functions.raw_json import first_violation
 from ..functions.text import station_label, trimmed
 from ..functions.times import instant
@@ -43,12 +43,13 @@ def whole_files(spark: SparkSession, path: str, dataset: str) -> DataFrame:
 def read_lines(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """(file, line, record): the records of all batches of a dataset.
 
-    Batches are ordered by file name, which begins with the time, and lines by
-    their place in the file. Blank or malformed lines and lines without a record
+    Batches are ordered by name, which begins with the time, whether they are a file or
+    a folder of parts, and lines by their place in it. Blank or malformed lines and lines without a record
     are left out. Order a first-wins rule by (file, line).
     """
     lines = spark.read.text(f"{path.rstrip('/')}/api_{dataset}_*.jsonl")
-    rows = lines.select(F.col("_metadata.file_name").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("line"), F.try_parse_json("value").alias("v"))
+    batch = F.regexp_extract("_metadata.file_path", r"(api_[^/]*\.jsonl(/.*)?)$", 1)
+    rows = lines.select(batch.alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("line"), F.try_parse_json("value").alias("v"))
     record = F.try_variant_get("v", "$.record", "variant")
     return rows.where(record.isNotNull()).select("file", "line", record.alias("record"))
 
@@ -219,13 +220,13 @@ def ingest(spark: SparkSession, url: str, dataset: str, path: str, label: str |
 def states(spark: SparkSession, path: str) -> DataFrame:
     """The register of states."""
     rows = spark.read.option("multiLine", "true").schema("id string, ibge string, sigla string, nome string").json(path)
-    return rows.select(F.col("id").cast("bigint").alias("id_estado"), F.col("ibge").cast("bigint").alias("codigo_ibge_estado"), F.upper(F.trim("sigla")).alias("sigla_estado"), F.trim("nome").alias("nome_estado")).distinct()
+    return rows.select(strict_id(F.col("id"), "id_estado").alias("id_estado"), strict_id(F.col("ibge"), "codigo_ibge_estado").alias("codigo_ibge_estado"), F.upper(F.trim("sigla")).alias("sigla_estado"), F.trim("nome").alias("nome_estado")).distinct()
 
 
 def cities(spark: SparkSession, path: str) -> DataFrame:
     """The register of cities; repeated ones count once."""
     rows = spark.read.option("multiLine", "true").schema("ibge string, cidade string, sigla_estado string").json(path)
-    return rows.select(F.col("ibge").cast("bigint").alias("codigo_ibge_cidade"), F.trim("cidade").alias("nome_cidade"), F.upper(F.trim("sigla_estado")).alias("sigla_estado")).distinct()
+    return rows.select(strict_id(F.col("ibge"), "codigo_ibge_cidade").alias("codigo_ibge_cidade"), F.trim("cidade").alias("nome_cidade"), F.upper(F.trim("sigla_estado")).alias("sigla_estado")).distinct()
 
 
 def stations(spark: SparkSession, path: str) -> DataFrame:

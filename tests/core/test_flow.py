@@ -255,7 +255,18 @@ def test_results_are_appended_if_all_meet_the_contract(spark, tmp_path):
     assert collector.append_results(rows(good), path) == 1 and collector.append_results(rows(good, good), path) == 3
     with pytest.raises(ValueError, match="uf: not two letters"):
         collector.append_results(rows(good, good | {"uf": "S1"}), path)
-    assert spark.read.text(path).count() == 3
+    assert collector.results(spark, path).count() == 3
+    (tmp_path / "results" / "before.jsonl").write_text(json.dumps(good | {"id_estacao": "7"}) + "\n")
+    with pytest.raises(ValueError, match="id_estacao: not a number"):  # a file of another program is checked, too
+        collector.append_results(rows(good), path)
+    (tmp_path / "results" / "before.jsonl").write_text(json.dumps(good) + "\n")
+    assert collector.append_results(rows(good), path) == 5 and collector.results(spark, path).count() == 5
+
+
+def test_register_ids_are_whole_numbers(spark, tmp_path):
+    (tmp_path / "s.json").write_text(json.dumps([{"id": "9", "ibge": "3x", "sigla": "sp", "nome": "n"}]))
+    with pytest.raises(Exception, match="codigo_ibge_estado is no positive whole number"):
+        raw.states(spark, str(tmp_path / "s.json")).collect()
 
 
 def test_commands_have_help():
