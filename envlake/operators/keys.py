@@ -34,32 +34,58 @@ def assert_unique(df: DataFrame, key: Sequence[str], what: str = "the table") ->
     return df
 
 
+def _placed(df: DataFrame, order: Sequence[str | Column], group: Sequence[str]) -> DataFrame:
+    """df sorted by group and order over all tasks, written once with _task and _at, the place of a row in its task's.
+
+    Equal rows, however many, are dealt over tasks.
+    """
+    sort = [*[F.col(c).asc_nulls_first() for c in group], *order, F.col("_tie")]
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*sort).sortWithinPartitions(*sort).drop("_tie")
+    return written(ranged.withColumn("_task", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "placed")
+
+
+def _shifted(placed: DataFrame, group: Sequence[str], parts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """placed with columns of parts, which has a row for each task and group."""
+    named = parts.select(F.col("_task").alias("_of"), *[F.col(c).alias(f"_of_{c}") for c in group], *columns)
+    same = F.col("_task") == F.col("_of")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return placed.join(named, same)
+
+
 def dense_positions(df: DataFrame, order: Sequence[str | Column], group: Sequence[str] = (), name: str = "position", rows: str | None = None) -> DataFrame:
     """df with each row's place, from 0 on, among the rows of its group in the given order, and on request their number.
 
     No task holds a group: rows are range-sorted over all tasks by group and order,
     each task numbers its own, and a prefix sum over the counts of (task, group), a row
     for each, shifts them. The sorted rows are written once, as another sort may deal
-    them otherwise. The order should be total but for equal rows; equal rows, however
-    many, are dealt over tasks. Groups may be null.
+    them otherwise. The order should be total but for equal rows. Groups may be null.
     """
-    sort = [*[F.col(c).asc_nulls_first() for c in group], *order, F.col("_tie")]
-    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*sort).sortWithinPartitions(*sort).drop("_tie")
-    placed = written(ranged.withColumn("_task", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "placed")
+    placed = _placed(df, order, group)
     counts = written(placed.groupBy("_task", *group).agg(F.count("*").alias("_n"), F.min("_at").alias("_first")), "counts")
     before = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     shift = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
-    kept = [F.col("_shift")]
     if rows is not None:
-        kept.append(F.sum("_n").over(Window.partitionBy(*group)).alias("_rows"))
-    shift = shift.select(F.col("_task").alias("_of"), *[F.col(c).alias(f"_of_{c}") for c in group], *kept)
-    same = F.col("_task") == F.col("_of")
-    for c in group:
-        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
-    found = placed.join(shift, same)
+        shift = shift.withColumn("_rows", F.sum("_n").over(Window.partitionBy(*group)))
+    found = _shifted(placed, group, shift, ["_shift", *(["_rows"] if rows is not None else [])])
     return found.select(*df.columns, (F.col("_at") + F.col("_shift")).alias(name), *([F.col("_rows").alias(rows)] if rows is not None else []))
 
 
+def prefix_sums(df: DataFrame, value: str, order: Sequence[str | Column], group: Sequence[str] = (), name: str = "before") -> DataFrame:
+    """df with the sum of value, a whole number that is never null, over the rows before each in its group.
+
+    As dense_positions(): a running sum in each task's part of a group, and a prefix sum
+    over the sums of (task, group).
+    """
+    placed = _placed(df, order, group)
+    sums = written(placed.groupBy("_task", *group).agg(F.sum(value).alias("_sum")), "sums")
+    before = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sums.withColumn("_shift", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+    inside = Window.partitionBy("_task", *group).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    found = _shifted(placed.withColumn("_own", F.coalesce(F.sum(value).over(inside), F.lit(0))), group, shift, ["_shift"])
+    return found.select(*df.columns, (F.col("_own") + F.col("_shift")).alias(name))
+
+
 def dimension_keys(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
     """df with a dense key from 1 on in the given order, however many rows there are."""
     found = dense_positions(df, [F.col(c).asc_nulls_first() for c in order], name=name)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from envlake.operators.keys import dense_positions, dimension_keys
+from envlake.operators.keys import dense_positions, dimension_keys, prefix_sums
 
 
 def test_positions_are_those_of_a_window_and_equal_rows_are_dealt_over_tasks(spark):
@@ -32,3 +32,15 @@ def test_no_rows(spark):
     df = spark.createDataFrame([], "g string, v int")
     assert dense_positions(df, ["v"], ["g"], rows="n").columns == ["g", "v", "position", "n"]
     assert dimension_keys(df, "sk", ["v"]).count() == 0
+
+
+def test_prefix_sums_are_those_of_a_window(spark):
+    rows = [("hot", 7, 3)] * 400 + [("hot", i % 90, i) for i in range(300)] + [(None, i, 2) for i in range(30)] + [("a", 3, 0)]
+    df = spark.createDataFrame(rows, "g string, v int, n bigint").repartition(6)
+    found = prefix_sums(df, "n", ["v", "n"], ["g"])
+    want, seen = [], {}
+    for g, v, n in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
+        want.append((g, v, n, seen.get(g, 0)))
+        seen[g] = seen.get(g, 0) + n
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+    assert prefix_sums(df.limit(0), "n", ["v"]).count() == 0
