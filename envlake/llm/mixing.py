@@ -1,11 +1,11 @@
 """Mixing sources to target weights.
 
-Documents get hash-random keys. A key's leading digits are a range of the sorted
-order that is known beforehand, so the range sort within a source needs no
-sampling: token counts are summed for each (source, range), those sums are
-summed up in order, and a running sum inside each range completes the prefix
-sums. No source is sorted in one task. A source is cut at its exact budget: whole
-epochs first, then the documents up to the budget, the last one in part.
+Documents get hash-random keys and are range-sorted by source and key over all tasks.
+Token counts are summed for each task's part of a source, those sums are summed up in
+order, and a running sum inside each part completes the prefix sums. No source is
+sorted in one task, and copies of a row, however many, are dealt over tasks. A source
+is cut at its exact budget: whole epochs first, then the documents up to the budget,
+the last one in part. Sources are ranked in the same way, so their number has no limit.
 
 Defined results: a null or empty text has size 0 and nothing is taken of it; null
 is a source of its own, the last; a source without words has target 0; repeated
@@ -17,16 +17,13 @@ long, only its size and digest go on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import dense_positions, prefix_sums
 from .store import written
 from .text import BLACK_WORD
 
-#: Documents in a range, about.
-RANGE_ROWS = 5_000
-
-
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, epochs: int = 2) -> DataFrame:
     """(source, source_size, weight, target) from (source, source_size), one row for each source.
 
@@ -35,9 +32,9 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
     the excess goes to the others by weight until none is above. Each round is an
     aggregate of which the driver sees one row.
     """
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))) + 1).cast("int"))
-    table = written(sizes.withColumn("weight", turn).withColumn("cap", F.col("source_size") * F.lit(float(epochs))), "sources")
+    ranked = dense_positions(sizes, [F.col("source").asc_nulls_last()], name="place")
+    turn = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod("place", F.lit(len(weights))) + 1).cast("int"))
+    table = written(ranked.withColumn("weight", turn).drop("place").withColumn("cap", F.col("source_size") * F.lit(float(epochs))), "sources")
     budget = table.agg(F.coalesce(F.sum("source_size"), F.lit(0)) * share).first()[0]
     level, last = 0.0, -1
     while True:
@@ -54,20 +51,12 @@ def mix_sources(docs: DataFrame, size: Column, weights: tuple[float, ...] = (3,
     own = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (doc_id, text) if c in docs.columns]
     key = F.md5(F.concat_ws(":", F.lit(seed), own[0], F.md5(own[-1])))
     sized = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.cast("bigint").alias("size"), key.alias("key")), "sized", narrow=True)
-    ranges = max(1, -(-sized.count() // RANGE_ROWS))
-    sized = sized.withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint") * ranges / F.lit(2**32)))
-    sums = written(sized.groupBy("source", "range").agg(F.sum("size").alias("words")), "ranges")
-    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    targets = source_targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, epochs)
-    targets = written(targets, "targets").withColumnRenamed("source", "of")
-    plan = sums.join(targets, F.col("source").eqNullSafe(F.col("of"))).select(F.col("source").alias("of"), F.col("range").alias("in"), "start", "source_size", "target")
-    inside = Window.partitionBy("source", "range").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    sized = sized.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    placed = sized.join(plan, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("in")))
+    targets = written(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, epochs), "targets")
+    before = prefix_sums(sized, "size", ["key", "size"], ["source"])
+    placed = before.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
     words = F.floor("target")
     whole = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0).cast("bigint")
-    left = words - whole * F.col("source_size") - (F.col("start") + F.col("before"))
+    left = words - whole * F.col("source_size") - F.col("before")
     taken = whole * F.col("size") + F.least(F.greatest(left, F.lit(0)), F.col("size"))
     return placed.select("doc_id", "size", "source", "source_size", "target", taken.cast("bigint").alias("taken"))
 

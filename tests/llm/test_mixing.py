@@ -27,15 +27,12 @@ def test_targets_reshare_what_is_above_the_cap(spark, sizes):
     assert all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
 
 
-def test_sources_take_their_targets_and_reruns_agree(spark, monkeypatch):
-    from envlake.llm import mixing
-
+def test_sources_take_their_targets_and_reruns_agree(spark):
     rows = [(i, ["a", "b", None, "é"][i % 4] if i % 3 else "hot", "w " * (i % 23)) for i in range(900)]
     rows += [(5, "b", "x y"), (5, "b", "x y"), (None, "a", "x"), (77, "a", None), (78, "a", "")]
     df = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id bigint, source string, text string, range int, key string")
     results = []
     for size in (50_000, 7):
-        monkeypatch.setattr(mixing, "RANGE_ROWS", size)
         found = mix_sources(df.repartition(3 + size % 5), black_words()).collect()
         results.append(sorted((str(r.doc_id), str(r.source), r.size, r.taken) for r in found))
     assert results[0] == results[1] and len(results[0]) == len(rows)
@@ -54,3 +51,22 @@ def test_no_rows_and_no_words(spark):
     assert mix_sources(df, black_words()).count() == 0
     df = spark.createDataFrame([(1, "a", None), (2, None, " ")], "doc_id bigint, source string, text string")
     assert [(r.size, r.target, r.taken) for r in mix_sources(df, black_words()).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_copies_of_a_row_are_dealt_over_tasks_and_a_long_text_is_counted(spark):
+    from envlake.operators import keys
+
+    rows = [(7, "hot", "one two three")] * 2000 + [(100 + i, "hot", "w " * (i % 9)) for i in range(1500)] + [(9000, "b", "word " * 400_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = keys._placed(df.select("doc_id", "source"), ["doc_id"], ["source"])
+        assert placed.where("doc_id = 7").groupBy("_task").count().agg({"count": "max"}).first()[0] < 1500
+        found = mix_sources(df, black_words()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    copies = [r.taken for r in found if r.doc_id == 7]
+    target = {r.source: r.target for r in found}
+    assert len(copies) == 2000 and sum(x % 3 != 0 for x in copies) <= 1  # all whole but for the one at the cut
+    assert sum(r.taken for r in found if r.source == "hot") == int(target["hot"])
+    assert next(r for r in found if r.doc_id == 9000).size == 400_000
