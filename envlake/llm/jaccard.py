@@ -9,15 +9,14 @@ Set-relation skipping, in two places:
   looks up its own lists and skips every other, whatever frequent shingles the
   texts share. Blocks hold about six shingles, so a shared passage or a common
   phrase does not make a list.
-* Answers from answers. First each member of a list is compared with the list's
-  first one alone; a group of near copies of one text is connected by then, for as
-  many comparisons as it has members.
-  Lists whose members are all connected are skipped from then on. Of what is left
-  apart, parities of the sets, a few bits a shingle, tell which members of a list
-  can't link. What may link is compared whole: inside a task, the overlaps of a set with all others are
-  derived from those of the most similar set that has been answered, by the few
-  shingles in which the two differ, and read from lists by skipping to the sets
-  that come after it.
+* Answers from answers. Every link is found by them: inside a task, the overlaps of
+  a set with all others are derived from those of the most similar set that has been
+  answered, by the few shingles in which the two differ, and read from lists by
+  skipping to the sets that come after it. First the members of a list meet its first
+  one, in blocks; a group of near copies of one text is connected by then, for about
+  as many shingles as its members differ in. Lists whose members are all connected are
+  skipped from then on. Of what is left apart, parities of the sets, a few bits a
+  shingle, tell which members of a list can't link, and the rest is answered alike.
 
 Exact copies are one set from the start. Groups that are left apart, of any size,
 are split into blocks, and every pair of blocks is one task's work, so none is
@@ -197,41 +196,64 @@ def _members(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(find, "list bigint, fp1 bigint").distinct()
 
 
-def local_components(ids: list[int], sets: list[np.ndarray], percent: int, labels: list[int] | None = None) -> list[tuple[int, int]]:
-    """(id, smallest id that it reaches among these sets), for ids that reach a smaller one; sets with one label are connected already."""
-    order = np.argsort([len(s) for s in sets], kind="stable")
-    sets, ids = [sets[i] for i in order], np.array(ids, np.int64)[order]
-    size = np.array([len(s) for s in sets], np.int64)
-    n = len(sets)
-    _, code = np.unique(np.concatenate(sets), return_inverse=True)
-    ends = np.concatenate([[0], np.cumsum(size)])
-    own = [np.sort(code[ends[i] : ends[i + 1]]) for i in range(n)]
-    # the list of a shingle has the sets that hold it, by size: one array for all lists, in which a place is found by skipping
-    places = np.sort(code.astype(np.int64) * n + np.repeat(np.arange(n), size))
-
-    def count(shingles: np.ndarray, first: int) -> np.ndarray:
+class Answers:
+    """Overlaps of sets with all larger ones, each set's from those of the most similar set that was answered before it.
+
+    Sets are ordered by size, and the index has a list for each shingle with the places
+    of the sets that hold it. A set's answer is another's, less the lists of the shingles
+    that it lacks and plus those of the ones that it has besides; lists are entered at
+    the set's own place, so that smaller sets are skipped. read counts the places that
+    were read, derived the sets answered from others, counted those answered alone.
+    """
+
+    def __init__(self, sets: list[np.ndarray]):
+        """sets: sorted hashes, the smallest set first."""
+        self.size = np.array([len(s) for s in sets], np.int64)
+        _, code = np.unique(np.concatenate(sets), return_inverse=True)
+        ends = np.concatenate([[0], np.cumsum(self.size)])
+        self.own = [np.sort(code[ends[i] : ends[i + 1]]) for i in range(len(sets))]
+        # one array for all lists, in which a place is found by skipping
+        self.places = np.sort(code.astype(np.int64) * len(sets) + np.repeat(np.arange(len(sets)), self.size))
+        self.known: list[tuple[int, np.ndarray]] = []
+        self.read = self.derived = self.counted = 0
+
+    def _count(self, shingles: np.ndarray, first: int) -> np.ndarray:
         """How many of the shingles each set from the first on holds."""
-        begin, end = np.searchsorted(places, shingles * n + first), np.searchsorted(places, (shingles + 1) * n)
+        n = len(self.size)
+        begin, end = np.searchsorted(self.places, shingles * n + first), np.searchsorted(self.places, (shingles + 1) * n)
         lengths = end - begin
+        self.read += int(lengths.sum())
         at = np.repeat(begin - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        return np.bincount(places[at] % n, minlength=n)
+        return np.bincount(self.places[at] % n, minlength=n)
+
+    def of(self, i: int) -> np.ndarray:
+        """The overlap of set i with each set from i on."""
+        apart = lambda known: self.size[known[0]] + self.size[i] - 2 * known[1][i]
+        near = min(self.known, key=apart, default=None)
+        if near is not None and apart(near) < self.size[i]:
+            old, new = self.own[near[0]], self.own[i]
+            overlap = near[1] + self._count(np.setdiff1d(new, old, assume_unique=True), i) - self._count(np.setdiff1d(old, new, assume_unique=True), i)
+            self.derived += 1
+        else:
+            overlap = self._count(self.own[i], i)
+            self.counted += 1
+        self.known = [*self.known[1 - ANSWERED :], (i, overlap)]
+        return overlap
+
 
+def local_components(ids: list[int], sets: list[np.ndarray], percent: int, labels: list[int] | None = None, answers: type[Answers] = Answers) -> list[tuple[int, int]]:
+    """(id, smallest id that it reaches among these sets), for ids that reach a smaller one; sets with one label are connected already."""
+    order = np.argsort([len(s) for s in sets], kind="stable")
+    ids, n = np.array(ids, np.int64)[order], len(sets)
+    found = answers([sets[i] for i in order])
+    size = found.size
     label = np.arange(n) if labels is None else np.unique(np.array(labels, np.int64)[order], return_inverse=True)[1]
-    answered: list[tuple[int, np.ndarray]] = []
     upto = np.searchsorted(size, size * 100 // percent, side="right")
     for i in range(n - 1):
         a, b = i + 1, upto[i]
         if a >= b or (label[a:b] == label[i]).all():
             continue
-        # the answers of the most similar answered set, changed by the shingles in which the two differ
-        near = min(answered, key=lambda known: size[known[0]] - 2 * known[1][i], default=None)
-        if near is not None and size[near[0]] - 2 * near[1][i] < 0:
-            lost, new = (np.setdiff1d(x, y, assume_unique=True) for x, y in ((own[near[0]], own[i]), (own[i], own[near[0]])))
-            overlap = near[1] + count(new, i) - count(lost, i)
-        else:
-            overlap = count(own[i], i)
-        answered = [*answered[1 - ANSWERED :], (i, overlap)]
-        both = overlap[a:b]
+        both = found.of(i)[a:b]
         for other in np.unique(label[a:b][100 * both >= percent * (size[i] + size[a:b] - both)]):
             low, high = min(label[i], other), max(label[i], other)
             label[label == high] = low
@@ -263,10 +285,32 @@ def _first_pairs(members: DataFrame) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs of nodes whose sets link. A node that is in very many pairs is sent to them, not they to it."""
-    both = F.size(F.array_intersect("x", "y"))
-    held = pairs.join(sets.toDF("b", "y"), "b").join(sets.toDF("a", "x"), "a")
-    return held.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
+    """(a, b): links that connect all that link of each first member a with its others, and more of them that do.
+
+    The sets of a star are a task's work: its first member is answered, and the answers
+    of the others are derived from it and from one another. A star of any size is dealt
+    into blocks, each with the first member; small ones share tasks.
+    """
+    sized = pairs.join(sets.select(F.col("node").alias("b"), F.size("shingles").alias("n")), "b")
+    stars = sized.groupBy("a").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
+    stars = stars.select("a", F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"), "s")
+    stars = written(stars, "stars", narrow=True)
+    work = stars.agg(F.sum("s")).first()[0] or 0
+    dealt = pairs.join(stars.select("a", "blocks"), "a").select("a", F.col("b").alias("node"), F.pmod(F.xxhash64("b"), F.col("blocks").cast("bigint")).alias("block"))
+    first = stars.select("a", F.col("a").alias("node"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks").cast("bigint") - 1)).alias("block"))
+    rows = dealt.unionByName(first).join(sets, "node")
+    place = F.xxhash64("a", "block")
+    rows = rows.select(F.pmod(place, F.lit(1 + work // BLOCK_SHINGLES)).alias("part"), place.alias("place"), "node", "shingles")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("place", "ascending"), ("node", "ascending")])
+        place, nodes = table["place"].to_numpy(), table["node"].to_numpy()
+        sets = [x.values.to_numpy().view(np.uint64) for x in table["shingles"]]
+        cuts = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1, [len(place)]])
+        pairs = [p for a, b in zip(cuts[:-1], cuts[1:], strict=True) for p in local_components(nodes[a:b].tolist(), sets[a:b], percent)]
+        return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return rows.groupBy("part").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def _apart(members: DataFrame, components: DataFrame) -> DataFrame:
@@ -330,7 +374,9 @@ def _near_pairs(members: DataFrame, sketches: DataFrame, percent: int) -> DataFr
     others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: (j != F.col("own")) | (F.col("blocks") == 1))
     rows = rows.select("list", "rep", "own", F.explode(others).alias("other"))
     place = F.xxhash64("list", F.least("own", "other"), F.greatest("own", "other"))
-    groups = 1 + members.count() // (8 * BLOCK_SETS)
+    # a list of m blocks has as many pairs of blocks, so the work to deal out is theirs, not the members'
+    rows_sent = sizes.agg(F.sum(F.col("blocks").cast("bigint") * F.greatest(F.col("blocks") - 1, F.lit(1)))).first()[0] or 0
+    groups = 1 + rows_sent // 8
     rows = rows.join(sketches.toDF("rep", "n", "bits"), "rep").select(F.pmod(place, F.lit(groups)).alias("part"), place.alias("place"), "rep", "n", "bits")
 
     def find(table: pa.Table) -> pa.Table:

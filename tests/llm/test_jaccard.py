@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from envlake.llm.components import connected
-from envlake.llm.jaccard import jaccard_components, local_components, signatures, size_groups
+from envlake.llm.jaccard import Answers, jaccard_components, local_components, signatures, size_groups
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -159,3 +159,36 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r.node: r.component for r in connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(50)} | {5000: 5000}
     assert connected(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_most_links_come_from_derived_answers_and_copies_cost_what_they_differ_in():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**63, 1000, dtype=np.uint64)
+    cost = {}
+    for m in (40, 160):
+        seen = []
+
+        class Watched(Answers):
+            def __init__(self, sets):
+                super().__init__(sets)
+                seen.append(self)
+
+        # each copy lacks a few shingles of the text and has a few of its own; two families, so that not all are one label
+        sets = [np.unique(np.concatenate([np.delete(base, rng.integers(0, 1000, 80 if i % 2 else 3)), rng.integers(0, 2**63, 3, dtype=np.uint64)])) for i in range(m)]
+        assert local_components(list(range(m)), sets, 95, answers=Watched)
+        assert seen[0].derived >= 5 * seen[0].counted
+        cost[m] = seen[0].read / m
+    # a whole answer reads 1000 lists of up to m places for each set; a derived one those of the shingles that differ
+    assert cost[160] < 0.2 * 1000 * 160
+
+
+def test_links_of_a_star_larger_than_a_block(spark, monkeypatch):
+    from envlake.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 4)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 500)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(w if rng.random() > 0.004 else f"v{rng.randint(0, 9**9)}" for w in base)) for i in range(60)] + [(100 + i, f"other {i} text of its own") for i in range(5)]
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted([tuple(r) for r in found.collect()], key=str) == brute(rows)
