@@ -12,8 +12,12 @@ Parts that are no text of an article whatever their density (scripts, forms,
 menus, and what a class, id or role calls an advert, notice, comment and so on)
 are cut first, whatever their length. A part that is named for the page's layout
 (a "sidebar-page") is kept if it wraps the page's first h1, its article or main,
-or if nothing would be left without it; comments, adverts, notices and forms are
-not, but where they wrap main. An article whose h1 was cut for a class of its own or
+or if nothing would be left without it; comments, adverts and notices are not, but
+where they wrap main. A form that has more text than all that is in no form wraps the
+page, too, and its labels and controls alone are cut. Inside an article or main, a
+name that may also be a section's ("related-work", "discussion", "warning") cuts only
+with a second sign: mostly links, something named for what readers write, or, for
+lists of teasers, no long block. What a style hides is cut as what is hidden. An article whose h1 was cut for a class of its own or
 of what holds it (an "entry-header") gets it back.
 
 Defined results: a null or empty page, or one without text, gives ""; of nodes with
@@ -56,24 +60,33 @@ ENDED_BY = {
 CUT_TAGS = frozenset("head nav footer aside form button select dialog object applet audio video canvas menu fieldset".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar status".split())
 CUT_WORDS = frozenset(
-    "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar comment comments commentlist discussion disqus replies cookie cookies consent gdpr notice notices alert warning popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended widget toolbar pagination pager skip".split()
+    "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar comment comments commentlist discussion disqus replies responses cookie cookies consent gdpr notice notices alert warning popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended widget toolbar pagination pager skip".split()
 )
 #: Those of them that no heading or article inside brings back, and those that are like a header.
 NEVER_TAGS = frozenset("head nav footer aside form button select fieldset".split())
 NEVER_ROLES = frozenset("search alert alertdialog dialog form status".split())
 NEVER_WORDS = frozenset(
-    "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion comment comments commentlist discussion disqus replies cookie cookies consent gdpr notice notices alert warning newsletter subscribe subscription signup login".split()
+    "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion comment comments commentlist discussion disqus replies responses cookie cookies consent gdpr notice notices alert warning newsletter subscribe subscription signup login".split()
 )
 HEADER_WORDS = frozenset("banner breadcrumb breadcrumbs header masthead topbar menu nav navbar navigation toolbar".split())
+#: Words that also name parts of a text; inside an article or main they need a second sign.
+DOUBTFUL = frozenset("discussion warning related recommended promotion side menu skip share sharing social responses replies".split())
+#: Those of them that short lines speak for, as a list of teasers; and the words of what readers write.
+LISTS, READERS = DOUBTFUL - frozenset("discussion warning responses replies".split()), frozenset("comment comments reply username avatar commenter".split())
+#: A block of so many characters is no teaser.
+LONG_BLOCK = 80
+#: What is a control's and no text, in a form that wraps a page.
+CONTROLS = frozenset("label legend output datalist".split())
 LAYOUT, HEADER, NEVER = 1, 2, 3
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
-_HINT = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_HINT = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _WORD = re.compile(r"[a-z]+")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "heading", "whole")
+    __slots__ = ("tag", "parent", "parts", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "heading", "whole", "doubt", "readers")
 
     def __init__(self, tag: str, parent: Node | None, cut: int):
         self.tag, self.parent, self.cut = tag, parent, cut
@@ -82,6 +95,8 @@ class Node:
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.heading = tag == "h1"
+        self.doubt: frozenset[str] = frozenset()  # the words for which it is cut, if all of them are doubtful
+        self.readers = False  # whether it is named for what readers write
 
 
 def _cut(tag: str, attributes: str) -> int:
@@ -91,7 +106,7 @@ def _cut(tag: str, attributes: str) -> int:
     found = HEADER if tag == "header" else LAYOUT if tag in CUT_TAGS else 0
     for m in _HINT.finditer(attributes) if attributes else ():
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _UNSEEN.search(value):
             found = max(found, LAYOUT)
         if name == "role" and value in CUT_ROLES:
             found = max(found, NEVER if value in NEVER_ROLES else HEADER)
@@ -104,6 +119,15 @@ def _cut(tag: str, attributes: str) -> int:
     return found
 
 
+def _without_names(m: re.Match) -> str:
+    return "" if m[1].lower() in ("class", "id") else m[0]
+
+
+def _named(attributes: str) -> set[str]:
+    """The words of an element's class and id."""
+    return {w for m in _HINT.finditer(attributes) if m[1].lower() in ("class", "id") for w in _WORD.findall((m[2] or m[3] or m[4] or "").lower())}
+
+
 def tree(page: str) -> Node:
     """The page's elements, with raw text and whatever is no text left out."""
     root = now = Node("html", None, 0)
@@ -162,6 +186,12 @@ def tree(page: str) -> Node:
         if tag in VOID:
             continue
         node = Node(tag, now, _cut(tag, attributes))
+        if attributes:
+            named = _named(attributes)
+            node.readers = not READERS.isdisjoint(named)
+            words = CUT_WORDS & named
+            if node.cut and words and words <= DOUBTFUL and tag not in CUT_TAGS and not _cut(tag, _HINT.sub(_without_names, attributes)):
+                node.doubt = frozenset(words)
         now.parts.append(node)
         if not attributes.endswith("/") or tag in BLOCKS:
             now = node
@@ -203,6 +233,39 @@ def _densities(order: list[Node]) -> None:
         node.total = sum(x.density for x in node.parts if x.__class__ is Node)
 
 
+def _keep_doubtful(order: list[Node]) -> None:
+    """Takes the cut from parts of an article or main whose names may be those of its sections, unless a second sign speaks for the cut.
+
+    Signs: most of it is links, something in it is named for what readers write, or, for
+    lists of teasers, no block is long.
+    """
+    for node in order:
+        if node.doubt and any(_inside(node, x) for x in ("article", "main")):
+            inside = _in_page_order(node)
+            links = 2 * node.link_chars > node.chars
+            readers = any(x.readers for x in inside)
+            short = node.doubt <= LISTS and max((len(b) for b in blocks(node)), default=0) < LONG_BLOCK
+            if not (links or readers or short):
+                node.cut = 0
+
+
+def _keep_forms(root: Node, order: list[Node]) -> None:
+    """Takes the cut from a form that wraps the page: beside its controls it has more text than all that is in no form."""
+    forms = [n for n in order if n.tag == "form" and not _inside(n, "form")]
+    if not forms:
+        return
+    outside = root.chars - sum(n.chars for n in order if n.tag in ("form", "script", "head") and not _inside(n, "form") or n.cut and n.tag != "form" and not _inside_cut(n) and not _inside(n, "form"))
+    for form in forms:
+        inside = [n for n in _in_page_order(form) if n is not form]
+        controls = sum(n.chars for n in inside if n.tag in CONTROLS and not any(_inside(n, t) for t in CONTROLS) or n.cut == NEVER and n.tag != "form")
+        holds = any(n.tag in ("main", "article", "h1") for n in inside)
+        if form.chars - controls > max(outside, 0) and (holds or any(n.tag == "p" for n in inside)):
+            form.cut = 0
+            for n in inside:
+                if n.tag in CONTROLS:
+                    n.cut = NEVER
+
+
 def _keep_wrappers(root: Node, order: list[Node]) -> None:
     """Takes the cut from parts that wrap the page's article."""
     above = {id(root): 0}  # the gravest cut among a node and those around it
@@ -248,6 +311,8 @@ def _inside_cut(node: Node) -> bool:
 def main_nodes(root: Node) -> list[Node]:
     """The nodes whose text is the article's, in page order."""
     order = _measure(root)
+    _keep_forms(root, order)
+    _keep_doubtful(order)
     _keep_wrappers(root, order)
     kept, core, top = _densest(root, order)
     if not any(n.heading for n in kept):

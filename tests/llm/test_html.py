@@ -143,3 +143,40 @@ def test_parts_are_cut_for_what_they_are_not_for_their_length(around):
 def test_a_page_inside_one_layout_part_is_not_lost():
     assert main_text("<div class=sidebar-page><p>First words of it.</p><p>More words.</p></div>") == "First words of it.\nMore words."
     assert main_text("<div class=comments><p>First words of it.</p></div>") == ""
+
+
+PARAGRAPHS = "".join(f"<p>Paragraph {i} has a sentence that is long enough to be taken for prose, with some words more.</p>" for i in range(4))
+
+
+def test_a_form_around_the_page_is_no_form():
+    page = f"<body><form id=aspnetForm><input name=q><label>Search</label><main><h1>Title</h1>{PARAGRAPHS}</main></form></body>"
+    want = main_text(f"<body><main><h1>Title</h1>{PARAGRAPHS}</main></body>")
+    assert main_text(page) == want and want.startswith("Title\nParagraph 0")
+    assert main_text(page.replace("</body>", "<div>x y z</div></body>")) == want
+    bare = main_text(f"<body><form action=/><div>{PARAGRAPHS}</div><button>Send</button></form></body>")
+    assert bare.count("Paragraph") == 4 and "Send" not in bare
+    # a form beside or inside an article is cut, whatever it says
+    beside = f"<body><article><h1>Title</h1>{PARAGRAPHS}<form><p>Tell us what you think of this.</p><label>Name</label></form></article><form><p>Subscribe now.</p></form></body>"
+    assert main_text(beside) == want
+
+
+def test_sections_whose_names_are_also_those_of_other_parts():
+    for name in ("id=discussion", "id=related-work", "class=warning", "class='side-effects'"):
+        page = f"<body><article><h1>Title</h1>{PARAGRAPHS}<section {name}><h2>Head</h2>{PARAGRAPHS.replace('Paragraph', 'Section')}</section></article></body>"
+        assert main_text(page).count("Section") == 4, name
+    cut = {
+        "class=related": "<h3>More</h3><ul><li><a href=/a>One teaser</a></li><li><a href=/b>Other teaser</a></li></ul>",
+        "class=recommended": "<div>Short teaser</div><div>Other one</div>",
+        "id=discussion": f"<div class=comment>{PARAGRAPHS.replace('Paragraph', 'Opinion')}</div>",
+        "class=comments": PARAGRAPHS.replace("Paragraph", "Opinion"),
+    }
+    for name, inner in cut.items():
+        page = f"<body><article><h1>Title</h1>{PARAGRAPHS}<section {name}>{inner}</section></article></body>"
+        assert main_text(page) == main_text(f"<body><article><h1>Title</h1>{PARAGRAPHS}</article></body>"), name
+    page = f"<body><article><h1>Title</h1>{PARAGRAPHS}</article><div class=responses>{PARAGRAPHS.replace('Paragraph', 'Opinion')}</div></body>"
+    assert "Opinion" not in main_text(page)
+
+
+def test_what_a_style_hides():
+    page = f"<body><article><h1>Title</h1>{PARAGRAPHS}<div style='color:red; display : none'>{PARAGRAPHS.replace('Paragraph', 'Unseen')}</div></article></body>"
+    assert main_text(page).count("Paragraph") == 4 and "Unseen" not in main_text(page)
