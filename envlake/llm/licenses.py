@@ -1,7 +1,8 @@
 """License scan by diagonal voting.
 
 All rolling word k-grams of every text are hashed and joined with the k-grams of
-license templates, which are sent to the texts while they are few (MOST_SENT). A hit at
+license templates, tables both; the templates' are sent to the texts while they are
+small in bytes (MOST_SENT), else both are shuffled. A hit at
 word p of the text and t of the template votes for the diagonal p - t. Votes are
 summed by diagonal before the shuffle; neighbouring diagonals, as words left out
 or put in make them, are merged; spans with enough of a template are read again
@@ -25,7 +26,7 @@ from difflib import SequenceMatcher
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .store import small_batches, written
@@ -48,11 +49,14 @@ TEMPLATES = [
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc-by-nc", "licensed under CC BY-NC 4.0"),
     ("cc-by-sa", "licensed under CC BY-SA 4.0"),
+    ("boost", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software"),
 ]
 
-#: Templates that are sent to every task, at most.
-MOST_SENT = 10_000
+#: Bytes of the templates' grams that are sent to every task, at most, and of each.
+MOST_SENT, GRAM_BYTES = 8 << 20, 16
 #: Words in a gram of a template, and of a phrase.
 K, PHRASE_K = 4, 2
 #: Diagonals so near one another are one alignment.
@@ -63,20 +67,30 @@ COVERED = 0.75
 ROW_WORDS = 8192
 
 
-def template_words(phrases: list[tuple[str, str]] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES) -> list[tuple[str, bool, list[str]]]:
-    """(label, whether a phrase, words) of each template from (label, text); those without words are left out."""
-    texts = [(label, True, t) for label, t in phrases] + [(label, False, t) for label, t in templates]
-    split = [(label, phrase, split_words(pa.array([t])).strings().to_pylist()) for label, phrase, t in texts]
-    return [t for t in split if t[2]]
+Texts = list[tuple[str, str]] | DataFrame
 
 
-def template_grams(templates: list[tuple[str, bool, list[str]]]) -> list[tuple[int, int, int]]:
-    """(hash, template, position) of every k-gram of the templates."""
-    found = []
-    for i, (_, phrase, words) in enumerate(templates):
-        hashes = grams(hash_words(split_words(pa.array([" ".join(words)]))), min(PHRASE_K if phrase else K, len(words))).astype(np.int64)
-        found += [(int(h), i, t) for t, h in enumerate(hashes)]
-    return found
+def template_table(spark: SparkSession, phrases: Texts = PHRASES, templates: Texts = TEMPLATES) -> DataFrame:
+    """(template, label, phrase, text, size): templates of (label, text) lists or tables, with their number of words; those without words are left out."""
+    table = lambda x: x.select("label", "text") if isinstance(x, DataFrame) else spark.createDataFrame(x, "label string, text string")
+    both = table(phrases).withColumn("phrase", F.lit(True)).unionByName(table(templates).withColumn("phrase", F.lit(False)))
+    held = both.withColumn("size", n_words(F.col("text")).cast("int")).where("size > 0")
+    return written(held.withColumn("template", F.monotonically_increasing_id()).select("template", "label", "phrase", "text", "size"), "templates")
+
+
+def template_grams(templates: DataFrame) -> DataFrame:
+    """(hash, template, t) of every k-gram, at word t, of a template_table()."""
+
+    def roll(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in pieces(batch.column(2)):
+                words = split_words(batch.column(2).slice(a, b - a), ALNUM)
+                hashes = hash_words(words)
+                for i, x, y in zip(range(a, b), words.first[:-1], words.first[1:], strict=True):
+                    found = grams(hashes[x:y], min(PHRASE_K if batch.column(1)[i].as_py() else K, int(y - x))).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), batch.column(0)[i].as_py())), pa.array(np.arange(len(found), dtype=np.int32))], names=["hash", "template", "t"])
+
+    return templates.select("template", "phrase", "text").mapInArrow(roll, "hash bigint, template bigint, t int")
 
 
 def _rolling(docs: DataFrame) -> DataFrame:
@@ -106,17 +120,15 @@ def _rolling(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(roll, "rid bigint, more bigint, base int, short int, grams array<bigint>")
 
 
-def find_spans(docs: DataFrame, templates: list[tuple[str, bool, list[str]]]) -> DataFrame:
+def find_spans(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """(rid, more, template, first, last): spans of words with enough votes, from (rid, more, text) rows; rid and more are a row's key."""
-    spark = docs.sparkSession
-    known = spark.createDataFrame(template_grams(templates), "hash bigint, template int, t int")
-    shape = spark.createDataFrame([(i, p, len(w)) for i, (_, p, w) in enumerate(templates)], "template int, phrase boolean, size int")
+    known = written(template_grams(templates), "grams")
+    shape = templates.select("template", "phrase", "size")
+    if known.count() * GRAM_BYTES <= MOST_SENT:
+        known, shape = F.broadcast(known), F.broadcast(shape)
     row = ["rid", "more"]
     rolled = _rolling(docs).select(*row, "base", "short", F.posexplode("grams").alias("j", "hash"))
     at = F.col("base") + F.when(F.col("j") < F.col("short"), F.col("j")).otherwise(F.col("j") - F.col("short"))
-    # the templates come from the driver, so their size is known; a list too large to be sent to every task is shuffled
-    few = len(templates) <= MOST_SENT
-    known, shape = (F.broadcast(known), F.broadcast(shape)) if few else (known, shape)
     hits = rolled.join(known, "hash").select(*row, "template", "t", at.alias("p"))
     lines = hits.groupBy(*row, "template", (F.col("p") - F.col("t")).alias("diagonal")).agg(F.min("p").alias("low"), F.max("p").alias("high"), F.collect_set("t").alias("ts"))
     lines = lines.join(shape, "template")
@@ -142,15 +154,16 @@ def n_words(text: Column) -> Column:
     return count(text)
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: list[tuple[str, str]] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: Texts = PHRASES, templates: Texts = TEMPLATES) -> DataFrame:
     """A row for each document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
-    phrases and templates: (label, text), license names matched whole, and license texts matched in part.
+    phrases and templates: lists or tables of (label, text), license names matched whole, and license texts matched in part.
     """
     small_batches(docs.sparkSession)
-    templates = template_words(phrases, templates)
+    known = template_table(docs.sparkSession, phrases, templates)
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("rid"), F.xxhash64(F.lit("more"), text, doc_id).alias("more"), F.col(text).alias("text"))
-    spans = written(find_spans(keyed.select("rid", "more", "text"), templates), "spans").groupBy("rid", "more").agg(F.sort_array(F.collect_set(F.struct("template", "first", "last"))).alias("spans"))
+    spans = written(find_spans(keyed.select("rid", "more", "text"), known), "spans").join(known.select("template", "label", "phrase", F.col("text").alias("want")), "template")
+    spans = spans.groupBy("rid", "more").agg(F.sort_array(F.collect_set(F.struct("template", "first", "last", "label", "phrase", "want"))).alias("spans"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,13 +172,13 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: l
                 words = split_words(pa.array([text])).strings().to_pylist()
                 kept = []
                 for s in found:
-                    want, have = templates[s["template"]][2], words[s["first"] : s["last"]]
-                    if templates[s["template"]][1]:
+                    want, have = split_words(pa.array([s["want"]])).strings().to_pylist(), words[s["first"] : s["last"]]
+                    if s["phrase"]:
                         share = float(have == want)
                     else:
                         share = sum(m.size for m in SequenceMatcher(None, want, have, autojunk=False).get_matching_blocks()) / max(len(want), len(have))
                     if share >= COVERED:
-                        kept.append({"label": templates[s["template"]][0], "phrase": templates[s["template"]][1], "first": s["first"], "last": s["last"], "score": share})
+                        kept.append({"label": s["label"], "phrase": s["phrase"], "first": s["first"], "last": s["last"], "score": share})
                 out.append(kept)
             kind = pa.list_(pa.struct([("label", pa.string()), ("phrase", pa.bool_()), ("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, kind)], names=["rid", "more", "spans"])

@@ -52,3 +52,20 @@ def test_driver_rows(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     got = {(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in scan(docs).collect()}
     assert got == {(r.doc_id, *base(r.text)) for r in docs.collect()}
+
+
+def test_many_templates_are_tables_and_are_not_sent_to_every_task(spark, monkeypatch):
+    from envlake.llm import licenses
+
+    words = [f"w{i}" for i in range(3000)]
+    texts = [(f"l{i:04}", " ".join(words[(i * 7 + j * 13) % 3000] for j in range(30))) for i in range(10_000)]
+    many = spark.createDataFrame(texts, "label string, text string")
+    docs = spark.createDataFrame([(1, "before " + texts[77][1] + " after"), (2, " ".join(texts[4][1].split()[:10])), (3, None), (4, "mit license")], "doc_id bigint, text string")
+    sent, real = [], licenses.F.broadcast
+    monkeypatch.setattr(licenses, "MOST_SENT", 1 << 20)
+    monkeypatch.setattr(licenses.F, "broadcast", lambda df: (sent.append(df), real(df))[1])
+    got = {r.doc_id: (set(r.labels.split(",")), r.base_labels) for r in scan(docs, templates=many).collect()}
+    assert not sent
+    assert "l0077" in got[1][0] and got[2] == ({""}, "") and got[3] == ({""}, "") and got[4] == ({"mit"}, "mit")
+    few = {r.doc_id: (set(r.labels.split(",")), r.base_labels) for r in scan(docs, templates=texts[:100]).collect()}
+    assert sent and few == {**got, 1: few[1]} and "l0077" in few[1][0]
