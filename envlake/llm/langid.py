@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Character n-grams of one to three letters (other characters count as one space)
-are hashed into 2**BITS features. Document frequencies come from all documents
+are hashed into 2**bits features, an argument. Document frequencies come from all documents
 that may be learnt from. The classifier is fitted on a bounded sample of them by
 the follow-the-regularised-leader rule with elastic-net penalties, one weight
 vector for each language, and a temperature fitted on a part that the training
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from .store import small_batches
 
+#: Features are hashes of so many bits, unless a caller says otherwise: enough for some tens of languages; more scripts need more.
 BITS = 15
 #: Characters of a text that are read together.
 STRETCH = 1 << 18
@@ -48,11 +49,11 @@ def letters() -> np.ndarray:
     return _LETTERS[0]
 
 
-def features(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+def features(text: str | None, bits: int = BITS) -> tuple[np.ndarray, np.ndarray] | None:
     """The hashed n-grams of a text, in order, and how often each occurs; None if it has no letter."""
     if not text:
         return None
-    counts, tail, space = np.zeros(1 << BITS, np.int64), np.zeros(0, np.uint32), np.full(1, 32, np.uint32)
+    counts, tail, space = np.zeros(1 << bits, np.int64), np.zeros(0, np.uint32), np.full(1, 32, np.uint32)
     some = False
     for at in range(0, len(text), STRETCH):
         c = letters()[np.frombuffer(text[at : at + STRETCH].encode("utf-32-le", "replace"), np.uint32)]
@@ -61,14 +62,14 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         some = some or bool((c != 32).any())
         first = space if not at else c[:0]
         last = space if at + STRETCH >= len(text) else c[:0]
-        tail = _count(counts, tail, np.concatenate([first, c, last]))
+        tail = _count(counts, tail, np.concatenate([first, c, last]), bits)
     if not some:
         return None
     at = np.flatnonzero(counts)
     return at, counts[at]
 
 
-def _count(counts: np.ndarray, tail: np.ndarray, new: np.ndarray) -> np.ndarray:
+def _count(counts: np.ndarray, tail: np.ndarray, new: np.ndarray, bits: int) -> np.ndarray:
     """Adds the n-grams that end in the new letters, which follow the tail, and gives the last two letters of both."""
     c, old = np.concatenate([tail, new]), len(tail)
     one = c * np.uint32(0x9E3779B1)
@@ -76,7 +77,7 @@ def _count(counts: np.ndarray, tail: np.ndarray, new: np.ndarray) -> np.ndarray:
     three = two[:-1] * np.uint32(33) + c[2:] * np.uint32(0xC2B2AE35) + np.uint32(11)
     h = np.concatenate([one[old:], two[max(old - 1, 0) :], three[max(old - 2, 0) :]])
     h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-    counts += np.bincount(h >> np.uint32(32 - BITS), minlength=1 << BITS)
+    counts += np.bincount(h >> np.uint32(32 - bits), minlength=1 << bits)
     return c[-2:]
 
 
@@ -87,12 +88,16 @@ class Model:
     weights: np.ndarray  # features x labels
     temperature: float = 1.0
 
+    @property
+    def bits(self) -> int:
+        return len(self.idf).bit_length() - 1
+
     def vector(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
         x = (1 + np.log(counts)) * self.idf[at]
         return x / max(np.sqrt((x * x).sum()), 1e-12)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        found = features(text)
+        found = features(text, self.bits)
         if found is None or not self.labels:
             return "und", 0.0
         p = softmax(self.vector(*found) @ self.weights[found[0]] / self.temperature)
@@ -131,15 +136,15 @@ def fit(labels: list[str], idf: np.ndarray, rows: list[tuple[int, np.ndarray, np
     return model
 
 
-def document_frequencies(docs: DataFrame) -> DataFrame:
+def document_frequencies(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """(feature int, n long) over all texts: each task sums its own counts before the shuffle."""
     schema = pa.schema([("feature", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, texts = np.zeros(1 << BITS, np.int64), 0
+        total, texts = np.zeros(1 << bits, np.int64), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                found = features(text)
+                found = features(text, bits)
                 if found is not None:
                     total[found[0]] += 1
                     texts += 1
@@ -149,19 +154,19 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "feature int, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", most_texts: int = 800, most_rows: int = 20_000) -> Model:
+def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", most_texts: int = 800, most_rows: int = 20_000, bits: int = BITS) -> Model:
     """A model of the rows for which learn is true and lang is not null.
 
     Document frequencies cover all of them; the classifier is fitted on those of each
     language that come first by a hash of their key, most_texts at most, and most_rows of
     all languages together (but one of each); every fifth sets the temperature. These
-    bounds are what the driver holds.
+    bounds, and 2**bits features for each language, are what the driver holds.
     """
     small_batches(docs.sparkSession)
     known = docs.where(learn & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("turn"))
-    counts = {r.feature: r.n for r in document_frequencies(known).collect()}
+    counts = {r.feature: r.n for r in document_frequencies(known, bits).collect()}
     texts = counts.pop(-1, 0)
-    frequency = np.zeros(1 << BITS)
+    frequency = np.zeros(1 << bits)
     frequency[list(counts)] = list(counts.values())
     idf = np.log((1 + texts) / (1 + frequency)) + 1
 
@@ -170,11 +175,11 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     most = max(1, min(most_texts, most_rows // max(len(sizes), 1)))
     shares = {name: min(1.0, 1.3 * most / n + 30 / n) * 2**32 for name, n in sizes.items()}
     if not shares:
-        return Model([], idf, np.zeros((1 << BITS, 0)))
+        return Model([], idf, np.zeros((1 << bits, 0)))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t) for t in batch.column(0).to_pylist()]
+            found = [features(t, bits) for t in batch.column(0).to_pylist()]
             at = pa.array([None if x is None else x[0].astype(np.int32) for x in found], pa.list_(pa.int32()))
             held = pa.array([None if x is None else np.minimum(x[1], 2**31 - 1).astype(np.int32) for x in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), at, held], names=["lang", "turn", "at", "n"])

@@ -57,3 +57,18 @@ def test_regularisation_leaves_weights_at_zero_and_temperature_calibrates(spark)
     model = langid.fit(labels, np.ones(1 << langid.BITS), rows)
     assert 0 < (model.weights != 0).mean() < 0.2
     assert model.temperature > 0
+
+
+def test_many_languages_with_more_features(spark):
+    rng = np.random.default_rng(12)
+    scripts = [range(0x61, 0x7B), range(0x3B1, 0x3CA), range(0x430, 0x450), range(0x5D0, 0x5EB), range(0x10D0, 0x10F1), range(0x905, 0x93A)]
+    rows = []
+    for lang in range(48):
+        letters = [chr(c) for c in scripts[lang % len(scripts)]]
+        words = ["".join(rng.choice(letters, int(rng.integers(2, 9)))) for _ in range(60)]
+        rows += [(lang * 60 + i, " ".join(rng.choice(words, int(rng.integers(8, 30)))), f"l{lang:02}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.train(df, ~langid.held_out(), bits=18)
+    assert len(model.labels) == 48 and model.bits == 18 and model.weights.shape == (1 << 18, 48)
+    held = langid.predict(df.where(langid.held_out()), model).collect()
+    assert len(held) > 700 and np.mean([r.lang == r.lang_pred for r in held]) > 0.97
