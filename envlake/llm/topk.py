@@ -1,14 +1,23 @@
 """Exact top-k search by inner product with a dual tree of cover trees.
 
 With centres q and p and covering radii s and r, no pair of two nodes scores more
-than q.p + |q| r + |p| s + r s, so a pair of nodes is left out when that is less
-than the worst kth score of the queries in its query node.
-
-The first level of the trees is made by Spark: cells around pivots, dealt into
-blocks of bounded size, queries and data by the same pivots. Pairs of a query block
-and a data block that the bound leaves are one task's work each: a stated query set
-against all rows, in blocks. A task indexes both blocks further, in cover trees,
-and prunes alike. What is left is compared whole, and Spark keeps the k best.
+than q.p + |q| r + |p| s + r s, and none less than q.p - |q| r - |p| s - r s. A pair of
+nodes is left out when the first is less than what the query node's worst kth score is
+known to be.
+
+The upper levels of the tree are made by Spark: a node with more rows than a block
+holds is split around pivots that are far apart in a sample of it, inside tasks, until
+every node is a block, so the tree grows with the rows. A query lies in the nodes of
+its own row. Pairs of a query node and a data node go down level by level; on each,
+the second bound over nodes with more than k rows gives a query node's least kth score,
+and the first leaves out pairs. Each query block is then compared with its nearest data
+block, and after that with the blocks that its exact worst kth score leaves. A task
+indexes both blocks of a pair further, in cover trees, and prunes alike. What is left
+is compared whole, and Spark keeps the k best.
+
+Of equal vectors only those with the k + 1 smallest ids can be among the k best, as
+ties go to smaller ids, and equal queries are answered once. Nodes of one vector, or
+that pivots don't split, are dealt into blocks by hash.
 
 Defined results: vectors that are null, hold null or a component that is not
 finite, or have no id take no part; vectors of different lengths don't meet; a
@@ -19,16 +28,24 @@ a score beyond 64 bits is shown as the nearest one within.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import written
 
+VECTOR = "key string, vec_id bigint, q array<bigint>, asked boolean"
+
 #: Vectors in a data block and queries in a query block, at most about.
 DATA_BLOCK, QUERY_BLOCK = 4096, 1024
-#: Pivots of the first level, at most, and the rows they are chosen from, about.
-MOST_CELLS, SAMPLE = 64, 2048
+#: Pivots of a node, at most, and the rows they are chosen from, about; rows that a task deals to pivots.
+MOST_CELLS, SAMPLE, ROUTE_BLOCK = 64, 2048, 16_384
+#: A node with more than this share of its parent's rows is not split again.
+STUCK = 0.9
 #: Points in a leaf, and a child's covering radius as a share of its parent's.
 LEAF, SHRINK = 96, 0.7
 #: Points of the most promising leaves that a query leaf is compared with before the others are pruned.
@@ -108,8 +125,8 @@ class Tree:
         return len(self.radius) - 1
 
 
-def dual_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, id, score) of each query's k best other ids, ties to the smaller id."""
+def dual_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int, others: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query id, id, score) of each query's k best other ids (or of all ids), ties to the smaller id."""
     top = max(int(abs(x)) for a in (queries, points) for x in (a.max(initial=1), a.min(initial=-1))) ** 2 * max(queries.shape[1], 1)
     kind = np.float64 if top < 2**52 else object
     qt, pt = Tree(queries.astype(float)), Tree(points.astype(float))
@@ -132,8 +149,9 @@ def dual_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, poi
         rows = np.concatenate([np.arange(first[n], last[n]) for n in leaves])
         x = slice(qt.first[a], qt.last[a])
         score = q[x] @ p[rows].T
-        own = query_ids[x][:, None] == ids[rows][None, :]
-        able = (score >= best[x, -1:]) & ~own
+        able = score >= best[x, -1:]
+        if others:
+            able &= query_ids[x][:, None] != ids[rows][None, :]
         for row in np.flatnonzero(able.any(axis=1)):
             i, at = x.start + row, np.flatnonzero(able[row])
             if len(at) > k:
@@ -165,101 +183,199 @@ def dual_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, poi
     return tuple(np.array(x, np.int64) for x in (zip(*found, strict=True) if found else ((), (), ())))
 
 
-def pivots(sample: list[list[int]], most: int) -> dict[int, np.ndarray]:
-    """By length, up to most vectors far apart from one another, each the farthest from those before it."""
-    found: dict[int, np.ndarray] = {}
-    for dim in sorted({len(v) for v in sample}):
-        own = sorted(v for v in sample if len(v) == dim)
-        points = np.array(own, np.float64).reshape(len(own), dim)
-        chosen, near = [points.mean(axis=0)], None
-        while len(chosen) < most:
-            d = ((points - chosen[-1]) ** 2).sum(axis=1)
-            near = d if near is None else np.minimum(near, d)
-            if not near.max() > 0:
-                break
-            chosen.append(points[near.argmax()])
-        found[dim] = np.array(chosen)
-    return found
-
+def pivots(points: np.ndarray, most: int) -> np.ndarray:
+    """Up to most of the points far apart from one another, each the farthest from those before it."""
+    points = points[np.lexsort(points.T[::-1])].astype(np.float64)  # the same whatever order rows come in
+    chosen = [points[((points - points.mean(axis=0)) ** 2).sum(axis=1).argmin()]]
+    near = ((points - chosen[0]) ** 2).sum(axis=1)
+    while len(chosen) < most and near.max() > 0:
+        chosen.append(points[near.argmax()])
+        near = np.minimum(near, ((points - chosen[-1]) ** 2).sum(axis=1))
+    return np.array(chosen)
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array, kind=np.int64) -> np.ndarray:
+    """The vectors of one length as rows."""
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    flat = [c.flatten().to_numpy(zero_copy_only=False) for c in chunks if len(c)]
+    whole = np.concatenate(flat).astype(kind) if flat else np.zeros(0, kind)
+    return whole.reshape(len(column), len(whole) // max(len(column), 1))
+
+
+def _fit(sample: pa.Table) -> pa.Table:
+    """A row for each pivot of a node: its child's name and centre."""
+    node, n = sample["node"][0].as_py(), sample["n"][0].as_py()
+    centres = pivots(_matrix(sample["q"]), int(min(MOST_CELLS, max(2, -(-n // DATA_BLOCK)))))
+    ends = pa.array(np.arange(len(centres) + 1, dtype=np.int32) * centres.shape[1])
+    return pa.table({"node": [node] * len(centres), "n": [n] * len(centres), "child": [f"{node}/{i}" for i in range(len(centres))], "centre": pa.ListArray.from_arrays(ends, pa.array(centres.ravel()))})
+
+
+def _assign(rows: pa.Table, models: pa.Table) -> pa.Table:
+    """Every row with the child of its nearest pivot and the distance to it; without pivots (an empty sample) the whole node is one child."""
+    child, far = pa.array([f"{x}/0" for x in rows["node"].to_pylist()], pa.string()), np.zeros(len(rows))
+    q = _matrix(rows["q"], np.float64)
+    if len(rows) and len(models):
+        centres, name = _matrix(models["centre"], np.float64), models["child"].to_pylist()
+        near, far = np.zeros(len(rows), np.int64), np.full(len(rows), np.inf)
+        for i, c in enumerate(centres):
+            d = np.sqrt(((q - c) ** 2).sum(axis=1))
+            near, far = np.where(d < far, i, near), np.minimum(d, far)
+        child = pa.array([name[i] for i in near], pa.string())
+    elif len(rows):
+        far = np.sqrt((q**2).sum(axis=1))
+    return pa.table({"node": child, "far": far, **{c: rows[c] for c in ("key", "vec_id", "q", "asked")}})
+
+
+def _bounded(batches):
+    """(a, b, n, middle, low, most) of pairs of nodes, from both centres and radii."""
+    for mixed in batches:
+        dims = mixed.column("qa").value_lengths().to_numpy()
+        for dim in np.unique(dims):
+            batch = mixed.take(pa.array(np.flatnonzero(dims == dim)))
+            q, p = (_matrix(batch.column(c), np.float64) for c in ("qa", "pb"))
+            r, s = (batch.column(c).to_numpy() for c in ("r", "s"))
+            middle = (q * p).sum(axis=1)
+            lq, lp = np.sqrt((q * q).sum(axis=1)), np.sqrt((p * p).sum(axis=1))
+            spread = lq * s + lp * r + r * s + 1e-9 * (lq + r) * (lp + s) + 1e-3
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("n"), *(pa.array(x) for x in (middle, middle - spread, middle + spread))], names=["a", "b", "n", "middle", "low", "most"])
+
+
+def _blocks(count: Column, most: int) -> Column:
+    return F.ceil(count / F.lit(most)).cast("int")
+
+
+def _block(of: str, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit("block"), of), blocks).cast("int")
+
+
+class Cells:
+    """The upper levels of the tree: `rows` (node, key, vec_id, q, asked) of leaves, and `levels`, tables of nodes.
+
+    A level has (node, parent, centre, n, s, n_q, r, wide, leaf): rows and queries and
+    the radii that hold them, whether data go down to children, and whether it is a leaf.
+    """
 
-def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
+    def __init__(self, vectors: DataFrame):
+        """vectors: (key, vec_id, q, asked)."""
+        zero = F.transform("q", lambda x: F.lit(0.0))
+        length = F.sqrt(F.aggregate("q", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double")))
+        rows = vectors.withColumn("node", F.concat(F.lit("d"), F.size("q").cast("string"))).withColumn("far", length)
+        root = rows.groupBy("node").agg(*self._counts(), F.first(zero).alias("centre")).withColumn("parent", F.lit(None).cast("string"))
+        self.levels, done = [written(self._shaped(root.withColumn("n_parent", F.lit(2**62))), "nodes")], []
+        while True:
+            wide = self.levels[-1].where("wide").select("node", "n")
+            done.append(rows.join(self.levels[-1].where("leaf").select("node"), "node").select("node", "key", "vec_id", "q", "asked"))
+            if wide.isEmpty():
+                break
+            here = rows.join(wide, "node")
+            sample = here.where(F.pmod(F.xxhash64(F.lit("pivot"), "vec_id", "q"), F.lit(2**32)) < F.lit(float(SAMPLE)) / F.col("n") * F.lit(float(2**32)))
+            models = written(sample.groupBy("node", "n").applyInArrow(_fit, "node string, n bigint, child string, centre array<double>"), "pivots")
+            blocks = wide.withColumn("block", F.explode(F.sequence(F.lit(0), _blocks(F.col("n"), ROUTE_BLOCK) - 1))).drop("n")
+            dealt = models.join(blocks, "node").select("node", "block", "child", "centre")
+            placed = here.withColumn("block", _block("vec_id", _blocks(F.col("n"), ROUTE_BLOCK))).select("node", "block", "key", "vec_id", "q", "asked")
+            rows = written(placed.groupBy("node", "block").cogroup(dealt.groupBy("node", "block")).applyInArrow(_assign, f"node string, far double, {VECTOR}"), "cells")
+            below = rows.groupBy("node").agg(*self._counts(), F.first(zero).alias("zero")).withColumn("parent", F.regexp_replace("node", "/[0-9]+$", ""))
+            below = below.join(wide.toDF("parent", "n_parent"), "parent").join(models.select(F.col("child").alias("node"), "centre"), "node", "left")
+            self.levels.append(written(self._shaped(below.withColumn("centre", F.coalesce("centre", "zero"))), "nodes"))
+        self.rows = reduce(DataFrame.unionByName, done)
+
+    @staticmethod
+    def _counts() -> list[Column]:
+        asked = F.col("asked")
+        return [F.count("*").alias("n"), F.max("far").alias("s"), F.count_if(asked).alias("n_q"), F.max(F.when(asked, F.col("far"))).alias("r")]
+
+    @staticmethod
+    def _shaped(nodes: DataFrame) -> DataFrame:
+        wide = (F.col("n") > DATA_BLOCK) & (F.col("s") > 0) & (F.col("n") <= STUCK * F.col("n_parent"))
+        return nodes.select("node", "parent", "centre", "n", "s", "n_q", "r", wide.alias("wide"), (~wide).alias("leaf"))
+
+    def pairs(self, k: int, report: Callable[[int, int], None] | None = None) -> tuple[DataFrame, DataFrame]:
+        """((a, b, n, middle, most) pairs of a query node and a leaf of the data that the bounds leave, (a, n_q) query nodes).
+
+        report gets each level and the number of pairs of a query and a vector that it leaves.
+        """
+        root = self.levels[0]
+        pairs = root.where("n_q > 0").select(F.col("node").alias("a"), F.col("node").alias("b"))
+        for level, nodes in enumerate(self.levels):
+            # both sides go down together: a node that is final on its side stays while the other goes on
+            every = reduce(DataFrame.unionByName, self.levels[: level + 1])
+            if level:
+                up = self.levels[level - 1]
+                split_a = up.where(F.col("wide") & (F.col("n_q") > QUERY_BLOCK)).select(F.col("node").alias("a"))
+                split_b = up.where("wide").select(F.col("node").alias("b"))
+                child = nodes.select("node", "parent", "n_q")
+                a = pairs.join(split_a, "a", "left_semi").join(child.where("n_q > 0").select(F.col("parent").alias("a"), F.col("node").alias("to")), "a").select(F.col("to").alias("a"), "b")
+                pairs = a.unionByName(pairs.join(split_a, "a", "left_anti"))
+                b = pairs.join(split_b, "b", "left_semi").join(child.select(F.col("parent").alias("b"), F.col("node").alias("to")), "b").select("a", F.col("to").alias("b"))
+                pairs = b.unionByName(pairs.join(split_b, "b", "left_anti"))
+            left = pairs.join(every.select(F.col("node").alias("a"), F.col("centre").alias("qa"), "r"), "a")
+            both = left.join(every.select(F.col("node").alias("b"), F.col("centre").alias("pb"), "s", "n"), "b")
+            bounded = both.select("a", "b", "qa", "pb", "r", "s", "n").mapInArrow(_bounded, "a string, b string, n bigint, middle double, low double, most double")
+            sure = Window.partitionBy("a").orderBy(F.desc("low"), "b")
+            ranked = bounded.withColumn("sum", F.sum("n").over(sure.rowsBetween(Window.unboundedPreceding, 0)))
+            least = F.max(F.when(F.col("sum") >= k, F.col("low"))).over(Window.partitionBy("a"))
+            kept = ranked.withColumn("least", least).where(F.col("least").isNull() | (F.col("most") >= F.col("least")))
+            found = written(kept.select("a", "b", "n", "middle", "most"), "pairs")
+            if report:
+                asked = every.select(F.col("node").alias("a"), "n_q")
+                report(level, found.join(asked, "a").agg(F.coalesce(F.sum(F.col("n") * F.col("n_q")), F.lit(0))).first()[0])
+            pairs = found.select("a", "b")
+        nodes = reduce(DataFrame.unionByName, self.levels).select(F.col("node").alias("a"), "n_q")
+        return found, nodes.join(found.select("a").distinct(), "a", "left_semi")
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = 5, report: Callable[[int, int], None] | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score) from quantised (vec_id, q) rows: the k best others of each query row.
 
-    The roots of the trees are pivots chosen from a sample of at most about SAMPLE
-    rows; every vector goes to its nearest and large cells are dealt into blocks.
-    Each query block is first compared with the data block whose centre scores
-    best, then with all blocks that its worst kth score does not rule out.
+    report, if given, gets each level of the tree and how many pairs of a query and a vector it leaves.
     """
-    spark = vectors.sparkSession
-    table = written(vectors.withColumn("dim", F.size("q")).withColumn("query", F.coalesce(is_query, F.lit(False))).dropDuplicates(["vec_id", "q"]), "vectors")
-    n, asked = table.agg(F.count("*"), F.count_if("query")).first()
-    share = min(1.0, SAMPLE / max(n, 1)) * 2**32
-    sample = [r.q for r in table.where(F.pmod(F.xxhash64("vec_id", "q", F.lit("pivot")), F.lit(2**32)) < share).select("q").collect()]
-    roots = pivots(sample, MOST_CELLS)
-    shared = spark.sparkContext.broadcast(roots)
-    cells = {True: max(1, min(MOST_CELLS, asked // QUERY_BLOCK)), False: max(1, min(MOST_CELLS, n // DATA_BLOCK))}
-
-    def placed(rows: DataFrame, most: int, size: int, name: str) -> tuple[DataFrame, DataFrame]:
-        """(rows with their block, blocks with their radius around their cell's pivot)."""
-
-        @F.pandas_udf("cell int, far double")
-        def nearest(qs):
-            import pandas as pd
-
-            out = []
-            for q in qs:
-                x = np.asarray(q, np.float64)
-                centres = shared.value.get(len(x), np.zeros((1, len(x))))[:most]
-                d = ((centres - x) ** 2).sum(axis=1)
-                out.append((int(d.argmin()), float(np.sqrt(d.min()))))
-            return pd.DataFrame(out, columns=["cell", "far"])
-
-        at = written(rows.withColumn("at", nearest("q")).select("dim", "vec_id", "q", "at.cell", "at.far"), name)
-        # a row for each cell, so Spark sends it to the rows; cells may be large
-        parts = written(at.groupBy("dim", "cell").agg(F.ceil(F.count("*") / size).alias("parts")), "cells")
-        block = F.concat_ws("/", "dim", "cell", F.pmod(F.xxhash64("vec_id", "q"), F.col("parts")))
-        at = at.join(parts, ["dim", "cell"]).withColumn("block", block)
-        return at.select("block", "vec_id", "q"), at.groupBy("dim", "cell", "block").agg(F.max("far").alias("radius"), F.count("*").alias("rows"))
-
-    queries, asking = placed(table.where("query"), cells[True], QUERY_BLOCK, "queries")
-    data, held = placed(table, cells[False], DATA_BLOCK, "data")
-
-    @F.pandas_udf("middle double, most double")
-    def bounds(dims, a, b, r, s):
-        import pandas as pd
-
-        out = []
-        for dim, i, j, x, y in zip(dims, a, b, r, s, strict=True):
-            centres = shared.value.get(dim, np.zeros((1, dim)))
-            q, p = centres[i], centres[j]
-            middle = float(q @ p)
-            slack = 1e-9 * (np.linalg.norm(q) + x) * (np.linalg.norm(p) + y) + 1e-3
-            out.append((middle, middle + float(np.linalg.norm(q)) * y + float(np.linalg.norm(p)) * x + x * y + slack))
-        return pd.DataFrame(out, columns=["middle", "most"])
-
-    pairs = asking.toDF("dim", "a", "b", "r", "n_b").join(held.toDF("dim", "c", "d", "s", "n_d"), "dim")
-    pairs = written(pairs.withColumn("x", bounds("dim", "a", "c", "r", "s")).select("b", "d", "n_d", "x.middle", "x.most"), "pairs")
-
-    def meet(left, right):
-        import pandas as pd
-
-        if left.empty or right.empty:
-            return pd.DataFrame({"b": [], "query_id": [], "vec_id": [], "score": []}).astype({"b": str, "query_id": "int64", "vec_id": "int64", "score": "int64"})
-        a, b = (np.array(x["q"].tolist(), np.int64).reshape(len(x), -1) for x in (left, right))
-        found = dual_search(left["vec_id"].to_numpy(), a, right["vec_id"].to_numpy(), b, k)
-        return pd.DataFrame({"b": left["b"].iloc[0], **dict(zip(("query_id", "vec_id", "score"), found, strict=True))})
+    once = written(vectors.select("vec_id", "q", F.coalesce(is_query, F.lit(False)).alias("query")).distinct(), "vectors")
+    key = F.concat(F.hex(F.xxhash64("q")), F.lit("-"), F.hex(F.xxhash64(F.lit("key"), "q")))
+    turn = F.row_number().over(Window.partitionBy("q").orderBy("vec_id"))
+    queries = once.where("query").select(F.col("vec_id").alias("query_id"), key.alias("key")).distinct()
+    few = once.withColumn("turn", turn).where(F.col("turn") <= k + 1).select(key.alias("key"), "vec_id", "q", "turn")
+    # a vector is asked for by the row of its smallest id
+    asked = queries.select("key", F.lit(True).alias("_asked")).distinct()
+    table = written(few.join(asked, "key", "left").select("key", "vec_id", "q", (F.col("_asked").isNotNull() & (F.col("turn") == 1)).alias("asked")), "entries")
+    # an id with several vectors fills one of the k places, so more rows are needed to be sure of k + 1 ids
+    versions = table.groupBy("vec_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    cells = Cells(table)
+    pairs, asking = cells.pairs((k + 1) * versions, report)
+    data = written(cells.rows, "index")
+    wanted = data.where("asked").select("key", "q", "node")
+    path = F.split("node", "/")
+    # a query block is a node or, where a node can't be split, a part of it
+    ancestors = F.transform(F.sequence(F.lit(1), F.size(path)), lambda i: F.array_join(F.slice(path, F.lit(1), i), "/"))
+    met = wanted.withColumn("a", F.explode(ancestors)).join(asking, "a")
+    met = written(met.withColumn("own", _block("key", _blocks(F.col("n_q"), QUERY_BLOCK))).select(F.concat_ws("#", "a", "own").alias("b"), "key", "q", "a"), "asked")
+    held = data.groupBy("node").agg(_blocks(F.count("*"), 2 * DATA_BLOCK).alias("parts"))
+    rows = data.join(held, "node").select(F.concat_ws("#", "node", _block("vec_id", F.col("parts"))).alias("d"), "vec_id", "q")
+    pairs = pairs.withColumnRenamed("b", "leaf").join(met.select("a", "b").distinct(), "a").join(held.withColumnRenamed("node", "leaf"), "leaf")
+    pairs = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pairs = written(pairs.select("b", F.concat_ws("#", "leaf", "part").alias("d"), F.floor(F.col("n") / F.col("parts")).alias("n_d"), "middle", "most"), "blocks")
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = (np.zeros(0, np.int64),) * 3
+        if len(left) and len(right):
+            found = dual_search(np.arange(len(left)), _matrix(left["q"]), right["vec_id"].to_numpy(), _matrix(right["q"]), k + 1, others=False)
+        keys = left["key"].to_pylist()
+        block = left["b"][0].as_py() if len(left) else ""
+        return pa.table({"b": pa.array([block] * len(found[0]), pa.string()), "key": pa.array([keys[i] for i in found[0]], pa.string()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.int64())})
 
     def compared(chosen: DataFrame) -> DataFrame:
-        left = queries.toDF("b", "vec_id", "q").join(chosen.select("b", "d"), "b").toDF("b", "vec_id", "q", "d")
-        right = data.toDF("d", "vec_id", "q").join(chosen.select("b", "d"), "d").toDF("d", "vec_id", "q", "b")
-        return left.groupBy("b", "d").cogroup(right.groupBy("b", "d")).applyInPandas(meet, "b string, query_id bigint, vec_id bigint, score bigint")
+        left = met.select("b", "key", "q").join(chosen.select("b", "d"), "b").select("b", "d", "key", "q")
+        right = rows.join(chosen.select("b", "d"), "d").select("b", "d", "vec_id", "q")
+        return left.groupBy("b", "d").cogroup(right.groupBy("b", "d")).applyInArrow(meet, "b string, key string, vec_id bigint, score bigint")
 
     home = pairs.withColumn("turn", F.row_number().over(Window.partitionBy("b").orderBy((F.col("n_d") <= k).cast("int"), F.desc("middle"), "d"))).where("turn = 1")
     first = written(compared(home), "first")
-    worst = first.groupBy("b", "query_id").agg(F.count_distinct("vec_id").alias("n"), F.min("score").alias("kth")).groupBy("b").agg(F.min("n").alias("n"), F.min("kth").alias("kth"), F.count("*").alias("found"))
-    known = asking.select(F.col("block").alias("b"), "rows").join(worst, "b", "left")
-    limit = F.when((F.col("n") >= k) & (F.col("found") >= F.col("rows")), F.col("kth").cast("double")).otherwise(F.lit(float("-inf")))
+    worst = first.groupBy("b", "key").agg(F.count_distinct("vec_id").alias("n"), F.min("score").alias("kth")).groupBy("b").agg(F.min("n").alias("n"), F.min("kth").alias("kth"), F.count("*").alias("found"))
+    known = met.groupBy("b").agg(F.count("*").alias("rows")).join(worst, "b", "left")
+    limit = F.when((F.col("n") >= k + 1) & (F.col("found") >= F.col("rows")), F.col("kth").cast("double")).otherwise(F.lit(float("-inf")))
     rest = pairs.join(home.select("b", "d"), ["b", "d"], "left_anti").join(known.select("b", limit.alias("least")), "b").where("most >= least")
-    near = first.unionByName(compared(rest)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    near = first.unionByName(compared(rest)).groupBy("key", "vec_id").agg(F.max("score").alias("score"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "vec_id"))
+    best = written(near.withColumn("place", place).where(F.col("place") <= k + 1).select("key", "vec_id", "score"), "best")
+    answers = queries.join(best, "key").where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return near.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    return answers.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)

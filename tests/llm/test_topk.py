@@ -100,3 +100,42 @@ def test_an_id_with_several_vectors_has_its_best_score(spark, monkeypatch):
         best = sorted((-max(int(x @ y) for x in own[i] for y in own[j]), j) for j in own if j != i)[:5]
         want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
     assert sorted(tuple(r) for r in search(quantised(df), F.col("vec_id") % 50 == 0).collect()) == want
+
+
+def test_each_level_leaves_fewer_pairs(spark, monkeypatch):
+    from envlake.llm import topk
+
+    for name, value in {"DATA_BLOCK": 30, "QUERY_BLOCK": 2, "MOST_CELLS": 5, "ROUTE_BLOCK": 100, "LEAF": 8}.items():
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(6)
+    outer = rng.normal(size=(6, 12)) * 6
+    inner = rng.normal(size=(30, 12))
+    rows = [(i, [float(v) for v in outer[i % 6] + inner[i % 30] + rng.normal(size=12) / 30]) for i in range(1500)]
+    rows += [(2000 + i, rows[7][1]) for i in range(700)]  # a hot vector
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    left = []
+    found = search(quantised(df), F.col("vec_id") % 50 == 0, report=lambda level, pairs: left.append(pairs))
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows)
+    # equal vectors are few from the start, and every level of the tree leaves less to compare
+    assert len(left) >= 3 and left[0] <= 44 * 1510 and all(b <= a for a, b in zip(left, left[1:], strict=False)) and left[-1] < 0.3 * left[0]
+
+
+def test_ids_with_several_vectors_over_levels(spark, monkeypatch):
+    from envlake.llm import topk
+
+    for name, value in {"DATA_BLOCK": 20, "QUERY_BLOCK": 2, "MOST_CELLS": 3, "LEAF": 8}.items():
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 5))
+    rows = [(i % 100 + (0 if i % 3 else 1000), [float(v) for v in x[i]]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(tuple(r) for r in search(quantised(df), F.col("vec_id") % 50 == 0).collect())
+    q = {}
+    for i, v in rows:
+        q.setdefault(i, []).append(np.floor(256 * np.array(v)).astype(np.int64))
+    want = []
+    for i in q:
+        if i % 50 == 0:
+            best = sorted((-max(int(a @ b) for a in q[i] for b in q[j]), j) for j in q if j != i)[:5]
+            want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    assert got == sorted(want)
