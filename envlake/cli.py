@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
         for option in ("--states", "--cities", "--stations"):
             two.add_argument(option, help="a register; needed until the tables have a snapshot of it")
         two.add_argument("--relational", required=name == "load", help="the folder of the relational model")
+        two.add_argument("--legacy", action="append", default=[], help="an old wide table, which must hold no rows when rows are loaded")
         if name == "pipeline":
             two.add_argument("--gold", required=True)
             two.add_argument("--only-gold", action="store_true")
@@ -106,11 +107,11 @@ def main(argv: Sequence[str] | None = None) -> int:
     make = (lambda: medallion.registers(spark, raw.states(spark, args.states), raw.cities(spark, args.cities), raw.stations(spark, args.stations))) if all(given) else None
     registered = medallion.stored_registers(spark, args.silver, make)
     if args.command == "pipeline":
-        print(medallion.run(spark, args.raw, args.silver, args.gold, registered, args.first, args.last, args.only_gold, args.relational))
+        print(medallion.run(spark, args.raw, args.silver, args.gold, registered, args.first, args.last, args.only_gold, args.relational, args.legacy))
     elif args.command == "load":
-        print(medallion.load(spark, args.raw, args.silver, registered[0], [args.dataset] if args.dataset else None, args.relational))
+        print(medallion.load(spark, args.raw, args.silver, registered[0], [args.dataset] if args.dataset else None, args.relational, args.legacy))
     else:
-        print(medallion.backfill(spark, args.raw, args.silver, registered[0], args.dataset, args.first, args.end, args.replace, args.relational))
+        print(medallion.backfill(spark, args.raw, args.silver, registered[0], args.dataset, args.first, args.end, args.replace, args.relational, args.legacy))
     return 0
 
 

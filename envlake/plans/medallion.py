@@ -110,10 +110,11 @@ def _keep_rejected(rejected: DataFrame, unmatched: DataFrame, folder: str, name:
     return {r.reason: r.n for r in reason_counts(spark.read.parquet(path)).collect()}
 
 
-def load(spark: SparkSession, raw: str, folder: str, stations: DataFrame, names: Sequence[str] | None = None, relational: str | None = None) -> dict[str, Loaded]:
+def load(spark: SparkSession, raw: str, folder: str, stations: DataFrame, names: Sequence[str] | None = None, relational: str | None = None, legacy: Sequence[str] = ()) -> dict[str, Loaded]:
     """Merge every dataset's raw batches into its table; a second run adds nothing.
 
-    With a folder for the relational model, rows go there first, and those that it accepts go on, as it holds them.
+    With a folder for the relational model, rows go there first, and those that it accepts
+    go on, as it holds them; legacy names old wide tables, which must hold no rows then.
     """
     done = {}
     for rules in [contract(n) for n in names or CONTRACTS]:
@@ -121,7 +122,7 @@ def load(spark: SparkSession, raw: str, folder: str, stations: DataFrame, names:
         rows, unmatched = resolve(accepted, rules, stations)
         reasons, verdicts = _keep_rejected(rejected, unmatched, folder, rules.name), {}
         if relational:
-            approved, verdicts = load_frame(rows, rules, relational, ["file", "line"], References(stations, codes=[p[0] for p in PARAMETERS]))
+            approved, verdicts = load_frame(rows, rules, relational, ["file", "line"], References(stations, codes=[p[0] for p in PARAMETERS]), legacy)
             if "id_cidade" in rules.required:
                 approved = approved.join(stations.select("id_estacao", "id_cidade"), "id_estacao")
             rows = approved.select(*rules.required)
@@ -130,7 +131,7 @@ def load(spark: SparkSession, raw: str, folder: str, stations: DataFrame, names:
     return done
 
 
-def backfill(spark: SparkSession, raw: str, folder: str, stations: DataFrame, name: str, first: str, end: str, replace: bool = False, relational: str | None = None) -> Loaded:
+def backfill(spark: SparkSession, raw: str, folder: str, stations: DataFrame, name: str, first: str, end: str, replace: bool = False, relational: str | None = None, legacy: Sequence[str] = ()) -> Loaded:
     """Load the days [first, end) again: by a merge, or by replacing those days.
 
     Days are replaced only if no row of the window, or without an instant, is rejected.
@@ -144,7 +145,7 @@ def backfill(spark: SparkSession, raw: str, folder: str, stations: DataFrame, na
     rows, unmatched = resolve(accepted.where(within), rules, stations)
     reasons, verdicts = _keep_rejected(rejected.where(within), unmatched, folder, name), {}
     if relational:
-        _, verdicts = load_frame(rows, rules, relational, ["file", "line"], References(stations, codes=[p[0] for p in PARAMETERS]))
+        _, verdicts = load_frame(rows, rules, relational, ["file", "line"], References(stations, codes=[p[0] for p in PARAMETERS]), legacy)
         held = measures_of_period(*stored(spark, relational), rules, start, stop)
         rows = held.withColumnRenamed("chave_origem", "id_leitura_origem").join(stations.select("id_estacao", "id_cidade"), "id_estacao").select(*rules.required)
     rows = rows.drop("file", "line", "codigo_estacao")
@@ -157,8 +158,8 @@ def backfill(spark: SparkSession, raw: str, folder: str, stations: DataFrame, na
     return Loaded(done.received, reasons.get(NO_STATION, 0), done, reasons, verdicts)
 
 
-def run(spark: SparkSession, raw: str, folder: str, gold: str, registered: tuple[DataFrame, DataFrame, DataFrame], first: str | None = None, last: str | None = None, only_gold: bool = False, relational: str | None = None) -> dict[str, int]:
+def run(spark: SparkSession, raw: str, folder: str, gold: str, registered: tuple[DataFrame, DataFrame, DataFrame], first: str | None = None, last: str | None = None, only_gold: bool = False, relational: str | None = None, legacy: Sequence[str] = ()) -> dict[str, int]:
     """Raw batches to tables (unless only_gold) to the star schema: rows resolved by dataset, and facts."""
-    counts = {} if only_gold else {name: done.resolved for name, done in load(spark, raw, folder, registered[0], relational=relational).items()}
+    counts = {} if only_gold else {name: done.resolved for name, done in load(spark, raw, folder, registered[0], relational=relational, legacy=legacy).items()}
     tables = publish_star(read_measures(spark, folder, first, last), registered, gold, folder)
     return counts | {"facts": tables["Fato_Medicoes"].count()}
