@@ -6,8 +6,9 @@ digits and letters), whatever follows a secret's name and = or :, however short,
 the passwords of addresses, and blocks of private keys. Those that touch are one.
 A random forest decides which are secrets by their length and composition, the
 transitions between their characters, the share of their letters that dictionary
-words cover, the words beside them and the path of their file. The dictionary is the most frequent words
-of all texts. The forest is trained by Spark from labelled findings; its nodes, a
+words cover, and by how much more often the words beside them, the words of their
+file's path and their own beginning go with secrets than with others, which is learnt
+from the findings. The dictionary is the most frequent words of all texts. The forest is trained by Spark from labelled findings; its nodes, a
 table of a few thousand rows, are sent to the tasks, so that a text is scanned
 and rated (or redacted) where it is read, without a shuffle.
 
@@ -27,9 +28,10 @@ from __future__ import annotations
 import random
 import re
 import string
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 from math import log, log2
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -51,15 +53,13 @@ TREES, DEPTH, FINDINGS = 30, 10, 6000
 #: Candidates rated together.
 TOGETHER = 4096
 
-#: Words that introduce secrets, words that introduce look-alikes, and words of paths of either kind.
-SECRET_WORDS = frozenset("key keys apikey token tokens secret secrets password passwd pwd passphrase auth authorization bearer credential credentials access private login signature aws".split())
-OTHER_WORDS = frozenset("sha sha1 sha256 sha512 md5 crc checksum commit hash digest etag integrity revision rev uuid guid isbn doi version build example placeholder sample number phone card account order invoice page".split())
-SECRET_PATHS = frozenset("config conf env settings secrets credentials deploy prod".split())
-OTHER_PATHS = frozenset("test tests example examples doc docs sample samples fixture fixtures mock mocks vendor lock".split())
-#: How keys of some issuers begin.
-PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk-", "sk_live_", "rk_live_", "AIza", "ya29", "SG", "eyJ")
+#: Hashed words of a finding's surroundings, for each a weight.
+SLOTS = 4096
 
-FEATURES = ["length", "digits", "upper", "lower", "other", "switches", "entropy", "surprise", "hex", "covered", "prefix", "assigned", "quoted", "secret_words", "other_words", "secret_path", "other_path", "longest_letters", "named", "address", "block", "different"]
+#: Ends of names whose value is a candidate, however short.
+NAMES = ("apikey", "auth", "authorization", "bearer", "credential", "credentials", "key", "login", "passphrase", "passwd", "password", "pwd", "secret", "secrets", "token", "tokens")
+
+FEATURES = ["length", "digits", "upper", "lower", "other", "switches", "entropy", "surprise", "hex", "covered", "assigned", "quoted", "longest_letters", "address", "block", "different", "beside_sum", "beside_most", "beside_least", "last_word", "path", "beginning"]
 _KEY = np.zeros(256, bool)
 _KEY[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_-"]] = True
 _DIGIT, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
@@ -71,7 +71,8 @@ _NAME = re.compile(rb"([A-Za-z0-9_.-]+)[\"'`\])]*[ \t]{0,3}$")
 _VALUE = re.compile(rb"[=:>]*[ \t]{0,3}[\"'`]?([^\s\"'`]+)")
 _ADDRESS = re.compile(rb"://[^\s/:@]*:([^\s/@]+)@")
 _BLOCK = re.compile(rb"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----([A-Za-z0-9+/=:,\s\\]+)")
-_NAMES = tuple(sorted(SECRET_WORDS - {"private", "access", "signature", "aws", "keys"}))
+#: Words inside names: db_password, dbPassword, API-KEY2.
+_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
 class Dictionary:
@@ -101,7 +102,32 @@ class Dictionary:
         return total
 
 
-def features(before: str, candidate: str, after: str, path: str, dictionary: Dictionary) -> list[float]:
+def surroundings(before: str, candidate: str, after: str, path: str) -> tuple[list[int], int, list[int], int]:
+    """The slots of the words beside a candidate, of the last one before it, of its path's words and of its beginning."""
+    slot = lambda kind, word: crc32(f"{kind}:{word}".encode()) % SLOTS
+    ahead = [w.lower() for w in _PARTS.findall(before)[-4:]]
+    beside = ahead + [w.lower() for w in _PARTS.findall(after[:24])[:2]]
+    return [slot("beside", w) for w in beside], slot("last", ahead[-1] if ahead else ""), [slot("path", w.lower()) for w in _PARTS.findall(path)], slot("begins", candidate[:4])
+
+
+def slot_counts(findings: Iterable[tuple[str, str, str, str, float]]) -> np.ndarray:
+    """How many findings of each label, others first, have each slot, and in the last row how many there are."""
+    counts = np.zeros((SLOTS + 1, 2))
+    for before, candidate, after, path, label in findings:
+        beside, last, place, begins = surroundings(before, candidate, after, path)
+        counts[list({*beside, last, *place, begins}), int(label > 0.5)] += 1
+        counts[SLOTS, int(label > 0.5)] += 1
+    return counts
+
+
+def slot_weights(counts: np.ndarray) -> np.ndarray:
+    """For each slot the logarithm of how much more often it goes with secrets; 0 for one that was never seen."""
+    share = (counts[:SLOTS] + 1) / (counts[SLOTS] + 2)
+    seen = counts[:SLOTS].sum(axis=1) > 0
+    return np.where(seen, np.log(share[:, 1] / share[:, 0]), 0.0)
+
+
+def features(before: str, candidate: str, after: str, path: str, dictionary: Dictionary, weights: np.ndarray) -> list[float]:
     n = len(candidate)
     digits, upper, lower = (sum(map(f, candidate)) for f in (str.isdigit, str.isupper, str.islower))
     kinds = [0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3 for c in candidate]
@@ -111,9 +137,9 @@ def features(before: str, candidate: str, after: str, path: str, dictionary: Dic
     runs = [x.lower() for x in _LETTERS.findall(candidate)]
     pairs = [dictionary.surprise[r[i : i + 2]] for r in runs for i in range(len(r) - 1)]
     letters = sum(map(len, runs))
-    beside = _WORDS.findall(before.lower())[-4:] + _WORDS.findall(after.lower())[:2]
-    place = frozenset(_WORDS.findall(path.lower()))
-    lead = before.rstrip()
+    lead = before.rstrip().rstrip("\"'`").rstrip()
+    beside, last, place, begins = surroundings(before, candidate, after, path)
+    near = [float(weights[x]) for x in beside] or [0.0]
     return [
         float(min(n, 200)),
         digits / n,
@@ -125,24 +151,24 @@ def features(before: str, candidate: str, after: str, path: str, dictionary: Dic
         sum(pairs) / len(pairs) if pairs else 6.0,
         float(all(c in "0123456789abcdefABCDEF" for c in candidate)),
         sum(map(dictionary.covered, runs)) / letters if letters else 0.0,
-        float(candidate.startswith(PREFIXES)),
-        float(lead.rstrip("\"'`").rstrip().endswith(("=", ":", ">", "is"))),
+        float(lead.endswith(("=", ":"))) + 0.5 * float(lead.endswith((">", "is"))),
         float(before.endswith(('"', "'", "`"))),
-        float(sum(w in SECRET_WORDS for w in beside)),
-        float(sum(w in OTHER_WORDS for w in beside)),
-        float(not place.isdisjoint(SECRET_PATHS)),
-        float(not place.isdisjoint(OTHER_PATHS)),
         float(max(map(len, runs), default=0)) / n,
-        float(lead.rstrip("\"'`").rstrip().endswith(("=", ":")) and named((_WORDS.findall(before.lower()) or [""])[-1])),
         float(after.startswith("@") and "://" in before),
         float(before.endswith("KEY-----")),
         len(counts) / n,
+        sum(near),
+        max(near),
+        min(near),
+        float(weights[last]),
+        sum(float(weights[x]) for x in place),
+        float(weights[begins]),
     ]
 
 
 def named(word: str) -> bool:
     """Whether a name is that of a secret: password, db_password, dbPassword, API-KEY."""
-    return word.lower().endswith(_NAMES)
+    return word.lower().endswith(NAMES)
 
 
 def labelled_findings(words: list[str], n: int = FINDINGS, seed: int = 5) -> list[tuple[str, str, str, str, float]]:
@@ -221,27 +247,46 @@ def labelled_findings(words: list[str], n: int = FINDINGS, seed: int = 5) -> lis
     return found
 
 
-def fit_forest(spark: SparkSession, findings: list[tuple[str, str, str, str, float]] | DataFrame, dictionary: Dictionary, seed: int = 7) -> Forest:
-    """A forest trained from labelled findings.
+def fit_forest(spark: SparkSession, findings: list[tuple[str, str, str, str, float]] | DataFrame, dictionary: Dictionary, seed: int = 7) -> tuple[Forest, np.ndarray]:
+    """(a forest, weights of slots) learnt from labelled findings.
 
-    Findings are (before, candidate, after, path, label), a list or a table.
+    Findings are (before, candidate, after, path, label), a list or a table. A finding's
+    own label must not speak through its words, so findings are halved, and each half is
+    described by the weights of the other; every fourth is described as if its
+    surroundings had never been seen, so that the forest can do without them.
     """
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import array_to_vector
 
-    if isinstance(findings, DataFrame):
-
-        @F.pandas_udf("array<double>")
-        def described(before, candidate, after, path):
-            return pd.Series([features(*row, dictionary) for row in zip(before, candidate, after, path, strict=True)])
-
-        rows = findings.select(described("before", "candidate", "after", "path").alias("x"), F.col("label").cast("double").alias("label"))
-    else:
-        rows = spark.createDataFrame([(features(b, c, a, p, dictionary), y) for b, c, a, p, y in findings], "x array<double>, label double")
+    columns = ["before", "candidate", "after", "path", "label"]
+    if not isinstance(findings, DataFrame):
+        findings = spark.createDataFrame(findings, "before string, candidate string, after string, path string, label double")
+    turn = F.xxhash64("before", "candidate", "after")
+    rows = findings.select(*columns).withColumn("half", F.pmod(turn, F.lit(2)).cast("int")).withColumn("blind", F.pmod(F.shiftright(turn, 8), F.lit(4)) == 0)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for half, own in batch.groupby("half"):
+                counts = slot_counts(own[columns].itertuples(index=False, name=None))
+                slot, label = np.nonzero(counts)
+                yield pd.DataFrame({"half": half, "slot": slot, "label": label, "n": counts[slot, label]})
+
+    counted = rows.mapInPandas(count, "half int, slot bigint, label bigint, n double").groupBy("half", "slot", "label").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros((2, SLOTS + 1, 2))
+    for r in counted:
+        counts[r.half, r.slot, r.label] = r.n
+    each = [slot_weights(counts[1]), slot_weights(counts[0]), np.zeros(SLOTS)]
+
+    @F.pandas_udf("array<double>")
+    def described(before: pd.Series, candidate: pd.Series, after: pd.Series, path: pd.Series, which: pd.Series) -> pd.Series:
+        return pd.Series([features(*row, dictionary, each[w]) for *row, w in zip(before, candidate, after, path, which, strict=True)])
+
+    which = F.when(F.col("blind"), 2).otherwise(F.col("half"))
+    rows = rows.select(described(*columns[:4], which).alias("x"), F.col("label").cast("double").alias("label"))
     model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="sqrt").fit(rows.select(array_to_vector("x").alias("features"), "label"))
     if not all(hasattr(tree, "_java_obj") for tree in model.trees):
         raise TypeError("this session's forests have no nodes that can be read")
-    return Forest([_nodes(tree._java_obj.rootNode()) for tree in model.trees])
+    return Forest([_nodes(tree._java_obj.rootNode()) for tree in model.trees]), slot_weights(counts.sum(axis=0))
 
 
 class Forest:
@@ -361,11 +406,11 @@ def candidates(texts: pa.Array) -> Iterator[tuple[int, int, str, str, str]]:
             yield (a + own, chars, *(part.decode("utf-8", "ignore") for part in beside))
 
 
-def _rated(texts: pa.Array, paths: list[str | None], forest: Forest, dictionary: Dictionary) -> Iterator[tuple[int, int, str, float]]:
+def _rated(texts: pa.Array, paths: list[str | None], forest: Forest, dictionary: Dictionary, weights: np.ndarray) -> Iterator[tuple[int, int, str, float]]:
     """(text, first character, candidate, score) of each candidate."""
     found = candidates(texts)
     while some := list(islice(found, TOGETHER)):
-        x = np.array([features(before, candidate, after, paths[i] or "", dictionary) for i, _, before, candidate, after in some])
+        x = np.array([features(before, candidate, after, paths[i] or "", dictionary, weights) for i, _, before, candidate, after in some])
         yield from ((i, at, candidate, score) for (i, at, _, candidate, _), score in zip(some, forest.rate(x).tolist(), strict=True))
 
 
@@ -373,9 +418,9 @@ class Scanner:
     """A forest and its dictionary, trained once, for scanning or redacting tables of texts."""
 
     def __init__(self, spark: SparkSession, words: list[str], findings: list | DataFrame | None = None, threshold: float = 0.5):
-        forest = fit_forest(spark, findings if findings is not None else labelled_findings(words), Dictionary(words))
+        forest, weights = fit_forest(spark, findings if findings is not None else labelled_findings(words), Dictionary(words))
         self.threshold, self._spark = threshold, spark
-        self._shared = spark.sparkContext.broadcast((forest, words))
+        self._shared = spark.sparkContext.broadcast((forest, words, weights))
 
     def scan(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
         """(doc_id, start, n_chars, candidate, score, secret): a row for each candidate, by its first character from 0."""
@@ -383,11 +428,11 @@ class Scanner:
         small_batches(docs.sparkSession)
 
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            forest, words = shared.value
+            forest, words, weights = shared.value
             dictionary = Dictionary(words)
             for batch in batches:
                 ids = batch.column(0)
-                rows = list(_rated(batch.column(1), batch.column(2).to_pylist(), forest, dictionary))
+                rows = list(_rated(batch.column(1), batch.column(2).to_pylist(), forest, dictionary, weights))
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array([r[0] for r in rows], pa.int32())),
@@ -405,9 +450,9 @@ class Scanner:
 
     def quality(self, findings: list[tuple[str, str, str, str, float]]) -> tuple[float, float]:
         """(precision, recall) over labelled findings that the forest was not trained on."""
-        forest, words = self._shared.value
+        forest, words, weights = self._shared.value
         dictionary = Dictionary(words)
-        said = forest.rate(np.array([features(b, c, a, p, dictionary) for b, c, a, p, _ in findings])) >= self.threshold
+        said = forest.rate(np.array([features(b, c, a, p, dictionary, weights) for b, c, a, p, _ in findings])) >= self.threshold
         truth = np.array([y > 0.5 for *_, y in findings])
         both = float((said & truth).sum())
         return both / max(float(said.sum()), 1.0), both / max(float(truth.sum()), 1.0)
@@ -419,12 +464,12 @@ class Scanner:
 
         @F.pandas_udf("string")
         def clean(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-            forest, words = shared.value
+            forest, words, weights = shared.value
             dictionary = Dictionary(words)
             for texts, paths in batches:
                 out = texts.astype(object).tolist()
                 found: dict[int, list[tuple[int, int]]] = {}
-                for i, at, candidate, score in _rated(pa.array(out, pa.string(), from_pandas=True), paths.tolist(), forest, dictionary):
+                for i, at, candidate, score in _rated(pa.array(out, pa.string(), from_pandas=True), paths.tolist(), forest, dictionary, weights):
                     if score >= threshold:
                         found.setdefault(i, []).append((at, at + len(candidate)))
                 for i, spans in found.items():

@@ -143,5 +143,20 @@ def test_candidates_are_those_of_regular_expressions():
 def test_a_table_of_findings_trains_the_same_way(spark):
     rows = secrets.labelled_findings(WORDS, 200)
     df = spark.createDataFrame(rows, "before string, candidate string, after string, path string, label double")
-    forest = secrets.fit_forest(spark, df, secrets.Dictionary(WORDS))
-    assert len(forest) == secrets.TREES
+    forest, weights = secrets.fit_forest(spark, df, secrets.Dictionary(WORDS))
+    same, again = secrets.fit_forest(spark, rows, secrets.Dictionary(WORDS))
+    assert len(forest) == len(same) == secrets.TREES and (weights == again).all()
+
+
+def test_words_are_learnt_from_the_findings(spark):
+    """Findings whose secrets are told by words of no list of the library."""
+    rng = random.Random(21)
+    pick = lambda k: "".join(rng.choice("abcdefghjkmnpqrstuvwxyz23456789") for _ in range(k))
+    rows = [(f"the {rng.choice(['zugang', 'kennwort']) if i % 2 else rng.choice(['beleg', 'vorgang'])} ", pick(20), " and", "", float(i % 2)) for i in range(600)]
+    _, weights = secrets.fit_forest(spark, rows, secrets.Dictionary(WORDS))
+    weight = {w: weights[secrets.surroundings(f"the {w} ", "x", "", "")[1]] for w in ("zugang", "kennwort", "beleg", "vorgang", "never")}
+    assert min(weight["zugang"], weight["kennwort"]) > 1 and max(weight["beleg"], weight["vorgang"]) < -1 and abs(weight["never"]) < 1
+    scanner = secrets.Scanner(spark, WORDS, rows)
+    texts = [(i, f"see the {w} {pick(20)} and on", "") for i, w in enumerate(["kennwort", "beleg"] * 20)]
+    said = {r.doc_id for r in scanner.scan(spark.createDataFrame(texts, "doc_id bigint, text string, source string")).where("secret").collect()}
+    assert len({i for i in said if i % 2 == 0}) >= 18 and len({i for i in said if i % 2}) <= 2
