@@ -298,6 +298,16 @@ class Forest:
         self.feature, self.left, self.right = (padded[..., i].astype(np.int32) for i in (0, 2, 3))
         self.threshold, self.share = padded[..., 1], padded[..., 4]
 
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        return self.feature, self.left, self.right, self.threshold, self.share
+
+    @classmethod
+    def of(cls, arrays: tuple[np.ndarray, ...]) -> Forest:
+        """From arrays(), which executors can read without this module."""
+        forest = cls.__new__(cls)
+        forest.feature, forest.left, forest.right, forest.threshold, forest.share = arrays
+        return forest
+
     def __len__(self) -> int:
         return len(self.feature)
 
@@ -420,7 +430,7 @@ class Scanner:
     def __init__(self, spark: SparkSession, words: list[str], findings: list | DataFrame | None = None, threshold: float = 0.5):
         forest, weights = fit_forest(spark, findings if findings is not None else labelled_findings(words), Dictionary(words))
         self.threshold, self._spark = threshold, spark
-        self._shared = spark.sparkContext.broadcast((forest, words, weights))
+        self._shared = spark.sparkContext.broadcast((forest.arrays(), words, weights))
 
     def scan(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
         """(doc_id, start, n_chars, candidate, score, secret): a row for each candidate, by its first character from 0."""
@@ -428,7 +438,8 @@ class Scanner:
         small_batches(docs.sparkSession)
 
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            forest, words, weights = shared.value
+            arrays, words, weights = shared.value
+            forest = Forest.of(arrays)
             dictionary = Dictionary(words)
             for batch in batches:
                 ids = batch.column(0)
@@ -450,7 +461,8 @@ class Scanner:
 
     def quality(self, findings: list[tuple[str, str, str, str, float]]) -> tuple[float, float]:
         """(precision, recall) over labelled findings that the forest was not trained on."""
-        forest, words, weights = self._shared.value
+        arrays, words, weights = self._shared.value
+        forest = Forest.of(arrays)
         dictionary = Dictionary(words)
         said = forest.rate(np.array([features(b, c, a, p, dictionary, weights) for b, c, a, p, _ in findings])) >= self.threshold
         truth = np.array([y > 0.5 for *_, y in findings])
@@ -464,7 +476,8 @@ class Scanner:
 
         @F.pandas_udf("string")
         def clean(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-            forest, words, weights = shared.value
+            arrays, words, weights = shared.value
+            forest = Forest.of(arrays)
             dictionary = Dictionary(words)
             for texts, paths in batches:
                 out = texts.astype(object).tolist()
