@@ -287,20 +287,19 @@ def _first_pairs(members: DataFrame) -> DataFrame:
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that connect all that link of each first member a with its others, and more of them that do.
 
-    The sets of a star are a task's work: its first member is answered, and the answers
-    of the others are derived from it and from one another. A star of any size is dealt
-    into blocks, each with the first member; small ones share tasks.
+    pairs: (a, b, n), with b's size. The sets of a star are a task's work: its first
+    member is answered, and the answers of the others are derived from it and from one
+    another. Stars are dealt into as many blocks as the largest needs, each block with
+    the first member; small blocks share tasks.
     """
-    sized = pairs.join(sets.select(F.col("node").alias("b"), F.size("shingles").alias("n")), "b")
-    stars = sized.groupBy("a").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
-    stars = stars.select("a", F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"), "s")
-    stars = written(stars, "stars", narrow=True)
-    work = stars.agg(F.sum("s")).first()[0] or 0
-    dealt = pairs.join(stars.select("a", "blocks"), "a").select("a", F.col("b").alias("node"), F.pmod(F.xxhash64("b"), F.col("blocks").cast("bigint")).alias("block"))
-    first = stars.select("a", F.col("a").alias("node"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks").cast("bigint") - 1)).alias("block"))
-    rows = dealt.unionByName(first).join(sets, "node")
+    stars = pairs.groupBy("a").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
+    m, s, work = stars.agg(F.max("m"), F.max("s"), F.sum("s")).first()
+    blocks = max(1, ceil((m or 0) / BLOCK_SETS), ceil((s or 0) / BLOCK_SHINGLES))
+    dealt = pairs.select("a", F.col("b").alias("node"), F.pmod(F.xxhash64("b"), F.lit(blocks)).alias("block"))
+    first = dealt.select("a", F.col("a").alias("node"), "block").distinct()
     place = F.xxhash64("a", "block")
-    rows = rows.select(F.pmod(place, F.lit(1 + work // BLOCK_SHINGLES)).alias("part"), place.alias("place"), "node", "shingles")
+    parts = 1 + (work or 0) // BLOCK_SHINGLES
+    rows = dealt.unionByName(first).select(F.pmod(place, F.lit(parts)).alias("part"), place.alias("place"), "node").join(sets, "node")
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.sort_by([("place", "ascending"), ("node", "ascending")])
@@ -354,17 +353,17 @@ def may_link(sizes: np.ndarray, bits: list[np.ndarray], percent: int) -> list[tu
 
 
 def _may_link(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) of nodes that can't be told to be no link by their parities."""
+    """Those pairs (a, b) of nodes that can't be told to be no link by their parities, with the size of b."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = np.stack([batch.column(i).to_numpy() for i in (2, 4)], axis=1)
             bits = [[np.frombuffer(x, np.uint8) for x in batch.column(i).to_pylist()] for i in (3, 5)]
             kept = [bool(may_link(own, [x, y], percent)) for own, x, y in zip(n, *bits, strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(kept, pa.bool_())) for i in (0, 1, 4)], names=["a", "b", "n"])
 
     held = pairs.join(sketches.toDF("b", "m", "y"), "b").join(sketches.toDF("a", "n", "x"), "a")
-    return held.select("a", "b", "n", "x", "m", "y").mapInArrow(keep, "a bigint, b bigint").distinct()
+    return held.select("a", "b", "n", "x", "m", "y").mapInArrow(keep, "a bigint, b bigint, n bigint").distinct()
 
 
 def _near_pairs(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
