@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .lm import likely_rows
 from .store import small_batches, written
 from .text import ALNUM, grams, hash_words, pieces, split_words
 
@@ -162,8 +163,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: T
     small_batches(docs.sparkSession)
     known = template_table(docs.sparkSession, phrases, templates)
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("rid"), F.xxhash64(F.lit("more"), text, doc_id).alias("more"), F.col(text).alias("text"))
-    spans = written(find_spans(keyed.select("rid", "more", "text"), known), "spans").join(known.select("template", "label", "phrase", F.col("text").alias("want")), "template")
+    spans = find_spans(keyed.select("rid", "more", "text"), known).join(known.select("template", "label", "phrase", F.col("text").alias("want")), "template")
     spans = spans.groupBy("rid", "more").agg(F.sort_array(F.collect_set(F.struct("template", "first", "last", "label", "phrase", "want"))).alias("spans"))
+    spans = written(spans, "spans", narrow=True)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,7 +185,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: T
             kind = pa.list_(pa.struct([("label", pa.string()), ("phrase", pa.bool_()), ("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, kind)], names=["rid", "more", "spans"])
 
-    checked = keyed.join(spans, ["rid", "more"]).select("rid", "more", "text", "spans").mapInArrow(verify, "rid bigint, more bigint, spans array<struct<label:string,phrase:boolean,first:bigint,last:bigint,score:double>>")
+    # few texts have a span, so those that can't are left where they are
+    able = likely_rows(keyed.select(F.col("rid").alias("doc_id"), "more", "text"), spans.select(F.col("rid").alias("doc_id"))).withColumnRenamed("doc_id", "rid")
+    checked = able.join(spans, ["rid", "more"]).select("rid", "more", "text", "spans").mapInArrow(verify, "rid bigint, more bigint, spans array<struct<label:string,phrase:boolean,first:bigint,last:bigint,score:double>>")
     checked = written(checked.dropDuplicates(["rid", "more"]), "licenses")
     base = F.filter(F.coalesce("spans", F.array().cast("array<struct<label:string,phrase:boolean,first:bigint,last:bigint,score:double>>")), lambda s: s["phrase"])
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
