@@ -161,7 +161,7 @@ def features(before: str, candidate: str, after: str, path: str, dictionary: Dic
         max(near),
         min(near),
         float(weights[last]),
-        sum(float(weights[x]) for x in place),
+        sum((float(weights[x]) for x in place), 0.0),
         float(weights[begins]),
     ]
 
@@ -259,30 +259,35 @@ def fit_forest(spark: SparkSession, findings: list[tuple[str, str, str, str, flo
     from pyspark.ml.functions import array_to_vector
 
     columns = ["before", "candidate", "after", "path", "label"]
-    if not isinstance(findings, DataFrame):
-        findings = spark.createDataFrame(findings, "before string, candidate string, after string, path string, label double")
-    turn = F.xxhash64("before", "candidate", "after")
-    rows = findings.select(*columns).withColumn("half", F.pmod(turn, F.lit(2)).cast("int")).withColumn("blind", F.pmod(F.shiftright(turn, 8), F.lit(4)) == 0)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for half, own in batch.groupby("half"):
-                counts = slot_counts(own[columns].itertuples(index=False, name=None))
-                slot, label = np.nonzero(counts)
-                yield pd.DataFrame({"half": half, "slot": slot, "label": label, "n": counts[slot, label]})
-
-    counted = rows.mapInPandas(count, "half int, slot bigint, label bigint, n double").groupBy("half", "slot", "label").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros((2, SLOTS + 1, 2))
-    for r in counted:
-        counts[r.half, r.slot, r.label] = r.n
-    each = [slot_weights(counts[1]), slot_weights(counts[0]), np.zeros(SLOTS)]
-
-    @F.pandas_udf("array<double>")
-    def described(before: pd.Series, candidate: pd.Series, after: pd.Series, path: pd.Series, which: pd.Series) -> pd.Series:
-        return pd.Series([features(*row, dictionary, each[w]) for *row, w in zip(before, candidate, after, path, which, strict=True)])
-
-    which = F.when(F.col("blind"), 2).otherwise(F.col("half"))
-    rows = rows.select(described(*columns[:4], which).alias("x"), F.col("label").cast("double").alias("label"))
+    counts, columns = np.zeros((2, SLOTS + 1, 2)), ["before", "candidate", "after", "path", "label"]
+    if isinstance(findings, DataFrame):
+        turn = F.crc32(F.concat("before", "candidate", "after"))
+        found = findings.select(*columns).withColumn("half", (turn % 2).cast("int")).withColumn("which", F.when(F.floor(turn / 2) % 4 == 0, 2).otherwise((turn % 2).cast("int")))
+
+        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for half, own in batch.groupby("half"):
+                    held = slot_counts(own[columns].itertuples(index=False, name=None))
+                    slot, label = np.nonzero(held)
+                    yield pd.DataFrame({"half": half, "slot": slot, "label": label, "n": held[slot, label]})
+
+        # at most SLOTS rows for each half and label
+        for r in found.mapInPandas(count, "half int, slot bigint, label bigint, n double").groupBy("half", "slot", "label").agg(F.sum("n").alias("n")).collect():
+            counts[r.half, r.slot, r.label] = r.n
+        each = [slot_weights(counts[1]), slot_weights(counts[0]), np.zeros(SLOTS)]
+
+        @F.pandas_udf("array<double>")
+        def described(before: pd.Series, candidate: pd.Series, after: pd.Series, path: pd.Series, which: pd.Series) -> pd.Series:
+            return pd.Series([features(*row, dictionary, each[w]) for *row, w in zip(before, candidate, after, path, which, strict=True)])
+
+        rows = found.select(described(*columns[:4], "which").alias("x"), F.col("label").cast("double").alias("label"))
+    else:
+        turns = [crc32((b + c + a).encode()) for b, c, a, _, _ in findings]
+        for half in (0, 1):
+            counts[half] = slot_counts(f for f, t in zip(findings, turns, strict=True) if t % 2 == half)
+        each = [slot_weights(counts[1]), slot_weights(counts[0]), np.zeros(SLOTS)]
+        made = [(features(*f[:4], dictionary, each[2 if t // 2 % 4 == 0 else t % 2]), f[4]) for f, t in zip(findings, turns, strict=True)]
+        rows = spark.createDataFrame(made, "x array<double>, label double")
     model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="sqrt").fit(rows.select(array_to_vector("x").alias("features"), "label"))
     if not all(hasattr(tree, "_java_obj") for tree in model.trees):
         raise TypeError("this session's forests have no nodes that can be read")
