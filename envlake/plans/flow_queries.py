@@ -69,7 +69,7 @@ def registers_snapshot(spark, d):
 
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS cpf, c_name AS nome, CASE WHEN c_custkey % 3 = 0 THEN 'ativo' END AS status, CAST(c_nationkey AS VARCHAR) AS estacao_id FROM customer WHERE c_custkey % 5 <> 0")
-def operators_documents(spark, d):
+def documents_of_operators(spark, d):
     """Customers as operators in a document for each nation; those with a blank station are left out."""
     folder, c = scratch(spark, "operators"), table(spark, d, "customer")
     one = F.struct(F.col("c_custkey").cast("string").alias("cpf"), F.col("c_name").alias("nome"), F.when(F.col("c_custkey") % 3 == 0, "ativo").alias("status"), F.when(F.col("c_custkey") % 5 == 0, " ").otherwise(F.col("c_nationkey").cast("string")).alias("estacao_id"))
