@@ -35,7 +35,7 @@ def test_run_and_registration(spark, data):
     assert found.count() > 0 and found.where("taken > 2 * size").count() == 0
     names = __spark_entry__.queries()
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "benchmark_decontamination", "secret_scan", "mix_sources"]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
 
 
 def test_near_copies_share_five_words_and_80_percent(spark, data):
