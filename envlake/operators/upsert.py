@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import exact_decimal, outside
-from .keys import keep_first
 
 INSERT, REPLAY, ENRICH, UPDATE, REJECT, REPAIR = "insert", "replay", "enrich", "update", "reject", "repair"
 
@@ -32,12 +31,6 @@ def classify(new: DataFrame, existing: DataFrame, key: Sequence[str], same: Sequ
     return new.join(old, list(key), "left").withColumn("verdict", verdict).select(*new.columns, "verdict")
 
 
-def insert_ignore(new: DataFrame, existing: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """existing and the first new row of every key that it lacks."""
-    added = keep_first(new, key, order).join(existing.select(*key), list(key), "left_anti")
-    return existing.unionByName(added, allowMissingColumns=True)
-
-
 def upsert(new: DataFrame, existing: DataFrame, key: Sequence[str], update: Sequence[str], keep_if_null: Sequence[str] = ()) -> DataFrame:
     """(key, columns, verdict): existing with changed columns updated and new keys added.
 

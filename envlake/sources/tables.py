@@ -32,10 +32,10 @@ from ..domain import Contract
 from ..functions.times import in_utc, utc_day, utc_midnight
 from ..operators.keys import duplicate_keys, keep_first
 from ..operators.quality import assess, dimension_counts, require_columns, typed
-from .files import children, exists, fs_path, move, remove, write_text
+from .files import children, exists, fs_path, remove, write_text
 from .versions import PREFIX, Lease, Snapshot, clean, current, leased, new_folder, publish, to_gather
 
-__all__ = ["children", "exists", "merge", "move", "read_days", "read_table", "rebuild", "remove", "write_csv", "write_text"]
+__all__ = ["DAY", "Written", "checked_days", "has_table", "merge", "read_days", "read_table", "rebuild", "write_csv", "write_csv_parts", "write_star"]
 log = logging.getLogger("envlake.insertion")
 DAY = "dia_utc"
 #: Folders of a day, and of the index, beyond which a write puts them together.
