@@ -585,8 +585,7 @@ def sorted_publish(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 2 == 0).alias("even"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority")).alias("priority"), F.col("o_orderdate").cast("timestamp_ntz").alias("at"))
     path = f"{scratch(spark, 'report')}/orders.csv"
     tables.write_csv(o, path, ["at", "o_orderkey"])
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("place", "line"))
-    return lines.where("place > 0 and line <> ''").select(F.col("place").cast("bigint").alias("place"), "line")
+    return tables.numbered_lines(spark, path).where("place > 0 and line <> ''")
 
 
 @query("SELECT CAST(event_id AS VARCHAR) AS id_leitura_origem, round(value, 7) AS valor FROM events ORDER BY value DESC, CAST(event_id AS VARCHAR) LIMIT 20")

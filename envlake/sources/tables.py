@@ -24,7 +24,7 @@ from datetime import date, datetime, timezone
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -32,10 +32,11 @@ from ..domain import Contract
 from ..functions.times import in_utc, utc_day, utc_midnight
 from ..operators.keys import duplicate_keys, keep_first
 from ..operators.quality import assess, dimension_counts, require_columns, typed
+from ..scratch import written
 from .files import children, exists, fs_path, remove, write_text
 from .versions import PREFIX, Lease, Snapshot, clean, current, leased, new_folder, publish, to_gather
 
-__all__ = ["DAY", "Written", "checked_days", "has_table", "merge", "read_days", "read_table", "rebuild", "write_csv", "write_csv_parts", "write_star"]
+__all__ = ["DAY", "Written", "checked_days", "has_table", "merge", "numbered_lines", "read_days", "read_table", "rebuild", "write_csv", "write_csv_parts", "write_star"]
 log = logging.getLogger("envlake.insertion")
 DAY = "dia_utc"
 #: Folders of a day, and of the index, beyond which a write puts them together.
@@ -334,6 +335,21 @@ def write_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
         remove(spark, stage)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(place, line): the lines of a text file of any size with their places from 0 on.
+
+    Tasks take ranges of the file; the lines of each are numbered and shifted by the
+    counts of the ranges before it. They are written once, so that no later reading
+    cuts the file otherwise.
+    """
+    text = spark.read.option("lineSep", "\n").text(path)
+    lines = written(text.select(F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line")), "lines")
+    counts = written(lines.groupBy("_block").agg(F.count("*").alias("_n"), F.min("_at").alias("_first")), "counts")
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select("_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return lines.join(shift, "_block").select((F.col("_at") + F.col("_shift")).alias("place"), "line")
+
+
 def write_csv_parts(df: DataFrame, path: str, order: Sequence[str]) -> None:
     """The same dialect as a folder of sorted parts, each with its header; their names are in the order of the rows. Nothing passes the driver."""
     df.orderBy(*order).select(*_report_text(df)).write.mode("overwrite").option("sep", ";").option("header", "true").option("emptyValue", "").option("nullValue", "").csv(path)
