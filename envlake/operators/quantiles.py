@@ -1,7 +1,9 @@
 """Exact quantiles of groups of any size.
 
-percentile() holds a group's distinct values in one task. Here a sketch of each group,
-made before the shuffle, gives bounds a little below and above each wanted quantile.
+percentile() holds a group's distinct values in a task's memory. Here the distinct values
+of a group are counted before the shuffle and streamed in order through one task. Of a
+group that is too large for that, a sketch, made before the shuffle, gives bounds a
+little below and above each wanted quantile.
 They cut the numbers into classes: those at a bound, and those between two. Classes are
 counted, again before the shuffle, and only the class in which a wanted rank falls is
 looked at by distinct value: those near a quantile, however the values are spread, and
@@ -12,12 +14,17 @@ and the result is still exact.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import written
+
 #: How far beside a quantile its bounds lie, as a share of the group, and the sketch's accuracy.
 BESIDE, ACCURACY = 0.002, 4000
+#: A group is large if it has more numbers than the first, and more than one in so many of all; and beyond the last in any case.
+LEAST_LARGE, SHARE, MOST_IN_TASK = 64_000, 1000, 1_000_000
 
 
 def same_group(by: Sequence[str], left: str, right: str):
@@ -37,14 +44,47 @@ def join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFr
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], names: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
     """(by, more, names): the quantiles of each group's numbers, interpolated between ranks; groups without numbers have none.
 
-    more are other aggregates of the groups, made in the same pass as the sketches; without them groups without numbers are left out.
+    more are other aggregates of the groups, made in one pass with their counts, which is
+    written; without them groups without numbers are left out. Large groups, which would keep
+    a task longer than others, are told from the rest by a join with them, if there are any.
     """
-    near = sorted({min(1.0, max(0.0, p + d)) for p in probabilities for d in (-BESIDE, BESIDE)})
     number = F.col(value).cast("double")
-    bounds = F.array_sort(F.array_distinct(F.percentile_approx(number, [float(p) for p in near], ACCURACY)))
-    groups = df.groupBy(*by).agg(F.count(number).alias("_n"), bounds.alias("_bounds"), *more)
+    groups = written(df.groupBy(*by).agg(F.count(number).alias("_n"), *more), "groups")
     rows = df.where(number.isNotNull()).select(*by, number.alias("_v"))
-    marked = join_groups(rows, groups.select(*by, "_n", "_bounds"), by)
+    total, largest = (n or 0 for n in groups.agg(F.sum("_n"), F.max("_n")).first())
+    most = min(MOST_IN_TASK, max(LEAST_LARGE, total // SHARE))
+    if largest <= most:
+        found = _by_value(rows, by, probabilities, names)
+    else:
+        large = groups.where(F.col("_n") > most).select(*by)
+        part = lambda how: rows.alias("l").join(large.alias("r"), same_group(by, "l", "r"), how)
+        found = _by_value(part("left_anti"), by, probabilities, names).unionByName(_by_class(part("left_semi"), by, probabilities, names))
+    return join_groups(groups.drop("_n"), found, by) if more else found
+
+
+def _ranked(position: Column, low: Column, high: Column) -> Column:
+    """The number at a position between those of the ranks below and above."""
+    return F.when(low == high, low).otherwise((F.ceil(position) - position) * low + (position - F.floor(position)) * high)
+
+
+def _by_value(rows: DataFrame, by: Sequence[str], probabilities: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Quantiles by the ranks of a group's distinct numbers, which one task takes in order; equal ones are counted before the shuffle."""
+    values = rows.groupBy(*by, "_v").agg(F.count("*").alias("_c"))
+    order = Window.partitionBy(*by).orderBy("_v")
+    values = values.withColumns({"_n": F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), "_upto": F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0))})
+    holds = lambda rank: (rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto"))
+    ranks = [(round_((F.col("_n") - 1) * p), f"_{i}{side}") for i, p in enumerate(probabilities) for side, round_ in (("low", F.floor), ("high", F.ceil))]
+    near = values.where(reduce(lambda a, b: a | b, [holds(rank) for rank, _ in ranks]))
+    at = near.groupBy(*by).agg(F.first("_n").alias("_n"), *[F.max(F.when(holds(rank), F.col("_v"))).alias(name) for rank, name in ranks])
+    return at.select(*by, *[_ranked((F.col("_n") - 1) * p, F.col(f"_{i}low"), F.col(f"_{i}high")).alias(name) for i, (p, name) in enumerate(zip(probabilities, names, strict=True))])
+
+
+def _by_class(rows: DataFrame, by: Sequence[str], probabilities: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Quantiles of large groups by the classes that sketches give."""
+    near = sorted({min(1.0, max(0.0, p + d)) for p in probabilities for d in (-BESIDE, BESIDE)})
+    bounds = F.array_sort(F.array_distinct(F.percentile_approx("_v", [float(p) for p in near], ACCURACY)))
+    groups = written(rows.groupBy(*by).agg(F.count("*").alias("_n"), bounds.alias("_bounds")), "sketches")
+    marked = join_groups(rows, groups, by)
     # twice the bounds below a number, and one if it is a bound
     place = F.aggregate("_bounds", F.lit(0), lambda k, b: k + (F.col("_v") > b).cast("int") + (F.col("_v") >= b).cast("int"))
     classed = marked.select(*by, "_v", "_n", place.alias("_class"))
@@ -60,10 +100,4 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probabilities:
     values = values.withColumn("_at", F.col("_base") + F.coalesce(F.sum("_c").over(inside), F.lit(0)))
     found = values.withColumn("_rank", F.explode(F.filter("_ranks", lambda r: (r >= F.col("_at")) & (r < F.col("_at") + F.col("_c")))))
     at = found.groupBy(*by).agg(F.first("_n").alias("_n"), F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_m"))
-    out = []
-    for p, name in zip(probabilities, names, strict=True):
-        position = (F.col("_n") - 1) * p
-        low, high = F.col("_m")[F.floor(position)], F.col("_m")[F.ceil(position)]
-        out.append(F.when(low == high, low).otherwise((F.ceil(position) - position) * low + (position - F.floor(position)) * high).alias(name))
-    found = at.select(*by, *out)
-    return join_groups(groups.drop("_n", "_bounds"), found, by) if more else found
+    return at.select(*by, *[_ranked((F.col("_n") - 1) * p, F.col("_m")[F.floor((F.col("_n") - 1) * p)], F.col("_m")[F.ceil((F.col("_n") - 1) * p)]).alias(name) for p, name in zip(probabilities, names, strict=True)])

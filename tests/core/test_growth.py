@@ -1,7 +1,9 @@
 """What a task reads, and how often rows are made, must not follow the size of a table."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from envlake.operators import quantiles
 from envlake.plans.queries import queries
 from envlake.sources import tables
 
@@ -30,3 +32,17 @@ def test_lines_are_numbered_over_ranges_of_a_file(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sorted((r.place, r.line) for r in found) == [(i, f"{i}{'x' * (i % 50)}") for i in range(3000)]
+
+
+def test_small_groups_need_no_sketch_and_large_ones_are_told_from_them(spark, monkeypatch):
+    sketched = []
+    real = quantiles.F.percentile_approx
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda *a: sketched.append(a) or real(*a))
+    df = spark.range(9000).selectExpr("if(id < 6000, null, cast(id % 300 as string)) as k", "cast(id * 7919 % 4001 as double) as v")
+    by_value = {r.k: (r.n, r.a, r.b) for r in quantiles.exact_quantiles(df, ["k"], "v", (0.25, 0.9), ("a", "b"), [F.count("*").alias("n")]).collect()}
+    assert not sketched and len(by_value) == 301
+    monkeypatch.setattr(quantiles, "LEAST_LARGE", 100)
+    mixed = {r.k: (r.n, r.a, r.b) for r in quantiles.exact_quantiles(df, ["k"], "v", (0.25, 0.9), ("a", "b"), [F.count("*").alias("n")]).collect()}
+    assert len(sketched) == 1 and mixed == by_value
+    own = np.array([i * 7919 % 4001 for i in range(6000)], dtype=float)
+    assert mixed[None] == (6000, *np.quantile(own, [0.25, 0.9]))
