@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..domain import PARAMETERS, WATER, WEATHER
 from ..functions import times
 from ..operators import keys, quality
-from ..scratch import scratch
+from ..scratch import scratch, written
 from ..sources import raw, tables
 from ..streaming import ingest
 from . import medallion, relational, reports
@@ -22,6 +22,11 @@ from .queries import customer_readings, query, table
 VALUES = ("temperatura", "ph", "oxigenio_dissolvido", "condutividade", "turbidez")
 
 
+def keys_alone(spark, d) -> DataFrame:
+    """The customers' keys dealt over tasks: a file's keys are a few megabytes, one task's reading, and a line of JSON for each is many times that."""
+    return table(spark, d, "customer").select("c_custkey").repartition("c_custkey")
+
+
 def water_records(rows: DataFrame, key, station, at, temperature) -> DataFrame:
     """rows with their record, a variant as the water endpoint sends it."""
     measures = F.struct(*[F.struct((temperature if v == "temperatura" else F.lit(7.0)).alias("valor")).alias(v) for v in VALUES])
@@ -116,12 +121,12 @@ LATE = "SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 3 = 0 THE
 @query(f"SELECT id, v, day, CAST(0 AS BIGINT) AS n_rejected FROM ({LATE}) UNION ALL SELECT reason, NULL, NULL, n FROM (SELECT 'temperatura_agua: out of range' AS reason, (SELECT count(*) FROM customer WHERE c_custkey % 7 = 0) + (SELECT count(*) FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 3 = 0) AS n) UNION ALL SELECT 'line: no record', NULL, NULL, (SELECT count(*) FROM customer)")
 def stream_late_days(spark, d):
     """Readings of a later batch for days that are there: streamed, merged into the old days, first of a key wins; what is rejected is counted by reason."""
-    root, c = scratch(spark, "late"), table(spark, d, "customer")
+    root, c = scratch(spark, "late"), keys_alone(spark, d)
     at = F.timestamp_add("day", (F.col("c_custkey") % 3).cast("int"), F.lit("2026-01-01 10:00:00").cast("timestamp"))
     warm = lambda v: F.when(F.col("c_custkey") % 7 == 0, 99.0).otherwise(v)
     first = lambda rows, v: water_records(rows, F.col("c_custkey"), F.lit("E1"), at, warm(v)).select("record")
     raw.write_lines(first(c.where("c_custkey % 3 = 0"), 20.0), WATER.name, "s", f"{root}/in", datetime(2026, 1, 1, tzinfo=timezone.utc))
-    stations = spark.createDataFrame([("E1", 1, 1)], "codigo_origem string, id_estacao bigint, id_cidade bigint")
+    stations = written(spark.createDataFrame([("E1", 1, 1)], "codigo_origem string, id_estacao bigint, id_cidade bigint"), "stations")
     resolve = lambda rows: medallion.resolve(rows, WATER, stations)
     for turn in range(2):
         ingest.merge_stream(spark, f"{root}/in", WATER.name, f"{root}/silver", f"{root}/checkpoint", resolve).awaitTermination()
@@ -149,9 +154,9 @@ def event_foreign_keys(spark, d):
 @query("SELECT CAST(c_custkey AS VARCHAR) AS id_leitura_origem, CASE WHEN c_custkey % 10 BETWEEN 2 AND 4 THEN 25.0 ELSE 20.0 END AS temperatura_agua, CAST(c_custkey % 10 AS BIGINT) AS day FROM customer")
 def backfill_replaced_days(spark, d):
     """Raw batches loaded by day, then three of the days loaded again from corrected batches, in place of what they had."""
-    root, c = scratch(spark, "backfill"), table(spark, d, "customer")
+    root, c = scratch(spark, "backfill"), keys_alone(spark, d)
     at = F.timestamp_add("day", (F.col("c_custkey") % 10).cast("int"), F.lit("2026-01-01 10:00:00").cast("timestamp"))
-    stations = spark.createDataFrame([("E1", 1, 1)], "codigo_origem string, id_estacao bigint, id_cidade bigint")
+    stations = written(spark.createDataFrame([("E1", 1, 1)], "codigo_origem string, id_estacao bigint, id_cidade bigint"), "stations")
     for name, v in (("first", 20.0), ("corrected", 25.0)):
         raw.write_lines(water_records(c, F.col("c_custkey"), F.lit("E1"), at, F.lit(v)).select("record"), WATER.name, "s", f"{root}/{name}")
     medallion.load(spark, f"{root}/first", f"{root}/silver", stations, [WATER.name])

@@ -130,8 +130,8 @@ def _manifest(spark: SparkSession, folder: str, done: Written, **more) -> str:
 
 def _write_days(df: DataFrame, path: str, instant: str) -> dict[str, int]:
     """Write rows below a new folder of the table; how many each day has."""
-    # by ranges of time: days that lie together share a task, and a day that is large is split over several
-    rows = df.repartitionByRange(DAY, instant).sortWithinPartitions(DAY, instant)
+    # by ranges of time: days that lie together share a task, and a day that is large is split over several, whatever instants it has
+    rows = df.withColumn("_tie", F.xxhash64(*df.columns)).repartitionByRange(DAY, instant, "_tie").sortWithinPartitions(DAY, instant).drop("_tie")
     rows.write.option("compression", "snappy").partitionBy(DAY).parquet(path)
     if not any(f"/{DAY}=" in c for c in children(df.sparkSession, path)):
         return {}
@@ -205,13 +205,15 @@ def merge(df: DataFrame, contract: Contract, folder: str, order: Sequence[str |
     with leased(spark, path) as lease:
         seen = _content(spark, path)
         content = seen.content
-        clean_rows, counts = assess(df, contract)
-        for c in contract.key:
-            if dict(clean_rows.dtypes)[c] == "string":
-                clean_rows = clean_rows.withColumn(c, F.trim(c))
-        first = keep_first(clean_rows, contract.key, order or sorted(c for c in clean_rows.columns))
         stage = f"{folder.rstrip('/')}/_stage/{uuid.uuid4().hex}"
         try:
+            # what gives df is computed once, not again for each count
+            df.write.parquet(f"{stage}/received")
+            clean_rows, counts = assess(spark.read.schema(df.schema).parquet(f"{stage}/received"), contract)
+            for c in contract.key:
+                if dict(clean_rows.dtypes)[c] == "string":
+                    clean_rows = clean_rows.withColumn(c, F.trim(c))
+            first = keep_first(clean_rows, contract.key, order or sorted(c for c in clean_rows.columns))
             first.withColumn(DAY, utc_day(F.col(contract.instant))).write.parquet(f"{stage}/first")
             first = spark.read.parquet(f"{stage}/first")
             totals = counts.first().asDict()

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import logging
 import time
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,10 +18,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..domain import contract
+from ..domain import RAW_FIELDS, contract
+from ..functions.raw_json import first_violation
 from ..operators.quality import row_rules, split
-from ..sources.files import exists
-from ..sources.raw import approve, flatten
+from ..sources.files import exists, remove
+from ..sources.raw import flatten
 from ..sources.tables import Written, merge
 
 log = logging.getLogger("envlake.treatment")
@@ -52,25 +54,28 @@ def merge_stream(spark: SparkSession, source: str, dataset: str, folder: str, ch
     rules = contract(dataset)
 
     def batch(rows: DataFrame, number: int) -> None:
-        rows = rows.persist()
+        spark, stage = rows.sparkSession, f"{folder.rstrip('/')}/_stage/{uuid.uuid4().hex}"
         try:
-            good, bad = approve(rows.where("record is not null"), dataset)
-            flat = flatten(good, dataset)
-            given = ["codigo_estacao", "data_leitura", *[k for k in rules.key if k in flat.columns], *rules.numeric]
-            accepted, broken = split(flat, row_rules(rules, list(dict.fromkeys(given))))
+            # every line is read and parsed once: all that follows reads columns
+            marked = rows.select("file", "value", F.col("record").isNull().alias("_none"), first_violation(F.col("record"), RAW_FIELDS[dataset]).alias("_broken"), "record")
+            flatten(marked, dataset).write.parquet(stage)
+            flat = spark.read.parquet(stage)
+            bad, good = flat.where("not _none and _broken is not null"), flat.where("not _none and _broken is null").drop("_none", "_broken")
+            given = ["codigo_estacao", "data_leitura", *[k for k in rules.key if k in good.columns], *rules.numeric]
+            accepted, broken = split(good, row_rules(rules, list(dict.fromkeys(given))))
             found = resolve(accepted)
             found, lost = found if isinstance(found, tuple) else (found, accepted.limit(0))
             kept = lambda df, why: df.select("file", "value", why.alias("reasons"))
             out = [
-                kept(rows.where("record is null and trim(value) <> ''"), F.array(F.lit(NO_RECORD))),
-                kept(bad, F.array("reason")),
+                kept(flat.where("_none and trim(value) <> ''"), F.array(F.lit(NO_RECORD))),
+                kept(bad, F.array("_broken")),
                 kept(broken, F.col("reasons")),
                 kept(lost, F.array(F.lit(NOT_FOUND))),
             ]
             reduce(DataFrame.unionByName, out).write.mode("overwrite").parquet(f"{_rejected(folder, dataset)}/stream={stream_name(checkpoint)}/batch={number}")
             done = merge(found.select(*[c for c in found.columns if c not in ("file", "value", "codigo_estacao")]), rules, folder)
         finally:
-            rows.unpersist()
+            remove(spark, stage)
         if report:
             report(done)
 
