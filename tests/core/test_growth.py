@@ -102,3 +102,19 @@ def test_a_merge_computes_its_rows_once(spark, tmp_path):
     column, calls = counted(spark, F.col("id").cast("string"))
     df = spark.range(60).select(column.alias("id_leitura_origem"), F.lit(1).cast("bigint").alias("id_estacao"), F.lit("2026-01-01").cast("timestamp").alias("data_leitura"), *[F.lit(7.0).alias(c) for c in WATER.numeric])
     assert tables.merge(df, WATER, str(tmp_path)).written == 60 and calls.value == 60
+
+
+def test_a_load_parses_a_line_once(spark, tmp_path, monkeypatch):
+    real, seen = medallion.flatten, []
+
+    def flatten(raw, dataset):
+        column, calls = counted(spark, "codigo_estacao")
+        seen.append(calls)
+        return real(raw, dataset).withColumn("codigo_estacao", column)
+
+    monkeypatch.setattr(medallion, "flatten", flatten)
+    water_lines(spark, tmp_path / "in", 50)
+    stations = spark.createDataFrame([("E1", 1, 1)], STATIONS)
+    assert medallion.load(spark, str(tmp_path / "in"), str(tmp_path / "silver"), stations, [WATER.name])[WATER.name].table.written == 50
+    medallion.backfill(spark, str(tmp_path / "in"), str(tmp_path / "silver"), stations, WATER.name, "2026-01-01", "2026-01-02", replace=True)
+    assert [c.value for c in seen] == [50, 50]
