@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import exact_decimal, outside
+from .quality import any_of
 
 INSERT, REPLAY, ENRICH, UPDATE, REJECT, REPAIR = "insert", "replay", "enrich", "update", "reject", "repair"
 
@@ -47,13 +48,19 @@ def upsert(new: DataFrame, existing: DataFrame, key: Sequence[str], update: Sequ
     return a.join(b, list(key), "full").select(*key, *[v.alias(c) for c, v in value.items()], verdict.alias("verdict"))
 
 
-def item_reasons(code: Column, number: Column, text: Column, limits: dict[str, tuple[float | None, float | None]], most: int = 200) -> Column:
-    """Why an item of an event is not acceptable; an empty list if it is.
+def no_names() -> Column:
+    return F.array().cast("array<string>")
 
-    It has a number or a text, not both; a number fits decimal(18,6) without
-    rounding and its code's limits; a text is not blank and not too long.
-    """
-    value = exact_decimal(number)
+
+def names_of(rules: dict[str, Column]) -> Column:
+    """The names of the rules that hold for a row, in order; a null rule does not. The list is only made where one holds."""
+    held = {name: F.coalesce(rule, F.lit(False)) for name, rule in rules.items()}
+    return F.when(any_of(list(held.values())), F.filter(F.array(*[F.when(rule, F.lit(name)) for name, rule in held.items()]), lambda x: x.isNotNull())).otherwise(no_names())
+
+
+def item_rules(code: Column, number: Column, text: Column, limits: dict[str, tuple[float | None, float | None]], value: Column | None = None, most: int = 200) -> dict[str, Column]:
+    """What can be wrong with an item, by reason; value is its number as an exact decimal, where that is known."""
+    value = exact_decimal(number) if value is None else value
     beyond = F.lit(False)
     for c, (low, high) in limits.items():
         beyond = beyond | ((code == c) & outside(value.cast("double"), low, high))
@@ -61,11 +68,20 @@ def item_reasons(code: Column, number: Column, text: Column, limits: dict[str, t
         "no value": number.isNull() & text.isNull(),
         "two values": number.isNotNull() & text.isNotNull(),
         "not an exact number": number.isNotNull() & value.isNull(),
-        "out of range": F.coalesce(beyond, F.lit(False)),
+        "out of range": beyond,
         "blank text": text.isNotNull() & (F.trim(text) == ""),
-        "text too long": F.coalesce(F.length(text) > most, F.lit(False)),
+        "text too long": F.length(text) > most,
     }
-    return F.filter(F.array(*[F.when(F.coalesce(r, F.lit(False)), F.lit(n)) for n, r in rules.items()]), lambda x: x.isNotNull())
+    return {name: F.coalesce(rule, F.lit(False)) for name, rule in rules.items()}
+
+
+def item_reasons(code: Column, number: Column, text: Column, limits: dict[str, tuple[float | None, float | None]], most: int = 200) -> Column:
+    """Why an item of an event is not acceptable; an empty list if it is.
+
+    It has a number or a text, not both; a number fits decimal(18,6) without
+    rounding and its code's limits; a text is not blank and not too long.
+    """
+    return names_of(item_rules(code, number, text, limits, most=most))
 
 
 def code_sets(items: DataFrame, key: Sequence[str], code: str = "code") -> DataFrame:

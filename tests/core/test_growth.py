@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from envlake.domain import WATER
 from envlake.operators import quantiles
-from envlake.plans import medallion
+from envlake.plans import medallion, relational
 from envlake.plans.queries import queries
 from envlake.sources import tables
 from envlake.streaming import ingest
@@ -118,3 +118,11 @@ def test_a_load_parses_a_line_once(spark, tmp_path, monkeypatch):
     assert medallion.load(spark, str(tmp_path / "in"), str(tmp_path / "silver"), stations, [WATER.name])[WATER.name].table.written == 50
     medallion.backfill(spark, str(tmp_path / "in"), str(tmp_path / "silver"), stations, WATER.name, "2026-01-01", "2026-01-02", replace=True)
     assert [c.value for c in seen] == [50, 50]
+
+
+def test_a_load_of_events_reads_them_once(spark, tmp_path):
+    column, calls = counted(spark, F.col("id").cast("string"))
+    rows = spark.range(40).select(column.alias("id_leitura_origem"), F.lit(1).alias("id_estacao"), F.lit("2026-01-01").cast("timestamp").alias("data_leitura"), *[F.lit("7").alias(c) for c in WATER.codes])
+    done = relational.persist(relational.prepare(rows, WATER), str(tmp_path / "tables"))
+    assert done.counts == {"insert": 40} and calls.value == 40
+    assert [p.name for p in (tmp_path / "tables" / "_judged").iterdir()] == [relational.current(spark, str(tmp_path / "tables")).content["judged"][0].split("/")[1]]
