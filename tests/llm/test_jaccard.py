@@ -161,6 +161,30 @@ def test_components_of_a_chain_and_a_star(spark):
     assert connected(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def _jobs_of(spark, act):
+    """What act returns, and how many jobs it ran."""
+    group = f"components-{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = act()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_few_edges_cost_the_driver_no_rounds(spark, monkeypatch):
+    """A chain needs many rounds of stars; where a task holds all edges, or some, components are the same."""
+    edges = [(i, i + 1) for i in range(0, 60)] + [(x, 100) for x in range(101, 140)] + [(7, 7), (500, 500), (-3, 2), (None, 1)]
+    want = {i: -3 for i in range(0, 61)} | dict.fromkeys(range(100, 140), 100) | {-3: -3, 500: 500}
+    table = spark.createDataFrame(edges, "a bigint, b bigint").repartition(4)
+    find = lambda: {r.node: r.component for r in connected(table).collect()}
+    got, jobs = _jobs_of(spark, find)
+    assert got == want
+    assert jobs <= 14
+    monkeypatch.setattr("envlake.llm.components.EDGES_IN_A_FILE", 30)
+    assert find() == want
+
+
 def test_most_links_come_from_derived_answers_and_copies_cost_what_they_differ_in():
     rng = np.random.default_rng(8)
     base = rng.integers(0, 2**63, 1000, dtype=np.uint64)
