@@ -37,7 +37,7 @@ HITS_SCHEMA = "shard string, row int, doc_id bigint, n_words bigint, spans array
 #: Windows in a block that is broadcast: about 10 terms of 10 bytes each, so some 8 MB.
 BLOCK = 50_000
 #: Postings looked at together in a task.
-TOGETHER = 1 << 21
+TOGETHER = 1 << 19
 
 
 def words_of(text: Column) -> Column:
@@ -208,7 +208,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, slop: int
     slop 0 finds exact phrases; a larger one also finds windows whose words stand
     at most so many words from their places, as seen from the window's rarest word.
     """
-    index = written(build_index(docs, doc_id), "postings")
+    index = written(build_index(docs, doc_id), "postings", wide=True)
     ordered = written(ordered_windows(test_windows(benchmark, n), term_counts(index)), "windows")
     blocks = max(1, -(-ordered.count() // BLOCK))
 

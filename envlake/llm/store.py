@@ -14,6 +14,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of an Arrow batch for Python, but for its last row.
+BATCH_BYTES = 4 << 20
+
 _folders: dict[str, str] = {}
 
 
@@ -40,21 +43,25 @@ def _remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, narrow: bool = False, wide: bool = False) -> DataFrame:
     """df, computed once: written as Parquet in the shared folder and read again.
 
     narrow: its rows are much less than what they are made from, so they are
     gathered into files of Spark's advisory size instead of one for each task.
+    wide: a row has megabytes. Writers and readers hold a row group whole, and Parquet
+    only guesses from row to row how large it is; here each row is one.
     """
     spark = df.sparkSession
     df = df.hint("rebalance") if narrow else df
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
+    sizes = {"parquet.block.row.count.limit": 1} if wide else {}
+    df.write.options(compression="zstd", **sizes).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand texts to Python in smaller Arrow batches than Spark's 10,000 rows, unless the session says otherwise."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, rows)
+    """Hand texts to Python in smaller Arrow batches than Spark's 10,000 rows and 64 MB, unless the session says otherwise."""
+    for key, default, value in (("maxRecordsPerBatch", "10000", rows), ("maxBytesPerBatch", f"{64 << 20}b", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, value)

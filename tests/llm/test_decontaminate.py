@@ -3,9 +3,11 @@ import random
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 
 from envlake.llm.decontaminate import ALNUM_WORD, build_index, decontaminate, term_counts, test_windows
+from envlake.llm.store import small_batches, written
 
 test_windows.__test__ = False
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -117,3 +119,36 @@ def test_empty_tables(spark, tables):
 def test_postings_count_every_word(spark):
     docs = spark.createDataFrame([(1, "a b a"), (2, "b")], "doc_id bigint, text string")
     assert {bytes(r.term): r.n for r in term_counts(build_index(docs)).collect()} == {b"a": 2, b"b": 2}
+
+
+def test_readers_and_writers_of_the_index_hold_one_shard(spark, monkeypatch):
+    from envlake.llm import decontaminate as module
+
+    groups = {}
+
+    def counted(df, name, **options):
+        out = written(df, name, **options)
+        groups[name] = [(m.num_rows, m.num_row_groups) for m in (pq.read_metadata(f.removeprefix("file:")) for f in out.inputFiles())]
+        return out
+
+    monkeypatch.setattr(module, "written", counted)
+    docs = spark.createDataFrame([(i, f"{i} " * 1_200_000) for i in range(4)], "doc_id bigint, text string").coalesce(1)
+    found = {r.doc_id: r.n_hit for r in decontaminate(docs, spark.createDataFrame([(1, "2 2")], "item_id bigint, text string")).collect()}
+    assert found == {0: 0, 1: 0, 2: 1_200_000, 3: 0}
+    assert sum(rows for rows, _ in groups["postings"]) == 4 and all(rows == n for rows, n in groups["postings"])
+
+
+def test_batches_for_python_are_bounded_by_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        small_batches(spark)
+        docs = spark.range(40).coalesce(1).selectExpr("repeat('x', 1000000) AS text")
+        sizes = [r.n for r in docs.mapInArrow(lambda batches: (b.slice(0, 0).from_pydict({"n": [b.nbytes]}) for b in batches), "n bigint").collect()]
+        assert len(sizes) >= 8 and max(sizes) < 8_000_000
+        spark.conf.set(key, "9999999")
+        small_batches(spark)
+        assert spark.conf.get(key) == "9999999"
+    finally:
+        spark.conf.set(key, before)
