op7_exact_top_k: a data block meets its queries together, not once for each query block

Symptom: op7 takes 1623 CPU seconds a GB on the large input, half of it in Python, and sends 182 MB between tasks for an input of about 20 MB.
Evidence: the stage that compares pairs of blocks took 16 s of 27 s of tasks; every data block was sent to each of 13 query blocks of some 80 queries (637,927 rows, 92 MB) and got a new tree each time; without clusters a tree had 512 nodes for 4,436 points, so queries were compared two or three at a time.
Fix: pairs are dealt by data block and running count of queries, so that a data block is sent once for about a query block's number of queries; the second pass starts with the scores that queries reached in the first; a node whose parts would hold a few points is a leaf; rows of scores are cut at the kth best before they are sorted.
Effect, together with 1 more commit on this code: at 0.6 GB of input CPU 586 -> 408 s, shuffle 0.37 -> 0.12 GB, spill 0.00 -> 0.00 GB, read 0.11 -> 0.10 GB, longest task 10 -> 4 s, most memory of a task 172 -> 168 MB; at 6 GB of input CPU 9532 -> 1538 s, shuffle 11.82 -> 3.84 GB, spill 0.00 -> 0.00 GB, read 1.25 -> 1.19 GB, longest task 62 -> 17 s, most memory of a task 336 -> 281 MB; with hot keys, at 0.6 GB of input CPU 551 -> 465 s, shuffle 0.26 -> 0.09 GB, spill 0.00 -> 0.00 GB, read 0.09 -> 0.09 GB, longest task 9 -> 4 s, most memory of a task 168 -> 168 MB.

@@ -11,9 +11,11 @@ every node is a block, so the tree grows with the rows. A query lies in the node
 its own row. Pairs of a query node and a data node go down level by level; on each,
 the second bound over nodes with more than k rows gives a query node's least kth score,
 and the first leaves out pairs. Each query block is then compared with its nearest data
-block, and after that with the blocks that its exact worst kth score leaves. A task
-indexes both blocks of a pair further, in cover trees, and prunes alike. What is left
-is compared whole, and Spark keeps the k best.
+block, and after that with the blocks that its exact worst kth score leaves. A data
+block is sent once for about as many queries as a query block has, of however many query
+blocks they are. A task indexes both sides further, in cover trees, and prunes alike,
+from the second time on with the kth scores that queries have reached. What is left is
+compared whole, and Spark keeps the k best.
 
 Of equal vectors only those with the k + 1 smallest ids can be among the k best, as
 ties go to smaller ids, and equal queries are answered once. Nodes of one vector, or
@@ -64,7 +66,8 @@ class Tree:
     """A cover tree: every node has a centre that is one of its points and a radius within which all of them lie.
 
     Points are reordered so that a node's are the rows from first to last. The
-    centres of a node's children are further apart than the children's radius.
+    centres of a node's children are further apart than the children's radius. A node
+    whose children would have a few points each, as in data without clusters, is a leaf.
     """
 
     def __init__(self, points: np.ndarray):
@@ -82,11 +85,14 @@ class Tree:
             limit = self.radius[node] * SHRINK
             rest, near = members, self._distances(members, self.centre[node])
             parts = []
-            while len(rest):
+            while len(rest) and len(parts) * (LEAF // 8) <= len(members):
                 centre = points[rest[np.argmin(near)]] if not parts else points[rest[np.argmax(near)]]
                 d = self._distances(rest, centre)
                 parts.append((centre, rest[d <= limit]))
                 rest, near = rest[d > limit], near[d > limit]
+            if len(rest) or len(parts) * (LEAF // 8) > len(members):
+                placed.append((node, members))
+                continue
             for centre, own in parts:
                 child = self._node(own, centre)
                 self.children[node].append(child)
@@ -125,14 +131,17 @@ class Tree:
         return len(self.radius) - 1
 
 
-def dual_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int, others: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, id, score) of each query's k best other ids (or of all ids), ties to the smaller id."""
+def dual_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int, others: bool = True, least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query id, id, score) of each query's k best other ids (or of all ids), ties to the smaller id; least: what each query's scores must reach."""
     top = max(int(abs(x)) for a in (queries, points) for x in (a.max(initial=1), a.min(initial=-1))) ** 2 * max(queries.shape[1], 1)
     kind = np.float64 if top < 2**52 else object
     qt, pt = Tree(queries.astype(float)), Tree(points.astype(float))
     query_ids, ids = query_ids[qt.order], ids[pt.order]
     q, p = queries[qt.order].astype(kind), points[pt.order].astype(kind)
     best = np.full((len(q), k), -np.inf, kind)
+    if least is not None:
+        best[:] = least[qt.order][:, None]
+    single = kind is np.float64 and len(np.unique(ids)) == len(ids)
     kept: list[list[tuple]] = [[] for _ in range(len(q))]
     slack = 1e-9 * float(top) + 1e-6
     below = [np.array(c, np.int64) for c in pt.children]
@@ -147,21 +156,26 @@ def dual_search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, poi
 
     def compare(a: int, leaves: np.ndarray) -> None:
         rows = np.concatenate([np.arange(first[n], last[n]) for n in leaves])
-        x = slice(qt.first[a], qt.last[a])
-        score = q[x] @ p[rows].T
-        able = score >= best[x, -1:]
-        if others:
-            able &= query_ids[x][:, None] != ids[rows][None, :]
-        for row in np.flatnonzero(able.any(axis=1)):
-            i, at = x.start + row, np.flatnonzero(able[row])
-            if len(at) > k:
-                at = at[np.lexsort((ids[rows[at]], -score[row, at]))]
-                at = at[np.sort(np.unique(ids[rows[at]], return_index=True)[1])[:k]]
-            once: dict = {}  # an id takes one place, with its best score
-            for s, j in sorted(kept[i] + [(-score[row, j], ids[rows[j]]) for j in at]):
-                once.setdefault(j, s)
-            kept[i] = [(s, j) for j, s in once.items()][:k]
-            best[i, : len(kept[i])] = [-s for s, _ in kept[i]]
+        held = p[rows].T
+        for start in range(qt.first[a], qt.last[a], LEAF):
+            x = slice(start, min(start + LEAF, qt.last[a]))
+            score = q[x] @ held
+            able = score >= best[x, -1:]
+            if others:
+                able &= query_ids[x][:, None] != ids[rows][None, :]
+            for row in np.flatnonzero(able.any(axis=1)):
+                i, at = x.start + row, np.flatnonzero(able[row])
+                if len(at) > k:
+                    if single:  # sort but the k best and their ties
+                        own = score[row, at]
+                        at = at[own >= np.partition(own, len(own) - k)[len(own) - k]]
+                    at = at[np.lexsort((ids[rows[at]], -score[row, at]))]
+                    at = at[np.sort(np.unique(ids[rows[at]], return_index=True)[1])[:k]]
+                once: dict = {}  # an id takes one place, with its best score
+                for s, j in sorted(kept[i] + [(-score[row, j], ids[rows[j]]) for j in at]):
+                    once.setdefault(j, s)
+                kept[i] = [(s, j) for j, s in once.items()][:k]
+                best[i, : len(kept[i])] = [-s for s, _ in kept[i]]
 
     todo = [(0, np.array([0]))]
     while todo:
@@ -350,30 +364,35 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, report: Callable[[i
     met = written(met.withColumn("own", _block("key", _blocks(F.col("n_q"), QUERY_BLOCK))).select(F.concat_ws("#", "a", "own").alias("b"), "key", "q", "a"), "asked")
     held = data.groupBy("node").agg(_blocks(F.count("*"), 2 * DATA_BLOCK).alias("parts"))
     rows = data.join(held, "node").select(F.concat_ws("#", "node", _block("vec_id", F.col("parts"))).alias("d"), "vec_id", "q")
-    pairs = pairs.withColumnRenamed("b", "leaf").join(met.select("a", "b").distinct(), "a").join(held.withColumnRenamed("node", "leaf"), "leaf")
+    pairs = pairs.withColumnRenamed("b", "leaf").join(met.groupBy("a", "b").agg(F.count("*").alias("n_b")), "a").join(held.withColumnRenamed("node", "leaf"), "leaf")
     pairs = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    pairs = written(pairs.select("b", F.concat_ws("#", "leaf", "part").alias("d"), F.floor(F.col("n") / F.col("parts")).alias("n_d"), "middle", "most"), "blocks")
+    pairs = written(pairs.select("b", "n_b", F.concat_ws("#", "leaf", "part").alias("d"), F.floor(F.col("n") / F.col("parts")).alias("n_d"), "middle", "most"), "blocks")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         found = (np.zeros(0, np.int64),) * 3
         if len(left) and len(right):
-            found = dual_search(np.arange(len(left)), _matrix(left["q"]), right["vec_id"].to_numpy(), _matrix(right["q"]), k + 1, others=False)
-        keys = left["key"].to_pylist()
-        block = left["b"][0].as_py() if len(left) else ""
-        return pa.table({"b": pa.array([block] * len(found[0]), pa.string()), "key": pa.array([keys[i] for i in found[0]], pa.string()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.int64())})
-
-    def compared(chosen: DataFrame) -> DataFrame:
-        left = met.select("b", "key", "q").join(chosen.select("b", "d"), "b").select("b", "d", "key", "q")
-        right = rows.join(chosen.select("b", "d"), "d").select("b", "d", "vec_id", "q")
-        return left.groupBy("b", "d").cogroup(right.groupBy("b", "d")).applyInArrow(meet, "b string, key string, vec_id bigint, score bigint")
+            least = np.array([-np.inf if x is None else x for x in left["least"].to_pylist()], object)
+            found = dual_search(np.arange(len(left)), _matrix(left["q"]), right["vec_id"].to_numpy(), _matrix(right["q"]), k + 1, others=False, least=least)
+        return pa.table({**{c: left[c].take(pa.array(found[0])) for c in ("b", "key")}, "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.int64())})
+
+    def compared(chosen: DataFrame, asking: DataFrame) -> DataFrame:
+        """The best of the pairs of blocks: a data block meets its queries by about QUERY_BLOCK at a time, however few each query block has."""
+        before = F.sum("n_b").over(Window.partitionBy("d").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
+        dealt = chosen.select("b", "d", F.floor(F.coalesce(before, F.lit(0)) / QUERY_BLOCK).alias("turn"))
+        left = asking.join(dealt, "b").select("d", "turn", "b", "key", "q", "least")
+        right = rows.join(dealt.select("d", F.col("turn").alias("turn")).distinct(), "d").select("d", "turn", "vec_id", "q")
+        return left.groupBy("d", "turn").cogroup(right.groupBy("d", "turn")).applyInArrow(meet, "b string, key string, vec_id bigint, score bigint")
 
     home = pairs.withColumn("turn", F.row_number().over(Window.partitionBy("b").orderBy((F.col("n_d") <= k).cast("int"), F.desc("middle"), "d"))).where("turn = 1")
-    first = written(compared(home), "first")
-    worst = first.groupBy("b", "key").agg(F.count_distinct("vec_id").alias("n"), F.min("score").alias("kth")).groupBy("b").agg(F.min("n").alias("n"), F.min("kth").alias("kth"), F.count("*").alias("found"))
+    first = written(compared(home, met.withColumn("least", F.lit(None).cast("bigint"))), "first")
+    reached = first.groupBy("b", "key").agg(F.count_distinct("vec_id").alias("n"), F.min("score").alias("kth"))
+    worst = reached.groupBy("b").agg(F.min("n").alias("n"), F.min("kth").alias("kth"), F.count("*").alias("found"))
     known = met.groupBy("b").agg(F.count("*").alias("rows")).join(worst, "b", "left")
     limit = F.when((F.col("n") >= k + 1) & (F.col("found") >= F.col("rows")), F.col("kth").cast("double")).otherwise(F.lit(float("-inf")))
     rest = pairs.join(home.select("b", "d"), ["b", "d"], "left_anti").join(known.select("b", limit.alias("least")), "b").where("most >= least")
-    near = first.unionByName(compared(rest)).groupBy("key", "vec_id").agg(F.max("score").alias("score"))
+    # a score that is shown as the least number may be any below it
+    least = reached.where((F.col("n") >= k + 1) & (F.col("kth") > -(2**63))).select("b", "key", F.col("kth").alias("least"))
+    near = first.unionByName(compared(rest, met.join(least, ["b", "key"], "left"))).groupBy("key", "vec_id").agg(F.max("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "vec_id"))
     best = written(near.withColumn("place", place).where(F.col("place") <= k + 1).select("key", "vec_id", "score"), "best")
     answers = queries.join(best, "key").where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

@@ -139,3 +139,22 @@ def test_ids_with_several_vectors_over_levels(spark, monkeypatch):
             best = sorted((-max(int(a @ b) for a in q[i] for b in q[j]), j) for j in q if j != i)[:5]
             want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
     assert got == sorted(want)
+
+
+def test_points_without_clusters_are_one_leaf():
+    rng = np.random.default_rng(3)
+    assert Tree(rng.normal(size=(1000, 64))).children == [[]]
+    centres = rng.normal(size=(4, 64)) * 9
+    assert len(Tree(centres[np.arange(1000) % 4] + rng.normal(size=(1000, 64)) / 50).children[0]) == 4
+
+
+@pytest.mark.parametrize("large", [1, 2**28])
+def test_scores_below_those_that_queries_have_reached_are_left_out(large):
+    rng = np.random.default_rng(5)
+    x, ids = rng.integers(-3, 4, size=(400, 4)) * large, np.arange(400) % 250  # ties, and ids with two vectors
+    q, k = x[:9], 4
+    whole = [*zip(*(v.tolist() for v in dual_search(np.arange(9), q, ids, x, k, others=False)), strict=True)]
+    reached = {i: min(s for j, _, s in whole if j == i) for i in range(9)}
+    least = np.array([-np.inf if i == 0 else reached[i] + (i % 2) for i in range(9)], object)
+    found = [*zip(*(v.tolist() for v in dual_search(np.arange(9), q, ids, x, k, others=False, least=least)), strict=True)]
+    assert sorted(found) == sorted(r for r in whole if r[2] >= least[r[0]])
