op7_exact_top_k: vectors are dealt by key once, counted without sorts, and carry their data block

Symptom: after the comparing stage was mended, JVM time of the stages that carry vectors was most of op7's cost on the large input (690 of 914 CPU seconds a GB).
Evidence: whole vectors were shuffled by the array for the window and again by key for the join with the queries, their keys were hashed anew by three readers, nodes were counted by a sort because of a centre of zeros made for each row, lengths of all rows were summed by a lambda, and leaves were counted and joined again to deal data blocks.
Fix: the key is stored with the distinct vectors, window and join share its exchange; a node's centre of zeros is made from its dimension; only queries' lengths are summed at the root; leaves are written with their data blocks from counts that the tree has.
Effect, together with 1 more commit on this code: at 0.6 GB of input CPU 586 -> 408 s, shuffle 0.37 -> 0.12 GB, spill 0.00 -> 0.00 GB, read 0.11 -> 0.10 GB, longest task 10 -> 4 s, most memory of a task 172 -> 168 MB; at 6 GB of input CPU 9532 -> 1538 s, shuffle 11.82 -> 3.84 GB, spill 0.00 -> 0.00 GB, read 1.25 -> 1.19 GB, longest task 62 -> 17 s, most memory of a task 336 -> 281 MB; with hot keys, at 0.6 GB of input CPU 551 -> 465 s, shuffle 0.26 -> 0.09 GB, spill 0.00 -> 0.00 GB, read 0.09 -> 0.09 GB, longest task 9 -> 4 s, most memory of a task 168 -> 168 MB.

@@ -258,12 +258,17 @@ def _blocks(count: Column, most: int) -> Column:
     return F.ceil(count / F.lit(most)).cast("int")
 
 
+def _parts(count: Column) -> Column:
+    """The data blocks of a leaf."""
+    return _blocks(count, 2 * DATA_BLOCK)
+
+
 def _block(of: str, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("block"), of), blocks).cast("int")
 
 
 class Cells:
-    """The upper levels of the tree: `rows` (node, key, vec_id, q, asked) of leaves, and `levels`, tables of nodes.
+    """The upper levels of the tree: `rows` (node, d, key, vec_id, q, asked) of leaves, d the data block, and `levels`, tables of nodes.
 
     A level has (node, parent, centre, n, s, n_q, r, wide, leaf): rows and queries and
     the radii that hold them, whether data go down to children, and whether it is a leaf.
@@ -271,32 +276,35 @@ class Cells:
 
     def __init__(self, vectors: DataFrame):
         """vectors: (key, vec_id, q, asked)."""
-        zero = F.transform("q", lambda x: F.lit(0.0))
+        zero = F.array_repeat(F.lit(0.0), F.col("dim"))
+        # lengths are summed up for queries alone: a root is met as data by itself only, so a wider radius prunes no less
         length = F.sqrt(F.aggregate("q", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double")))
-        rows = vectors.withColumn("node", F.concat(F.lit("d"), F.size("q").cast("string"))).withColumn("far", length)
-        root = rows.groupBy("node").agg(*self._counts(), F.first(zero).alias("centre")).withColumn("parent", F.lit(None).cast("string"))
+        most = F.sqrt(F.size("q")) * F.greatest(F.array_max("q").cast("double"), -F.array_min("q").cast("double"))
+        rows = vectors.withColumn("node", F.concat(F.lit("d"), F.size("q").cast("string"))).withColumn("far", F.when(F.col("asked"), length).otherwise(F.coalesce(most, F.lit(0.0))))
+        root = rows.groupBy("node").agg(*self._counts()).withColumns({"centre": zero, "parent": F.lit(None).cast("string")})
         self.levels, done = [written(self._shaped(root.withColumn("n_parent", F.lit(2**62))), "nodes")], []
         while True:
             wide = self.levels[-1].where("wide").select("node", "n")
-            done.append(rows.join(self.levels[-1].where("leaf").select("node"), "node").select("node", "key", "vec_id", "q", "asked"))
+            leaves = self.levels[-1].where("leaf").select("node", _parts(F.col("n")).alias("parts"))
+            done.append(rows.join(leaves, "node").select("node", F.concat_ws("#", "node", _block("vec_id", F.col("parts"))).alias("d"), "key", "vec_id", "q", "asked"))
             if wide.isEmpty():
                 break
             here = rows.join(wide, "node")
-            sample = here.where(F.pmod(F.xxhash64(F.lit("pivot"), "vec_id", "q"), F.lit(2**32)) < F.lit(float(SAMPLE)) / F.col("n") * F.lit(float(2**32)))
+            sample = here.where(F.pmod(F.xxhash64(F.lit("pivot"), "vec_id", "key"), F.lit(2**32)) < F.lit(float(SAMPLE)) / F.col("n") * F.lit(float(2**32)))
             models = written(sample.groupBy("node", "n").applyInArrow(_fit, "node string, n bigint, child string, centre array<double>"), "pivots")
             blocks = wide.withColumn("block", F.explode(F.sequence(F.lit(0), _blocks(F.col("n"), ROUTE_BLOCK) - 1))).drop("n")
             dealt = models.join(blocks, "node").select("node", "block", "child", "centre")
             placed = here.withColumn("block", _block("vec_id", _blocks(F.col("n"), ROUTE_BLOCK))).select("node", "block", "key", "vec_id", "q", "asked")
             rows = written(placed.groupBy("node", "block").cogroup(dealt.groupBy("node", "block")).applyInArrow(_assign, f"node string, far double, {VECTOR}"), "cells")
-            below = rows.groupBy("node").agg(*self._counts(), F.first(zero).alias("zero")).withColumn("parent", F.regexp_replace("node", "/[0-9]+$", ""))
+            below = rows.groupBy("node").agg(*self._counts()).withColumn("parent", F.regexp_replace("node", "/[0-9]+$", ""))
             below = below.join(wide.toDF("parent", "n_parent"), "parent").join(models.select(F.col("child").alias("node"), "centre"), "node", "left")
-            self.levels.append(written(self._shaped(below.withColumn("centre", F.coalesce("centre", "zero"))), "nodes"))
+            self.levels.append(written(self._shaped(below.withColumn("centre", F.coalesce(F.col("centre"), zero))), "nodes"))
         self.rows = reduce(DataFrame.unionByName, done)
 
     @staticmethod
     def _counts() -> list[Column]:
         asked = F.col("asked")
-        return [F.count("*").alias("n"), F.max("far").alias("s"), F.count_if(asked).alias("n_q"), F.max(F.when(asked, F.col("far"))).alias("r")]
+        return [F.count("*").alias("n"), F.max("far").alias("s"), F.count_if(asked).alias("n_q"), F.max(F.when(asked, F.col("far"))).alias("r"), F.max(F.size("q")).alias("dim")]
 
     @staticmethod
     def _shaped(nodes: DataFrame) -> DataFrame:
@@ -343,13 +351,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, report: Callable[[i
 
     report, if given, gets each level of the tree and how many pairs of a query and a vector it leaves.
     """
-    once = written(vectors.select("vec_id", "q", F.coalesce(is_query, F.lit(False)).alias("query")).distinct(), "vectors")
     key = F.concat(F.hex(F.xxhash64("q")), F.lit("-"), F.hex(F.xxhash64(F.lit("key"), "q")))
-    turn = F.row_number().over(Window.partitionBy("q").orderBy("vec_id"))
-    queries = once.where("query").select(F.col("vec_id").alias("query_id"), key.alias("key")).distinct()
-    few = once.withColumn("turn", turn).where(F.col("turn") <= k + 1).select(key.alias("key"), "vec_id", "q", "turn")
-    # a vector is asked for by the row of its smallest id
-    asked = queries.select("key", F.lit(True).alias("_asked")).distinct()
+    once = vectors.select("vec_id", "q", F.coalesce(is_query, F.lit(False)).alias("query")).distinct()
+    once = written(once.withColumn("key", key), "vectors")
+    turn = F.row_number().over(Window.partitionBy("key").orderBy("vec_id"))
+    queries = once.where("query").select(F.col("vec_id").alias("query_id"), "key").distinct()
+    few = once.withColumn("turn", turn).where(F.col("turn") <= k + 1).select("key", "vec_id", "q", "turn")
+    # a vector is asked for by the row of its smallest id; the join finds the rows dealt by key
+    asked = once.where("query").select("key", F.lit(True).alias("_asked")).distinct()
     table = written(few.join(asked, "key", "left").select("key", "vec_id", "q", (F.col("_asked").isNotNull() & (F.col("turn") == 1)).alias("asked")), "entries")
     # an id with several vectors fills one of the k places, so more rows are needed to be sure of k + 1 ids
     versions = table.groupBy("vec_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
@@ -362,9 +371,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, report: Callable[[i
     ancestors = F.transform(F.sequence(F.lit(1), F.size(path)), lambda i: F.array_join(F.slice(path, F.lit(1), i), "/"))
     met = wanted.withColumn("a", F.explode(ancestors)).join(asking, "a")
     met = written(met.withColumn("own", _block("key", _blocks(F.col("n_q"), QUERY_BLOCK))).select(F.concat_ws("#", "a", "own").alias("b"), "key", "q", "a"), "asked")
-    held = data.groupBy("node").agg(_blocks(F.count("*"), 2 * DATA_BLOCK).alias("parts"))
-    rows = data.join(held, "node").select(F.concat_ws("#", "node", _block("vec_id", F.col("parts"))).alias("d"), "vec_id", "q")
-    pairs = pairs.withColumnRenamed("b", "leaf").join(met.groupBy("a", "b").agg(F.count("*").alias("n_b")), "a").join(held.withColumnRenamed("node", "leaf"), "leaf")
+    rows = data.select("d", "vec_id", "q")
+    pairs = pairs.withColumnRenamed("b", "leaf").join(met.groupBy("a", "b").agg(F.count("*").alias("n_b")), "a").withColumn("parts", _parts(F.col("n")))
     pairs = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     pairs = written(pairs.select("b", "n_b", F.concat_ws("#", "leaf", "part").alias("d"), F.floor(F.col("n") / F.col("parts")).alias("n_d"), "middle", "most"), "blocks")
 

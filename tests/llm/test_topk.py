@@ -158,3 +158,19 @@ def test_scores_below_those_that_queries_have_reached_are_left_out(large):
     least = np.array([-np.inf if i == 0 else reached[i] + (i % 2) for i in range(9)], object)
     found = [*zip(*(v.tolist() for v in dual_search(np.arange(9), q, ids, x, k, others=False, least=least)), strict=True)]
     assert sorted(found) == sorted(r for r in whole if r[2] >= least[r[0]])
+
+
+def test_leaves_come_with_data_blocks_and_roots_hold_their_rows(spark, monkeypatch):
+    from envlake.llm import topk
+
+    monkeypatch.setattr(topk, "DATA_BLOCK", 20)
+    q = [[i % 7 - 3, i, -i] for i in range(90)] + [[], [0, 0]]
+    df = spark.createDataFrame([(str(i), i, v, i % 30 == 0) for i, v in enumerate(q)], topk.VECTOR)
+    cells = topk.Cells(df)
+    roots = {r.node: r for r in cells.levels[0].collect()}
+    assert {n: (r.centre, r.n) for n, r in roots.items()} == {"d0": ([], 1), "d2": ([0.0, 0.0], 1), "d3": ([0.0] * 3, 90)}
+    lengths = [np.sqrt(sum(x * x for x in v)) for v in q]
+    assert roots["d0"].s == roots["d2"].s == 0 and roots["d3"].s >= max(lengths) - 1e-9 and abs(roots["d3"].r - max(lengths[:90:30])) < 1e-9
+    rows = cells.rows.collect()
+    assert sorted(r.key for r in rows) == sorted(str(i) for i in range(len(q)))
+    assert all(r.d.rpartition("#")[0] == r.node for r in rows) and max(sum(r.d == d for r in rows) for d in {r.d for r in rows}) <= 2 * 20
