@@ -7,7 +7,7 @@ series; where the groups are few, Spark sends them to the rows, which stay in pl
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,11 +89,15 @@ def either(a: Column, b: Column) -> Column:
     return F.when(a.isNotNull() | b.isNotNull(), F.coalesce(a, F.lit(False)) | F.coalesce(b, F.lit(False)))
 
 
-def alerts(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor", factor: float = 1.5, limit: float = 3.0) -> DataFrame:
-    """Both flags and their combination alerta_qualidade; what they need of a series is made in one pass and joined once."""
+def alerts(df: DataFrame, by: Sequence[str] = SERIES, value: str = "valor", factor: float = 1.5, limit: float = 3.0, of_series: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Both flags and their combination alerta_qualidade; what they need of a series is made in one pass and joined once.
+
+    of_series, if given, adds other columns to the table of series, which come to the rows by the same join.
+    """
     factor, limit = check_limit(factor, "the factor"), check_limit(limit, "the limit")
     rows = df.withColumn(value, finite(F.col(value).cast("double")))
-    rows = join_groups(rows, exact_quantiles(rows, by, value, (0.25, 0.75), ("q1", "q3"), _moments(value)), by)
+    series = exact_quantiles(rows, by, value, (0.25, 0.75), ("q1", "q3"), _moments(value))
+    rows = join_groups(rows, of_series(series) if of_series else series, by)
     rows = _scored(_fenced(rows, value, factor), value, limit)
     return rows.withColumn("alerta_qualidade", either(F.col("anomalia_iqr"), F.col("anomalia_zscore")))
 
@@ -109,15 +113,17 @@ def sql_anomalies(df: DataFrame, by: Sequence[str] = ("id_estacao", "codigo_para
     return rows.withColumns({"anomalia_z": F.coalesce(F.abs("z_score") >= limit, F.lit(False)), "anomalia_iqr": (F.col(value) < low) | (F.col(value) > high)})
 
 
-def rolling_mean(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str = "valor", rows: int = 7, name: str = "media_movel", most: int = MOST_IN_TASK) -> DataFrame:
+def rolling_mean(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str = "valor", rows: int = 7, name: str = "media_movel", most: int = MOST_IN_TASK, counted: DataFrame | None = None) -> DataFrame:
     """df with the mean of this row's and the rows - 1 earlier measures of its series; invalid ones are left out.
 
     Where a series has more than most rows, it is cut into ranges of that many by its
     rows' places (dense_positions, which needs no task for a series), and each range
     also gets the last rows - 1 of the range before it, so that its means are whole.
+    counted, if given, has the same series with as many rows, and is cheaper to count:
+    what df is made by runs for the result alone.
     """
     mean = F.avg(finite(F.col(value).cast("double")))
-    largest = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    largest = (df if counted is None else counted).groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     if largest <= most:
         return df.withColumn(name, mean.over(Window.partitionBy(*by).orderBy(*order).rowsBetween(1 - rows, 0)))
     placed = dense_positions(df, [F.col(c).asc_nulls_first() for c in order], by, name="_at")

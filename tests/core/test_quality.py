@@ -90,3 +90,27 @@ def test_star_schema(spark):
     lost = star.fact_measures(long, tables["Dim_Estacao"].where("id_estacao = 9"), tables["Dim_Parametro"], tables["Dim_Tempo"])
     with pytest.raises(Exception, match="a measure without a sk_estacao for 4"):
         lost.collect()
+
+
+def test_fact_finds_keys_by_series_and_keeps_odd_rows(spark):
+    from datetime import datetime
+
+    at = lambda h: datetime(2026, 1, 1, h)
+    rows = [("d", 1, "PH", u, f"r{i}", at(i % 5), v) for i, (u, v) in enumerate([("u", 1.0), ("u", 1.0), ("u", float("nan")), ("u", None), (None, 5.0), (None, 7.0)])]
+    rows += [rows[0], (None, 2, "OD", "u", "x", at(0), 3.0)]
+    df = spark.createDataFrame(rows, "dataset string, id_estacao bigint, codigo_parametro string, unidade_medida string, id_leitura_origem string, data_leitura timestamp, valor double")
+    tables = star.star_schema(df)
+    fact = tables["Fato_Medicoes"]
+    # a shuffle of all rows by station would follow their window; series are met below it
+    plan = fact._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    found = [i for i, line in enumerate(plan) if "Join LeftOuter, (id_estacao" in line]
+    assert found and min(found) > min(i for i, line in enumerate(plan) if "Window [" in line)
+    got = sorted((r.id_leitura_origem, r.sk_estacao, r.sk_parametro, r.valor_lido, r.media_movel, r.anomalia_iqr, r.anomalia_zscore, r.alerta_qualidade) for r in fact.collect())
+    assert got[0][:4] == got[1][:4] == ("r0", 1, 2, 1.0)
+    by_id = {r[0]: r for r in got}
+    assert len(got) == 8 and by_id["x"] == ("x", 2, 1, 3.0, 3.0, False, None, False)
+    assert by_id["r2"][3] is by_id["r3"][3] is None and by_id["r2"][5] is by_id["r3"][7] is None
+    assert by_id["r5"][5:] == (False, False, False) and by_id["r1"][6] is None  # a series of equal numbers has no score
+    nobody = df.unionByName(spark.createDataFrame([("d", None, "PH", "u", "n", at(0), 1.0)], df.schema))
+    with pytest.raises(Exception, match="a measure without a sk_estacao for null"):
+        star.fact_measures(nobody, tables["Dim_Estacao"], tables["Dim_Parametro"], tables["Dim_Tempo"]).collect()

@@ -92,3 +92,20 @@ def test_a_hot_series_is_cut_into_ranges(spark):
     assert a == b and len(a) == len(rows)
     single = st.rolling_mean(df, ["s"], ["t"], most=3)  # ranges are never shorter than the frame
     assert [(r.s, r.t, None if r.media_movel is None else round(r.media_movel, 12)) for r in sorted(single.collect(), key=key)] == a
+
+
+def test_rolling_mean_counts_the_cheaper_table(spark):
+    rows = series(spark, [2.0, 4.0, 6.0])
+    dear = rows.withColumn("id_estacao", F.when(F.col("valor") > 5, F.raise_error(F.lit("it ran")).cast("bigint")).otherwise(F.col("id_estacao")))
+    found = st.rolling_mean(dear, ["id_estacao"], ["data_leitura"], rows=2, counted=rows)
+    with pytest.raises(Exception, match="it ran"):
+        found.collect()
+    whole = st.rolling_mean(rows, ["id_estacao"], ["data_leitura"], rows=2, most=1, counted=rows)
+    assert sorted(r.media_movel for r in whole.collect()) == [2.0, 3.0, 5.0]
+
+
+def test_alerts_bring_more_columns_of_the_series(spark):
+    rows = series(spark, [1.0, 2.0, None]).unionByName(series(spark, [5.0], station=None))
+    seen = []
+    found = st.alerts(rows, of_series=lambda s: seen.append(s.count()) or s.withColumn("more", F.coalesce("id_estacao", F.lit(-1)))).collect()
+    assert seen == [2] and sorted(r.more for r in found) == [-1, 1, 1, 1]
